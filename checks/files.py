@@ -39,7 +39,8 @@ def _orders(spark, d):
 
 
 def _spec(folder: str, columns=ORDER_COLUMNS, rules=ORDER_RULES, sep="|") -> FeedSpec:
-    return FeedSpec("event", "lm_events", folder, folder, "part-", sep, columns, rules)
+    staged = f"{folder}_staged"
+    return FeedSpec("event", "lm_events", folder, staged, "part-", sep, columns, rules)
 
 
 @query("delimited_roundtrip", _ORDERS)
@@ -66,7 +67,7 @@ def master_scan(spark, d):
 def intake_rows(spark, d):
     folder = f"{work_dir(spark)}/orders"
     write_delimited(_orders(spark, d), folder)
-    return take_in(spark, _spec(folder), RUN).rows.select(*ORDER_COLUMNS)
+    return take_in(spark, _spec(folder), RUN, settle).rows.select(*ORDER_COLUMNS)
 
 
 @query(
@@ -80,7 +81,7 @@ def intake_file_checks(spark, d):
     write_delimited(_orders(spark, d), folder)
     other = table(spark, d, "supplier").select("s_suppkey", "s_name")
     other.write.mode("append").options(header=True, sep="|").csv(folder)
-    files = check_files(spark, _spec(folder), RUN)
+    files = check_files(spark, _spec(folder), RUN, settle)
     verdict = F.when(F.col("reason").isNull(), "accepted").when(
         F.col("reason").startswith("Column mismatch"), "wrong header"
     ).otherwise(F.col("reason"))

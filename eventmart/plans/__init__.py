@@ -1,5 +1,5 @@
 from eventmart.plans.flow import Layout, Masters, run
-from eventmart.plans.intake import Intake, check_files, split_malformed, take_in
+from eventmart.plans.intake import Intake, check_files, stage, take_in
 from eventmart.plans.landing import fresh_rows, gate_feeds, land, landed, rebuild
 from eventmart.plans.normalize import (
     normalize_events,
@@ -26,6 +26,6 @@ __all__ = [
     "normalize_participants",
     "rebuild",
     "run",
-    "split_malformed",
+    "stage",
     "take_in",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
 from eventmart.operators.contracts import apply_deletes as without_deleted
-from eventmart.plans.intake import REASON_MALFORMED, take_in
+from eventmart.plans.intake import take_in
 from eventmart.plans.landing import fresh_rows, gate_feeds, land, landed, quarantine
 from eventmart.plans.normalize import (
     normalize_events,
@@ -20,8 +20,9 @@ from eventmart.plans.normalize import (
 )
 from eventmart.plans.outbound import export_latest
 from eventmart.plans.summarize import build_marts
-from eventmart.session import settle
-from eventmart.sources import CORRUPT, read_optional, read_table, write_table
+from eventmart.operators.quality import Settle
+from eventmart.session import Workspace
+from eventmart.sources import read_optional, read_table, write_table
 from eventmart.specs import FeedSpec
 
 log = logging.getLogger(__name__)
@@ -70,7 +71,11 @@ def run_name(run_ts: dt.datetime) -> str:
 
 
 def _intake(
-    spark: SparkSession, specs: dict[str, FeedSpec], layout: Layout, run_ts: dt.datetime
+    spark: SparkSession,
+    specs: dict[str, FeedSpec],
+    layout: Layout,
+    run_ts: dt.datetime,
+    settle: Settle,
 ) -> tuple[dict[str, DataFrame], dict[str, int], list[DataFrame]]:
     batch = run_name(run_ts)
     ledger = read_optional(spark, layout.ledger)
@@ -78,18 +83,14 @@ def _intake(
         ledger = ledger.where(F.col("run") != batch)
     feeds, counts, checked = {}, {}, []
     for name, spec in specs.items():
-        taken = take_in(spark, spec, run_ts, specs.values(), ledger)
+        taken = take_in(spark, spec, run_ts, settle, specs.values(), ledger)
         checked.append(taken.files)
         if taken.rows is None:
             log.warning("no accepted file for feed %s", name)
             continue
-        write_table(taken.rows, spec.preprocess_path)
-        feeds[name] = read_table(spark, spec.preprocess_path)
+        feeds[name] = taken.rows
         counts[f"malformed {name}"] = quarantine(
-            taken.malformed.withColumnRenamed(CORRUPT, "record").withColumn(
-                fv.ERROR_REASON, F.lit(REASON_MALFORMED)
-            ),
-            layout.errors(name), batch, run_ts, "lines",
+            taken.malformed, layout.errors(name), batch, run_ts, "lines"
         )
     return feeds, counts, checked
 
@@ -108,8 +109,24 @@ def run(
     Repeating a run with the same ``run_ts`` replaces what it wrote. The ledger of handled
     files is written last, so files of a failed run are taken in again.
     """
+    with Workspace(spark) as work:
+        return _run(
+            spark, specs, masters, layout, run_ts, apply_deletes, keep_unbranded, work.settle
+        )
+
+
+def _run(
+    spark: SparkSession,
+    specs: dict[str, FeedSpec],
+    masters: Masters,
+    layout: Layout,
+    run_ts: dt.datetime,
+    apply_deletes: bool,
+    keep_unbranded: bool,
+    settle: Settle,
+) -> dict[str, int]:
     batch, today = run_name(run_ts), run_ts.date()
-    feeds, counts, checked = _intake(spark, specs, layout, run_ts)
+    feeds, counts, checked = _intake(spark, specs, layout, run_ts, settle)
 
     rules = {name: spec.rules for name, spec in specs.items()}
     snapshots = {

@@ -12,8 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
-from eventmart.session import settle
-from eventmart.sources import CORRUPT, file_facts, manifest, read_delimited
+from eventmart.operators.quality import Settle
+from eventmart.sources import (
+    CORRUPT,
+    file_facts,
+    manifest,
+    read_delimited,
+    read_table,
+    write_table,
+)
 from eventmart.specs import FeedSpec
 
 REASON_MALFORMED = "Malformed record"
@@ -28,7 +35,8 @@ def _candidates(
 ) -> DataFrame:
     """Files with the feed's prefix that no other feed claims and no earlier run handled."""
     files = manifest(spark, spec.inbound, spec.file_prefix)
-    own = name_matches("file_name", spec.rules.file_pattern) if spec.rules.file_pattern else F.lit(False)
+    pattern = spec.rules.file_pattern
+    own = name_matches("file_name", pattern) if pattern else F.lit(False)
     foreign = [
         name_matches("file_name", o.rules.file_pattern)
         for o in others
@@ -48,6 +56,7 @@ def check_files(
     spark: SparkSession,
     spec: FeedSpec,
     run_ts: dt.datetime,
+    settle: Settle,
     others: Iterable[FeedSpec] = (),
     ledger: DataFrame | None = None,
 ) -> DataFrame:
@@ -92,12 +101,6 @@ def check_files(
     )
 
 
-def split_malformed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose line had the right number of fields, and the others with their line."""
-    bad = F.col(CORRUPT).isNotNull()
-    return rows.where(~bad).drop(CORRUPT), rows.where(bad)
-
-
 @dataclass(frozen=True)
 class Intake:
     """``rows`` and ``malformed`` are ``None`` when no file was accepted."""
@@ -107,18 +110,36 @@ class Intake:
     malformed: DataFrame | None = None
 
 
+def stage(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write parsed lines once; return the rows, and the lines that do not fit the columns.
+
+    The two lie in separate partitions, so each reader opens its own files only.
+    """
+    kind = F.when(F.col(CORRUPT).isNull(), "rows").otherwise("malformed")
+    lines = rows.withColumn("kind", kind).withColumnRenamed(CORRUPT, "record")
+    write_table(lines, path, ["kind"], whole=True)
+    staged = read_table(rows.sparkSession, path, lines.schema)
+    return (
+        staged.where("kind = 'rows'").drop("kind", "record"),
+        staged.where("kind = 'malformed'")
+        .drop("kind")
+        .withColumn(fv.ERROR_REASON, F.lit(REASON_MALFORMED)),
+    )
+
+
 def take_in(
     spark: SparkSession,
     spec: FeedSpec,
     run_ts: dt.datetime,
+    settle: Settle,
     others: Iterable[FeedSpec] = (),
     ledger: DataFrame | None = None,
 ) -> Intake:
-    """Check the waiting files of a feed and read all accepted ones as one DataFrame."""
-    files = check_files(spark, spec, run_ts, others, ledger)
+    """Check the waiting files of a feed and stage all accepted ones as one table."""
+    files = check_files(spark, spec, run_ts, settle, others, ledger)
     accepted = [r.path for r in files.where("reason IS NULL").select("path").collect()]
     if not accepted:
         return Intake(files)
     rows = read_delimited(spark, accepted, spec.columns, spec.sep)
-    good, bad = split_malformed(rows.withColumn(fv.INTAKE_TIME, F.lit(run_ts)))
-    return Intake(files, good, bad)
+    stamped = rows.withColumn(fv.INTAKE_TIME, F.lit(run_ts))
+    return Intake(files, *stage(stamped, spec.preprocess_path))

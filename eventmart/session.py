@@ -25,21 +25,47 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder below the shared folder that the cluster names in ``spark.checkpoint.dir``."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="eventmart-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="eventmart-"))
+        shared = context.getCheckpointDir()
     return f"{shared.rstrip('/')}/eventmart-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+class Workspace:
+    """A folder of intermediate tables that live as long as a run.
 
-    The lineage ends at the files, so a lost executor costs no upstream work, several
-    readers share one computation, and the planner knows the true size when it picks a join.
+    ``settle`` writes a table and reads it back: the lineage ends at the files, so a lost
+    executor costs no upstream work, several readers share one computation, and the planner
+    knows the true size when it picks a join.
     """
-    path = f"{work_dir(df.sparkSession)}/settled"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = work_dir(spark)
+        self._count = 0
+
+    def settle(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/table_{self._count}"
+        self._count += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        """Delete the folder, which only this object writes to."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """One table settled in a workspace of its own, which stays: the result is read later."""
+    return Workspace(df.sparkSession).settle(df)

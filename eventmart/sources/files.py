@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,18 +19,31 @@ def _glob(prefix: str) -> str:
 
 
 def manifest(spark: SparkSession, location: str, prefix: str = "") -> DataFrame:
-    """The files of a folder whose name starts with ``prefix``, without opening them."""
-    files = (
+    """The files of a folder whose name starts with ``prefix``, without opening them.
+
+    A scan passes over files without a single byte; those are added from the file listing
+    the scan made, with the start of time as their modification time.
+    """
+    scan = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", _glob(prefix))
         .load(location)
     )
-    return files.select(
-        "path",
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        "length",
-        F.col("modificationTime").alias("modified_at"),
+    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
+    filled = scan.select("path", name, "length", F.col("modificationTime").alias("modified_at"))
+    listed = spark.createDataFrame([(unquote(f),) for f in scan.inputFiles()], "path string")
+    empty = (
+        listed.select("path", name)
+        .where(F.col("file_name").startswith(prefix))
+        .join(filled.select("file_name"), "file_name", "left_anti")
+        .select(
+            "path",
+            "file_name",
+            F.lit(0).cast("long").alias("length"),
+            F.timestamp_seconds(F.lit(0)).alias("modified_at"),
+        )
     )
+    return filled.unionByName(empty)
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:

@@ -22,17 +22,22 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    whole: bool = False,
 ) -> int:
     """Write parquet and return the row count, counted by the write itself.
 
-    With ``partition_by``, an overwrite replaces only the partitions that ``df`` has rows
-    for. ``path`` must not be one that ``df`` reads.
+    An overwrite with ``partition_by`` replaces the partitions that ``df`` has rows for, or
+    all of them if ``whole``. ``path`` must not be one that ``df`` reads.
     """
     counted, seen = _counted(df)
     writer = counted.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        replaced = "static" if whole else "dynamic"
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", replaced)
     writer.parquet(path)
     log.info("wrote %d rows to %s", seen.get["rows"], path)
     return seen.get["rows"]

@@ -10,14 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmart import fixed_values as fv
-from eventmart.plans.intake import (
-    REASON_MALFORMED,
-    name_matches,
-    split_malformed,
-)
+from eventmart.plans.intake import name_matches, stage
 from eventmart.plans.landing import fresh_rows, gate_feeds, land, landed, quarantine
-from eventmart.session import settle
-from eventmart.sources import CORRUPT, FILE_NAME, file_facts, stream_delimited
+from eventmart.session import Workspace
+from eventmart.sources import FILE_NAME, file_facts, stream_delimited
 from eventmart.specs import FeedSpec
 
 
@@ -25,9 +21,7 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def _rejected_files(
-    spark: SparkSession, spec: FeedSpec, names: list[str]
-) -> list[str]:
+def _wrong_headers(spark: SparkSession, spec: FeedSpec, names: list[str]) -> list[str]:
     if not names:
         return []
     paths = [f"{spec.inbound.rstrip('/')}/{name}" for name in names]
@@ -58,24 +52,30 @@ def stream_feed(
     ).where(name_matches(FILE_NAME, spec.rules.file_pattern))
 
     def handle(rows: DataFrame, number: int) -> None:
-        session, batch, now = rows.sparkSession, f"stream_{number:09d}", clock()
-        rows = settle(rows)
-        # One name per file of the micro-batch.
-        names = [r[0] for r in rows.select(FILE_NAME).distinct().collect()]
-        misread = F.col(FILE_NAME).isin(_rejected_files(session, spec, names))
-        rows = rows.withColumn(fv.INTAKE_TIME, F.lit(now))
-        good, bad = split_malformed(rows.where(~misread))
-        rejects = bad.withColumn(fv.ERROR_REASON, F.lit(REASON_MALFORMED)).unionByName(
-            rows.where(misread).withColumn(
-                fv.ERROR_REASON, F.lit(f"Column mismatch. Expected: {list(spec.columns)}")
-            )
+        with Workspace(rows.sparkSession) as work:
+            _land_batch(rows, f"stream_{number:09d}", clock(), work)
+
+    def _land_batch(rows: DataFrame, batch: str, now: dt.datetime, work: Workspace) -> None:
+        session = rows.sparkSession
+        staged, malformed = stage(
+            rows.withColumn(fv.INTAKE_TIME, F.lit(now)), f"{work.folder}/staged"
         )
-        quarantine(
-            rejects.withColumnRenamed(CORRUPT, "record"), error_path, batch, now, "lines"
+        # One name per file of the micro-batch.
+        seen = staged.select(FILE_NAME).union(malformed.select(FILE_NAME)).distinct()
+        wrong = _wrong_headers(session, spec, [r[0] for r in seen.collect()])
+        misread = F.col(FILE_NAME).isin(wrong)
+        mismatch = F.lit(f"Column mismatch. Expected: {list(spec.columns)}")
+        rejects = malformed.withColumn(
+            fv.ERROR_REASON, F.when(misread, mismatch).otherwise(F.col(fv.ERROR_REASON))
+        ).unionByName(
+            staged.where(misread).withColumn(fv.ERROR_REASON, mismatch),
+            allowMissingColumns=True,
         )
+        quarantine(rejects, error_path, batch, now, "lines")
+        good = staged.where(~misread)
         snapshot = landed(session, table_path, but=batch)
         fresh = fresh_rows(good, snapshot, spec.rules, now)
-        tagged = gate_feeds({spec.feed_type: fresh}, {}, {spec.feed_type: spec.rules}, settle)
+        tagged = gate_feeds({spec.feed_type: fresh}, {}, {spec.feed_type: spec.rules}, work.settle)
         land(tagged[spec.feed_type], table_path, error_path, batch, now)
 
     return (

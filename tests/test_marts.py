@@ -1,0 +1,107 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventmart.operators import event_attendance, event_performance, participant_engagement
+from eventmart.plans import build_marts
+from eventmart.session import settle
+
+
+@pytest.fixture
+def events(spark):
+    day = dt.datetime(2025, 8, 15, 18)
+    return spark.createDataFrame(
+        [(1, day, "x", "b", "B"), (2, day + dt.timedelta(hours=1), "y", "b", "B")],
+        "event_id int, event_date timestamp, event_type string, brand_id string, brand_name string",
+    )
+
+
+@pytest.fixture
+def participants(spark):
+    return spark.createDataFrame(
+        [(1, 10, "s", "Y", "Y"), (1, 11, "s", "N", "Y"), (1, 12, "s", None, "Y"),
+         (None, 13, "t", "Y", "Y"), (7, None, "t", "Y", "N")],
+        "event_id int, participant_id int, participant_type string, attended string, "
+        "registered string",
+    )
+
+
+def test_event_type_mart(events, participants, rows):
+    mart = build_marts(events, participants)["event_type_participants_kpi"]
+    assert rows(mart) == [("x", 1, 3, 1, 1 / 3, 3.0), ("y", 1, 0, 0, None, 0.0)]
+
+
+def test_day_mart_has_two_different_averages(events, participants, rows):
+    mart = build_marts(events, participants, "2025-08-16", settle)["event_performance_kpi"]
+    assert rows(mart) == [("2025-08-15", 2, 3, 1, 1 / 4, 1 / 3, "2025-08-16")]
+    assert mart.columns[-1] == "processing_date"
+
+
+def test_brand_marts(events, participants, rows):
+    marts = build_marts(events, participants)
+    assert rows(marts["product_performance_kpi"]) == [("b", "B", 2, 3, 1, 0.5)]
+    assert rows(marts["brand_performance_kpi"]) == [("b", "B", 2, 3, 1, 1 / 3, 0.5)]
+
+
+def test_engagement_mart(spark, rows):
+    df = spark.createDataFrame(
+        [("p1", "t", "Y", "Y"), ("p2", "t", "Y", "N"), ("p3", "t", "Y", None),
+         ("p4", "t", "N", "N"), ("p5", "u", "N", "Y"), (None, "u", None, None)],
+        "participant_id string, participant_type string, registered string, attended string",
+    )
+    assert rows(participant_engagement(df)) == [("t", 4, 1, 1 / 4, 1 / 3), ("u", 1, 1, 1.0, None)]
+
+
+def test_text_dates(spark, participants, rows):
+    events = spark.createDataFrame(
+        [(1, "2025-08-15"), (2, "soon"), (3, "2025-08-15 10:00:00"), (4, None)],
+        "event_id int, event_date string",
+    )
+    mart = event_performance(event_attendance(events, participants, ["event_date"]))
+    assert rows(mart, "event_date", "total_events") == [(None, 2), ("2025-08-15", 2)]
+
+
+def test_missing_columns_are_named(events, participants):
+    with pytest.raises(ValueError, match="attended"):
+        build_marts(events, participants.drop("attended"))
+    with pytest.raises(ValueError, match="event_type"):
+        build_marts(events.drop("event_type"), participants)
+
+
+def test_equals_the_row_by_row_join(spark, rows):
+    """Repeated events, repeated participants, NULL ids, one event with a third of all rows."""
+    events = spark.range(400).select(
+        F.nullif(F.col("id") % 350, F.lit(5)).alias("event_id"),
+        (F.lit(dt.datetime(2025, 1, 1)) + F.make_dt_interval(F.col("id").cast("int") % 9)).alias("event_date"),
+        (F.col("id") % 3).cast("string").alias("event_type"),
+        F.nullif(F.col("id") % 4, F.lit(1)).cast("string").alias("brand_id"),
+        (F.col("id") % 2).cast("string").alias("brand_name"),
+    )
+    people = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 17).otherwise(F.nullif(F.col("id") % 380, F.lit(9))).alias("event_id"),
+        F.nullif(F.col("id") % 50, F.lit(3)).alias("participant_id"),
+        F.col("id").cast("string").alias("participant_type"),
+        F.element_at(F.array(F.lit("Y"), F.lit("N"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("attended"),
+        F.lit("Y").alias("registered"),
+    )
+    events.createOrReplaceTempView("mart_events")
+    people.createOrReplaceTempView("mart_people")
+    joined = "mart_events e LEFT JOIN mart_people p ON e.event_id = p.event_id"
+    att = "sum(CASE WHEN attended = 'Y' THEN 1 ELSE 0 END)"
+    common = f"count(DISTINCT e.event_id), count(participant_id), {att}"
+    rate = f"try_divide({att}, count(participant_id))"
+    per_event = f"try_divide({att}, count(DISTINCT e.event_id))"
+    brand = f"FROM {joined} GROUP BY brand_id, brand_name"
+    expected = {
+        "event_performance_kpi": f"""SELECT date_format(event_date, 'yyyy-MM-dd') AS d, {common},
+            avg(CASE WHEN attended = 'Y' THEN 1 ELSE 0 END), {rate} FROM {joined} GROUP BY 1""",
+        "event_type_participants_kpi": f"""SELECT event_type, {common}, {rate},
+            try_divide(count(participant_id), count(DISTINCT e.event_id))
+            FROM {joined} GROUP BY event_type""",
+        "product_performance_kpi": f"SELECT brand_id, brand_name, {common}, {per_event} {brand}",
+        "brand_performance_kpi": f"SELECT brand_id, brand_name, {common}, {rate}, {per_event} {brand}",
+    }
+    marts = build_marts(events, people, settle=settle)
+    for name, sql in expected.items():
+        assert rows(marts[name]) == rows(spark.sql(sql)), name

@@ -1,0 +1,57 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from eventmart.operators import latest_batch, merge_snapshot, new_only, stamp, stamp_load
+
+
+def test_snapshot_wins_and_merge_is_idempotent(spark, rows):
+    snapshot = spark.createDataFrame([(1, "old"), (2, "old")], "k int, v string")
+    feed = spark.createDataFrame([(2, "new"), (3, "new")], "k int, v string")
+    merged = merge_snapshot(feed, snapshot, ["k"])
+    assert rows(merged) == [(1, "old"), (2, "old"), (3, "new")]
+    assert rows(merge_snapshot(feed, merged, ["k"])) == rows(merged)
+
+
+def test_missing_columns_become_null_on_either_side(spark, rows):
+    snapshot = spark.createDataFrame([(1, "a")], "k int, kept string")
+    feed = spark.createDataFrame([("z", 2)], "z string, k int")
+    merged = merge_snapshot(feed, snapshot, ["k"])
+    assert merged.columns == ["z", "k", "kept"]
+    assert rows(merged, "k", "z", "kept") == [(1, None, "a"), (2, "z", None)]
+
+
+def test_first_load(spark):
+    feed = spark.range(2)
+    assert merge_snapshot(feed, None, ["id"]) is feed
+
+
+def test_null_keys_are_always_new(spark, rows):
+    feed = spark.createDataFrame([(None, "x"), (1, None), (1, "x")], "a int, b string")
+    snapshot = spark.createDataFrame([(None, "x"), (1, None), (1, "x")], "a int, b string")
+    assert rows(new_only(feed, snapshot, ["a", "b"])) == [(None, "x"), (1, None)]
+    assert new_only(feed, snapshot, ["b", "a"]).columns == ["a", "b"]
+
+
+def test_stamps(spark):
+    at = dt.datetime(2025, 7, 6, 16)
+    row = stamp_load(stamp(spark.range(1), F.lit(at)), F.lit(at.date())).first()
+    assert (row.oasis_create_date, row.oasis_modified_date) == (at, at)
+    assert row.oasis_load_time == at.date()
+
+
+def test_latest_batch(spark, rows):
+    df = spark.createDataFrame([(1, 1), (2, 2), (3, 2), (4, None)], "id int, modified_date int")
+    assert rows(latest_batch(df), "id") == [(2,), (3,)]
+    assert rows(latest_batch(df.withColumn("oasis_modified_date", F.lit(9))), "id") == [
+        (1,), (2,), (3,), (4,),
+    ]
+    assert latest_batch(df.select("id")).count() == 4
+
+
+def test_latest_batch_reads_text_as_time(spark, rows):
+    df = spark.createDataFrame(
+        [(1, "2025-01-02"), (2, "2025-01-02 00:00:00"), (3, "2024-12-31 23:00:00"), (4, "soon")],
+        "id int, modified_date string",
+    )
+    assert rows(latest_batch(df), "id") == [(1,), (2,)]
