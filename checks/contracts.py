@@ -40,11 +40,12 @@ def _raw(spark, d):
 @query(
     "contract_typed",
     f"""SELECT * REPLACE (TRY_CAST(quantity AS INTEGER) AS quantity,
-                          TRY_CAST(shipped AS DATE) AS shipped)
+                          CAST(TRY_CAST(shipped AS DATE) AS TIMESTAMP) AS shipped)
         FROM ({_RAW}) WHERE TRY_CAST(quantity AS INTEGER) IS NOT NULL""",
 )
 def contract_typed(spark, d):
-    return split_untyped(_raw(spark, d), _TYPES)[0]
+    typed = split_untyped(_raw(spark, d), _TYPES)[0]
+    return typed.withColumn("shipped", F.col("shipped").cast("timestamp_ntz"))
 
 
 @query(

@@ -115,21 +115,22 @@ def _two_runs(spark, d):
     "landing_two_runs",
     f"""SELECT event_id, event_type, status,
                CASE WHEN status <> 'F' THEN event_date END AS event_date,
-               CASE WHEN status = 'F' THEN DATE '2025-07-06' ELSE DATE '2025-07-07' END
+               CASE WHEN status = 'F' THEN '2025-07-06' ELSE '2025-07-07' END
                  AS oasis_load_time
         FROM ({_LANDED})""",
 )
 def landing_two_runs(spark, d):
     stored = landed(spark, f"{_two_runs(spark, d)}/landing")
-    return stored.select("event_id", "event_type", "status", "event_date", "oasis_load_time")
+    loaded = F.col("oasis_load_time").cast("string").alias("oasis_load_time")
+    return stored.select("event_id", "event_type", "status", "event_date", loaded)
 
 
 @query(
     "quarantine_two_runs",
     f"""SELECT 'Null value in key column' AS error_reason, status, count(*) AS n,
-               DATE '2025-07-07' AS last_day
+               '2025-07-07' AS last_day
         FROM ({_ORDERS}) WHERE event_type IS NULL GROUP BY status
-        UNION ALL SELECT 'Null value in key column', 'F first run', count(*), DATE '2025-07-06'
+        UNION ALL SELECT 'Null value in key column', 'F first run', count(*), '2025-07-06'
         FROM ({_ORDERS}) WHERE event_type IS NULL AND status = 'F'""",
 )
 def quarantine_two_runs(spark, d):
@@ -140,7 +141,7 @@ def quarantine_two_runs(spark, d):
         F.when(first, F.concat("status", F.lit(" first run")))
         .otherwise(F.col("status"))
         .alias("status"),
-    ).agg(F.count("*").alias("n"), F.max("error_timestamp").cast("date").alias("last_day"))
+    ).agg(F.count("*").alias("n"), F.max("error_timestamp").cast("date").cast("string").alias("last_day"))
 
 
 @query(

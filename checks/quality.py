@@ -176,11 +176,12 @@ def gate_clean(spark, d):
 
 @query(
     "gate_reject",
-    f"""SELECT * EXCLUDE (is_duplicate), CASE WHEN is_duplicate THEN true END AS is_duplicate
+    f"""SELECT * EXCLUDE (is_duplicate), CASE WHEN is_duplicate THEN 'true' END AS is_duplicate
         FROM ({_GATED}) WHERE error_reason IS NOT NULL""",
 )
 def gate_reject(spark, d):
-    return rejected_rows(_gated(spark, d))
+    rejected = rejected_rows(_gated(spark, d))
+    return rejected.withColumn("is_duplicate", F.col("is_duplicate").cast("string"))
 
 
 @query(

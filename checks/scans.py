@@ -113,12 +113,13 @@ def row_distinct(spark, d):
     "audit_stamp",
     """SELECT *, TIMESTAMP '2025-07-06 16:00:00' AS oasis_create_date,
               TIMESTAMP '2025-07-06 16:00:00' AS oasis_modified_date,
-              DATE '2025-07-06' AS oasis_load_time
+              '2025-07-06' AS oasis_load_time
        FROM supplier""",
 )
 def audit_stamp(spark, d):
     at = F.lit("2025-07-06 16:00:00").cast("timestamp_ntz")
-    return stamp_load(stamp(table(spark, d, "supplier"), at), at.cast("date"))
+    stamped = stamp_load(stamp(table(spark, d, "supplier"), at), at.cast("date"))
+    return stamped.withColumn("oasis_load_time", F.col("oasis_load_time").cast("string"))
 
 
 @query(

@@ -80,6 +80,12 @@ EXPENSE_COLUMNS = (
     "event_expense_estimate", "event_expense_actual",
 )
 
+# File names of the master data.
+PRODUCT_MASTER = "product_master.csv"
+INDICATION_MASTER = "indication_master.csv"
+XREF_MASTER = "master_xref.csv"
+MERGE_MASTER = "master_mdm_merge.csv"
+
 # Export.
 EXPORT_SEPARATOR = "|"
 EXPORT_MODIFIED_COLUMNS = ("oasis_modified_date", "modified_date")

@@ -18,7 +18,7 @@ from eventmart.operators.marts import (
     participant_engagement,
     product_performance,
 )
-from eventmart.operators.merge import merge_snapshot, new_only, stamp, stamp_load
+from eventmart.operators.merge import keys_in, merge_snapshot, new_only, stamp, stamp_load
 from eventmart.operators.quality import (
     clean_rows,
     gate,
@@ -43,6 +43,7 @@ __all__ = [
     "explode_tokens",
     "gate",
     "keep_known",
+    "keys_in",
     "latest_batch",
     "list_by_key",
     "lookup",

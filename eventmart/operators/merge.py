@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
+from eventmart.operators.quality import Settle
 
 
 def stamp(df: DataFrame, at: Column) -> DataFrame:
@@ -19,13 +20,32 @@ def stamp_load(df: DataFrame, on: Column) -> DataFrame:
     return df.withColumn(fv.LOADED, on)
 
 
-def new_only(feed: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
+def keys_in(
+    stored: DataFrame, columns: Sequence[str], df: DataFrame, df_columns: Sequence[str]
+) -> DataFrame:
+    """Distinct ``columns`` of ``stored`` that occur as ``df_columns`` in ``df``.
+
+    The wanted keys filter the stored ones before anything is shuffled when they are few, as
+    a day's feed is against all days before it; so no later step handles all stored keys.
+    """
+    wanted = df.select(*[F.col(d).alias(c) for d, c in zip(df_columns, columns)]).distinct()
+    return stored.select(*columns).join(wanted, list(columns), "left_semi").distinct()
+
+
+def new_only(
+    feed: DataFrame,
+    snapshot: DataFrame,
+    keys: Sequence[str],
+    settle: Settle | None = None,
+) -> DataFrame:
     """Feed rows whose key is not in the snapshot: the snapshot wins over an update.
 
-    A NULL in the key matches nothing, so such rows always count as new. The snapshot is
-    read for its keys only, and ``distinct`` leaves one line per key for the join.
+    A NULL in the key matches nothing, so such rows always count as new. ``settle``
+    materializes the known keys, so that several uses of the result scan the snapshot once.
     """
-    known = snapshot.select(*keys).distinct()
+    known = keys_in(snapshot, keys, feed, keys)
+    if settle is not None:
+        known = settle(known)
     return feed.join(known, list(keys), "left_anti").select(*feed.columns)
 
 

@@ -1,5 +1,5 @@
-from eventmart.plans.flow import Layout, Masters, run
-from eventmart.plans.intake import Intake, check_files, stage, take_in
+from eventmart.plans.flow import Layout, Masters, read_masters, run
+from eventmart.plans.intake import Intake, check_files, stage, staged_rows, take_in
 from eventmart.plans.landing import fresh_rows, gate_feeds, land, landed, rebuild
 from eventmart.plans.normalize import (
     normalize_events,
@@ -24,8 +24,10 @@ __all__ = [
     "normalize_events",
     "normalize_expenses",
     "normalize_participants",
+    "read_masters",
     "rebuild",
     "run",
     "stage",
+    "staged_rows",
     "take_in",
 ]

@@ -1,4 +1,9 @@
-"""One run over all layers, in dependency order; any failure ends the run."""
+"""The layers in dependency order, each a step of its own; any failure ends the run.
+
+All steps of a run share ``run_ts``, which names what they write: a step repeated for the same
+run replaces its own output. The files of a run count as handled once they have landed, so
+files of a failed run are taken in again.
+"""
 
 from __future__ import annotations
 
@@ -10,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
-from eventmart.operators.contracts import apply_deletes as without_deleted
-from eventmart.plans.intake import take_in
+from eventmart.operators.contracts import apply_deletes
+from eventmart.operators.quality import Settle
+from eventmart.plans.intake import staged_rows, take_in
 from eventmart.plans.landing import fresh_rows, gate_feeds, land, landed, quarantine
 from eventmart.plans.normalize import (
     normalize_events,
@@ -20,13 +26,15 @@ from eventmart.plans.normalize import (
 )
 from eventmart.plans.outbound import export_latest
 from eventmart.plans.summarize import build_marts
-from eventmart.operators.quality import Settle
 from eventmart.session import Workspace
-from eventmart.sources import read_optional, read_table, write_table
+from eventmart.sources import read_master, read_optional, read_table, write_table
 from eventmart.specs import FeedSpec
 
 log = logging.getLogger(__name__)
 
+Counts = dict[str, int]
+Specs = dict[str, FeedSpec]
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -49,9 +57,12 @@ class Layout:
     def summarized(self, mart: str) -> str:
         return self._in("summarized", mart)
 
+    def checked(self, batch: str) -> str:
+        return self._in("intake/checked", batch)
+
     @property
     def ledger(self) -> str:
-        return self._in("intake", "files")
+        return self._in("intake", "handled")
 
     @property
     def outbound(self) -> str:
@@ -66,76 +77,59 @@ class Masters:
     merges: DataFrame
 
 
+def read_masters(spark: SparkSession, folder: str) -> Masters:
+    names = (fv.PRODUCT_MASTER, fv.INDICATION_MASTER, fv.XREF_MASTER, fv.MERGE_MASTER)
+    return Masters(*[read_master(spark, f"{folder.rstrip('/')}/{name}") for name in names])
+
+
 def run_name(run_ts: dt.datetime) -> str:
     return f"run_{run_ts:%Y%m%dT%H%M%S}"
 
 
-def _intake(
-    spark: SparkSession,
-    specs: dict[str, FeedSpec],
-    layout: Layout,
-    run_ts: dt.datetime,
-    settle: Settle,
-) -> tuple[dict[str, DataFrame], dict[str, int], list[DataFrame]]:
-    batch = run_name(run_ts)
+def intake(
+    spark: SparkSession, specs: Specs, layout: Layout, run_ts: dt.datetime, settle: Settle
+) -> Counts:
+    """Check and stage the waiting files of every feed."""
+    batch, counts = run_name(run_ts), {}
     ledger = read_optional(spark, layout.ledger)
     if ledger is not None:
         ledger = ledger.where(F.col("run") != batch)
-    feeds, counts, checked = {}, {}, []
+    checked = []
     for name, spec in specs.items():
         taken = take_in(spark, spec, run_ts, settle, specs.values(), ledger)
         checked.append(taken.files)
         if taken.rows is None:
             log.warning("no accepted file for feed %s", name)
             continue
-        feeds[name] = taken.rows
         counts[f"malformed {name}"] = quarantine(
             taken.malformed, layout.errors(name), batch, run_ts, "lines"
         )
-    return feeds, counts, checked
-
-
-def run(
-    spark: SparkSession,
-    specs: dict[str, FeedSpec],
-    masters: Masters,
-    layout: Layout,
-    run_ts: dt.datetime,
-    apply_deletes: bool = False,
-    keep_unbranded: bool = False,
-) -> dict[str, int]:
-    """Intake, landing, normalized tables, marts and exports; returns rows written.
-
-    Repeating a run with the same ``run_ts`` replaces what it wrote. The ledger of handled
-    files is written last, so files of a failed run are taken in again.
-    """
-    with Workspace(spark) as work:
-        return _run(
-            spark, specs, masters, layout, run_ts, apply_deletes, keep_unbranded, work.settle
-        )
-
+    files = checked[0]
+    for more in checked[1:]:
+        files = files.unionByName(more)
+    counts["files"] = write_table(files, layout.checked(batch))
+    return counts
 
-def _run(
-    spark: SparkSession,
-    specs: dict[str, FeedSpec],
-    masters: Masters,
-    layout: Layout,
-    run_ts: dt.datetime,
-    apply_deletes: bool,
-    keep_unbranded: bool,
-    settle: Settle,
-) -> dict[str, int]:
-    batch, today = run_name(run_ts), run_ts.date()
-    feeds, counts, checked = _intake(spark, specs, layout, run_ts, settle)
 
+def landing(
+    spark: SparkSession, specs: Specs, layout: Layout, run_ts: dt.datetime, settle: Settle
+) -> Counts:
+    """Land the feeds that got files in this run, then note the files as handled."""
+    batch, counts = run_name(run_ts), {}
+    files = read_table(spark, layout.checked(batch))
+    accepted = files.where("reason IS NULL").select("feed_type").distinct()
+    names = {r.feed_type for r in accepted.collect()}
     rules = {name: spec.rules for name, spec in specs.items()}
     snapshots = {
-        name: landed(spark, layout.landing(spec.table), but=batch)
+        name: landed(spark, layout.landing(spec.table), but=batch, merge=False)
         for name, spec in specs.items()
     }
     fresh = {
-        name: fresh_rows(feed, snapshots[name], rules[name], run_ts)
-        for name, feed in feeds.items()
+        name: fresh_rows(
+            staged_rows(spark, spec), snapshots[name], rules[name], run_ts, settle
+        )
+        for name, spec in specs.items()
+        if name in names
     }
     for name, tagged in gate_feeds(fresh, snapshots, rules, settle).items():
         table = specs[name].table
@@ -143,44 +137,93 @@ def _run(
             tagged, layout.landing(table), layout.errors(name), batch, run_ts
         )
         counts[f"landing {table}"], counts[f"rejected {name}"] = stored, rejected
+    write_table(files.withColumn("run", F.lit(batch)), layout.ledger, ["run"])
+    return counts
+
+
+def normalize(
+    spark: SparkSession,
+    specs: Specs,
+    masters: Masters,
+    layout: Layout,
+    settle: Settle,
+    without_deleted: bool = False,
+    keep_unbranded: bool = False,
+) -> Counts:
+    """Normalized tables of all landed feeds."""
+    counts = {}
 
-    def landing(name: str) -> DataFrame | None:
+    def table(name: str) -> DataFrame | None:
         return landed(spark, layout.landing(specs[name].table)) if name in specs else None
 
-    events = landing("event")
+    def write(df: DataFrame, name: str) -> None:
+        counts[f"normalized {name}"] = write_table(df, layout.normalized(name))
+
+    events, participants, expenses = table("event"), table("participant"), table("expenses")
     if events is not None:
-        deletes = landing("event_del") if apply_deletes else None
+        deletes = table("event_del") if without_deleted else None
         if deletes is not None:
-            events = without_deleted(events, deletes, rules["event"].keys, settle)
-        counts["normalized lm_events"] = write_table(
+            events = apply_deletes(events, deletes, specs["event"].rules.keys, settle)
+        write(
             normalize_events(
                 events, masters.products, masters.indications, keep_unbranded, settle
             ),
-            layout.normalized("lm_events"),
+            "lm_events",
         )
-    participants = landing("participant")
     if participants is not None:
-        counts["normalized lm_participants"] = write_table(
+        write(
             normalize_participants(participants, masters.xref, masters.merges),
-            layout.normalized("lm_participants"),
+            "lm_participants",
         )
-    expenses = landing("expenses")
     if expenses is not None and events is not None:
-        counts["normalized lm_events_expenses"] = write_table(
-            normalize_expenses(expenses, read_table(spark, layout.normalized("lm_events"))),
-            layout.normalized("lm_events_expenses"),
+        known = read_table(spark, layout.normalized("lm_events"))
+        write(normalize_expenses(expenses, known), "lm_events_expenses")
+    return counts
+
+
+def summarize(
+    spark: SparkSession, layout: Layout, run_ts: dt.datetime, settle: Settle
+) -> Counts:
+    """The five marts."""
+    marts = build_marts(
+        read_table(spark, layout.normalized("lm_events")),
+        read_table(spark, layout.normalized("lm_participants")),
+        run_ts.date().isoformat(),
+        settle,
+    )
+    return {
+        f"summarized {name}": write_table(mart, layout.summarized(name))
+        for name, mart in marts.items()
+    }
+
+
+def export(spark: SparkSession, layout: Layout, run_ts: dt.datetime) -> Counts:
+    """The latest batch of events and participants as delimited files."""
+    counts = {}
+    for name in ("lm_events", "lm_participants"):
+        table = read_table(spark, layout.normalized(name))
+        _, rows = export_latest(table, name, layout.outbound, run_ts.date())
+        counts[f"outbound {name}"] = rows
+    return counts
+
+
+def run(
+    spark: SparkSession,
+    specs: Specs,
+    masters: Masters,
+    layout: Layout,
+    run_ts: dt.datetime,
+    without_deleted: bool = False,
+    keep_unbranded: bool = False,
+) -> Counts:
+    """All steps; returns the rows each wrote."""
+    with Workspace(spark) as work:
+        counts = intake(spark, specs, layout, run_ts, work.settle)
+        counts |= landing(spark, specs, layout, run_ts, work.settle)
+        counts |= normalize(
+            spark, specs, masters, layout, work.settle, without_deleted, keep_unbranded
         )
-    if events is not None and participants is not None:
-        tables = {
-            name: read_table(spark, layout.normalized(name))
-            for name in ("lm_events", "lm_participants")
-        }
-        marts = build_marts(*tables.values(), run_date=today.isoformat(), settle=settle)
-        for name, mart in marts.items():
-            counts[f"summarized {name}"] = write_table(mart, layout.summarized(name))
-        for name, table in tables.items():
-            _, counts[f"outbound {name}"] = export_latest(table, name, layout.outbound, today)
-
-    for files in checked:
-        write_table(files.withColumn("run", F.lit(batch)), layout.ledger, ["run", "feed_type"])
+        if {"normalized lm_events", "normalized lm_participants"} <= counts.keys():
+            counts |= summarize(spark, layout, run_ts, work.settle)
+            counts |= export(spark, layout, run_ts)
     return counts

@@ -10,11 +10,13 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmart import fixed_values as fv
 from eventmart.operators.quality import Settle
 from eventmart.sources import (
     CORRUPT,
+    FILE_NAME,
     file_facts,
     manifest,
     read_delimited,
@@ -127,6 +129,15 @@ def stage(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def staged_rows(spark: SparkSession, spec: FeedSpec) -> DataFrame:
+    """The rows the last intake staged for a feed."""
+    columns = [*spec.columns, "record", FILE_NAME]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    schema.add(fv.INTAKE_TIME, T.TimestampType()).add("kind", T.StringType())
+    staged = read_table(spark, spec.preprocess_path, schema)
+    return staged.where("kind = 'rows'").drop("kind", "record")
+
+
 def take_in(
     spark: SparkSession,
     spec: FeedSpec,

@@ -10,13 +10,20 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
 from eventmart.functions import with_aliases
-from eventmart.operators.merge import merge_snapshot, new_only, stamp, stamp_load
+from eventmart.operators.merge import (
+    keys_in,
+    merge_snapshot,
+    new_only,
+    stamp,
+    stamp_load,
+)
 from eventmart.operators.quality import (
     Settle,
     clean_rows,
@@ -24,15 +31,20 @@ from eventmart.operators.quality import (
     rejected_rows,
     tag_links,
 )
-from eventmart.sources import append_quarantine, read_optional, write_table
-from eventmart.specs import FeedRules
+from eventmart.sources import read_optional, write_table
+from eventmart.specs import FeedRules, Link
 
 BATCH = "load_batch"
 
 
-def landed(spark: SparkSession, path: str, but: str | None = None) -> DataFrame | None:
-    """All stored rows, or those of the other batches than ``but``; ``None`` on first load."""
-    table = read_optional(spark, path, merge=True)
+def landed(
+    spark: SparkSession, path: str, but: str | None = None, merge: bool = True
+) -> DataFrame | None:
+    """All stored rows, or those of the other batches than ``but``; ``None`` on first load.
+
+    Without ``merge``, columns that only some batches have may be missing; keys never are.
+    """
+    table = read_optional(spark, path, merge=merge)
     if table is None:
         return None
     if but is not None:
@@ -41,13 +53,17 @@ def landed(spark: SparkSession, path: str, but: str | None = None) -> DataFrame
 
 
 def fresh_rows(
-    feed: DataFrame, snapshot: DataFrame | None, rules: FeedRules, run_ts: dt.datetime
+    feed: DataFrame,
+    snapshot: DataFrame | None,
+    rules: FeedRules,
+    run_ts: dt.datetime,
+    settle: Settle | None = None,
 ) -> DataFrame:
     """Feed rows under their table names, stamped, without those whose key is stored."""
     rows = stamp(with_aliases(feed, rules.aliases), F.lit(run_ts))
     if snapshot is None or not rules.keys:
         return rows
-    return new_only(rows, snapshot, rules.keys)
+    return new_only(rows, snapshot, rules.keys, settle)
 
 
 def gate_feeds(
@@ -70,27 +86,26 @@ def gate_feeds(
         for name, rows in fresh.items()
     }
 
-    def present(name: str, columns: tuple[str, ...]) -> DataFrame | None:
+    def present(link: Link, rows: DataFrame) -> DataFrame:
+        """The keys of the linked feed, of its stored rows only those that ``rows`` need."""
+        name, columns = link.feed_type, link.other_columns
         parts = []
         if name in checked:
             parts.append(clean_rows(checked[name]).select(*columns))
         if snapshots.get(name) is not None:
-            parts.append(snapshots[name].select(*columns))
+            parts.append(keys_in(snapshots[name], columns, rows, link.columns))
         if not parts:
-            return None
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+            # Nothing of that feed was ever stored: no row can be linked to it.
+            nothing = rows.where(F.lit(False))
+            parts = [nothing.select(*[F.col(a).alias(b) for a, b in zip(link.columns, columns)])]
+        return reduce(DataFrame.unionByName, parts)
 
     out = {}
     for name, tagged in checked.items():
-        links = []
-        for link in rules[name].links:
-            other = present(link.feed_type, link.other_columns)
-            if other is None:
-                # Nothing of that feed was ever stored: no row can be linked to it.
-                other = tagged.sparkSession.createDataFrame(
-                    [], ", ".join(f"`{c}` string" for c in link.other_columns)
-                )
-            links.append((link.columns, other, link.other_columns))
+        links = [
+            (link.columns, present(link, tagged), link.other_columns)
+            for link in rules[name].links
+        ]
         if links:
             linked = tag_links(tagged, links, "_unlinked")
             reason = F.coalesce(
@@ -142,14 +157,3 @@ def rebuild(
         settle,
     )
 
-
-__all__ = [
-    "BATCH",
-    "append_quarantine",
-    "fresh_rows",
-    "gate_feeds",
-    "land",
-    "landed",
-    "quarantine",
-    "rebuild",
-]

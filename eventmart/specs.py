@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,28 @@ DEFAULT_RULES: dict[str, FeedRules] = {
 }
 
 
+def read_rules(spark: SparkSession, path: str) -> dict[str, FeedRules]:
+    """Rules per feed type from a JSON file; a feed type it leaves out keeps its default.
+
+    Each entry may set ``keys``, ``required``, ``aliases``, ``modified``, ``file_pattern``,
+    ``link_reason`` and ``links`` (each with ``feed_type``, ``columns``, ``other_columns``).
+    """
+    rules = dict(DEFAULT_RULES)
+    entries = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    for feed_type, given in entries.items():
+        values = dict(given)
+        for name in ("keys", "required"):
+            if name in values:
+                values[name] = tuple(values[name])
+        if "links" in values:
+            values["links"] = tuple(
+                Link(link["feed_type"], tuple(link["columns"]), tuple(link["other_columns"]))
+                for link in values["links"]
+            )
+        rules[feed_type] = replace(rules.get(feed_type, FeedRules()), **values)
+    return rules
+
+
 def read_control(spark: SparkSession, path: str) -> DataFrame:
     """Scan the control table: delimited text with a header, all columns text."""
     control = spark.read.options(header=True, quote='"').csv(path)

@@ -73,8 +73,8 @@ def stream_feed(
         )
         quarantine(rejects, error_path, batch, now, "lines")
         good = staged.where(~misread)
-        snapshot = landed(session, table_path, but=batch)
-        fresh = fresh_rows(good, snapshot, spec.rules, now)
+        snapshot = landed(session, table_path, but=batch, merge=False)
+        fresh = fresh_rows(good, snapshot, spec.rules, now, work.settle)
         tagged = gate_feeds({spec.feed_type: fresh}, {}, {spec.feed_type: spec.rules}, work.settle)
         land(tagged[spec.feed_type], table_path, error_path, batch, now)
 

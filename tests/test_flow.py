@@ -137,7 +137,7 @@ def test_counts(day_one):
     assert day_one == {
         "malformed event": 1, "malformed event_del": 0, "malformed participant": 0,
         "malformed hcp_master": 0, "malformed address": 0, "malformed child_attributes": 0,
-        "malformed expenses": 0,
+        "malformed expenses": 0, "files": 9,
         "landing lm_events": 3, "rejected event": 3,
         "landing lm_event_del": 1, "rejected event_del": 0,
         "landing lm_participants": 3, "rejected participant": 1,
@@ -197,7 +197,7 @@ def test_day_two_adds_new_rows_only(spark, day_one, world, base, rows):
         "E1,Changed,2025-09-01,Program,Beta,Flu", "E3,Once,2025-08-16,Program,Alpha,Flu")
     put(base, "address", "LMHC_address_file_20250707.csv", "A9,Dallas")
     put(base, "hcp_master", "LMHC_hcp_master_file_20250707.csv", "1002,Jones,A9")
-    counts = run(spark, specs, masters, layout, DAY2, apply_deletes=True, keep_unbranded=True)
+    counts = run(spark, specs, masters, layout, DAY2, without_deleted=True, keep_unbranded=True)
     assert counts["landing lm_events"] == 1
     assert counts["landing lm_hcp_master"] == counts["landing lm_address"] == 1
     assert "landing lm_participants" not in counts
@@ -215,6 +215,7 @@ def test_day_two_adds_new_rows_only(spark, day_one, world, base, rows):
     assert rows(read(spark, layout.landing("lm_events")), "event_id", "event_name", "oasis_load_time") == expected
     # A run without new files takes nothing in.
     later = run(spark, specs, masters, layout, DAY2 + dt.timedelta(days=1), True, True)
+    assert later["files"] == 0
     assert not [name for name in later if name.startswith(("landing", "malformed"))]
 
 
@@ -241,9 +242,9 @@ def test_adding_a_batch_equals_rebuilding_the_table(spark, rows):
 
 def test_a_failure_ends_the_run(spark, base, world, tmp_path):
     specs, masters, _ = world
-    broken = replace(masters, products=masters.products.drop("Brand_id"))
+    specs = {**specs, "event": replace(specs["event"], rules=replace(RULES["event"], keys=("no_such_key",)))}
     logging.getLogger("py4j").setLevel(logging.CRITICAL)
-    with pytest.raises(Exception, match="brand_id"):
-        run(spark, specs, broken, Layout(str(tmp_path)), DAY1)
+    with pytest.raises(Exception, match="no_such_key"):
+        run(spark, specs, masters, Layout(str(tmp_path)), DAY1)
     # The files of the failed run are not marked as handled.
-    assert not (tmp_path / "intake").exists()
+    assert not (tmp_path / "intake" / "handled").exists()
