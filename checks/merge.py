@@ -40,17 +40,22 @@ def merge_null_keys(spark, d):
 
 @query(
     "merge_snapshot",
-    """SELECT doc_id, lang, source, n_chars, TIMESTAMP '2025-07-06 16:00:00' AS oasis_create_date,
+    """SELECT doc_id, lang, source, n_chars::DOUBLE AS n_chars,
+              TIMESTAMP '2025-07-06 16:00:00' AS oasis_create_date,
               TIMESTAMP '2025-07-06 16:00:00' AS oasis_modified_date,
-              CAST(NULL AS INTEGER) AS quality, CAST(NULL AS INTEGER) AS toxic
+              CAST(NULL AS DOUBLE) AS quality, CAST(NULL AS DOUBLE) AS toxic
        FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
        UNION ALL
-       SELECT doc_id, NULL, NULL, NULL, NULL, NULL, quality, toxic FROM labels""",
+       SELECT doc_id, NULL, NULL, NULL, NULL, NULL, quality::DOUBLE, toxic::DOUBLE FROM labels""",
 )
 def merge_documents(spark, d):
     feed = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
     at = F.lit("2025-07-06 16:00:00").cast("timestamp_ntz")
-    return merge_snapshot(stamp(feed, at), table(spark, d, "labels"), ["doc_id"])
+    merged = merge_snapshot(stamp(feed, at), table(spark, d, "labels"), ["doc_id"])
+    # Numbers with gaps are compared as doubles.
+    return merged.withColumns(
+        {c: F.col(c).cast("double") for c in ("n_chars", "quality", "toxic")}
+    )
 
 
 @query("merge_first_load", "SELECT * FROM customer")

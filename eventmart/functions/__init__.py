@@ -1,6 +1,7 @@
 from eventmart.functions.columns import (
     as_timestamp,
     day,
+    day_text,
     existing,
     filled,
     first_existing,
@@ -16,6 +17,7 @@ from eventmart.functions.columns import (
 __all__ = [
     "as_timestamp",
     "day",
+    "day_text",
     "existing",
     "filled",
     "first_existing",

@@ -71,7 +71,11 @@ def as_timestamp(df: DataFrame, name: str) -> Column:
 
 
 def day(df: DataFrame, name: str) -> Column:
-    return F.date_format(as_timestamp(df, name), "yyyy-MM-dd")
+    return as_timestamp(df, name).cast("date")
+
+
+def day_text(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM-dd")
 
 
 def flag_count(condition: Column) -> Column:

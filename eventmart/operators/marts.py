@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
-from eventmart.functions import day, flag_count, ratio, require_columns
+from eventmart.functions import day, day_text, flag_count, ratio, require_columns
 
 
 def _processed(mart: DataFrame, run_date: str | None) -> DataFrame:
@@ -71,6 +71,7 @@ def event_performance(base: DataFrame, run_date: str | None = None) -> DataFrame
     """Per day. ``avg_attendance_per_event`` is the share of attended rows, where an event
     without participants counts as one row; ``attendance_rate`` divides by participants."""
     require_columns(base, ["event_date"], "event attendance")
+    # Grouped as a date, which is narrower than its text, and written as text at the end.
     mart = base.groupBy(day(base, "event_date").alias("event_date")).agg(
         _events().alias("total_events"),
         _registrations().alias("total_registrations"),
@@ -78,7 +79,7 @@ def event_performance(base: DataFrame, run_date: str | None = None) -> DataFrame
         ratio(_attendees(), F.sum("joined_rows")).alias("avg_attendance_per_event"),
         ratio(_attendees(), _registrations()).alias("attendance_rate"),
     )
-    return _processed(mart, run_date)
+    return _processed(mart.withColumn("event_date", day_text(F.col("event_date"))), run_date)
 
 
 def product_performance(base: DataFrame, run_date: str | None = None) -> DataFrame:

@@ -4,7 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from eventmart.operators import latest_batch, resolve_survivor, split_duplicates, split_orphans
+from eventmart.operators import (
+    latest_batch,
+    lookup,
+    resolve_survivor,
+    split_duplicates,
+    split_orphans,
+)
 from eventmart.session import settle
 
 FOLDER = "/root/testdata/sf0.001"
@@ -89,8 +95,8 @@ def test_the_newest_time_reaches_the_scan(spark):
     assert "EqualTo(l_shipdate,ScalarSubquery" in text
 
 
-def test_a_hot_key_is_split(spark, no_broadcast):
-    """A third of all rows under one parent key: adaptive execution splits that partition."""
+@pytest.fixture
+def small_skew_limits(spark, no_broadcast):
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
@@ -98,24 +104,52 @@ def test_a_hot_key_is_split(spark, no_broadcast):
     }
     for name, value in settings.items():
         spark.conf.set(name, value)
-    try:
-        children = spark.range(0, 300000, 1, 8).select(
-            F.col("id"),
-            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("parent"),
-            F.sha2(F.col("id").cast("string"), 256).alias("text"),
-        )
-        parents = spark.range(0, 4000).withColumnRenamed("id", "key")
-        clean, orphans = split_orphans(children, ["parent"], parents, ["key"])
-        assert clean.count() + orphans.count() == 300000
-        clean = clean.select("id", "text", "parent")
-        clean.write.format("noop").mode("overwrite").save()
-        rows = clean.collect()
-        final = plan(clean)
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
-    assert "isFinalPlan=true" in final
-    assert "skew=true" in final
-    assert len(rows) == 100000 + sum(
-        1 for i in range(300000) if i % 3 and i % 5000 < 4000
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def hot_rows(spark, key):
+    """300,000 rows, a third of them under one key."""
+    return spark.range(0, 300000, 1, 8).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias(key),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+
+
+def test_a_hot_key_is_split(spark, small_skew_limits):
+    parents = spark.range(0, 4000).withColumnRenamed("id", "key")
+    clean, orphans = split_orphans(hot_rows(spark, "parent"), ["parent"], parents, ["key"])
+    rows = clean.collect()
+    assert "skew=true" in plan(clean)
+    assert len(rows) == 100000 + sum(1 for i in range(300000) if i % 3 and i % 5000 < 4000)
+    assert len(rows) + orphans.count() == 300000
+
+
+def test_a_hot_key_is_split_before_a_distinct(spark, small_skew_limits):
+    """The distinct could reuse the join's partitioning; the split must win over that."""
+    master = spark.range(0, 4000).select(
+        F.col("id").alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("code")
+    )
+    found = lookup(hot_rows(spark, "name"), master, "name", "key", {"code": "code"}).distinct()
+    rows = found.collect()
+    assert "skew=true" in plan(found)
+    assert len(rows) == 300000
+
+
+def test_rows_without_a_known_id_do_not_meet_in_one_task(spark, small_skew_limits):
+    """A third of all rows have no master id: NULL is no join key of the large side."""
+    people = hot_rows(spark, "k").select(
+        F.when(F.col("id") % 3 == 0, -F.col("id")).otherwise(F.col("id") % 5000).alias("participant_id"),
+        "text",
+    )
+    xref = spark.range(0, 5000).select(
+        F.col("id").alias("source_id"), F.concat(F.lit("M"), "id").alias("mdm_id")
     )
+    merges = xref.select(
+        F.col("mdm_id").alias("loser_mdm_id"), F.lit("M0").alias("winner_mdm_id")
+    ).where("loser_mdm_id > 'M4'")
+    out = resolve_survivor(people, xref, merges)
+    assert out.where("mdm_id IS NULL").count() == 100000 - 1
+    assert out.count() == 300000
