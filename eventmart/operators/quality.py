@@ -154,9 +154,11 @@ def gate(
     link_reason: str = fv.REASON_MISSING_PARENT,
     modified: str = fv.MODIFIED,
     settle: Settle | None = None,
+    more: Sequence[tuple[str, Column]] = (),
 ) -> DataFrame:
     """Run the checks in their fixed order (duplicates, NULLs, links) as one tag.
 
+    ``more`` are further reasons with the condition of a bad row, checked before the links.
     ``error_reason`` names the first check a row fails and is NULL for clean rows.
     """
     if keys:
@@ -167,11 +169,10 @@ def gate(
     if links:
         out, unlinked = tag_links(out, links, "_unlinked"), F.col("_unlinked")
     null = any_null(required) if required else F.lit(False)
-    reason = (
-        F.when(F.col(fv.DUPLICATE_FLAG), fv.REASON_DUPLICATE)
-        .when(null, fv.REASON_NULL)
-        .when(unlinked, link_reason)
-    )
+    reason = F.when(F.col(fv.DUPLICATE_FLAG), fv.REASON_DUPLICATE).when(null, fv.REASON_NULL)
+    for text, bad in more:
+        reason = reason.when(bad, text)
+    reason = reason.when(unlinked, link_reason)
     return out.withColumn(fv.ERROR_REASON, reason).drop("_unlinked")
 
 

@@ -26,7 +26,7 @@ from eventmart.plans.normalize import (
 )
 from eventmart.plans.outbound import export_latest
 from eventmart.plans.summarize import build_marts
-from eventmart.session import Workspace
+from eventmart.session import Workspace, fit_shuffles
 from eventmart.sources import read_master, read_optional, read_table, write_table
 from eventmart.specs import FeedSpec
 
@@ -124,9 +124,16 @@ def landing(
         name: landed(spark, layout.landing(spec.table), but=batch, merge=False)
         for name, spec in specs.items()
     }
+    for stored in snapshots.values():
+        if stored is not None:
+            fit_shuffles(stored)
     fresh = {
         name: fresh_rows(
-            staged_rows(spark, spec), snapshots[name], rules[name], run_ts, settle
+            fit_shuffles(staged_rows(spark, spec)),
+            snapshots[name],
+            rules[name],
+            run_ts,
+            settle,
         )
         for name, spec in specs.items()
         if name in names
@@ -134,7 +141,12 @@ def landing(
     for name, tagged in gate_feeds(fresh, snapshots, rules, settle).items():
         table = specs[name].table
         stored, rejected = land(
-            tagged, layout.landing(table), layout.errors(name), batch, run_ts
+            tagged,
+            layout.landing(table),
+            layout.errors(name),
+            batch,
+            run_ts,
+            rules[name].types,
         )
         counts[f"landing {table}"], counts[f"rejected {name}"] = stored, rejected
     write_table(files.withColumn("run", F.lit(batch)), layout.ledger, ["run"])
@@ -154,7 +166,10 @@ def normalize(
     counts = {}
 
     def table(name: str) -> DataFrame | None:
-        return landed(spark, layout.landing(specs[name].table)) if name in specs else None
+        if name not in specs:
+            return None
+        stored = landed(spark, layout.landing(specs[name].table))
+        return None if stored is None else fit_shuffles(stored)
 
     def write(df: DataFrame, name: str) -> None:
         counts[f"normalized {name}"] = write_table(df, layout.normalized(name))
@@ -186,8 +201,8 @@ def summarize(
 ) -> Counts:
     """The five marts."""
     marts = build_marts(
-        read_table(spark, layout.normalized("lm_events")),
-        read_table(spark, layout.normalized("lm_participants")),
+        fit_shuffles(read_table(spark, layout.normalized("lm_events"))),
+        fit_shuffles(read_table(spark, layout.normalized("lm_participants"))),
         run_ts.date().isoformat(),
         settle,
     )

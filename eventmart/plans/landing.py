@@ -12,11 +12,12 @@ import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
 from eventmart.functions import with_aliases
+from eventmart.operators.contracts import lacks_required, misdated, outside_domain, typed, untyped
 from eventmart.operators.merge import (
     keys_in,
     merge_snapshot,
@@ -66,6 +67,26 @@ def fresh_rows(
     return new_only(rows, snapshot, rules.keys, settle)
 
 
+REASON_TYPE = "Value is not of its type"
+REASON_DOMAIN = "Value is not listed"
+REASON_DATE = "Date is not valid"
+
+
+def contract_checks(df: DataFrame, rules: FeedRules) -> list[tuple[str, Column]]:
+    """Reasons and conditions of the contract rules that ``rules`` name."""
+    checks = [
+        (f"Missing {needs} where {when} is {equals}", lacks_required(when, equals, needs))
+        for when, equals, needs in rules.conditional
+    ]
+    if rules.domains:
+        checks.append((REASON_DOMAIN, outside_domain(df, rules.domains)))
+    if rules.dates:
+        checks.append((REASON_DATE, misdated(rules.dates)))
+    if rules.types:
+        checks.append((REASON_TYPE, untyped(df, rules.types)))
+    return checks
+
+
 def gate_feeds(
     fresh: Mapping[str, DataFrame],
     snapshots: Mapping[str, DataFrame | None],
@@ -80,8 +101,14 @@ def gate_feeds(
     """
     checked = {
         name: settle(
-            gate(rows, rules[name].keys, rules[name].required,
-                 modified=rules[name].modified, settle=settle)
+            gate(
+                rows,
+                rules[name].keys,
+                rules[name].required,
+                modified=rules[name].modified,
+                settle=settle,
+                more=contract_checks(rows, rules[name]),
+            )
         )
         for name, rows in fresh.items()
     }
@@ -117,10 +144,18 @@ def gate_feeds(
 
 
 def land(
-    tagged: DataFrame, table_path: str, error_path: str, batch: str, run_ts: dt.datetime
+    tagged: DataFrame,
+    table_path: str,
+    error_path: str,
+    batch: str,
+    run_ts: dt.datetime,
+    types: Mapping[str, str] | None = None,
 ) -> tuple[int, int]:
-    """Write clean rows as a batch of the table and rejects as a batch of the quarantine."""
-    clean = stamp_load(clean_rows(tagged), F.lit(run_ts.date()))
+    """Write clean rows as a batch of the table and rejects as a batch of the quarantine.
+
+    Clean rows get their ``types``; rejects stay as they came.
+    """
+    clean = stamp_load(typed(clean_rows(tagged), types or {}), F.lit(run_ts.date()))
     stored = write_table(clean, f"{table_path}/{BATCH}={batch}")
     rejected = quarantine(rejected_rows(tagged), error_path, batch, run_ts)
     return stored, rejected
@@ -155,5 +190,6 @@ def rebuild(
         rules.link_reason,
         rules.modified,
         settle,
+        contract_checks(rows, rules),
     )
 

@@ -16,6 +16,11 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Bytes of input files for one shuffle partition; a query shuffles some of their columns.
+SHUFFLE_BYTES = 512 * 1024 * 1024
+# Every map task keeps a size per partition, so very many cost more than they help.
+MOST_SHUFFLE_PARTITIONS = 32768
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -23,6 +28,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fit_shuffles(df: DataFrame, target: int = SHUFFLE_BYTES) -> DataFrame:
+    """Return ``df``, with enough shuffle partitions set for the size of its files.
+
+    The number is only ever raised: adaptive execution joins small partitions while running,
+    but splits none except hot join keys. Beyond the largest number partitions grow instead,
+    and spill.
+    """
+    spark, setting = df.sparkSession, "spark.sql.shuffle.partitions"
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    needed = min(-(-size // target), MOST_SHUFFLE_PARTITIONS)
+    if needed > int(spark.conf.get(setting)):
+        spark.conf.set(setting, needed)
+    return df
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder below the shared folder that the cluster names in ``spark.checkpoint.dir``."""
     context = spark.sparkContext

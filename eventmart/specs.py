@@ -31,6 +31,11 @@ class FeedRules:
     modified: str = fv.MODIFIED
     aliases: Mapping[str, str] = field(default_factory=dict)
     file_pattern: str | None = None
+    # Optional rules of the feed contract; empty means not checked.
+    types: Mapping[str, str] = field(default_factory=dict)
+    domains: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    dates: tuple[str, ...] = ()
+    conditional: tuple[tuple[str, str, str], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -76,15 +81,18 @@ def read_rules(spark: SparkSession, path: str) -> dict[str, FeedRules]:
     """Rules per feed type from a JSON file; a feed type it leaves out keeps its default.
 
     Each entry may set ``keys``, ``required``, ``aliases``, ``modified``, ``file_pattern``,
-    ``link_reason`` and ``links`` (each with ``feed_type``, ``columns``, ``other_columns``).
+    ``link_reason`` and ``links`` (each with ``feed_type``, ``columns``, ``other_columns``), and
+    of the feed contract ``types``, ``domains``, ``dates`` and ``conditional``.
     """
     rules = dict(DEFAULT_RULES)
     entries = json.loads(spark.read.text(path, wholetext=True).first()[0])
     for feed_type, given in entries.items():
         values = dict(given)
-        for name in ("keys", "required"):
+        for name in ("keys", "required", "dates"):
             if name in values:
                 values[name] = tuple(values[name])
+        if "conditional" in values:
+            values["conditional"] = tuple(tuple(rule) for rule in values["conditional"])
         if "links" in values:
             values["links"] = tuple(
                 Link(link["feed_type"], tuple(link["columns"]), tuple(link["other_columns"]))

@@ -76,7 +76,7 @@ def stream_feed(
         snapshot = landed(session, table_path, but=batch, merge=False)
         fresh = fresh_rows(good, snapshot, spec.rules, now, work.settle)
         tagged = gate_feeds({spec.feed_type: fresh}, {}, {spec.feed_type: spec.rules}, work.settle)
-        land(tagged[spec.feed_type], table_path, error_path, batch, now)
+        land(tagged[spec.feed_type], table_path, error_path, batch, now, spec.rules.types)
 
     return (
         stream.writeStream.foreachBatch(handle)

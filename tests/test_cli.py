@@ -64,13 +64,16 @@ def test_rules_file(spark, world):
     path.write_text(json.dumps({
         "address": {"keys": ["a", "b"], "links": [
             {"feed_type": "hcp_master", "columns": ["a"], "other_columns": ["c"]}]},
-        "venue": {"required": ["v"], "file_pattern": "VENUE.*"},
+        "venue": {"required": ["v"], "file_pattern": "VENUE.*", "types": {"n": "int"},
+                  "conditional": [["a", "Yes", "b"]], "dates": ["d"]},
     }))
     rules = read_rules(spark, str(path))
     assert rules["address"].keys == ("a", "b")
     assert rules["address"].links == (Link("hcp_master", ("a",), ("c",)),)
     assert rules["address"].required == DEFAULT_RULES["address"].required
     assert rules["venue"].required == ("v",)
+    assert rules["venue"].conditional == (("a", "Yes", "b"),)
+    assert (rules["venue"].types, rules["venue"].dates) == ({"n": "int"}, ("d",))
     assert rules["event"] == DEFAULT_RULES["event"]
 
 

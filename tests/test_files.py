@@ -5,7 +5,13 @@ from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
 from eventmart.plans import export_latest, take_in
-from eventmart.session import Workspace, settle, work_dir
+from eventmart.session import (
+    MOST_SHUFFLE_PARTITIONS,
+    Workspace,
+    fit_shuffles,
+    settle,
+    work_dir,
+)
 from eventmart.sources import (
     append_quarantine,
     file_facts,
@@ -265,3 +271,22 @@ def test_workspace_removes_only_its_own_folder(spark):
         kept = settle(table)
     assert kept.count() == 3
     assert read_optional(spark, f"{work.folder}/table_0") is None
+
+
+def test_shuffle_partitions_are_raised_to_the_size_of_the_files(spark, tmp_path):
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.range(10000).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    try:
+        assert fit_shuffles(table) is table
+        assert spark.conf.get(setting) == before
+        fit_shuffles(table, 1000)
+        assert int(spark.conf.get(setting)) > 30
+        raised = spark.conf.get(setting)
+        fit_shuffles(table, 10000)
+        assert spark.conf.get(setting) == raised
+        fit_shuffles(table, 1)
+        assert spark.conf.get(setting) == str(MOST_SHUFFLE_PARTITIONS)
+    finally:
+        spark.conf.set(setting, before)

@@ -8,7 +8,7 @@ import pytest
 
 from eventmart import fixed_values as fv
 from eventmart.plans import Layout, Masters, rebuild, run
-from eventmart.plans.landing import gate_feeds
+from eventmart.plans.landing import fresh_rows, gate_feeds, land
 from eventmart.operators import clean_rows, rejected_rows
 from eventmart.session import settle
 from eventmart.sources import read_delimited
@@ -225,8 +225,6 @@ def test_adding_a_batch_equals_rebuilding_the_table(spark, rows):
     second = spark.createDataFrame(
         [(1, "new"), (2, "d"), (4, "e"), (None, "f")], "k int, v string"
     )
-    from eventmart.plans.landing import fresh_rows
-
     def gated(feed, snapshot, run_ts):
         fresh = fresh_rows(feed, snapshot, rules, run_ts)
         return gate_feeds({"f": fresh}, {}, {"f": rules}, settle)["f"]
@@ -240,6 +238,30 @@ def test_adding_a_batch_equals_rebuilding_the_table(spark, rows):
     assert rows(rejected_rows(whole), "k", "error_reason") == rows(rejected_rows(added), "k", "error_reason")
 
 
+def test_contract_rules_of_a_feed(spark, tmp_path, rows):
+    rules = FeedRules(
+        ("k",), ("k",), types={"n": "int"}, domains={"s": ("Closed", "Pending")}, dates=("d",),
+        conditional=(("s", "Closed", "p"),),
+    )
+    df = spark.createDataFrame(
+        [("1", "4", "Closed", "2025-01-01", "x"), ("2", "four", "Pending", None, None),
+         ("3", "4", "closed", None, None), ("4", "4", "Closed", None, None),
+         ("5", None, None, "01/01/2025", None), ("6", None, None, None, None),
+         (None, "four", "closed", None, None)],
+        "k string, n string, s string, d string, p string",
+    )
+    fresh = fresh_rows(df, None, rules, DAY1)
+    tagged = gate_feeds({"f": fresh}, {}, {"f": rules}, settle)["f"]
+    table, errors = str(tmp_path / "t"), str(tmp_path / "e")
+    assert land(tagged, table, errors, "b", DAY1, rules.types) == (2, 5)
+    assert rows(spark.read.parquet(table), "k", "n") == [("1", 4), ("6", None)]
+    assert rows(spark.read.parquet(errors), "k", "n", "error_reason") == [
+        (None, "four", fv.REASON_NULL), ("2", "four", "Value is not of its type"),
+        ("3", "4", "Value is not listed"), ("4", "4", "Missing p where s is Closed"),
+        ("5", None, "Date is not valid"),
+    ]
+
+
 def test_a_failure_ends_the_run(spark, base, world, tmp_path):
     specs, masters, _ = world
     specs = {**specs, "event": replace(specs["event"], rules=replace(RULES["event"], keys=("no_such_key",)))}
