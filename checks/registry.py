@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from eventmart.session import fit_shuffles
 
@@ -23,8 +24,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return fit_shuffles(spark.read.parquet(f"{folder}/{name}.parquet"))
+    """One of the given tables; its schema is read from the files the first time only."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return fit_shuffles(spark.read.schema(_SCHEMAS[path]).parquet(path))
 
 
 # Tables in their role as events and participants.

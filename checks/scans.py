@@ -57,19 +57,14 @@ def rlike_name(spark, d):
     )
 
 
-@query("control_lookup", "SELECT * FROM nation WHERE lower(n_name) = 'nation_1'")
+@query("control_lookup", "SELECT * FROM customer WHERE lower(c_name) = 'customer#000000042'")
 def control_lookup(spark, d):
-    return named(table(spark, d, "nation"), "n_name", "Nation_1")
+    return named(table(spark, d, "customer"), "c_name", "CUSTOMER#000000042")
 
 
-@query(
-    "ilike_lookup",
-    r"SELECT n_nationkey, n_name FROM nation WHERE n_name ILIKE '%Ation\_1%' ESCAPE '\'",
-)
+@query("ilike_lookup", "SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%D Ring%'")
 def ilike_lookup(spark, d):
-    return named_like(table(spark, d, "nation"), "n_name", "Ation_1").select(
-        "n_nationkey", "n_name"
-    )
+    return named_like(table(spark, d, "part"), "p_name", "D Ring").select("p_partkey", "p_name")
 
 
 @query(

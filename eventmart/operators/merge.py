@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
 from eventmart.operators.quality import Settle
+from eventmart.session import planned_bytes
+
+MUCH_LARGER = 4
 
 
 def stamp(df: DataFrame, at: Column) -> DataFrame:
@@ -23,13 +26,17 @@ def stamp_load(df: DataFrame, on: Column) -> DataFrame:
 def keys_in(
     stored: DataFrame, columns: Sequence[str], df: DataFrame, df_columns: Sequence[str]
 ) -> DataFrame:
-    """Distinct ``columns`` of ``stored`` that occur as ``df_columns`` in ``df``.
+    """Distinct ``columns`` of ``stored``, holding all that occur as ``df_columns`` in ``df``.
 
-    The wanted keys filter the stored ones before anything is shuffled when they are few, as
-    a day's feed is against all days before it; so no later step handles all stored keys.
+    When the stored keys are much larger than those of ``df``, as all days before are against
+    one day's feed, they are first filtered to the keys in ``df``; so no later step handles
+    all stored keys. Otherwise the filter would cost more than it saves.
     """
-    wanted = df.select(*[F.col(d).alias(c) for d, c in zip(df_columns, columns)]).distinct()
-    return stored.select(*columns).join(wanted, list(columns), "left_semi").distinct()
+    keys = stored.select(*columns)
+    wanted = df.select(*[F.col(d).alias(c) for d, c in zip(df_columns, columns)])
+    if planned_bytes(keys) > MUCH_LARGER * planned_bytes(wanted):
+        keys = keys.join(wanted.distinct(), list(columns), "left_semi")
+    return keys.distinct()
 
 
 def new_only(

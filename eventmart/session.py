@@ -20,6 +20,8 @@ SETTINGS = {
 SHUFFLE_BYTES = 512 * 1024 * 1024
 # Every map task keeps a size per partition, so very many cost more than they help.
 MOST_SHUFFLE_PARTITIONS = 32768
+# The planner takes data of unknown size for the largest there can be.
+UNKNOWN_BYTES = 2**62
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -28,6 +30,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The size the planner expects, from the sizes of the files; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fit_shuffles(df: DataFrame, target: int = SHUFFLE_BYTES) -> DataFrame:
     """Return ``df``, with enough shuffle partitions set for the size of its files.
 
@@ -36,7 +43,9 @@ def fit_shuffles(df: DataFrame, target: int = SHUFFLE_BYTES) -> DataFrame:
     and spill.
     """
     spark, setting = df.sparkSession, "spark.sql.shuffle.partitions"
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = planned_bytes(df)
+    if size >= UNKNOWN_BYTES:
+        return df
     needed = min(-(-size // target), MOST_SHUFFLE_PARTITIONS)
     if needed > int(spark.conf.get(setting)):
         spark.conf.set(setting, needed)

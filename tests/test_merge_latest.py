@@ -2,7 +2,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from eventmart.operators import latest_batch, merge_snapshot, new_only, stamp, stamp_load
+from eventmart.operators import (
+    keys_in,
+    latest_batch,
+    merge_snapshot,
+    new_only,
+    stamp,
+    stamp_load,
+)
 
 
 def test_snapshot_wins_and_merge_is_idempotent(spark, rows):
@@ -33,6 +40,22 @@ def test_null_keys_are_always_new(spark, rows):
     assert new_only(feed, snapshot, ["b", "a"]).columns == ["a", "b"]
 
 
+def test_many_stored_keys_are_filtered_first(spark, tmp_path, rows):
+    def saved(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    stored = saved(spark.range(100000).select("id", F.lit("x").alias("v")), "stored")
+    feed = spark.createDataFrame([(5, "a"), (200000, "b"), (None, "c")], "id long, v string")
+    small = saved(feed, "feed")
+    assert rows(keys_in(stored, ["id"], small, ["id"])) == [(5,)]
+    assert rows(new_only(small, stored, ["id"])) == [(None, "c"), (200000, "b")]
+    # Stored keys that are not much larger, or a feed of unknown size: no filter.
+    assert keys_in(small, ["id"], stored, ["id"]).count() == 3
+    assert keys_in(stored, ["id"], feed, ["id"]).count() == 100000
+    assert rows(new_only(feed, stored, ["id"])) == [(None, "c"), (200000, "b")]
+
+
 def test_stamps(spark):
     at = dt.datetime(2025, 7, 6, 16)
     row = stamp_load(stamp(spark.range(1), F.lit(at)), F.lit(at.date())).first()
