@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from checks.registry import line_participants, order_events, query, table
-from eventmart.plans import build_marts, export_latest, gate_feeds, land, landed, take_in
+from eventmart.plans import build_marts, export_latest, flow, gate_feeds, land, landed, take_in
 from eventmart.plans.intake import check_files
 from eventmart.plans.landing import fresh_rows
 from eventmart.session import settle, work_dir
-from eventmart.sources import read_delimited, read_master, read_optional, write_delimited
-from eventmart.specs import FeedRules, FeedSpec
+from eventmart.sources import (
+    read_delimited,
+    read_master,
+    read_optional,
+    read_table,
+    write_delimited,
+)
+from eventmart.specs import DEFAULT_RULES, FeedRules, FeedSpec
 from eventmart.streaming import stream_feed
 
 RUN = dt.datetime(2025, 7, 6, 16, 0, 0)
@@ -141,7 +148,10 @@ def quarantine_two_runs(spark, d):
         F.when(first, F.concat("status", F.lit(" first run")))
         .otherwise(F.col("status"))
         .alias("status"),
-    ).agg(F.count("*").alias("n"), F.max("error_timestamp").cast("date").cast("string").alias("last_day"))
+    ).agg(
+        F.count("*").alias("n"),
+        F.max("error_timestamp").cast("date").cast("string").alias("last_day"),
+    )
 
 
 @query(
@@ -176,6 +186,85 @@ def stream_intake(spark, d):
     return landed(spark, f"{folder}/landing").select(*ORDER_COLUMNS)
 
 
+def _feeds(spark, d) -> tuple[dict[str, FeedSpec], flow.Masters, flow.Layout]:
+    """Orders as events and order lines as participants, written as feeds below a new base."""
+    base = work_dir(spark)
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    orders, lines = table(spark, d, "orders"), table(spark, d, "lineitem")
+    flag = F.col("l_returnflag")
+    feeds = {
+        "event": orders.select(
+            F.col("o_orderkey").alias("event_id"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("event_date"),
+            priority.alias("event_type"),
+            F.concat(status, F.lit(" | "), priority).alias("event_brand"),
+            status.alias("indication_name"),
+        ),
+        "participant": lines.select(
+            F.col("l_linenumber").alias("participant_id"),
+            F.col("l_orderkey").alias("event_id"),
+            F.nullif(flag, F.lit("R")).alias("hcp_id"),
+            F.col("l_linestatus").alias("participant_type"),
+            F.when(F.col("l_quantity") >= 25, "Y").otherwise("N").alias("registered"),
+            F.when(flag == "A", "Y").otherwise("N").alias("attended"),
+        ),
+    }
+    specs = {}
+    for name, feed in feeds.items():
+        folder = f"{base}/inbound/{name}"
+        write_delimited(feed, folder)
+        rules = replace(DEFAULT_RULES[name], file_pattern=ORDER_RULES.file_pattern)
+        specs[name] = FeedSpec(
+            name, f"lm_{name}s", folder, f"{base}/preprocess", "part-", "|",
+            tuple(feed.columns), rules,
+        )
+    customers = table(spark, d, "customer")
+    master_id = F.concat(F.lit("M"), "c_custkey")
+    masters = flow.Masters(
+        orders.select(
+            priority.alias("source_product_name"),
+            F.left(priority, F.lit(1)).alias("brand_id"),
+            priority.alias("brand_name"),
+        ).distinct(),
+        orders.select(
+            status.alias("source_indication_name"), F.lower(status).alias("indication_id")
+        ).distinct(),
+        customers.select(
+            F.col("c_custkey").cast("string").alias("source_id"), master_id.alias("mdm_id")
+        ),
+        customers.where("c_acctbal < 0").select(
+            master_id.alias("loser_mdm_id"), F.lit("M0").alias("winner_mdm_id")
+        ),
+    )
+    return specs, masters, flow.Layout(f"{base}/lake")
+
+
+@query(
+    "flow_brand_mart",
+    """WITH participants AS (
+         SELECT * FROM lineitem
+         QUALIFY count(*) OVER (PARTITION BY l_linenumber, l_orderkey) = 1
+             AND l_returnflag <> 'R')
+       SELECT '412|' || left(o_orderpriority, 1) AS brand_id,
+              'UNKNOWN|' || o_orderpriority AS brand_name,
+              count(DISTINCT o_orderkey) AS event_count,
+              count(l_linenumber) AS total_registrations,
+              sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END)::BIGINT AS total_attendees,
+              sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END)::DOUBLE
+                / NULLIF(count(l_linenumber), 0) AS attendance_rate,
+              sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END)::DOUBLE
+                / count(DISTINCT o_orderkey) AS avg_attendance_per_event,
+              '2025-07-06' AS processing_date
+       FROM orders LEFT JOIN participants ON o_orderkey = l_orderkey
+       GROUP BY o_orderpriority""",
+)
+def flow_brand_mart(spark, d):
+    """From feed files through all layers to a stored mart."""
+    specs, masters, layout = _feeds(spark, d)
+    flow.run(spark, specs, masters, layout, RUN)
+    return read_table(spark, layout.summarized("brand_performance_kpi"))
+
+
 @query(
     "marts_shared_base",
     """SELECT 'event_performance_kpi' AS mart, count(DISTINCT o_orderdate) AS n FROM orders

@@ -87,6 +87,11 @@ def contract_checks(df: DataFrame, rules: FeedRules) -> list[tuple[str, Column]]
     return checks
 
 
+def needed(rules: FeedRules) -> list[str]:
+    """Columns a landed row must have: a row without its whole key could never be matched."""
+    return list(dict.fromkeys([*rules.keys, *rules.required]))
+
+
 def gate_feeds(
     fresh: Mapping[str, DataFrame],
     snapshots: Mapping[str, DataFrame | None],
@@ -104,7 +109,7 @@ def gate_feeds(
             gate(
                 rows,
                 rules[name].keys,
-                rules[name].required,
+                needed(rules[name]),
                 modified=rules[name].modified,
                 settle=settle,
                 more=contract_checks(rows, rules[name]),
@@ -185,7 +190,7 @@ def rebuild(
     return gate(
         merge_snapshot(rows, snapshot, rules.keys),
         rules.keys,
-        rules.required,
+        needed(rules),
         links,
         rules.link_reason,
         rules.modified,

@@ -161,4 +161,8 @@ def load_specs(
             columns=tuple(c.strip() for c in values["expected_column_list"].split(",")),
             rules=rules[feed_type],
         )
+    for name, spec in specs.items():
+        lost = [link.feed_type for link in spec.rules.links if link.feed_type not in specs]
+        if lost:
+            raise ValueError(f"Feed {name} is linked to feeds without control row: {lost}")
     return specs

@@ -143,6 +143,8 @@ def test_control_table(spark, tmp_path):
     assert control_row(control, "LM_EVENTS")["file_prefix"] == "LMHC_EVENT_2"
     assert named_like(control, "target_table_name", "EVENT").count() == 2
     assert named_like(control, "target_table_name", "m_event_").count() == 1
+    with pytest.raises(ValueError, match="address is linked to feeds without control row"):
+        load_specs(control.where("target_table_name = 'lm_events'").replace("lm_events", "lm_address"))
     with pytest.raises(ValueError, match="No control row"):
         control_row(control, "event")
     with pytest.raises(ValueError, match="Unknown feed type: other"):

@@ -11,7 +11,6 @@ from eventmart.plans import Layout, Masters, rebuild, run
 from eventmart.plans.landing import fresh_rows, gate_feeds, land
 from eventmart.operators import clean_rows, rejected_rows
 from eventmart.session import settle
-from eventmart.sources import read_delimited
 from eventmart.specs import DEFAULT_RULES, FeedRules, Link, load_specs
 
 DAY1 = dt.datetime(2025, 7, 6, 1)
@@ -238,6 +237,13 @@ def test_adding_a_batch_equals_rebuilding_the_table(spark, rows):
     assert rows(rejected_rows(whole), "k", "error_reason") == rows(rejected_rows(added), "k", "error_reason")
 
 
+def test_a_row_without_its_whole_key_does_not_land(spark, rows):
+    rules = FeedRules(("k", "j"), ())
+    df = spark.createDataFrame([(1, None), (1, 2), (None, None)], "k int, j int")
+    tagged = gate_feeds({"f": fresh_rows(df, None, rules, DAY1)}, {}, {"f": rules}, settle)["f"]
+    assert rows(clean_rows(tagged), "k", "j") == [(1, 2)]
+
+
 def test_contract_rules_of_a_feed(spark, tmp_path, rows):
     rules = FeedRules(
         ("k",), ("k",), types={"n": "int"}, domains={"s": ("Closed", "Pending")}, dates=("d",),

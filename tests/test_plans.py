@@ -18,7 +18,7 @@ LAZY = sorted(
     name
     for name in entry_points.queries()
     if not name.startswith(("delimited", "master_scan", "intake", "landing", "quarantine_two",
-                            "export", "stream", "marts_shared"))
+                            "export", "stream", "flow", "marts_shared"))
 )
 
 
