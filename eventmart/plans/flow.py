@@ -181,7 +181,12 @@ def normalize(
             events = apply_deletes(events, deletes, specs["event"].rules.keys, settle)
         write(
             normalize_events(
-                events, masters.products, masters.indications, keep_unbranded, settle
+                events,
+                masters.products,
+                masters.indications,
+                keep_unbranded,
+                settle,
+                unique=specs["event"].rules.keys == ("event_id",),
             ),
             "lm_events",
         )

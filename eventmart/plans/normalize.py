@@ -16,8 +16,13 @@ def normalize_events(
     indications: DataFrame,
     keep_unbranded: bool = False,
     settle: Settle | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Brand lists and indication id per event; events without a brand go, unless kept."""
+    """Brand lists and indication id per event; events without a brand go, unless kept.
+
+    The result holds no row twice. With ``unique`` events, which landed ones are, that follows
+    from distinct master rows, and the wide rows need not be compared.
+    """
     branded = map_multivalue(
         events,
         "event_brand",
@@ -31,12 +36,13 @@ def normalize_events(
     )
     indicated = lookup(
         branded,
-        indications,
+        indications.select("source_indication_name", "indication_id").distinct(),
         "indication_name",
         "source_indication_name",
         {"indication_id": "indication_id"},
     )
-    return project_existing(indicated, fv.EVENT_COLUMNS).distinct()
+    normalized = project_existing(indicated, fv.EVENT_COLUMNS)
+    return normalized if unique else normalized.distinct()
 
 
 def normalize_participants(

@@ -38,9 +38,12 @@ def stream_feed(
     archive: str | None = None,
     max_files: int | None = None,
     clock: Callable[[], dt.datetime] = _now,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Take in all waiting files of a feed that has no links, then stop.
 
+    With ``every``, such as "1 minute", keep looking for new files instead.
+
     Each micro-batch lands as its own batch of the table, named by its number, and reads only
     the other batches, so a batch repeated after a failure replaces itself. Lines of files
     with a wrong header are quarantined; the name pattern selects files up front.
@@ -78,9 +81,7 @@ def stream_feed(
         tagged = gate_feeds({spec.feed_type: fresh}, {}, {spec.feed_type: spec.rules}, work.settle)
         land(tagged[spec.feed_type], table_path, error_path, batch, now, spec.rules.types)
 
-    return (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    if every is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=every).start()

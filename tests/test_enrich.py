@@ -134,3 +134,20 @@ def test_normalized_tables(spark, rows):
     out = normalize_participants(people, xref, merges)
     assert out.columns == ["participant_id", "event_id", "attended", "mdm_id", "final_mdm_id"]
     assert rows(out) == [("p1", "e1", "Y", "m1", "m2")]
+
+
+def test_unique_events_need_no_comparison_of_rows(spark, rows):
+    events = spark.createDataFrame(
+        [("e1", "Alpha", "Flu"), ("e2", "Beta|Alpha", "Cold")],
+        "event_id string, event_brand string, indication_name string",
+    )
+    products = spark.createDataFrame(
+        [("Alpha", "B1", "Alpha")], "source_product_name string, brand_id string, brand_name string"
+    )
+    indications = spark.createDataFrame(
+        [("Flu", "a", "I1"), ("Flu", "b", "I1"), ("Flu", "c", "I2")],
+        "source_indication_name string, indication_name string, indication_id string",
+    )
+    compared = normalize_events(events, products, indications)
+    assert compared.count() == 3
+    assert rows(normalize_events(events, products, indications, unique=True)) == rows(compared)

@@ -236,6 +236,35 @@ def test_stream_archives_handled_files(spark, inbound, tmp_path):
     assert "LMHC_EVENT_DEL_20250706160000.csv" in archived
 
 
+def test_stream_keeps_looking(spark, inbound, tmp_path):
+    landing = str(tmp_path / "landing")
+    query = stream_feed(
+        spark, spec(inbound), landing, str(tmp_path / "errors"), str(tmp_path / "checkpoint"),
+        every="1 second",
+    )
+    try:
+        query.processAllAvailable()
+        (inbound / "LMHC_EVENT_DEL_20250803000000.csv").write_text(
+            "event_id,deletion_reason,deletion_date\nX,x,2025-07-09\n"
+        )
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    stored = {r.event_id for r in spark.read.parquet(landing).collect()}
+    assert stored == {"E1", "E2", "E3", "E8", "X"}
+
+
+def test_stream_of_files_without_rows(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "LMHC_EVENT_DEL_20250706160000.csv").write_text(",".join(DELETE_COLUMNS) + "\n")
+    landing = str(tmp_path / "landing")
+    stream_feed(
+        spark, spec(folder), landing, str(tmp_path / "errors"), str(tmp_path / "checkpoint")
+    ).awaitTermination()
+    assert spark.read.parquet(landing).count() == 0
+
+
 def test_linked_feeds_do_not_stream(spark, inbound):
     with pytest.raises(ValueError, match="batch run"):
         stream_feed(spark, spec(inbound, "address"), "a", "b", "c")

@@ -133,3 +133,28 @@ def test_quarantined(spark):
     at = dt.datetime(2025, 7, 6, 16)
     out = quarantined(spark.range(1), "why", F.lit(at)).first()
     assert (out.error_reason, out.error_timestamp) == ("why", at)
+
+
+def test_splits_lose_and_repeat_nothing(spark, rows):
+    """Each input row is in exactly one half, whatever its NULLs, repeats and ties."""
+    df = spark.range(2000).select(
+        F.nullif(F.col("id") % 83, F.lit(5)).alias("k"),
+        F.nullif(F.floor(F.col("id") / 166), F.lit(2)).alias("m"),
+        F.nullif(F.col("id") % 29, F.lit(3)).alias("p"),
+        F.col("id").alias("row"),
+    )
+    parent = spark.range(40).select(F.nullif("id", F.lit(7)).alias("p")).union(
+        spark.range(10).select(F.lit(1).alias("p"))
+    )
+    other = spark.range(0, 40, 2).withColumnRenamed("id", "q")
+    everything = rows(df)
+    for clean, rejected in [
+        split_duplicates(df, ["k"], "m"),
+        split_duplicates(df, ["k", "p"], "m"),
+        split_nulls(df, ["k", "p"]),
+        split_orphans(df, ["p"], parent, ["p"]),
+        split_incomplete_parents(df, ["p"], [(parent, ["p"]), (other, ["q"])]),
+    ]:
+        both = clean.unionByName(rejected.select(df.columns))
+        assert rows(both) == everything
+        assert clean.count() > 0 and rejected.count() > 0
