@@ -141,6 +141,7 @@ def test_splits_lose_and_repeat_nothing(spark, rows):
         F.nullif(F.col("id") % 83, F.lit(5)).alias("k"),
         F.nullif(F.floor(F.col("id") / 166), F.lit(2)).alias("m"),
         F.nullif(F.col("id") % 29, F.lit(3)).alias("p"),
+        F.nullif(F.col("id") % 2, F.lit(1)).alias("h"),
         F.col("id").alias("row"),
     )
     parent = spark.range(40).select(F.nullif("id", F.lit(7)).alias("p")).union(
@@ -150,7 +151,8 @@ def test_splits_lose_and_repeat_nothing(spark, rows):
     everything = rows(df)
     for clean, rejected in [
         split_duplicates(df, ["k"], "m"),
-        split_duplicates(df, ["k", "p"], "m"),
+        split_duplicates(df, ["k", "h"], "m"),
+        split_duplicates(df, ["p"], "row"),
         split_nulls(df, ["k", "p"]),
         split_orphans(df, ["p"], parent, ["p"]),
         split_incomplete_parents(df, ["p"], [(parent, ["p"]), (other, ["q"])]),
