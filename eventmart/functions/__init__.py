@@ -11,6 +11,7 @@ from eventmart.functions.columns import (
     ratio,
     require_columns,
     tokens,
+    try_typed,
     with_aliases,
 )
 
@@ -27,5 +28,6 @@ __all__ = [
     "ratio",
     "require_columns",
     "tokens",
+    "try_typed",
     "with_aliases",
 ]

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+WHOLE_NUMBERS = ("tinyint", "smallint", "int", "integer", "bigint", "long")
+
 
 def _names(df: DataFrame) -> dict[str, str]:
     return {c.lower(): c for c in df.columns}
@@ -63,6 +65,17 @@ def filled(column: Column, default: object, dtype: T.DataType) -> Column:
     return F.coalesce(column, F.lit(default).cast(dtype))
 
 
+def try_typed(column: Column, dtype: str) -> Column:
+    """Text as ``dtype``, NULL if it is not one.
+
+    A failing cast to a whole number is slow, so text with a character that no whole number
+    has is not cast at all.
+    """
+    if dtype not in WHOLE_NUMBERS:
+        return column.try_cast(dtype)
+    return F.when(~column.rlike(r"[^0-9+\-\x00-\x20\x7f]"), column.try_cast(dtype))
+
+
 def as_timestamp(df: DataFrame, name: str) -> Column:
     """``name`` as a point in time: text is parsed (bad text is NULL), other types stay stored."""
     if isinstance(df.schema[existing(df, [name])[0]].dataType, T.StringType):

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
-from eventmart.functions import existing
+from eventmart.functions import existing, try_typed
 from eventmart.operators.quality import Settle, split_orphans
 
 Split = tuple[DataFrame, DataFrame]
@@ -32,14 +32,14 @@ def untyped(df: DataFrame, types: Mapping[str, str] = fv.CONTRACT_TYPES) -> Colu
     """A value is set but is not of its type."""
     return _any(
         [
-            F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull()
+            F.col(c).isNotNull() & try_typed(F.col(c), types[c]).isNull()
             for c in existing(df, types)
         ]
     )
 
 
 def typed(df: DataFrame, types: Mapping[str, str] = fv.CONTRACT_TYPES) -> DataFrame:
-    return df.withColumns({c: F.col(c).try_cast(types[c]) for c in existing(df, types)})
+    return df.withColumns({c: try_typed(F.col(c), types[c]) for c in existing(df, types)})
 
 
 def outside_domain(

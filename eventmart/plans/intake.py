@@ -26,6 +26,8 @@ from eventmart.sources import (
 from eventmart.specs import FeedSpec
 
 REASON_MALFORMED = "Malformed record"
+KIND = "line_kind"
+LINE = "malformed_line"
 
 
 def name_matches(column: str, pattern: str) -> Column:
@@ -118,24 +120,24 @@ def stage(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     The two lie in separate partitions, so each reader opens its own files only.
     """
     kind = F.when(F.col(CORRUPT).isNull(), "rows").otherwise("malformed")
-    lines = rows.withColumn("kind", kind).withColumnRenamed(CORRUPT, "record")
-    write_table(lines, path, ["kind"], whole=True)
+    lines = rows.withColumn(KIND, kind).withColumnRenamed(CORRUPT, LINE)
+    write_table(lines, path, [KIND], whole=True)
     staged = read_table(rows.sparkSession, path, lines.schema)
     return (
-        staged.where("kind = 'rows'").drop("kind", "record"),
-        staged.where("kind = 'malformed'")
-        .drop("kind")
+        staged.where(F.col(KIND) == "rows").drop(KIND, LINE),
+        staged.where(F.col(KIND) == "malformed")
+        .drop(KIND)
         .withColumn(fv.ERROR_REASON, F.lit(REASON_MALFORMED)),
     )
 
 
 def staged_rows(spark: SparkSession, spec: FeedSpec) -> DataFrame:
     """The rows the last intake staged for a feed."""
-    columns = [*spec.columns, "record", FILE_NAME]
+    columns = [*spec.columns, LINE, FILE_NAME]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    schema.add(fv.INTAKE_TIME, T.TimestampType()).add("kind", T.StringType())
+    schema.add(fv.INTAKE_TIME, T.TimestampType()).add(KIND, T.StringType())
     staged = read_table(spark, spec.preprocess_path, schema)
-    return staged.where("kind = 'rows'").drop("kind", "record")
+    return staged.where(F.col(KIND) == "rows").drop(KIND, LINE)
 
 
 def take_in(

@@ -171,7 +171,7 @@ def quarantine(
 ) -> int:
     """Write rejects, which carry their reason, as one part of the quarantine."""
     rows = rejects.withColumn(fv.ERROR_TIME, F.lit(run_ts))
-    return write_table(rows, f"{path}/{BATCH}={batch}/kind={part}")
+    return write_table(rows, f"{path}/{BATCH}={batch}/reject_kind={part}")
 
 
 def rebuild(

@@ -1,6 +1,9 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from eventmart import fixed_values as fv
+from eventmart.functions import try_typed
 from eventmart.operators.contracts import (
     apply_deletes,
     split_conditional,
@@ -25,6 +28,15 @@ def test_types(spark, rows):
     assert (untouched.count(), none.count()) == (4, 0)
 
 
+def test_whole_numbers_equal_the_cast(spark):
+    texts = ["1", " 1", "1 ", "\t+7\n", "-0", "--1", "1-", "+", "", " ", "1.0", "1e3", "x", "1 2",
+             "99999999999", "9999999999999999999999", "\u0663", "1_0", "\x7f5", "\u00a05", "0x1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for dtype in ("int", "bigint", "double", "date"):
+        cast = df.select(F.col("t").try_cast(dtype)).collect()
+        assert df.select(try_typed(F.col("t"), dtype)).collect() == cast
+
+
 def test_domains(spark, rows):
     df = spark.createDataFrame(
         [(1, "Confirmed", "Dinner"), (2, "confirmed", "Dinner"), (3, None, "No Meal"), (4, None, None)],

@@ -89,7 +89,7 @@ def test_file_checks_and_reading(spark, inbound, rows):
         ("E1", "Low, RSVP", "2025-07-03"), ("E2", None, "2025-07-04"),
         ("E3", "x", "2025-07-04"), ("E8", "x", "2025-07-04"),
     ]
-    assert rows(taken.malformed, "record") == [("E6,x",), ("E7,x,2025-07-04,more",)]
+    assert rows(taken.malformed, "malformed_line") == [("E6,x",), ("E7,x,2025-07-04,more",)]
     assert {r[fv.INTAKE_TIME] for r in taken.rows.collect()} == {RUN}
     # Fewer columns must not hide a ragged line.
     assert taken.rows.select("event_id").count() == 4

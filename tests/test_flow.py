@@ -155,7 +155,7 @@ def test_counts(day_one):
 
 def test_tables_of_day_one(spark, day_one, world, rows, base):
     layout = world[2]
-    assert rows(read(spark, layout.errors("event")), "event_id", "error_reason", "record") == [
+    assert rows(read(spark, layout.errors("event")), "event_id", "error_reason", "malformed_line") == [
         (None, "Malformed record", "E5,Short"),
         ("E3", fv.REASON_DUPLICATE, None), ("E3", fv.REASON_DUPLICATE, None),
         ("E4", fv.REASON_NULL, None),
