@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -18,6 +19,7 @@ from eventmart.sources import (
     CORRUPT,
     FILE_NAME,
     file_facts,
+    first_lines,
     manifest,
     read_delimited,
     read_table,
@@ -91,7 +93,7 @@ def check_files(
         .when(F.coalesce("data_lines", F.lit(0)) <= 0, F.lit("File is empty"))
         .when(~F.col("header_ok"), F.lit(f"Column mismatch. Expected: {list(spec.columns)}"))
     )
-    return settle(
+    verdicts = settle(
         files.select(
             F.lit(spec.feed_type).alias("feed_type"),
             "path",
@@ -103,6 +105,18 @@ def check_files(
             F.lit(run_ts).alias("checked_at"),
         )
     )
+    mismatch = F.col("reason").startswith("Column mismatch")
+    wrong = [r.path for r in verdicts.where(mismatch).select("path").collect()]
+    if not wrong:
+        return verdicts
+    names = F.array_join(F.split(F.col("line"), re.escape(spec.sep)), "', '")
+    found = F.concat("reason", F.lit(", Found: ['"), names, F.lit("']"))
+    lines = first_lines(spark, wrong)
+    return settle(
+        verdicts.join(lines, "file_name", "left")
+        .withColumn("reason", F.when(mismatch, found).otherwise(F.col("reason")))
+        .select(*verdicts.columns)
+    )
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,7 @@ from eventmart.sources.files import (
     CORRUPT,
     FILE_NAME,
     file_facts,
+    first_lines,
     manifest,
     read_delimited,
     read_master,
@@ -22,6 +23,7 @@ __all__ = [
     "append_quarantine",
     "export_name",
     "file_facts",
+    "first_lines",
     "manifest",
     "read_delimited",
     "read_master",

@@ -130,6 +130,18 @@ def file_facts(
     )
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The first filled line per file; meant for few files, such as the rejected ones."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_name").alias("file_name"),
+        "value",
+        F.monotonically_increasing_id().alias("place"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
+    filled = lines.where((F.col("start") == 0) & (F.trim("value") != ""))
+    return filled.groupBy("file_name").agg(F.min_by("value", "place").alias("line"))
+
+
 def read_master(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Master data: comma-delimited with a header, all text unless a schema is given."""
     reader = spark.read.option("header", True)

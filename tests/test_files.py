@@ -74,7 +74,8 @@ def test_manifest_lists_by_prefix_without_reading(spark, inbound):
 def test_file_checks_and_reading(spark, inbound, rows):
     taken = take_in(spark, spec(inbound), RUN, settle, [spec(inbound, "event")])
     reasons = {r.file_name: r.reason for r in taken.files.collect()}
-    mismatch = f"Column mismatch. Expected: {list(DELETE_COLUMNS)}"
+    found = ["event_id", "deletion_date", "deletion_reason"]
+    mismatch = f"Column mismatch. Expected: {list(DELETE_COLUMNS)}, Found: {found}"
     assert reasons == {
         "LMHC_EVENT_DEL_20250706160000.csv": None,
         "LMHC_EVENT_del_20250706180000.csv": None,
