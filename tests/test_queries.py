@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from checks import ORACLE, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -40,11 +41,11 @@ def normal(columns, rows):
     return sorted(out, key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     result = entry_points.queries()[name](spark, FOLDER)
     collected = [tuple(r) for r in result.collect()]
-    sql = entry_points.oracle_sql()[name]
+    sql = ORACLE[name]
     expected = duck.execute(sql)
     names = [c[0] for c in expected.description]
     wanted = expected.fetchall()
