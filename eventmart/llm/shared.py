@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A word is a run of anything but these six.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,26 +48,48 @@ def texts(column: pa.Array) -> list[str]:
 
 
 def with_columns(
-    df: DataFrame, text: str, make: Callable[[pa.Array], dict[str, list]], added: str
+    df: DataFrame, text: str, make: Callable[[pa.Array], dict], added: str
 ) -> DataFrame:
-    """Add columns that ``make`` derives from the texts of a batch; ``text`` itself is dropped.
+    """Put the columns that ``make`` derives from a batch of texts in the place of ``text``.
 
-    ``added`` is their schema as DDL. Rows stay in their task: no shuffle.
+    ``added`` is their schema as DDL; a column of the same name is replaced. Rows stay in their
+    task: no shuffle.
     """
-    rest = [c for c in df.columns if c != text]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df[rest].schema), added])
-    extra = df.sparkSession.createDataFrame([], added).schema.names
+    extra = StructType.fromDDL(added)
+    rest = [c for c in df.columns if c != text and c not in extra.names]
+    schema = StructType([*(df.schema[c] for c in rest), *extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = make(batch.column(batch.schema.get_field_index(text)))
             kept = [batch.column(batch.schema.get_field_index(c)) for c in rest]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, *(x if isinstance(x, pa.Array) else pa.array(x) for x in map(made.get, extra))],
-                names=[*rest, *extra],
-            )
+            new = [pa.array(made[c]) for c in extra.names]
+            yield pa.RecordBatch.from_arrays([*kept, *new], names=[*rest, *extra.names])
 
-    return df.select(*(F.col(f"`{c}`") for c in df.columns)).mapInArrow(run, schema)
+    return df.select(text, *rest).mapInArrow(run, schema)
+
+
+Span = tuple[str, int, int]
+
+
+def in_order(spans: Iterable[Span], kinds: Sequence[str]) -> list[Span]:
+    """Spans by start, then by the place of their kind in ``kinds``, then by end."""
+    return sorted(spans, key=lambda s: (s[1], kinds.index(s[0]), s[2]))
+
+
+def written(spans: Iterable[Span]) -> str:
+    """``kind:start:end`` joined by commas."""
+    return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+
+
+def without_overlap(found: Iterable[Span], base: Iterable[Span]) -> list[Span]:
+    """Those of ``found`` that share no character with a span of ``base`` or an earlier one."""
+    taken, out = sorted((s, e) for _, s, e in base), []
+    for span in sorted(found, key=lambda s: (s[1], -s[2])):
+        if all(e <= span[1] or span[2] <= s for s, e in taken):
+            taken.append(span[1:])
+            out.append(span)
+    return out
 
 
 def random_key(doc_id: str) -> Column:
