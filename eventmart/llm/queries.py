@@ -1,6 +1,10 @@
 """The registered queries, one per operator, and the SQL that gives the same where SQL can."""
 
-from eventmart.llm import mixing
+from eventmart.llm import mixing, pii, secrets
 
-QUERIES = {"op3_mix_sources": mixing.op3_mix_sources}
+QUERIES = {
+    "op3_mix_sources": mixing.op3_mix_sources,
+    "op6_find_personal_data": pii.op6_find_personal_data,
+    "op9_scan_secrets": secrets.op9_scan_secrets,
+}
 ORACLE = {"op3_mix_sources": mixing.SQL}
