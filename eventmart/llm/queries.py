@@ -1,8 +1,9 @@
 """The registered queries, one per operator, and the SQL that gives the same where SQL can."""
 
-from eventmart.llm import mixing, pii, secrets
+from eventmart.llm import mixing, pii, quality_rules, secrets
 
 QUERIES = {
+    "op2_rule_documents": quality_rules.op2_rule_documents,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op6_find_personal_data": pii.op6_find_personal_data,
     "op9_scan_secrets": secrets.op9_scan_secrets,

@@ -48,15 +48,15 @@ def texts(column: pa.Array) -> list[str]:
 
 
 def with_columns(
-    df: DataFrame, text: str, make: Callable[[pa.Array], dict], added: str
+    df: DataFrame, text: str, make: Callable[[pa.Array], dict], added: str, keep: bool = False
 ) -> DataFrame:
     """Put the columns that ``make`` derives from a batch of texts in the place of ``text``.
 
-    ``added`` is their schema as DDL; a column of the same name is replaced. Rows stay in their
-    task: no shuffle.
+    ``added`` is their schema as DDL; a column of the same name is replaced. ``keep`` keeps the
+    text as well. Rows stay in their task: no shuffle.
     """
     extra = StructType.fromDDL(added)
-    rest = [c for c in df.columns if c != text and c not in extra.names]
+    rest = [c for c in df.columns if (keep or c != text) and c not in extra.names]
     schema = StructType([*(df.schema[c] for c in rest), *extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +66,7 @@ def with_columns(
             new = [pa.array(made[c]) for c in extra.names]
             yield pa.RecordBatch.from_arrays([*kept, *new], names=[*rest, *extra.names])
 
-    return df.select(text, *rest).mapInArrow(run, schema)
+    return df.select(text, *(c for c in rest if c != text)).mapInArrow(run, schema)
 
 
 Span = tuple[str, int, int]
@@ -119,3 +119,20 @@ def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     for c in columns:
         condition = condition & left[c].eqNullSafe(right[c])
     return condition
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, most: int
+) -> DataFrame:
+    """(text, label) of up to ``most`` documents of each class 0 and 1: those of least key.
+
+    Null labels, ids and texts are left out. At most 2 * ``most`` ids are sent to the tasks.
+    """
+    known = labels.where(f"doc_id IS NOT NULL AND {label} IN (0, 1)").groupBy("doc_id")
+    known = known.agg(F.min(label).alias("label")).withColumn("key", random_key("doc_id"))
+    picked = None
+    for value in (0, 1):
+        part = known.where(F.col("label") == value).orderBy("key", "doc_id").limit(most)
+        picked = part if picked is None else picked.unionAll(part)
+    rows = docs.where("text IS NOT NULL").select("doc_id", "text")
+    return rows.join(F.broadcast(picked), "doc_id").select("key", "doc_id", "text", "label")
