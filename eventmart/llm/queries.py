@@ -1,11 +1,22 @@
 """The registered queries, one per operator, and the SQL that gives the same where SQL can."""
 
-from eventmart.llm import mixing, pii, quality_rules, secrets
+from eventmart.llm import (
+    mixing,
+    near_duplicates,
+    packing,
+    pii,
+    quality_rules,
+    secrets,
+    site_quality,
+)
 
 QUERIES = {
+    "op1_classify_quality": site_quality.op1_classify_quality,
     "op2_rule_documents": quality_rules.op2_rule_documents,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op4_near_duplicates": near_duplicates.op4_near_duplicates,
     "op6_find_personal_data": pii.op6_find_personal_data,
     "op9_scan_secrets": secrets.op9_scan_secrets,
+    "op10_pack_sequences": packing.op10_pack_sequences,
 }
 ORACLE = {"op3_mix_sources": mixing.SQL}
