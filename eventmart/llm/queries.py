@@ -1,13 +1,16 @@
 """The registered queries, one per operator, and the SQL that gives the same where SQL can."""
 
 from eventmart.llm import (
+    language,
     mixing,
     near_duplicates,
+    neighbours,
     packing,
     pii,
     quality_rules,
     secrets,
     site_quality,
+    warc,
 )
 
 QUERIES = {
@@ -15,8 +18,11 @@ QUERIES = {
     "op2_rule_documents": quality_rules.op2_rule_documents,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_near_duplicates": near_duplicates.op4_near_duplicates,
+    "op5_identify_language": language.op5_identify_language,
     "op6_find_personal_data": pii.op6_find_personal_data,
+    "op7_round_trip_archives": warc.op7_round_trip_archives,
+    "op8_nearest_vectors": neighbours.op8_nearest_vectors,
     "op9_scan_secrets": secrets.op9_scan_secrets,
     "op10_pack_sequences": packing.op10_pack_sequences,
 }
-ORACLE = {"op3_mix_sources": mixing.SQL}
+ORACLE = {"op3_mix_sources": mixing.SQL, "op7_round_trip_archives": warc.SQL}

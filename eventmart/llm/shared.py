@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,6 +25,18 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what runs inside."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """Columns of one of the given tables."""
     return ready(spark).read.parquet(f"{folder}/{name}.parquet").select(*columns)
