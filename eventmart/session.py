@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,6 +98,32 @@ class Workspace:
         self.close()
 
 
+# Workspaces that ``settle`` writes to; the last one is in use.
+_OPEN: list[Workspace] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Workspace]:
+    """What is settled inside goes when this ends, so results must be written before."""
+    with Workspace(spark) as space:
+        _OPEN.append(space)
+        try:
+            yield space
+        finally:
+            _OPEN.remove(space)
+
+
+def _at_exit(space: Workspace) -> None:
+    try:
+        space.close()
+    except Exception:  # the session may be gone by then
+        pass
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """One table settled in a workspace of its own, which stays: the result is read later."""
-    return Workspace(df.sparkSession).settle(df)
+    """One table settled: within ``scratch`` until that ends, else until Python exits."""
+    if _OPEN:
+        return _OPEN[-1].settle(df)
+    space = Workspace(df.sparkSession)
+    atexit.register(_at_exit, space)
+    return space.settle(df)
