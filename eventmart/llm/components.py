@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventmart.session import settle
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
-
-
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each linked id can reach, from links (a, b).
 
@@ -24,28 +20,28 @@ def components(links: DataFrame) -> DataFrame:
         least = F.least(F.min("b"), F.col("a")) if own else F.min("b")
         return table.groupBy("a").agg(least.alias("m"))
 
-    def step(table: DataFrame, large: bool) -> DataFrame:
-        if large:
-            both = table.unionAll(table.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            joined = both.join(least_of(both, True), "a").where("b > a")
-            out = joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            joined = table.join(least_of(table, False), "a")
-            out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
-                joined.select("a", F.col("m").alias("b"))
-            )
-        return out.where("a <> b").distinct()
+    def to_larger(table: DataFrame) -> DataFrame:
+        both = table.unionAll(table.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        joined = both.join(least_of(both, True), "a").where("b > a")
+        return joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+    def to_smaller(table: DataFrame) -> DataFrame:
+        joined = table.join(least_of(table, False), "a")
+        pair = F.array(F.struct(F.col("b").alias("a")), F.struct(F.col("a").alias("a")))
+        moved = joined.select(F.explode(pair).alias("node"), F.col("m").alias("b"))
+        return moved.select("node.a", "b").where("a <> b").distinct()
 
     links = links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    links = settle(links.distinct())
-    before = _state(links)
+    before = None
     while True:
-        links = settle(step(step(links, True), False))
-        after = _state(links)
-        if after == before:
+        seen = Observation()
+        state = F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % 1_000_003).alias("sum")
+        links = settle(to_smaller(to_larger(links)).observe(seen, *state))
+        if seen.get == before:
             break
-        before = after
-    roots = links.select("b").distinct().select(F.col("b").alias("id"), F.col("b").alias("component"))
-    return settle(links.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(roots))
+        before = seen.get
+    root = F.array("a", "b")  # links are stars now; a root is its own component
+    each = links.select(F.explode(root).alias("id"), F.col("b").alias("component"))
+    return settle(each.distinct())

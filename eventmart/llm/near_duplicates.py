@@ -4,11 +4,16 @@ Each set of shingles is hashed once into bins (one-permutation hashing); an empt
 value of the first full bin in a random order of its own (optimal densification). Bins are
 grouped into bands, and documents that share a band share a bucket. Equal sets count as one.
 
-A bucket does not give all its pairs. It gives a star: its members are paired with a centre, the
-one that shares most buckets. Confirmed links join components, and a bucket whose members are in
-one component is done. In the others more centres follow, round after round, each paired with the
-members of other components, until every pair across components has been tried. So large groups
-cost a few links per member, and no link between buckets' members is lost for the components.
+A bucket does not give all its pairs. It gives a star: each member is paired with the best centre
+of its buckets, the document that shares most of them. Confirmed links join components, and a
+bucket whose members are in one component is done.
+
+For the others an exact rule finds what the stars missed. Of the documents in open buckets only
+the rarest shingles are compared: two similar sets share one among their first few by rarity,
+and not after too many that the other lacks. Documents that share one form a finer bucket; its
+members outside its largest component become centres, a bounded number in each round, and meet
+the members of other components. So large groups cost a few links per member, and no link
+between members of a bucket is lost for the components.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing;
 shorter texts than a shingle are one shingle; a null id is linked with nothing and kept; rows of
@@ -18,9 +23,13 @@ one id are one document, linked through each of its texts; an empty table gives
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -33,8 +42,12 @@ LEAST = 80  # percent
 # 128 bins in bands of 4: a pair of similarity 0.8 shares no bucket once in twenty million.
 BIN_BITS = 7
 ROWS = 4
-# Centres that a bucket tries in a round.
-CENTRES = 8
+# Centres that a finer bucket tries in a round.
+CENTRES = 1024
+# Ids that are sent to every task, so that texts need not move; beyond, both sides are shuffled.
+SENT_IDS = 4_000_000
+# Bins that a set's hashes are counted in, to bound how much two sets can share.
+COUNTS = 512
 
 BINS = 1 << BIN_BITS
 EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
@@ -114,43 +127,86 @@ def sketch(docs: DataFrame) -> DataFrame:
     return with_columns(docs.select("doc_id", "text"), "text", make, added)
 
 
+def counted(hashes: np.ndarray) -> bytes | None:
+    """How many hashes fall into each of equal ranges, a byte each; None if one has too many."""
+    bins = np.bincount((hashes >> np.uint64(64 - 9)).astype(np.int64), minlength=COUNTS)
+    return bins.astype(np.uint8).tobytes() if bins.max() < 256 else None
+
+
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, hashes) of the documents in ``ids``."""
+    """(id, n, counts, hashes) of the documents in ``ids``, a stored table."""
+    if ids.count() <= SENT_IDS:
+        ids = F.broadcast(ids)
     rows = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi")
 
     def make(column):
-        return {"hashes": [shingles(raw).view(np.int64) for raw in binary_texts(column)]}
+        sets = [shingles(raw) for raw in binary_texts(column)]
+        return {
+            "n": [len(s) for s in sets],
+            "counts": [counted(s) for s in sets],
+            "hashes": [s.view(np.int64) for s in sets],
+        }
+
+    added = "n long, counts binary, hashes array<long>"
+    rows = with_columns(rows.select("doc_id", "text"), "text", make, added)
+    return rows.where("n > 0").withColumnRenamed("doc_id", "id")
+
+
+def _sizes_allow(n: str, other: str, least: int) -> Column:
+    """Sets whose sizes differ more cannot be similar enough."""
+    return 100 * F.least(n, other) >= least * F.greatest(n, other)
+
 
-    rows = with_columns(rows.select("doc_id", "text"), "text", make, "hashes array<long>")
-    return rows.where(F.size("hashes") > 0).withColumnRenamed("doc_id", "id")
+def _sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """Pairs with (n, ``column``) of both sides as (one_n, one, other_n, other)."""
+    first = sets.select(F.col("id").alias("a"), F.col("n").alias("one_n"), F.col(column).alias("one"))
+    second = sets.select(F.col("id").alias("b"), F.col("n").alias("other_n"), F.col(column).alias("other"))
+    return pairs.join(first, "a").join(second, "b")
 
 
-def _similar(inside: Column, one: Column, other: Column, least: int) -> Column:
-    return 100 * inside >= least * (one + other - inside)
+def possible(pairs: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
+    """Those of ``pairs`` that their counts allow to be similar enough.
+
+    Two sets share in each range at most the smaller of their counts, so nothing similar goes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, one_n, one, other_n, other = (batch.column(i) for i in range(6))
+            sizes = one_n.to_numpy(), other_n.to_numpy()
+            shared = np.minimum(*sizes)
+            both = np.flatnonzero(pc.and_(one.is_valid(), other.is_valid()).to_numpy(False))
+            if len(both):
+                bins = [
+                    np.frombuffer(b"".join(x.take(pa.array(both)).to_pylist()), np.uint8)
+                    for x in (one, other)
+                ]
+                low = np.minimum(*bins).reshape(len(both), COUNTS).sum(1, dtype=np.int64)
+                shared[both] = np.minimum(shared[both], low)
+            fits = pa.array(100 * shared >= least * (sizes[0] + sizes[1] - shared))
+            yield pa.RecordBatch.from_arrays([a.filter(fits), b.filter(fits)], names=["a", "b"])
+
+    both = _sides(pairs, sets, "counts").select("a", "b", "one_n", "one", "other_n", "other")
+    return both.mapInArrow(run, pairs.select("a", "b").schema)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough."""
-    first = sets.select(F.col("id").alias("a"), F.col("hashes").alias("one"))
-    second = sets.select(F.col("id").alias("b"), F.col("hashes").alias("other"))
-    both = pairs.join(first, "a").join(second, "b")
+    both = _sides(possible(pairs, sets, least), sets, "hashes")
     inside = F.size(F.array_intersect("one", "other"))
-    return both.where(_similar(inside, F.size("one"), F.size("other"), least)).select("a", "b")
-
-
-def _sizes_allow(n: str, other: str, least: int) -> Column:
-    """Sets whose sizes differ more cannot be similar enough."""
-    return 100 * F.least(n, other) >= least * F.greatest(n, other)
+    similar = 100 * inside >= least * (F.col("one_n") + F.col("other_n") - inside)
+    return both.where(similar).select("a", "b")
 
 
 def _shared_buckets(members: DataFrame) -> DataFrame:
     """(bucket, id, n, score) of buckets with several members; ``score`` is how many others an
     id meets over all its buckets."""
-    members = members.distinct()
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    shared = settle(members.join(settle(sizes), "bucket"))
-    scores = shared.groupBy("id").agg(F.sum(F.col("members") - 1).alias("score"))
-    return settle(shared.drop("members").join(scores, "id"))
+    sizes = members.groupBy("bucket").agg(
+        F.count("*").alias("members"), F.min("id").alias("low"), F.max("id").alias("high")
+    )
+    sizes = settle(sizes.where("low <> high").select("bucket", "members"))
+    own = F.sum(F.col("members") - 1).over(Window.partitionBy("id"))  # a row per band
+    return settle(members.join(sizes, "bucket").withColumn("score", own).drop("members"))
 
 
 def _first_pairs(shared: DataFrame, least: int) -> DataFrame:
@@ -176,43 +232,104 @@ def _ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
     return pairs.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
 
 
+def rare_shingles(sets: DataFrame, ids: DataFrame, least: int = LEAST) -> DataFrame:
+    """(bucket, id, n, place): of the sets of ``ids``, the shingles that a similar set must share.
+
+    Shingles are ordered by how many of these documents have them. If two sets are similar
+    enough, one of the first n - least% * n + 1 of each is common. Shingles that one document
+    has alone come first and need no row; ``place`` counts them.
+    """
+    rows = sets.join(ids, "id", "left_semi").withColumn("which", F.xxhash64("hashes"))
+    rows = rows.select("id", "which", "n", F.explode("hashes").alias("bucket"))
+    common = rows.groupBy("bucket").agg(F.count("*").alias("documents")).where("documents > 1")
+    rows = rows.join(common, "bucket")
+    own = Window.partitionBy("id", "which")
+    by_rarity = own.orderBy("documents", "bucket")
+    alone = F.col("n") - F.count("*").over(own)
+    rows = rows.withColumn("place", alone + F.row_number().over(by_rarity) - 1)
+    enough = F.ceil(F.col("n") * least / 100)
+    return rows.where(F.col("place") <= F.col("n") - enough).select("bucket", "id", "n", "place")
+
+
+def _with_component(shared: DataFrame, known: DataFrame) -> DataFrame:
+    live = shared.join(known, "id", "left")
+    return live.withColumn("component", F.coalesce("component", "id"))
+
+
+def _unsettled(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """Ids in buckets with several components."""
+    live = _with_component(shared, known)
+    split = live.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    split = split.where("low <> high").select("bucket")
+    return settle(shared.join(settle(split), "bucket").select("id").distinct())
+
+
+def _open_buckets(finer: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of buckets with several components, with their component, the bucket's largest one
+    (``main``), and how many members are outside of it."""
+    live = _with_component(finer, known)
+    counts = live.groupBy("bucket", "component").agg(F.count("*").alias("members"))
+    split = counts.groupBy("bucket").agg(
+        F.max(F.struct("members", "component")).alias("main"), F.sum("members").alias("members")
+    )
+    split = split.select(
+        "bucket",
+        F.col("main.component").alias("main"),
+        (F.col("members") - F.col("main.members")).alias("outside"),
+    )
+    return settle(live.join(settle(split.where("outside > 0")), "bucket"))
+
+
+def _centres(live: DataFrame) -> DataFrame:
+    """Members outside the largest component: all, or one of each of ``CENTRES`` parts."""
+    part = F.when(F.col("outside") <= CENTRES, F.col("id")).otherwise(
+        F.pmod(F.xxhash64("id"), F.lit(CENTRES))
+    )
+    outside = live.where("component <> main").groupBy("bucket", part.alias("part"))
+    chosen = outside.agg(F.max(F.struct("id", "n", "place", "component")).alias("top"))
+    return settle(
+        chosen.select(
+            "bucket",
+            F.col("top.id").alias("centre"),
+            F.col("top.n").alias("centre_n"),
+            F.col("top.place").alias("centre_place"),
+            F.col("top.component").alias("centre_component"),
+        )
+    )
+
+
+def _places_allow(least: int) -> Column:
+    """If a shingle is the first that two sets share, they share at most what follows in either."""
+    most = F.least(F.col("n") - F.col("place"), F.col("centre_n") - F.col("centre_place"))
+    return (100 + least) * most >= least * (F.col("n") + F.col("centre_n"))
+
+
 def link(shared: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
     """(id, component) of the ids that have a link, from shared buckets and full sets."""
-    tried = settle(_ordered(_first_pairs(shared, least), "id", "centre"))
-    known = components(settle(confirmed(tried, sets, least)))
+    stars = settle(confirmed(_ordered(_first_pairs(shared, least), "id", "centre"), sets, least))
+    known = components(stars)
+    finer = settle(rare_shingles(sets, _unsettled(shared, known), least))
+    found = []
     while True:
-        live = shared.join(known, "id", "left")
-        live = live.withColumn("component", F.coalesce("component", "id"))
-        split = live.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        split = settle(split.where("low <> high").select("bucket"))
-        live = settle(live.join(split, "bucket"))
-        if live.isEmpty():
-            return known
-        part = F.pmod(F.xxhash64("id"), F.lit(CENTRES))
-        top = F.max(F.struct("score", "id", "n", "component")).alias("top")
-        centres = settle(
-            live.groupBy("bucket", part.alias("part"))
-            .agg(top)
-            .select(
-                "bucket",
-                F.col("top.id").alias("centre"),
-                F.col("top.n").alias("centre_n"),
-                F.col("top.component").alias("centre_component"),
-            )
-        )
-        met = live.join(centres, "bucket").where(
-            (F.col("component") != F.col("centre_component")) & _sizes_allow("n", "centre_n", least)
-        )
-        pairs = settle(_ordered(met, "id", "centre").join(tried, ["a", "b"], "left_anti"))
-        found = settle(confirmed(pairs, sets, least))
-        tried = settle(tried.unionAll(pairs))
-        if not found.isEmpty():
-            stars = known.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            known = components(found.unionAll(stars))
+        live = _open_buckets(finer, known)
+        outside = live.agg(F.max("outside")).first()[0]
+        if outside is None:
+            break
+        centres = _centres(live)
+        apart = F.col("component") != F.col("centre_component")
+        met = live.join(centres, "bucket").where(apart & _places_allow(least))
+        pairs = settle(_ordered(met, "id", "centre"))
+        found.append(settle(confirmed(pairs, sets, least)))
+        if outside <= CENTRES:
+            break  # all members outside the largest components were centres
         over = centres.select("bucket", F.col("centre").alias("id"))
-        shared = settle(live.drop("component").join(over, ["bucket", "id"], "left_anti"))
+        finer = settle(live.select(*finer.columns).join(over, ["bucket", "id"], "left_anti"))
+    if not found:
+        return known
+    tree = known.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return components(reduce(DataFrame.unionAll, found, tree))
 
 
 def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -229,7 +346,8 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
         F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")
     )
     shared = _shared_buckets(members)
-    linked = link(shared, settle(full_sets(docs, shared.select("id").distinct())), least)
+    ids = settle(shared.select("id").distinct())
+    linked = link(shared, settle(full_sets(docs, ids)), least)
     linked = linked.where("id <> component")
     # of each document: the first with its set, then that one's component
     first = sketches.select("doc_id", "n_shingles", "set_id").join(copies, "set_id", "left")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,9 +23,23 @@ BATCH_ROWS = 256
 KEY_DIGITS = 3
 
 
+_SHIPPED: set[str] = set()
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Set the size of Arrow batches; a batch of texts must fit in a Python worker."""
+    """Set the size of Arrow batches, and hand this package to the Python workers.
+
+    A batch of texts must fit in a worker. Spark's file server gives the package to executors
+    that do not have it, as ``--py-files`` would; once per application.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        folder = tempfile.mkdtemp(prefix="package-")  # read by the driver only
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        root = Path(__file__).resolve().parents[2]
+        context.addPyFile(shutil.make_archive(f"{folder}/eventmart", "zip", root, "eventmart"))
     return spark
 
 
@@ -118,12 +136,24 @@ def key_range(key: str) -> Column:
 def range_totals(df: DataFrame, group: list[str], span: str, value: Column) -> DataFrame:
     """Total per group and range of keys, and what the ranges before it hold (``before``).
 
-    The first step of a distributed prefix sum: rows are added up in the map tasks, and only
-    the totals, a bounded number per group, are put in order.
+    The first step of a distributed prefix sum: rows are added up in the map tasks, totals are
+    put in order inside wider ranges, and the wider ranges, a few for each group, among
+    themselves. So no task puts all ranges of a large group in order.
     """
-    ahead = Window.partitionBy(*group).orderBy(span).rowsBetween(Window.unboundedPreceding, -1)
+    def ahead(*columns: str, by: str) -> WindowSpec:
+        order = Window.partitionBy(*columns).orderBy(by)
+        return order.rowsBetween(Window.unboundedPreceding, -1)
+
     totals = df.groupBy(*group, span).agg(F.sum(value).alias("total"))
-    return totals.withColumn("before", F.coalesce(F.sum("total").over(ahead), F.lit(0)))
+    totals = totals.withColumn("wide", F.substring(span, 1, 1))
+    wide = totals.groupBy(*group, "wide").agg(F.sum("total").alias("in_wide"))
+    wide = wide.withColumn("wide_before", F.sum("in_wide").over(ahead(*group, by="wide")))
+    inside = totals.withColumn("inside", F.sum("total").over(ahead(*group, "wide", by=span)))
+    joined = inside.join(wide, same(inside, wide, [*group, "wide"]))
+    joined = joined.drop(*(wide[c] for c in [*group, "wide"]))
+    zero = F.lit(0)
+    before = F.coalesce("inside", zero) + F.coalesce("wide_before", zero)
+    return joined.select(*group, span, "total", before.alias("before"))
 
 
 def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
