@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.shared import binary_texts, random_key, table, with_columns
+from eventmart.session import settle
 
 UNKNOWN = "und"
 WINDOW = 64
@@ -227,17 +228,20 @@ def sample(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     """(text, lang) of up to ``most`` texts of each language, those of least key.
 
     Few more than needed are put in order: a first pass counts, a second takes the share of keys
-    that holds about four times as many.
+    that holds about four times as many. Only the ids of those are sorted, and the picked ones,
+    bounded by the number of languages, meet the texts.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    known = known.select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    known = known.withColumn("key", random_key("doc_id"))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    rows = known.select("lang", "doc_id", random_key("doc_id").alias("key"))
+    counts = settle(known.groupBy("lang").agg(F.count("*").alias("n")))
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32)
-    near = known.join(counts, "lang").where(place * F.col("n") < 4 * most)
-    by_lang = Window.partitionBy("lang").orderBy("key", "doc_id", "text")
+    near = rows.join(counts, "lang").where(place * F.col("n") < 4 * most)
+    by_lang = Window.partitionBy("lang").orderBy("key", "doc_id")
+    near = near.dropDuplicates(["lang", "doc_id"])
     picked = near.withColumn("place", F.row_number().over(by_lang)).where(F.col("place") <= most)
-    return picked.select("lang", "key", "text")
+    picked = settle(picked.select("lang", "doc_id", "key"))
+    texts = known.select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    return texts.join(picked, ["lang", "doc_id"]).select("lang", "key", "text")
 
 
 def fit(docs: DataFrame, most: int = SAMPLE) -> Network | None:
