@@ -218,7 +218,8 @@ def _masked(raw: bytes | None, mask: str) -> str | None:
     _, spans, _ = find_secrets(raw)
     text = raw.decode("utf-8", "replace")
     out, end = [], 0
-    for _, s, e in spans:  # by start; overlapping spans share one mask
+    hidden = [(ASSIGN.match(text, s).start(1) if k == "assign" else s, e) for k, s, e in spans]
+    for s, e in sorted(hidden):  # overlapping spans share one mask
         if s >= end:
             out += [text[end:s], mask]
         end = max(end, e)
