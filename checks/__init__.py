@@ -1,6 +1,16 @@
 """Every operator on the shared test tables, each next to the SQL that must give the same."""
 
-from checks import contracts, enrich, files, marts, merge, quality, scans  # noqa: F401
+from checks import (  # noqa: F401
+    contracts,
+    enrich,
+    files,
+    intake,
+    landing,
+    marts,
+    merge,
+    quality,
+    scans,
+)
 from checks.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

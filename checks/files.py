@@ -7,9 +7,8 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from checks.registry import line_participants, order_events, query, table
+from checks.registry import SQL_PARTICIPANTS, line_participants, order_events, query, table
 from eventmart.plans import build_marts, export_latest, flow, gate_feeds, land, landed, take_in
-from eventmart.plans.intake import check_files
 from eventmart.plans.landing import fresh_rows
 from eventmart.session import settle, work_dir
 from eventmart.sources import (
@@ -20,7 +19,6 @@ from eventmart.sources import (
     write_delimited,
 )
 from eventmart.specs import DEFAULT_RULES, FeedRules, FeedSpec
-from eventmart.streaming import stream_feed
 
 RUN = dt.datetime(2025, 7, 6, 16, 0, 0)
 NEXT = dt.datetime(2025, 7, 7, 16, 0, 0)
@@ -29,14 +27,14 @@ ORDER_RULES = FeedRules(
     keys=("event_id",), required=("event_id", "event_type"), file_pattern=r"part-.*\.csv$"
 )
 
-_ORDERS = """
+ORDERS = """
 SELECT CAST(o_orderkey AS VARCHAR) AS event_id, strftime(o_orderdate, '%Y-%m-%d') AS event_date,
        NULLIF(o_orderpriority, '5-LOW') AS event_type, o_orderstatus AS status
 FROM orders
 """
 
 
-def _orders(spark, d):
+def orders_feed(spark, d):
     return table(spark, d, "orders").select(
         F.col("o_orderkey").cast("string").alias("event_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("event_date"),
@@ -45,15 +43,15 @@ def _orders(spark, d):
     )
 
 
-def _spec(folder: str, columns=ORDER_COLUMNS, rules=ORDER_RULES, sep="|") -> FeedSpec:
+def spec_of(folder: str, columns=ORDER_COLUMNS, rules=ORDER_RULES, sep="|") -> FeedSpec:
     staged = f"{folder}_staged"
     return FeedSpec("event", "lm_events", folder, staged, "part-", sep, columns, rules)
 
 
-@query("delimited_roundtrip", _ORDERS)
+@query("delimited_roundtrip", ORDERS)
 def delimited_roundtrip(spark, d):
     folder = f"{work_dir(spark)}/orders"
-    write_delimited(_orders(spark, d), folder)
+    write_delimited(orders_feed(spark, d), folder)
     return read_delimited(spark, folder, ORDER_COLUMNS, "|").select(*ORDER_COLUMNS)
 
 
@@ -70,34 +68,14 @@ def master_scan(spark, d):
     return read_master(spark, folder)
 
 
-@query("intake_rows", _ORDERS)
+@query("intake_rows", ORDERS)
 def intake_rows(spark, d):
     folder = f"{work_dir(spark)}/orders"
-    write_delimited(_orders(spark, d), folder)
-    return take_in(spark, _spec(folder), RUN, settle).rows.select(*ORDER_COLUMNS)
+    write_delimited(orders_feed(spark, d), folder)
+    return take_in(spark, spec_of(folder), RUN, settle).rows.select(*ORDER_COLUMNS)
 
 
-@query(
-    "intake_file_checks",
-    """SELECT 'accepted' AS verdict, count(*) AS data_lines FROM orders
-       UNION ALL SELECT 'wrong header', count(*) FROM supplier""",
-)
-def intake_file_checks(spark, d):
-    """Data lines of accepted and rejected files of one folder."""
-    folder = f"{work_dir(spark)}/mixed"
-    write_delimited(_orders(spark, d), folder)
-    other = table(spark, d, "supplier").select("s_suppkey", "s_name")
-    other.write.mode("append").options(header=True, sep="|").csv(folder)
-    files = check_files(spark, _spec(folder), RUN, settle)
-    verdict = F.when(F.col("reason").isNull(), "accepted").when(
-        F.col("reason").startswith("Column mismatch"), "wrong header"
-    ).otherwise(F.col("reason"))
-    return files.groupBy(verdict.alias("verdict")).agg(
-        F.sum("data_lines").alias("data_lines")
-    )
-
-
-_LANDED = f"SELECT * FROM ({_ORDERS}) WHERE event_type IS NOT NULL"
+_LANDED = f"SELECT * FROM ({ORDERS}) WHERE event_type IS NOT NULL"
 
 
 def _land(spark, feed, folder, run, batch):
@@ -111,7 +89,7 @@ def _land(spark, feed, folder, run, batch):
 def _two_runs(spark, d):
     """First the closed orders, then all of them, the second run repeated."""
     folder = f"{work_dir(spark)}/layers"
-    orders = _orders(spark, d)
+    orders = orders_feed(spark, d)
     _land(spark, orders.where("status = 'F'").drop("event_date"), folder, RUN, "run_1")
     _land(spark, orders, folder, NEXT, "run_2")
     _land(spark, orders, folder, NEXT, "run_2")
@@ -136,9 +114,9 @@ def landing_two_runs(spark, d):
     "quarantine_two_runs",
     f"""SELECT 'Null value in key column' AS error_reason, status, count(*) AS n,
                '2025-07-07' AS last_day
-        FROM ({_ORDERS}) WHERE event_type IS NULL GROUP BY status
+        FROM ({ORDERS}) WHERE event_type IS NULL GROUP BY status
         UNION ALL SELECT 'Null value in key column', 'F first run', count(*), '2025-07-06'
-        FROM ({_ORDERS}) WHERE event_type IS NULL AND status = 'F'""",
+        FROM ({ORDERS}) WHERE event_type IS NULL AND status = 'F'""",
 )
 def quarantine_two_runs(spark, d):
     errors = read_optional(spark, f"{_two_runs(spark, d)}/error", merge=True)
@@ -171,21 +149,6 @@ def exported(spark, d):
     return read_delimited(spark, path, columns, "|").select(*columns)
 
 
-@query("stream_intake", _LANDED)
-def stream_intake(spark, d):
-    """Two rounds of files through the stream; the second holds one known and new orders."""
-    folder = work_dir(spark)
-    spec = _spec(f"{folder}/inbound")
-    orders = _orders(spark, d)
-    for part in (orders.where("status = 'F'"), orders):
-        part.write.mode("append").options(header=True, sep="|").csv(spec.inbound)
-        stream_feed(
-            spark, spec, f"{folder}/landing", f"{folder}/error", f"{folder}/checkpoint",
-            clock=lambda: RUN,
-        ).awaitTermination()
-    return landed(spark, f"{folder}/landing").select(*ORDER_COLUMNS)
-
-
 def _feeds(spark, d) -> tuple[dict[str, FeedSpec], flow.Masters, flow.Layout]:
     """Orders as events and order lines as participants, written as feeds below a new base."""
     base = work_dir(spark)
@@ -265,28 +228,72 @@ def flow_brand_mart(spark, d):
     return read_table(spark, layout.summarized("brand_performance_kpi"))
 
 
+_MART_ROWS = f"""
+SELECT o_orderkey AS event_id, strftime(o_orderdate, '%Y-%m-%d') AS event_date,
+       o_orderpriority AS event_type, o_orderstatus AS brand_id,
+       lower(o_orderstatus) AS brand_name, participant_id, attended
+FROM orders LEFT JOIN ({SQL_PARTICIPANTS}) p ON o_orderkey = order_id
+"""
+_CAME = "sum(CASE WHEN attended = 'Y' THEN 1 ELSE 0 END)"
+_SAME = f"""count(DISTINCT event_id)::DOUBLE AS events,
+            count(participant_id)::DOUBLE AS registrations, {_CAME}::DOUBLE AS attendees"""
+_SHARE = f"{_CAME}::DOUBLE / NULLIF(count(participant_id), 0)"
+_EACH = f"{_CAME}::DOUBLE / count(DISTINCT event_id)"
+
+
 @query(
     "marts_shared_base",
-    """SELECT 'event_performance_kpi' AS mart, count(DISTINCT o_orderdate) AS n FROM orders
-       UNION ALL SELECT 'product_performance_kpi', count(DISTINCT o_orderstatus) FROM orders
-       UNION ALL SELECT 'participant_engagement_kpi', count(DISTINCT l_linestatus) FROM lineitem
-       UNION ALL SELECT 'event_type_participants_kpi', count(DISTINCT o_orderpriority) FROM orders
-       UNION ALL SELECT 'brand_performance_kpi', count(DISTINCT o_orderstatus) FROM orders""",
+    f"""WITH r AS ({_MART_ROWS})
+        SELECT 'event_performance_kpi' AS mart, event_date AS label, {_SAME},
+               avg(CASE WHEN attended = 'Y' THEN 1 ELSE 0 END) AS one, {_SHARE} AS other
+        FROM r GROUP BY event_date
+        UNION ALL SELECT 'product_performance_kpi', brand_id || brand_name, {_SAME}, {_EACH}, NULL
+        FROM r GROUP BY brand_id, brand_name
+        UNION ALL SELECT 'brand_performance_kpi', brand_id || brand_name, {_SAME}, {_SHARE}, {_EACH}
+        FROM r GROUP BY brand_id, brand_name
+        UNION ALL SELECT 'event_type_participants_kpi', event_type, {_SAME}, {_SHARE},
+               count(participant_id)::DOUBLE / count(DISTINCT event_id) FROM r GROUP BY event_type
+        UNION ALL SELECT 'participant_engagement_kpi', participant_type, NULL,
+               count(participant_id)::DOUBLE, {_CAME}::DOUBLE, {_SHARE},
+               sum(CASE WHEN registered = 'Y' AND attended = 'N' THEN 1 ELSE 0 END)::DOUBLE
+                 / NULLIF(sum(CASE WHEN registered = 'Y' THEN 1 ELSE 0 END), 0)
+        FROM ({SQL_PARTICIPANTS}) GROUP BY participant_type""",
 )
 def marts_shared_base(spark, d):
-    """Group counts of all five marts built in one go from one stored base."""
+    """All measures of all five marts built in one go from one stored base."""
     status = table(spark, d, "orders").select(
         F.col("o_orderkey").alias("event_id"),
         F.col("o_orderstatus").alias("brand_id"),
         F.lower("o_orderstatus").alias("brand_name"),
     )
     events = order_events(spark, d).join(status, "event_id")
-    marts = build_marts(events, line_participants(spark, d), settle=settle)
-    counts = [
-        mart.agg(F.lit(name).alias("mart"), F.count("*").alias("n"))
-        for name, mart in marts.items()
-    ]
-    out = counts[0]
-    for count in counts[1:]:
-        out = out.unionByName(count)
+    marts = build_marts(events, line_participants(spark, d), settle=settle, unique=True)
+    brand = F.concat("brand_id", "brand_name")
+    totals = ("event_count", "total_registrations", "total_attendees")
+    measures = {
+        "event_performance_kpi": (
+            F.col("event_date"), "total_events", *totals[1:],
+            "avg_attendance_per_event", "attendance_rate",
+        ),
+        "product_performance_kpi": (brand, *totals, "avg_attendance_per_event", None),
+        "brand_performance_kpi": (
+            brand, *totals, "attendance_rate", "avg_attendance_per_event",
+        ),
+        "event_type_participants_kpi": (
+            F.col("event_type"), *totals, "attendance_rate", "avg_registrations_per_event",
+        ),
+        "participant_engagement_kpi": (
+            F.col("participant_type"), None, "total_participants", "attended_count",
+            "attendance_rate", "no_show_rate",
+        ),
+    }
+    names, out = ("events", "registrations", "attendees", "one", "other"), None
+    for mart, (label, *columns) in measures.items():
+        values = [F.lit(None) if c is None else F.col(c) for c in columns]
+        rows = marts[mart].select(
+            F.lit(mart).alias("mart"),
+            label.alias("label"),
+            *[v.cast("double").alias(n) for v, n in zip(values, names)],
+        )
+        out = rows if out is None else out.unionByName(rows)
     return out

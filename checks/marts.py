@@ -53,7 +53,7 @@ def by_event(spark, d):
 )
 def kpi_event_performance(spark, d):
     base = event_attendance(order_events(spark, d), line_participants(spark, d), ["event_date"])
-    return event_performance(base)
+    return event_performance(base, unique=True)
 
 
 _TYPE_MEASURES = f"""
@@ -69,7 +69,7 @@ count(participant_id)::DOUBLE / NULLIF(count(DISTINCT event_id), 0) AS avg_regis
 )
 def kpi_event_type(spark, d):
     base = event_attendance(order_events(spark, d), line_participants(spark, d), ["event_type"])
-    return event_type_participants(base)
+    return event_type_participants(base, unique=True)
 
 
 @query(
@@ -82,7 +82,7 @@ def kpi_event_type_fine(spark, d):
     """One group per event: events without participants divide by zero."""
     events = order_events(spark, d).withColumn("event_type", F.col("event_id").cast("string"))
     base = event_attendance(events, line_participants(spark, d), ["event_type"])
-    return event_type_participants(base)
+    return event_type_participants(base, unique=True)
 
 
 @query(
@@ -95,7 +95,7 @@ def kpi_event_type_fine(spark, d):
         FROM ({_PARTS}) GROUP BY brand_id, brand_name""",
 )
 def kpi_product_performance(spark, d):
-    return product_performance(_parts(spark, d))
+    return product_performance(_parts(spark, d), unique=True)
 
 
 @query(
@@ -108,7 +108,7 @@ def kpi_product_performance(spark, d):
         FROM ({_PARTS}) GROUP BY brand_id, brand_name""",
 )
 def kpi_brand_performance(spark, d):
-    return brand_performance(_parts(spark, d))
+    return brand_performance(_parts(spark, d), unique=True)
 
 
 def _parts(spark, d):

@@ -13,6 +13,7 @@ from eventmart.operators import (
     split_nulls,
     split_orphans,
 )
+from eventmart.session import settle
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
@@ -24,7 +25,7 @@ FROM lineitem
 
 
 def _split_lines(spark, d):
-    return split_duplicates(table(spark, d, "lineitem"), LINE_KEY, "l_shipdate")
+    return split_duplicates(table(spark, d, "lineitem"), LINE_KEY, "l_shipdate", settle)
 
 
 @query(
@@ -52,7 +53,7 @@ def dup_reject(spark, d):
 def dup_hot_key(spark, d):
     """Few keys with very many rows each."""
     events = table(spark, d, "events").select("event_type", "ts", "value")
-    return split_duplicates(events, ["event_type"], "ts")[1]
+    return split_duplicates(events, ["event_type"], "ts", settle)[1]
 
 
 _REQUIRED = "SELECT *, NULLIF(l_returnflag, 'R') AS flag FROM lineitem"

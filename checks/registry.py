@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from eventmart.session import fit_shuffles
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -32,7 +30,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
-    return fit_shuffles(spark.read.schema(_SCHEMAS[path]).parquet(path))
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 # Tables in their role as events and participants.

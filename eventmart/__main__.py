@@ -12,10 +12,10 @@ import logging
 from pyspark.sql import SparkSession
 
 from eventmart.plans import flow
-from eventmart.session import Workspace, tune
+from eventmart.session import Workspace, fitted_shuffles, tune
 from eventmart.specs import DEFAULT_RULES, load_specs, read_control, read_rules
 
-STEPS = ("run", "intake", "landing", "normalize", "marts", "export")
+STEPS = ("run", "intake", "landing", "normalize", "marts", "export", "rebuild")
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -32,8 +32,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--without-deleted", action="store_true", help="leave deleted events out")
     parser.add_argument("--keep-unbranded", action="store_true", help="keep events without brand")
+    parser.add_argument(
+        "--strict-masters", action="store_true", help="fail if a key of the master data repeats"
+    )
     args = parser.parse_args(argv)
-    if args.step in ("run", "intake", "landing", "normalize") and not args.control:
+    if args.step in ("run", "intake", "landing", "normalize", "rebuild") and not args.control:
         parser.error(f"{args.step} needs --control")
     if args.step in ("run", "normalize") and not args.masters:
         parser.error(f"{args.step} needs --masters")
@@ -53,17 +56,20 @@ def main(argv: list[str] | None = None) -> flow.Counts:
         rules = read_rules(spark, args.rules) if args.rules else DEFAULT_RULES
         specs = load_specs(read_control(spark, args.control), rules)
     masters = flow.read_masters(spark, args.masters) if args.masters else None
-    options = (args.without_deleted, args.keep_unbranded)
+    options = (args.without_deleted, args.keep_unbranded, args.strict_masters)
     if args.step == "run":
         counts = flow.run(spark, specs, masters, layout, args.run_ts, *options)
     else:
-        with Workspace(spark) as work:
+        size = flow.input_bytes(spark, specs, layout)
+        with fitted_shuffles(spark, size), Workspace(spark) as work:
             if args.step == "intake":
                 counts = flow.intake(spark, specs, layout, args.run_ts, work.settle)
             elif args.step == "landing":
                 counts = flow.landing(spark, specs, layout, args.run_ts, work.settle)
             elif args.step == "normalize":
                 counts = flow.normalize(spark, specs, masters, layout, work.settle, *options)
+            elif args.step == "rebuild":
+                counts = flow.rebuild(spark, specs, layout, args.run_ts, work.settle)
             elif args.step == "marts":
                 counts = flow.summarize(spark, layout, args.run_ts, work.settle)
             else:

@@ -55,8 +55,10 @@ def event_attendance(
     )
 
 
-def _events() -> Column:
-    return F.count_distinct("event_id")
+def _events(unique: bool) -> Column:
+    """Events of a group; a base of ``unique`` events has a row for each, so rows are counted
+    where they are, and no event is shuffled to be told from its repeats."""
+    return F.count("event_id") if unique else F.count_distinct("event_id")
 
 
 def _registrations() -> Column:
@@ -67,13 +69,15 @@ def _attendees() -> Column:
     return F.sum("attendees")
 
 
-def event_performance(base: DataFrame, run_date: str | None = None) -> DataFrame:
+def event_performance(
+    base: DataFrame, run_date: str | None = None, unique: bool = False
+) -> DataFrame:
     """Per day. ``avg_attendance_per_event`` is the share of attended rows, where an event
     without participants counts as one row; ``attendance_rate`` divides by participants."""
     require_columns(base, ["event_date"], "event attendance")
     # Grouped as a date, which is narrower than its text, and written as text at the end.
     mart = base.groupBy(day(base, "event_date").alias("event_date")).agg(
-        _events().alias("total_events"),
+        _events(unique).alias("total_events"),
         _registrations().alias("total_registrations"),
         _attendees().alias("total_attendees"),
         ratio(_attendees(), F.sum("joined_rows")).alias("avg_attendance_per_event"),
@@ -82,38 +86,38 @@ def event_performance(base: DataFrame, run_date: str | None = None) -> DataFrame
     return _processed(mart.withColumn("event_date", day_text(F.col("event_date"))), run_date)
 
 
-def product_performance(base: DataFrame, run_date: str | None = None) -> DataFrame:
-    """Per brand combination."""
-    mart = base.groupBy("brand_id", "brand_name").agg(
-        _events().alias("event_count"),
-        _registrations().alias("total_registrations"),
-        _attendees().alias("total_attendees"),
-        ratio(_attendees(), _events()).alias("avg_attendance_per_event"),
-    )
-    return _processed(mart, run_date)
-
-
-def brand_performance(base: DataFrame, run_date: str | None = None) -> DataFrame:
+def brand_performance(
+    base: DataFrame, run_date: str | None = None, unique: bool = False
+) -> DataFrame:
     """Per brand combination, with the attendance rate."""
     mart = base.groupBy("brand_id", "brand_name").agg(
-        _events().alias("event_count"),
+        _events(unique).alias("event_count"),
         _registrations().alias("total_registrations"),
         _attendees().alias("total_attendees"),
         ratio(_attendees(), _registrations()).alias("attendance_rate"),
-        ratio(_attendees(), _events()).alias("avg_attendance_per_event"),
+        ratio(_attendees(), _events(unique)).alias("avg_attendance_per_event"),
     )
     return _processed(mart, run_date)
 
 
-def event_type_participants(base: DataFrame, run_date: str | None = None) -> DataFrame:
+def product_performance(
+    base: DataFrame, run_date: str | None = None, unique: bool = False
+) -> DataFrame:
+    """Per brand combination: the brand mart without the attendance rate."""
+    return brand_performance(base, run_date, unique).drop("attendance_rate")
+
+
+def event_type_participants(
+    base: DataFrame, run_date: str | None = None, unique: bool = False
+) -> DataFrame:
     """Per event type."""
     require_columns(base, ["event_type"], "event attendance")
     mart = base.groupBy("event_type").agg(
-        _events().alias("event_count"),
+        _events(unique).alias("event_count"),
         _registrations().alias("total_registrations"),
         _attendees().alias("total_attendees"),
         ratio(_attendees(), _registrations()).alias("attendance_rate"),
-        ratio(_registrations(), _events()).alias("avg_registrations_per_event"),
+        ratio(_registrations(), _events(unique)).alias("avg_registrations_per_event"),
     )
     return _processed(mart, run_date)
 

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
 from eventmart.operators.quality import Settle
-from eventmart.session import planned_bytes
-
-MUCH_LARGER = 4
 
 
 def stamp(df: DataFrame, at: Column) -> DataFrame:
@@ -28,15 +25,12 @@ def keys_in(
 ) -> DataFrame:
     """Distinct ``columns`` of ``stored``, holding all that occur as ``df_columns`` in ``df``.
 
-    When the stored keys are much larger than those of ``df``, as all days before are against
-    one day's feed, they are first filtered to the keys in ``df``; so no later step handles
-    all stored keys. Otherwise the filter would cost more than it saves.
+    Stored keys, which may be all days before, are first filtered to those of ``df``, such as
+    one day's feed; so no later step handles all stored keys.
     """
     keys = stored.select(*columns)
-    wanted = df.select(*[F.col(d).alias(c) for d, c in zip(df_columns, columns)])
-    if planned_bytes(keys) > MUCH_LARGER * planned_bytes(wanted):
-        keys = keys.join(wanted.distinct(), list(columns), "left_semi")
-    return keys.distinct()
+    wanted = df.select(*[F.col(d).alias(c) for d, c in zip(df_columns, columns)]).distinct()
+    return keys.join(wanted, list(columns), "left_semi").distinct()
 
 
 def new_only(
@@ -44,16 +38,20 @@ def new_only(
     snapshot: DataFrame,
     keys: Sequence[str],
     settle: Settle | None = None,
+    feed_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Feed rows whose key is not in the snapshot: the snapshot wins over an update.
 
     A NULL in the key matches nothing, so such rows always count as new. ``settle``
     materializes the known keys, so that several uses of the result scan the snapshot once.
+    ``feed_keys`` names the feed's columns to compare, if they have other names.
     """
-    known = keys_in(snapshot, keys, feed, keys)
+    own = list(feed_keys or keys)
+    known = keys_in(snapshot, keys, feed, own)
+    known = known.select(*[F.col(k).alias(c) for k, c in zip(keys, own)])
     if settle is not None:
         known = settle(known)
-    return feed.join(known, list(keys), "left_anti").select(*feed.columns)
+    return feed.join(known, own, "left_anti").select(*feed.columns)
 
 
 def merge_snapshot(

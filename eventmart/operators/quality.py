@@ -27,25 +27,42 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
 
-def _repeated_keys(df: DataFrame, keys: Sequence[str], modified: str) -> DataFrame:
-    """Keys with more than one row: their newest ``modified`` and how many rows share it.
+def _repeated_keys(
+    df: DataFrame, keys: Sequence[str], modified: str, settle: Settle | None
+) -> DataFrame:
+    """Keys with more than one row: their newest ``modified``, and whether one row alone has it.
 
-    Only keys, times and counts are shuffled, and partly counted before that, so a key with a
-    third of all rows costs one line per task.
+    One aggregation by key, which starts in the map tasks, so a key with a third of all rows
+    costs one line per task. Only rows of repeated keys with different times are looked at
+    again, to count those at the newest time.
     """
-    per_version = df.groupBy(*keys, modified).agg(F.count("*").alias("_n"))
-    per_key = per_version.groupBy(*keys).agg(
-        F.sum("_n").alias("_rows"),
+    marks = [f"_key{i}" for i in range(len(keys))]
+    per_key = df.groupBy(*keys).agg(
+        F.count("*").alias("_rows"),
         F.max(modified).alias("_newest"),
-        F.max_by("_n", modified).alias("_at_newest"),
+        F.min(modified).alias("_oldest"),
+        F.count(modified).alias("_timed"),
     )
-    return per_key.where("_rows > 1").select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+    differ = (F.col("_timed") < F.col("_rows")) | (F.col("_oldest") < F.col("_newest"))
+    repeated = per_key.where("_rows > 1").select(
+        *[F.col(k).alias(m) for k, m in zip(keys, marks)],
         "_newest",
-        # All times NULL: every row ties with every other.
-        F.coalesce("_at_newest", "_rows").alias("_at_newest"),
-        F.lit(True).alias("_repeated"),
+        ((F.col("_timed") > 0) & differ).alias("_differ"),
+    )
+    if settle is not None:
+        repeated = settle(repeated)
+        if repeated.where("_differ").isEmpty():
+            return repeated.withColumn("_alone", F.lit(False))
+    at_newest = df.select(*keys, modified).join(
+        repeated.where("_differ"), _same(keys, marks) & (F.col(modified) == F.col("_newest"))
     )
+    alone = at_newest.groupBy(*marks).agg(F.count("*").alias("_n")).where("_n = 1")
+    if settle is not None:
+        alone = settle(alone)
+    own = [f"_own{i}" for i in range(len(keys))]
+    alone = alone.select(*[F.col(m).alias(o) for m, o in zip(marks, own)], F.lit(True).alias("_alone"))
+    found = repeated.join(alone, _same(marks, own), "left").drop(*own)
+    return found.withColumn("_alone", F.coalesce("_alone", F.lit(False)))
 
 
 def tag_duplicates(
@@ -63,14 +80,13 @@ def tag_duplicates(
     ``settle`` materializes the repeated keys. They are few in a healthy feed; once their
     size is known, the planner can send them to the rows instead of shuffling the rows.
     """
-    repeated = _repeated_keys(df, keys, modified)
-    if settle is not None:
-        repeated = settle(repeated)
+    repeated = _repeated_keys(df, keys, modified, settle)
     marks = [f"_key{i}" for i in range(len(keys))]
-    alone = F.col("_newest").eqNullSafe(F.col(modified)) & (F.col("_at_newest") == 1)
+    newest = F.col("_alone") & F.col("_newest").eqNullSafe(F.col(modified))
+    repeats = F.col("_alone").isNotNull()  # the key has a line among the repeated
     return df.join(repeated, _same(keys, marks), "left").select(
         *[F.col(c) for c in df.columns],
-        (F.col("_repeated").isNotNull() & ~alone).alias(fv.DUPLICATE_FLAG),
+        (repeats & ~newest).alias(fv.DUPLICATE_FLAG),
     )
 
 
@@ -132,11 +148,17 @@ def _split_links(df: DataFrame, links: Sequence[LinkTo]) -> tuple[DataFrame, Dat
 
 
 def split_incomplete_parents(
-    df: DataFrame, key: Sequence[str], children: Sequence[tuple[DataFrame, Sequence[str]]]
+    df: DataFrame,
+    key: Sequence[str],
+    children: Sequence[tuple[DataFrame, Sequence[str]]],
+    unique: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows found in every child table, and (each once) rows missing from at least one."""
+    """Rows found in every child table, and (each once) rows missing from at least one.
+
+    With ``unique`` keys no row can repeat, and the wide rows need not be compared.
+    """
     clean, rejected = _split_links(df, [(key, child, cols) for child, cols in children])
-    return clean, rejected.distinct()
+    return clean, rejected if unique else rejected.distinct()
 
 
 def split_orphans(

@@ -16,9 +16,18 @@ from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
 from eventmart.operators.contracts import apply_deletes
+from eventmart.operators.enrich import assert_unique
 from eventmart.operators.quality import Settle
 from eventmart.plans.intake import staged_rows, take_in
-from eventmart.plans.landing import fresh_rows, gate_feeds, land, landed, quarantine
+from eventmart.plans.landing import (
+    fresh_rows,
+    gate_feeds,
+    land,
+    landed,
+    quarantine,
+    rebuild_table,
+    set_aside,
+)
 from eventmart.plans.normalize import (
     normalize_events,
     normalize_expenses,
@@ -26,7 +35,7 @@ from eventmart.plans.normalize import (
 )
 from eventmart.plans.outbound import export_latest
 from eventmart.plans.summarize import build_marts
-from eventmart.session import Workspace, fit_shuffles
+from eventmart.session import Workspace, fitted_shuffles, stored_bytes
 from eventmart.sources import read_master, read_optional, read_table, write_table
 from eventmart.specs import FeedSpec
 
@@ -45,6 +54,9 @@ class Layout:
     def _in(self, layer: str, name: str) -> str:
         return f"{self.base.rstrip('/')}/{layer}/{name}"
 
+    def layer(self, name: str) -> str:
+        return f"{self.base.rstrip('/')}/{name}"
+
     def landing(self, table: str) -> str:
         return self._in("landing", table)
 
@@ -83,7 +95,15 @@ def read_masters(spark: SparkSession, folder: str) -> Masters:
 
 
 def run_name(run_ts: dt.datetime) -> str:
-    return f"run_{run_ts:%Y%m%dT%H%M%S}"
+    """The batch of a run; later runs have later names."""
+    fraction = f"_{run_ts:%f}" if run_ts.microsecond else ""
+    return f"run_{run_ts:%Y%m%dT%H%M%S}{fraction}"
+
+
+def input_bytes(spark: SparkSession, specs: Specs, layout: Layout) -> int:
+    """Bytes of waiting files and stored layers, which a run's shuffles are sized for."""
+    folders = {spec.inbound for spec in specs.values()}
+    return stored_bytes(spark, *folders, layout.layer("landing"), layout.layer("normalized"))
 
 
 def intake(
@@ -114,7 +134,10 @@ def intake(
 def landing(
     spark: SparkSession, specs: Specs, layout: Layout, run_ts: dt.datetime, settle: Settle
 ) -> Counts:
-    """Land the feeds that got files in this run, then note the files as handled."""
+    """Land the feeds that got files in this run, then note the files as handled.
+
+    Rows that lacked a link in an earlier run are offered again with them.
+    """
     batch, counts = run_name(run_ts), {}
     files = read_table(spark, layout.checked(batch))
     accepted = files.where("reason IS NULL").select("feed_type").distinct()
@@ -124,20 +147,19 @@ def landing(
         name: landed(spark, layout.landing(spec.table), but=batch, merge=False)
         for name, spec in specs.items()
     }
-    for stored in snapshots.values():
-        if stored is not None:
-            fit_shuffles(stored)
-    fresh = {
-        name: fresh_rows(
-            fit_shuffles(staged_rows(spark, spec)),
-            snapshots[name],
-            rules[name],
-            run_ts,
-            settle,
-        )
-        for name, spec in specs.items()
-        if name in names
-    }
+    fresh = {}
+    for name, spec in specs.items():
+        pending = set_aside(spark, layout.errors(name), rules[name], batch)
+        if pending is not None:
+            pending = settle(pending)
+            pending = None if pending.isEmpty() else pending
+        if name in names:
+            rows = staged_rows(spark, spec, files)
+        elif pending is not None:
+            rows, pending = pending, None
+        else:
+            continue
+        fresh[name] = fresh_rows(rows, snapshots[name], rules[name], run_ts, settle, pending)
     for name, tagged in gate_feeds(fresh, snapshots, rules, settle).items():
         table = specs[name].table
         stored, rejected = land(
@@ -153,6 +175,19 @@ def landing(
     return counts
 
 
+def rebuild(
+    spark: SparkSession, specs: Specs, layout: Layout, run_ts: dt.datetime, settle: Settle
+) -> Counts:
+    """Gate all landed rows anew, for rules that changed since they came in."""
+    batch, counts = run_name(run_ts), {}
+    for name, spec in specs.items():
+        stored, rejected = rebuild_table(
+            spark, layout.landing(spec.table), layout.errors(name), spec.rules, batch, run_ts, settle
+        )
+        counts[f"landing {spec.table}"], counts[f"rejected {name}"] = stored, rejected
+    return counts
+
+
 def normalize(
     spark: SparkSession,
     specs: Specs,
@@ -161,15 +196,21 @@ def normalize(
     settle: Settle,
     without_deleted: bool = False,
     keep_unbranded: bool = False,
+    strict_masters: bool = False,
 ) -> Counts:
-    """Normalized tables of all landed feeds."""
+    """Normalized tables of all landed feeds.
+
+    ``strict_masters`` ends the run if a master key repeats, which would repeat joined rows.
+    """
     counts = {}
+    if strict_masters:
+        assert_unique(masters.products, ["source_product_name"])
+        assert_unique(masters.indications, ["source_indication_name"])
+        assert_unique(masters.xref, ["source_id"])
+        assert_unique(masters.merges, ["loser_mdm_id"])
 
     def table(name: str) -> DataFrame | None:
-        if name not in specs:
-            return None
-        stored = landed(spark, layout.landing(specs[name].table))
-        return None if stored is None else fit_shuffles(stored)
+        return landed(spark, layout.landing(specs[name].table)) if name in specs else None
 
     def write(df: DataFrame, name: str) -> None:
         counts[f"normalized {name}"] = write_table(df, layout.normalized(name))
@@ -198,18 +239,28 @@ def normalize(
     if expenses is not None and events is not None:
         known = read_table(spark, layout.normalized("lm_events"))
         write(normalize_expenses(expenses, known), "lm_events_expenses")
+    for name, stored in (("events", events), ("participants", participants), ("expenses", expenses)):
+        if stored is None:
+            log.warning("no landed %s: left out of the normalized tables", name)
+    if expenses is not None and events is None:
+        log.warning("expenses are left out: they need landed events")
     return counts
 
 
 def summarize(
-    spark: SparkSession, layout: Layout, run_ts: dt.datetime, settle: Settle
+    spark: SparkSession,
+    layout: Layout,
+    run_ts: dt.datetime,
+    settle: Settle,
+    unique: bool = False,
 ) -> Counts:
-    """The five marts."""
+    """The five marts; ``unique`` says that no event id repeats in the normalized events."""
     marts = build_marts(
-        fit_shuffles(read_table(spark, layout.normalized("lm_events"))),
-        fit_shuffles(read_table(spark, layout.normalized("lm_participants"))),
+        read_table(spark, layout.normalized("lm_events")),
+        read_table(spark, layout.normalized("lm_participants")),
         run_ts.date().isoformat(),
         settle,
+        unique,
     )
     return {
         f"summarized {name}": write_table(mart, layout.summarized(name))
@@ -235,15 +286,20 @@ def run(
     run_ts: dt.datetime,
     without_deleted: bool = False,
     keep_unbranded: bool = False,
+    strict_masters: bool = False,
 ) -> Counts:
     """All steps; returns the rows each wrote."""
-    with Workspace(spark) as work:
+    with fitted_shuffles(spark, input_bytes(spark, specs, layout)), Workspace(spark) as work:
         counts = intake(spark, specs, layout, run_ts, work.settle)
         counts |= landing(spark, specs, layout, run_ts, work.settle)
-        counts |= normalize(
-            spark, specs, masters, layout, work.settle, without_deleted, keep_unbranded
-        )
+        options = (without_deleted, keep_unbranded, strict_masters)
+        counts |= normalize(spark, specs, masters, layout, work.settle, *options)
         if {"normalized lm_events", "normalized lm_participants"} <= counts.keys():
-            counts |= summarize(spark, layout, run_ts, work.settle)
+            # landed events have unique ids if that is their key, and a lookup adds no rows
+            # unless a master key repeats
+            unique = strict_masters and specs["event"].rules.keys == ("event_id",)
+            counts |= summarize(spark, layout, run_ts, work.settle, unique)
             counts |= export(spark, layout, run_ts)
+        else:
+            log.warning("marts and export are left out: they need events and participants")
     return counts

@@ -9,18 +9,18 @@ cannot repeat their keys.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
-from eventmart.functions import with_aliases
+from eventmart.functions import try_typed, with_aliases
 from eventmart.operators.contracts import lacks_required, misdated, outside_domain, typed, untyped
 from eventmart.operators.merge import (
     keys_in,
-    merge_snapshot,
     new_only,
     stamp,
     stamp_load,
@@ -53,23 +53,84 @@ def landed(
     return table.drop(BATCH)
 
 
+def compared(rules: FeedRules, column: str) -> str:
+    """The column that comparisons use in the place of ``column``."""
+    return f"_typed_{column}" if column in rules.types else column
+
+
+def _comparable(rows: DataFrame, rules: FeedRules) -> DataFrame:
+    """Add what a feed's typed key and link columns are compared by: the value as its type
+    writes it, so that ``7`` and ``007`` are one; NULL if it is not of its type."""
+    used = dict.fromkeys([*rules.keys, *(c for link in rules.links for c in link.columns)])
+    return rows.withColumns(
+        {
+            compared(rules, c): try_typed(F.col(c), rules.types[c]).cast("string")
+            for c in used
+            if c in rules.types
+        }
+    )
+
+
+def _plain(rows: DataFrame, rules: FeedRules) -> DataFrame:
+    return rows.drop(*[compared(rules, c) for c in rules.types])
+
+
+def _stored(snapshot: DataFrame, rules: FeedRules) -> DataFrame:
+    """Stored rows with their typed columns as text, the way ``_comparable`` writes them."""
+    return snapshot.withColumns(
+        {c: F.col(c).cast("string") for c in rules.types if c in snapshot.columns}
+    )
+
+
 def fresh_rows(
     feed: DataFrame,
     snapshot: DataFrame | None,
     rules: FeedRules,
     run_ts: dt.datetime,
     settle: Settle | None = None,
+    pending: DataFrame | None = None,
 ) -> DataFrame:
-    """Feed rows under their table names, stamped, without those whose key is stored."""
-    rows = stamp(with_aliases(feed, rules.aliases), F.lit(run_ts))
-    if snapshot is None or not rules.keys:
-        return rows
-    return new_only(rows, snapshot, rules.keys, settle)
+    """Feed rows under their table names, stamped, without those whose key is stored.
+
+    ``pending`` are rows that earlier runs set aside for a missing link; they are offered again
+    unless the feed brings their key.
+    """
+    rows = _comparable(with_aliases(feed, rules.aliases), rules)
+    keys = [compared(rules, k) for k in rules.keys]
+    if pending is not None:
+        again = _comparable(pending, rules)
+        if rules.keys:
+            again = again.join(rows.select(*keys).distinct(), keys, "left_anti")
+        rows = rows.unionByName(again, allowMissingColumns=True)
+    rows = stamp(rows, F.lit(run_ts))
+    if snapshot is not None and rules.keys:
+        rows = new_only(rows, _stored(snapshot, rules), rules.keys, settle, keys)
+    return _plain(rows, rules)
+
+
+def set_aside(
+    spark: SparkSession, error_path: str, rules: FeedRules, batch: str
+) -> DataFrame | None:
+    """Rows that the last run before ``batch`` set aside for a missing link.
+
+    Each run offers all of them again, so the last one has all that are still pending.
+    """
+    errors = read_optional(spark, error_path, merge=True)
+    if errors is None or not rules.links:
+        return None
+    errors = errors.where((F.col(BATCH) < batch) & (F.col("reject_kind") == "rows"))
+    last = errors.agg(F.max(BATCH)).first()[0]
+    if last is None:
+        return None
+    rows = errors.where((F.col(BATCH) == last) & (F.col(fv.ERROR_REASON) == rules.link_reason))
+    own = (BATCH, "reject_kind", fv.ERROR_REASON, fv.ERROR_TIME, fv.DUPLICATE_FLAG)
+    return rows.drop(*own, "malformed_line")
 
 
 REASON_TYPE = "Value is not of its type"
 REASON_DOMAIN = "Value is not listed"
 REASON_DATE = "Date is not valid"
+REASON_GROUP = "Group lacks a required value"
 
 
 def contract_checks(df: DataFrame, rules: FeedRules) -> list[tuple[str, Column]]:
@@ -92,6 +153,47 @@ def needed(rules: FeedRules) -> list[str]:
     return list(dict.fromkeys([*rules.keys, *rules.required]))
 
 
+def _checked(rows: DataFrame, rules: FeedRules, settle: Settle) -> DataFrame:
+    """Rows with the checks that need no other feed; typed keys are compared as their type.
+
+    A key that is not of its type equals no other: such rows are rejected for that, and do not
+    count as duplicates of each other.
+    """
+    rows = _comparable(rows, rules)
+    bad_key = F.lit(False)
+    for key in rules.keys:
+        if key in rules.types:
+            bad_key = bad_key | (F.col(key).isNotNull() & F.col(compared(rules, key)).isNull())
+    tagged = gate(
+        rows.where(~bad_key),
+        [compared(rules, k) for k in rules.keys],
+        needed(rules),
+        modified=rules.modified,
+        settle=settle,
+        more=contract_checks(rows, rules),
+    )
+    if set(rules.keys) & set(rules.types):
+        reason = {fv.DUPLICATE_FLAG: F.lit(False), fv.ERROR_REASON: F.lit(REASON_TYPE)}
+        tagged = tagged.unionByName(rows.where(bad_key).withColumns(reason))
+    return settle(tagged)
+
+
+def _group_checked(
+    tagged: DataFrame, stored: DataFrame | None, rules: FeedRules, settle: Settle
+) -> DataFrame:
+    """Reject clean rows of groups in which no clean or stored row has a wanted value."""
+    if rules.group is None:
+        return tagged
+    group, column, any_of = rules.group
+    parts = [clean_rows(tagged).select(*group, column)]
+    if stored is not None:
+        parts.append(_stored(stored, rules).select(*group, column))
+    passing = reduce(DataFrame.unionByName, parts).where(F.col(column).isin(*any_of))
+    found = tag_links(tagged, [(group, passing.select(*group), group)], "_lacking")
+    reason = F.coalesce(fv.ERROR_REASON, F.when(F.col("_lacking"), REASON_GROUP))
+    return settle(found.withColumn(fv.ERROR_REASON, reason).drop("_lacking"))
+
+
 def gate_feeds(
     fresh: Mapping[str, DataFrame],
     snapshots: Mapping[str, DataFrame | None],
@@ -100,52 +202,55 @@ def gate_feeds(
 ) -> dict[str, DataFrame]:
     """Tag the new rows of several feeds that refer to each other.
 
-    Feeds may need each other both ways (a master its children and they their master), so
-    links are checked against each other feed's stored rows and those new rows that passed
-    the duplicate and NULL checks.
+    Feeds may need each other both ways. Parents go first: they are checked against each other
+    feed's stored rows and those new rows that passed the checks of their own. Then the others
+    are checked against stored and *surviving* new parents, so no child lands without its
+    parent; and since a child of a survivor has its parent, no survivor loses its children.
     """
     checked = {
-        name: settle(
-            gate(
-                rows,
-                rules[name].keys,
-                needed(rules[name]),
-                modified=rules[name].modified,
-                settle=settle,
-                more=contract_checks(rows, rules[name]),
-            )
+        name: _group_checked(
+            _checked(rows, rules[name], settle), snapshots.get(name), rules[name], settle
         )
         for name, rows in fresh.items()
     }
 
-    def present(link: Link, rows: DataFrame) -> DataFrame:
+    def present(link: Link, rows: DataFrame, own: list[str]) -> DataFrame:
         """The keys of the linked feed, of its stored rows only those that ``rows`` need."""
         name, columns = link.feed_type, link.other_columns
         parts = []
         if name in checked:
-            parts.append(clean_rows(checked[name]).select(*columns))
+            known = _comparable(clean_rows(checked[name]), _linked(rules[name], columns))
+            parts.append(
+                known.select(*[F.col(compared(rules[name], c)).alias(c) for c in columns])
+            )
         if snapshots.get(name) is not None:
-            parts.append(keys_in(snapshots[name], columns, rows, link.columns))
+            stored = _stored(snapshots[name], rules.get(name, FeedRules()))
+            parts.append(keys_in(stored, columns, rows, own))
         if not parts:
             # Nothing of that feed was ever stored: no row can be linked to it.
             nothing = rows.where(F.lit(False))
-            parts = [nothing.select(*[F.col(a).alias(b) for a, b in zip(link.columns, columns)])]
+            parts = [nothing.select(*[F.col(a).alias(b) for a, b in zip(own, columns)])]
         return reduce(DataFrame.unionByName, parts)
 
-    out = {}
-    for name, tagged in checked.items():
-        links = [
-            (link.columns, present(link, tagged), link.other_columns)
-            for link in rules[name].links
-        ]
+    for name in sorted(checked, key=lambda n: not rules[n].parent):
+        tagged, links = checked[name], []
+        for link in rules[name].links:
+            own = [compared(rules[name], c) for c in link.columns]
+            links.append((own, present(link, tagged, own), link.other_columns))
         if links:
             linked = tag_links(tagged, links, "_unlinked")
             reason = F.coalesce(
                 fv.ERROR_REASON, F.when(F.col("_unlinked"), rules[name].link_reason)
             )
-            tagged = settle(linked.withColumn(fv.ERROR_REASON, reason).drop("_unlinked"))
-        out[name] = tagged
-    return out
+            checked[name] = settle(
+                linked.withColumn(fv.ERROR_REASON, reason).drop("_unlinked")
+            )
+    return {name: _plain(tagged, rules[name]) for name, tagged in checked.items()}
+
+
+def _linked(rules: FeedRules, columns: Sequence[str]) -> FeedRules:
+    """The rules with ``columns`` among those that are compared by type."""
+    return replace(rules, keys=tuple(dict.fromkeys([*rules.keys, *columns])))
 
 
 def land(
@@ -184,12 +289,16 @@ def rebuild(
 ) -> DataFrame:
     """Tag the whole table, stored and new rows together, for a rewrite as one table.
 
-    Needed when the rules changed since the rows were stored.
+    Needed when the rules changed since the rows were stored. All rows are text, as a feed's
+    are; ``typed`` gives the clean ones their types again.
     """
-    rows = stamp(with_aliases(feed, rules.aliases), F.lit(run_ts))
-    return gate(
-        merge_snapshot(rows, snapshot, rules.keys),
-        rules.keys,
+    rows = fresh_rows(feed, snapshot, rules, run_ts, settle)
+    if snapshot is not None:
+        rows = rows.unionByName(_stored(snapshot, rules), allowMissingColumns=True)
+    rows = _comparable(rows, rules)
+    tagged = gate(
+        rows,
+        [compared(rules, k) for k in rules.keys],
         needed(rules),
         links,
         rules.link_reason,
@@ -197,4 +306,33 @@ def rebuild(
         settle,
         contract_checks(rows, rules),
     )
+    return _plain(tagged, rules)
 
+
+def rebuild_table(
+    spark: SparkSession,
+    table_path: str,
+    error_path: str,
+    rules: FeedRules,
+    batch: str,
+    run_ts: dt.datetime,
+    settle: Settle,
+) -> tuple[int, int]:
+    """Gate all stored rows anew and write them as the only batch of the table.
+
+    The new table is written whole beside the old batches before those go.
+    """
+    stored = landed(spark, table_path, but=batch)
+    if stored is None:
+        return 0, 0
+    old = read_optional(spark, table_path).where(F.col(BATCH) != batch)
+    batches = [r[0] for r in old.select(BATCH).distinct().collect()]
+    nothing = _stored(stored, rules).where(F.lit(False))
+    tagged = settle(rebuild(nothing, stored, rules, run_ts, settle=settle))
+    clean = typed(clean_rows(tagged), rules.types)
+    count = write_table(clean, f"{table_path}/{BATCH}={batch}")
+    rejected = quarantine(rejected_rows(tagged), error_path, batch, run_ts)
+    for name in batches:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/{BATCH}={name}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return count, rejected

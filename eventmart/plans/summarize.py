@@ -15,15 +15,20 @@ def build_marts(
     participants: DataFrame,
     run_date: str | None = None,
     settle: Settle | None = None,
+    unique: bool = False,
 ) -> dict[str, DataFrame]:
-    """Mart name to mart. ``settle`` materializes the base once for its four readers."""
+    """Mart name to mart. ``settle`` materializes the base once for its readers, and the brand
+    mart for the product mart; ``unique`` says that no event id repeats."""
     base = marts.event_attendance(events, participants, MART_DIMENSIONS)
     if settle is not None:
         base = settle(base)
+    brands = marts.brand_performance(base, run_date, unique)
+    if settle is not None:
+        brands = settle(brands)
     return {
-        "event_performance_kpi": marts.event_performance(base, run_date),
-        "product_performance_kpi": marts.product_performance(base, run_date),
+        "event_performance_kpi": marts.event_performance(base, run_date, unique),
+        "product_performance_kpi": brands.drop("attendance_rate"),
         "participant_engagement_kpi": marts.participant_engagement(participants, run_date),
-        "event_type_participants_kpi": marts.event_type_participants(base, run_date),
-        "brand_performance_kpi": marts.brand_performance(base, run_date),
+        "event_type_participants_kpi": marts.event_type_participants(base, run_date, unique),
+        "brand_performance_kpi": brands,
     }

@@ -21,10 +21,10 @@ SETTINGS = {
 
 # Bytes of input files for one shuffle partition; a query shuffles some of their columns.
 SHUFFLE_BYTES = 512 * 1024 * 1024
-# Every map task keeps a size per partition, so very many cost more than they help.
-MOST_SHUFFLE_PARTITIONS = 32768
-# The planner takes data of unknown size for the largest there can be.
-UNKNOWN_BYTES = 2**62
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+# Per application: the number of partitions it was given, and the one last set here.
+_FITTED: dict[str, tuple[int, int]] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -33,26 +33,41 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """The size the planner expects, from the sizes of the files; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files below the paths that exist, from their listing."""
+    total, jvm = 0, spark._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(place):
+            total += files.getContentSummary(place).getLength()
+    return total
 
 
-def fit_shuffles(df: DataFrame, target: int = SHUFFLE_BYTES) -> DataFrame:
-    """Return ``df``, with enough shuffle partitions set for the size of its files.
+def fit_shuffles(spark: SparkSession, size: int, target: int = SHUFFLE_BYTES) -> int:
+    """Set the shuffle partitions for inputs of ``size`` bytes, and return their number.
 
-    The number is only ever raised: adaptive execution joins small partitions while running,
-    but splits none except hot join keys. Beyond the largest number partitions grow instead,
-    and spill.
+    At least as many as the session was given, whatever was fitted before: adaptive execution
+    joins small partitions while running, but splits none except hot join keys.
     """
-    spark, setting = df.sparkSession, "spark.sql.shuffle.partitions"
-    size = planned_bytes(df)
-    if size >= UNKNOWN_BYTES:
-        return df
-    needed = min(-(-size // target), MOST_SHUFFLE_PARTITIONS)
-    if needed > int(spark.conf.get(setting)):
-        spark.conf.set(setting, needed)
-    return df
+    now, app = int(spark.conf.get(PARTITIONS)), spark.sparkContext.applicationId
+    given, last = _FITTED.get(app, (now, now))
+    if now != last:
+        given = now
+    fitted = max(given, -(-size // target))
+    spark.conf.set(PARTITIONS, fitted)
+    _FITTED[app] = (given, fitted)
+    return fitted
+
+
+@contextmanager
+def fitted_shuffles(spark: SparkSession, size: int) -> Iterator[int]:
+    """Shuffle partitions for inputs of ``size`` bytes, set back afterwards."""
+    before = spark.conf.get(PARTITIONS)
+    try:
+        yield fit_shuffles(spark, size)
+    finally:
+        spark.conf.set(PARTITIONS, before)
 
 
 def work_dir(spark: SparkSession) -> str:

@@ -1,16 +1,19 @@
 from eventmart.sources.files import (
     CORRUPT,
     FILE_NAME,
+    FILE_PATH,
+    PLACE,
     file_facts,
-    first_lines,
+    found_headers,
     manifest,
+    placed,
     read_delimited,
+    read_lines,
     read_master,
-    stream_delimited,
+    stream_lines,
     text_schema,
 )
 from eventmart.sources.sinks import (
-    append_quarantine,
     export_name,
     write_delimited,
     write_table,
@@ -20,16 +23,19 @@ from eventmart.sources.tables import read_optional, read_table
 __all__ = [
     "CORRUPT",
     "FILE_NAME",
-    "append_quarantine",
+    "FILE_PATH",
+    "PLACE",
     "export_name",
     "file_facts",
-    "first_lines",
+    "found_headers",
     "manifest",
+    "placed",
     "read_delimited",
+    "read_lines",
     "read_master",
     "read_optional",
     "read_table",
-    "stream_delimited",
+    "stream_lines",
     "text_schema",
     "write_delimited",
     "write_table",

@@ -4,38 +4,66 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 FILE_NAME = "source_file_name"
+# Where a line came from: its file, and its place there if it is in the file's first block.
+FILE_PATH = "source_file_path"
+PLACE = "source_place"
+
+
+def _escaped(path: str) -> str:
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def _glob(prefix: str) -> str:
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", prefix) + "*"
+    return _escaped(prefix) + "*"
+
+
+def _one_form(path: Column) -> Column:
+    """Paths as listings write them: local ones begin with one slash."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def _decoded_path() -> Column:
+    """The path of a row's file; the metadata column has it percent-encoded."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return _one_form(F.url_decode(encoded))
+
+
+def _base_name(path: str) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
 
 
 def manifest(spark: SparkSession, location: str, prefix: str = "") -> DataFrame:
-    """The files of a folder whose name starts with ``prefix``, without opening them.
+    """The files below a folder whose name starts with ``prefix``, without opening them.
 
+    ``path`` is the whole decoded path and the key of a file; names may repeat in subfolders.
     A scan passes over files without a single byte; those are added from the file listing
     the scan made, with the start of time as their modification time.
     """
     scan = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", _glob(prefix))
+        .option("recursiveFileLookup", "true")
         .load(location)
     )
-    name = F.element_at(F.split("path", "/"), -1).alias("file_name")
-    filled = scan.select("path", name, "length", F.col("modificationTime").alias("modified_at"))
+    path, name = _one_form(F.col("path")).alias("path"), _base_name("path").alias("file_name")
+    filled = scan.select(path, "length", F.col("modificationTime").alias("modified_at"))
+    filled = filled.select("path", name, "length", "modified_at")
     listed = spark.createDataFrame([(unquote(f),) for f in scan.inputFiles()], "path string")
     empty = (
-        listed.select("path", name)
+        listed.select(path)
+        .select("path", name)
         .where(F.col("file_name").startswith(prefix))
-        .join(filled.select("file_name"), "file_name", "left_anti")
+        .join(filled.select("path"), "path", "left_anti")
         .select(
             "path",
             "file_name",
@@ -51,9 +79,9 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
 
 
-def _options(sep: str) -> dict[str, object]:
+def _options(sep: str, header: bool = True) -> dict[str, object]:
     return {
-        "header": True,
+        "header": header,
         "sep": sep,
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
@@ -72,10 +100,38 @@ def read_delimited(
     """
     files = [paths] if isinstance(paths, str) else list(paths)
     rows = spark.read.schema(text_schema(columns)).options(**_options(sep)).csv(files)
-    return rows.select("*", F.col("_metadata.file_name").alias(FILE_NAME))
+    return rows.select("*", _decoded_path().alias(FILE_PATH)).select(
+        *rows.columns, _base_name(FILE_PATH).alias(FILE_NAME)
+    )
+
+
+def _located(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "*",
+        _decoded_path().alias(FILE_PATH),
+        (F.col("_metadata.file_block_start") == 0).alias(PLACE),
+    )
 
 
-def stream_delimited(
+def placed(rows: DataFrame) -> DataFrame:
+    """Number the lines of first blocks: numbers grow along a block, where the header is."""
+    number = F.when(F.col(PLACE), F.monotonically_increasing_id())
+    return rows.withColumns({PLACE: number, FILE_NAME: _base_name(FILE_PATH)})
+
+
+def read_lines(
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], sep: str
+) -> DataFrame:
+    """All lines of delimited files as rows of text, headers among them.
+
+    Like ``read_delimited``, with the path and place of a line, by which ``file_facts`` tells
+    headers from data. So a file is read once, whatever its checks say.
+    """
+    reader = spark.read.schema(text_schema(columns)).options(**_options(sep, header=False))
+    return placed(_located(reader.csv([_escaped(p) for p in paths])))
+
+
+def stream_lines(
     spark: SparkSession,
     location: str,
     columns: Sequence[str],
@@ -84,62 +140,55 @@ def stream_delimited(
     max_files: int | None = None,
     archive: str | None = None,
 ) -> DataFrame:
-    """The same files as a stream; the checkpoint of the query remembers which are done.
+    """The same lines as a stream, to be numbered per batch with ``placed``.
 
-    With ``archive``, files of completed batches move there.
+    The checkpoint of the query remembers which files are done. With ``archive``, files of
+    completed batches move there.
     """
     reader = (
         spark.readStream.schema(text_schema(columns))
-        .options(**_options(sep))
+        .options(**_options(sep, header=False))
         .option("pathGlobFilter", _glob(prefix))
+        .option("recursiveFileLookup", "true")
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.csv(location).select("*", F.col("_metadata.file_name").alias(FILE_NAME))
+    return _located(reader.csv(location))
 
 
-def file_facts(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], sep: str
-) -> DataFrame:
-    """Per file: whether its first line is the expected header, and its data lines.
+def file_facts(lines: DataFrame, columns: Sequence[str], corrupt: str = CORRUPT) -> DataFrame:
+    """Per file: the place of its first line, whether that is the expected header, data lines.
 
-    One scan of the lines as text. Only numbers are aggregated, partly in each task, so a
-    task passes on one line per file it saw, however large the file.
+    From parsed lines with path and place. Only numbers are aggregated, partly in each task, so
+    a task passes on one line per file it saw, however large the file.
     """
-    header = sep.join(columns)
-    text = F.col("value")
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_name").alias("file_name"),
-        # Ids grow along a file's first block, where its header is.
-        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id())
-        .alias("place"),
-        (F.trim(text) != "").alias("filled"),
-        (F.replace(text, F.lit('"'), F.lit("")) == header).alias("is_header"),
-    )
-    facts = lines.where("filled").groupBy("file_name").agg(
-        F.min("place").alias("first"),
-        F.min(F.when(F.col("is_header"), F.col("place"))).alias("first_header"),
+    named = [F.col(c).eqNullSafe(F.lit(c)) for c in columns]
+    is_header = reduce(and_, named, F.col(corrupt).isNull())
+    facts = lines.groupBy(FILE_PATH).agg(
+        F.min(PLACE).alias("header_place"),
+        F.min(F.when(is_header, F.col(PLACE))).alias("first_header"),
         F.count("*").alias("lines"),
     )
     return facts.select(
-        "file_name",
-        F.coalesce(F.col("first") == F.col("first_header"), F.lit(False)).alias("header_ok"),
+        F.col(FILE_PATH).alias("path"),
+        "header_place",
+        F.coalesce(F.col("header_place") == F.col("first_header"), F.lit(False)).alias("header_ok"),
         (F.col("lines") - 1).alias("data_lines"),
     )
 
 
-def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The first filled line per file; meant for few files, such as the rejected ones."""
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_name").alias("file_name"),
-        "value",
-        F.monotonically_increasing_id().alias("place"),
-        F.col("_metadata.file_block_start").alias("start"),
+def found_headers(
+    lines: DataFrame, wrong: DataFrame, columns: Sequence[str], sep: str, corrupt: str = CORRUPT
+) -> DataFrame:
+    """The names in the first lines of the files in ``wrong`` (path, header_place)."""
+    first = lines.where(F.col(PLACE).isNotNull()).join(
+        wrong, (F.col(FILE_PATH) == F.col("path")) & (F.col(PLACE) == F.col("header_place"))
     )
-    filled = lines.where((F.col("start") == 0) & (F.trim("value") != ""))
-    return filled.groupBy("file_name").agg(F.min_by("value", "place").alias("line"))
+    plain = F.replace(corrupt, F.lit('"'), F.lit(""))
+    names = F.coalesce(F.split(plain, re.escape(sep)), F.array(*columns))
+    return first.select("path", names.alias("found"))
 
 
 def read_master(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -31,11 +31,26 @@ class FeedRules:
     modified: str = fv.MODIFIED
     aliases: Mapping[str, str] = field(default_factory=dict)
     file_pattern: str | None = None
+    # Its links are to its children, which link back: it is checked first.
+    parent: bool = False
     # Optional rules of the feed contract; empty means not checked.
     types: Mapping[str, str] = field(default_factory=dict)
     domains: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     dates: tuple[str, ...] = ()
     conditional: tuple[tuple[str, str, str], ...] = ()
+    # (columns of the group, column, values): each group needs a row with one of the values.
+    group: tuple[tuple[str, ...], str, tuple[str, ...]] | None = None
+
+
+# The ready rules of the feed contract, by the name that a rules file can give.
+CONTRACTS: dict[str, dict[str, object]] = {
+    "event": {
+        "types": fv.CONTRACT_TYPES,
+        "domains": fv.CONTRACT_DOMAINS,
+        "conditional": (fv.CHILD_EVENT_RULE,),
+    },
+    "child_attributes": {"group": (("hcp_id",), "attribute_type", fv.REQUIRED_CATEGORIES)},
+}
 
 
 @dataclass(frozen=True)
@@ -72,6 +87,7 @@ DEFAULT_RULES: dict[str, FeedRules] = {
             fv.REASON_MISSING_CHILD if feed_type == "hcp_master" else fv.REASON_MISSING_PARENT
         ),
         file_pattern=fv.FILE_PATTERNS.get(feed_type),
+        parent=feed_type == "hcp_master",
     )
     for feed_type in fv.KEYS
 }
@@ -81,18 +97,23 @@ def read_rules(spark: SparkSession, path: str) -> dict[str, FeedRules]:
     """Rules per feed type from a JSON file; a feed type it leaves out keeps its default.
 
     Each entry may set ``keys``, ``required``, ``aliases``, ``modified``, ``file_pattern``,
-    ``link_reason`` and ``links`` (each with ``feed_type``, ``columns``, ``other_columns``), and
-    of the feed contract ``types``, ``domains``, ``dates`` and ``conditional``.
+    ``link_reason``, ``parent`` and ``links`` (each with ``feed_type``, ``columns``,
+    ``other_columns``), and of the feed contract ``types``, ``domains``, ``dates``,
+    ``conditional`` and ``group``. ``contract`` names the ready rules to start from.
     """
     rules = dict(DEFAULT_RULES)
     entries = json.loads(spark.read.text(path, wholetext=True).first()[0])
     for feed_type, given in entries.items():
         values = dict(given)
+        values = dict(CONTRACTS[values.pop("contract")]) | values if "contract" in values else values
         for name in ("keys", "required", "dates"):
             if name in values:
                 values[name] = tuple(values[name])
         if "conditional" in values:
             values["conditional"] = tuple(tuple(rule) for rule in values["conditional"])
+        if values.get("group"):
+            columns, column, any_of = values["group"]
+            values["group"] = (tuple(columns), column, tuple(any_of))
         if "links" in values:
             values["links"] = tuple(
                 Link(link["feed_type"], tuple(link["columns"]), tuple(link["other_columns"]))
@@ -119,16 +140,6 @@ def named_like(df: DataFrame, column: str, part: str) -> DataFrame:
     return df.where(F.col(column).ilike(f"%{escaped}%"))
 
 
-def control_row(control: DataFrame, table: str):
-    """The one control row of ``table``; an unknown or repeated name is an error."""
-    rows = named(control, "target_table_name", table).limit(2).collect()
-    if not rows:
-        raise ValueError(f"No control row for table: {table}")
-    if len(rows) > 1:
-        raise ValueError(f"More than one control row for table: {table}")
-    return rows[0]
-
-
 def feed_type_of(table: str) -> str:
     name = table.lower().removeprefix("lm_")
     return {"events": "event", "participants": "participant"}.get(name, name)

@@ -3,17 +3,29 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventmart import fixed_values as fv
-from eventmart.plans.intake import name_matches, stage
+from eventmart.plans.intake import (
+    KIND,
+    LINE,
+    bad_name,
+    data_lines,
+    foreign_name,
+    malformed,
+    own_name,
+    stage,
+    well_formed,
+    wrong_header,
+)
 from eventmart.plans.landing import fresh_rows, gate_feeds, land, landed, quarantine
-from eventmart.session import Workspace
-from eventmart.sources import FILE_NAME, file_facts, stream_delimited
+from eventmart.session import Workspace, fitted_shuffles, stored_bytes
+from eventmart.sources import FILE_NAME, file_facts, placed, stream_lines
 from eventmart.specs import FeedSpec
 
 
@@ -21,12 +33,10 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def _wrong_headers(spark: SparkSession, spec: FeedSpec, names: list[str]) -> list[str]:
-    if not names:
-        return []
-    paths = [f"{spec.inbound.rstrip('/')}/{name}" for name in names]
-    facts = file_facts(spark, paths, spec.columns, spec.sep)
-    return [r.file_name for r in facts.where("NOT header_ok").select("file_name").collect()]
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint; it stays the same over restarts."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()[0]
+    return json.loads(text)["id"].replace("-", "")
 
 
 def stream_feed(
@@ -39,47 +49,58 @@ def stream_feed(
     max_files: int | None = None,
     clock: Callable[[], dt.datetime] = _now,
     every: str | None = None,
+    others: Iterable[FeedSpec] = (),
 ) -> StreamingQuery:
     """Take in all waiting files of a feed that has no links, then stop.
 
     With ``every``, such as "1 minute", keep looking for new files instead.
 
-    Each micro-batch lands as its own batch of the table, named by its number, and reads only
-    the other batches, so a batch repeated after a failure replaces itself. Lines of files
-    with a wrong header are quarantined; the name pattern selects files up front.
+    Each micro-batch lands as its own batch of the table, named by its query and number, and
+    reads only the other batches, so a batch repeated after a failure replaces itself, and none
+    of another query. Lines of files with a wrong name or header are quarantined; files that one
+    of the ``others`` claims are left to it.
     """
     if spec.rules.links:
         raise ValueError("linked feeds need the others of their family: use the batch run")
-    stream = stream_delimited(
+    if not spec.rules.file_pattern:
+        raise ValueError(f"Unknown file type: {spec.feed_type} has no file pattern")
+    others = tuple(others)
+    stream = stream_lines(
         spark, spec.inbound, spec.columns, spec.sep, spec.file_prefix, max_files, archive
-    ).where(name_matches(FILE_NAME, spec.rules.file_pattern))
+    )
 
     def handle(rows: DataFrame, number: int) -> None:
-        with Workspace(rows.sparkSession) as work:
-            _land_batch(rows, f"stream_{number:09d}", clock(), work)
+        session = rows.sparkSession
+        batch = f"stream_{query_id(session, checkpoint)}_{number:09d}"
+        with Workspace(session) as work:
+            _land_batch(placed(rows), batch, clock(), work)
 
     def _land_batch(rows: DataFrame, batch: str, now: dt.datetime, work: Workspace) -> None:
-        session = rows.sparkSession
-        staged, malformed = stage(
-            rows.withColumn(fv.INTAKE_TIME, F.lit(now)), f"{work.folder}/staged"
-        )
-        # One name per file of the micro-batch.
-        seen = staged.select(FILE_NAME).union(malformed.select(FILE_NAME)).distinct()
-        wrong = _wrong_headers(session, spec, [r[0] for r in seen.collect()])
-        misread = F.col(FILE_NAME).isin(wrong)
-        mismatch = F.lit(f"Column mismatch. Expected: {list(spec.columns)}")
-        rejects = malformed.withColumn(
-            fv.ERROR_REASON, F.when(misread, mismatch).otherwise(F.col(fv.ERROR_REASON))
-        ).unionByName(
-            staged.where(misread).withColumn(fv.ERROR_REASON, mismatch),
-            allowMissingColumns=True,
-        )
-        quarantine(rejects, error_path, batch, now, "lines")
-        good = staged.where(~misread)
-        snapshot = landed(session, table_path, but=batch, merge=False)
-        fresh = fresh_rows(good, snapshot, spec.rules, now, work.settle)
-        tagged = gate_feeds({spec.feed_type: fresh}, {}, {spec.feed_type: spec.rules}, work.settle)
-        land(tagged[spec.feed_type], table_path, error_path, batch, now, spec.rules.types)
+        session, folder = rows.sparkSession, f"{work.folder}/staged"
+        own = rows.where(own_name(FILE_NAME, spec) | ~foreign_name(FILE_NAME, spec, others))
+        lines = stage(own.withColumn(fv.INTAKE_TIME, F.lit(now)), folder)
+        with fitted_shuffles(session, stored_bytes(session, folder)):
+            facts = work.settle(file_facts(lines, spec.columns, LINE))
+            name = F.element_at(F.split("path", "/"), -1)
+            reason = F.when(~own_name("file_name", spec), bad_name("file_name", spec)).when(
+                ~F.col("header_ok"), F.lit(wrong_header(spec))
+            )
+            facts = facts.withColumn("file_name", name).withColumn("reason", reason)
+            good = data_lines(lines, facts.where("reason IS NULL"))
+            refused = data_lines(lines, facts.where("reason IS NOT NULL"), "reason")
+            rejects = malformed(good).unionByName(
+                refused.drop(KIND).withColumnRenamed("reason", fv.ERROR_REASON)
+            )
+            quarantine(rejects, error_path, batch, now, "lines")
+            snapshot = landed(session, table_path, but=batch, merge=False)
+            fresh = fresh_rows(well_formed(good), snapshot, spec.rules, now, work.settle)
+            tagged = gate_feeds(
+                {spec.feed_type: fresh},
+                {spec.feed_type: snapshot},
+                {spec.feed_type: spec.rules},
+                work.settle,
+            )
+            land(tagged[spec.feed_type], table_path, error_path, batch, now, spec.rules.types)
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if every is None:

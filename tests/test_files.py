@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,17 +7,20 @@ from pyspark.sql import functions as F
 from eventmart import fixed_values as fv
 from eventmart.plans import export_latest, take_in
 from eventmart.session import (
-    MOST_SHUFFLE_PARTITIONS,
+    PARTITIONS,
     Workspace,
     fit_shuffles,
+    fitted_shuffles,
+    scratch,
     settle,
+    stored_bytes,
     work_dir,
 )
 from eventmart.sources import (
-    append_quarantine,
     file_facts,
     manifest,
     read_delimited,
+    read_lines,
     read_master,
     read_optional,
     write_table,
@@ -24,7 +28,6 @@ from eventmart.sources import (
 from eventmart.specs import (
     DEFAULT_RULES,
     FeedSpec,
-    control_row,
     load_specs,
     named_like,
     read_control,
@@ -120,8 +123,8 @@ def test_file_facts_over_many_splits(spark, tmp_path):
     limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
-        facts = file_facts(spark, [str(path)], ["a", "b"], "|").first()
-        wrong = file_facts(spark, [str(path)], ["1", "2"], "|").first()
+        facts = file_facts(read_lines(spark, [str(path)], ["a", "b"], "|"), ["a", "b"]).first()
+        wrong = file_facts(read_lines(spark, [str(path)], ["1", "2"], "|"), ["1", "2"]).first()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
     assert (facts.header_ok, facts.data_lines) == (True, 20005)
@@ -141,13 +144,10 @@ def test_control_table(spark, tmp_path):
     assert specs["event"].columns == ("event_id", "event_date")
     assert specs["event"].preprocess_path == "/pre/lm_events"
     assert specs["event_del"].sep == "|"
-    assert control_row(control, "LM_EVENTS")["file_prefix"] == "LMHC_EVENT_2"
     assert named_like(control, "target_table_name", "EVENT").count() == 2
     assert named_like(control, "target_table_name", "m_event_").count() == 1
     with pytest.raises(ValueError, match="address is linked to feeds without control row"):
         load_specs(control.where("target_table_name = 'lm_events'").replace("lm_events", "lm_address"))
-    with pytest.raises(ValueError, match="No control row"):
-        control_row(control, "event")
     with pytest.raises(ValueError, match="Unknown feed type: other"):
         load_specs(control.withColumn("feed_type", F.lit("other")))
     path.write_text("inbound_location,delimiter\n/in,|\n")
@@ -172,11 +172,6 @@ def test_tables(spark, tmp_path, rows):
     write_table(both, parts, ["p"])
     write_table(both.where("p = 'x'").withColumn("v", F.lit(9)), parts, ["p"])
     assert rows(spark.read.parquet(parts), "v", "p") == [(2, "y"), (9, "x")]
-    errors = str(tmp_path / "errors")
-    assert append_quarantine(None, errors, "why", F.lit(RUN)) == 0
-    assert append_quarantine(spark.range(2), errors, "why", F.lit(RUN)) == 2
-    assert append_quarantine(spark.range(0), errors, "why", F.lit(RUN)) == 0
-    assert spark.read.parquet(errors).where("error_reason = 'why'").count() == 2
     (tmp_path / "broken").mkdir()
     (tmp_path / "broken" / "part-0.parquet").write_text("not parquet")
     with pytest.raises(Exception, match="(?i)parquet"):
@@ -200,25 +195,94 @@ def test_stream(spark, inbound, tmp_path, rows):
     feed = spec(inbound)
     landing, errors = str(tmp_path / "landing"), str(tmp_path / "errors")
 
-    def go():
+    def go(checkpoint="checkpoint"):
         stream_feed(
-            spark, feed, landing, errors, str(tmp_path / "checkpoint"), clock=lambda: RUN
+            spark, feed, landing, errors, str(tmp_path / checkpoint), clock=lambda: RUN
         ).awaitTermination()
-        return rows(spark.read.option("mergeSchema", True).parquet(landing), "event_id", "load_batch")
+        stored = spark.read.option("mergeSchema", True).parquet(landing)
+        number = F.substring("load_batch", -9, 9).cast("int").alias("number")
+        return rows(stored.select("event_id", number), "event_id", "number")
 
-    first = [(k, "stream_000000000") for k in ("E1", "E2", "E3", "E8")]
+    first = [(k, 0) for k in ("E1", "E2", "E3", "E8")]
     assert go() == first
     (inbound / "LMHC_EVENT_DEL_20250707160000.csv").write_text(
         "event_id,deletion_reason,deletion_date\nE1,again,2025-07-09\nE9,x,2025-07-09\nE10,x,\n"
     )
-    assert go() == sorted([*first, ("E9", "stream_000000001")])
-    assert go() == sorted([*first, ("E9", "stream_000000001")])
+    assert go() == sorted([*first, ("E9", 1)])
+    assert go() == sorted([*first, ("E9", 1)])
     rejected = spark.read.option("mergeSchema", True).parquet(errors)
-    assert rows(rejected.groupBy("error_reason").count()) == [
+    reasons = [
         (f"Column mismatch. Expected: {list(DELETE_COLUMNS)}", 1),
+        ("File LMHC_EVENT_DEL_2025.csv does not match expected pattern for event_del", 1),
         ("Malformed record", 2),
         ("Null value in key column", 1),
     ]
+    assert rows(rejected.groupBy("error_reason").count()) == reasons
+    # A query with a checkpoint of its own replaces nothing that is stored.
+    (inbound / "LMHC_EVENT_DEL_20250708160000.csv").write_text(
+        "event_id,deletion_reason,deletion_date\nE11,x,2025-07-09\n"
+    )
+    assert go("another") == sorted([*first, ("E9", 1), ("E11", 0)])
+    rejected = spark.read.option("mergeSchema", True).parquet(errors)
+    assert rows(rejected.groupBy("error_reason").count()) == [(r, 2 * n) for r, n in reasons]
+
+
+def test_streams_need_a_pattern(spark, inbound):
+    with pytest.raises(ValueError, match="no file pattern"):
+        stream_feed(spark, spec(inbound, "expenses"), "a", "b", "c")
+
+
+def test_stream_leaves_the_files_of_others(spark, inbound, tmp_path):
+    (inbound / "LMHC_EVENT_20250706160000.csv").write_text("event_id\nX1\n")
+    errors = str(tmp_path / "errors")
+    stream_feed(
+        spark, spec(inbound), str(tmp_path / "landing"), errors, str(tmp_path / "checkpoint"),
+        clock=lambda: RUN, others=[spec(inbound, "event")],
+    ).awaitTermination()
+    rejected = spark.read.option("mergeSchema", True).parquet(errors)
+    assert rejected.where("error_reason LIKE '%LMHC_EVENT_2025%'").count() == 0
+
+
+def test_odd_names_and_subfolders(spark, tmp_path, rows):
+    """The whole decoded path is the key of a file, by run and by stream."""
+    folder = tmp_path / "in box"
+    (folder / "sub %41").mkdir(parents=True)
+    head = ",".join(DELETE_COLUMNS) + "\n"
+    names = ["f a.csv", "f%20b.csv", "f+c.csv", "f[1].csv", "sub %41/f a.csv", "sub %41/f%.csv"]
+    for i, name in enumerate(names):
+        (folder / name).write_text(head + f"E{i},x,2025-07-04\n")
+    (folder / "f d.csv").write_text("")
+    rules = replace(DEFAULT_RULES["event_del"], file_pattern=r"f.*\.csv$")
+    feed = replace(spec(folder, prefix="f"), rules=rules)
+    taken = take_in(spark, feed, RUN, settle)
+    want = [(f"E{i}", n.rsplit("/")[-1]) for i, n in enumerate(names)]
+    assert rows(taken.rows, "event_id", "source_file_name") == want
+    assert rows(taken.files, "file_name", "reason") == sorted(
+        [(n, None) for _, n in want] + [("f d.csv", "File is empty")]
+    )
+    assert take_in(spark, feed, RUN, settle, ledger=taken.files).files.count() == 0
+    landing = str(tmp_path / "landing")
+    for _ in range(2):
+        stream_feed(
+            spark, feed, landing, str(tmp_path / "errors"), str(tmp_path / "checkpoint"),
+            clock=lambda: RUN,
+        ).awaitTermination()
+    assert rows(spark.read.parquet(landing), "event_id", "source_file_name") == want
+
+
+def test_files_are_read_once(spark, tmp_path):
+    """Checks look at the parsed lines; no second scan of the files is planned."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "LMHC_EVENT_DEL_20250706160000.csv").write_text(
+        ",".join(DELETE_COLUMNS) + "\nE1,x,2025-07-04\n"
+    )
+    taken = take_in(spark, spec(folder), RUN, settle)
+    (folder / "LMHC_EVENT_DEL_20250706160000.csv").unlink()
+    assert [r.event_id for r in taken.rows.collect()] == ["E1"]
+    assert taken.malformed.count() == 0
+    text = taken.rows._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in text and "FileScan text" not in text
 
 
 def test_stream_archives_handled_files(spark, inbound, tmp_path):
@@ -306,20 +370,27 @@ def test_workspace_removes_only_its_own_folder(spark):
     assert read_optional(spark, f"{work.folder}/table_0") is None
 
 
-def test_shuffle_partitions_are_raised_to_the_size_of_the_files(spark, tmp_path):
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
+def test_shuffle_partitions_follow_the_inputs(spark, tmp_path):
+    before = spark.conf.get(PARTITIONS)
     spark.range(10000).write.parquet(str(tmp_path / "t"))
-    table = spark.read.parquet(str(tmp_path / "t"))
+    size = stored_bytes(spark, str(tmp_path / "t"), str(tmp_path / "missing"))
+    assert size > 10000
     try:
-        assert fit_shuffles(table) is table
-        assert spark.conf.get(setting) == before
-        fit_shuffles(table, 1000)
-        assert int(spark.conf.get(setting)) > 30
-        raised = spark.conf.get(setting)
-        fit_shuffles(table, 10000)
-        assert spark.conf.get(setting) == raised
-        fit_shuffles(table, 1)
-        assert spark.conf.get(setting) == str(MOST_SHUFFLE_PARTITIONS)
+        assert fit_shuffles(spark, 0) == int(before)
+        assert fit_shuffles(spark, size, 1000) == -(-size // 1000)
+        # What was fitted before has no say.
+        assert fit_shuffles(spark, 0) == int(before)
+        # No number is too large.
+        assert fit_shuffles(spark, 10**14) == -(-(10**14) // (512 * 1024 * 1024))
     finally:
-        spark.conf.set(setting, before)
+        spark.conf.set(PARTITIONS, before)
+    with fitted_shuffles(spark, 10**12) as partitions:
+        assert int(spark.conf.get(PARTITIONS)) == partitions > int(before)
+    assert spark.conf.get(PARTITIONS) == before
+
+
+def test_scratch_ends_with_its_scope(spark):
+    with scratch(spark) as work:
+        table = settle(spark.range(3))
+        assert table.count() == 3
+    assert read_optional(spark, f"{work.folder}/table_0") is None

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from checks import QUERIES
 from eventmart.operators import (
     latest_batch,
     lookup,
@@ -16,9 +17,10 @@ from eventmart.session import settle
 FOLDER = "/root/testdata/sf0.001"
 LAZY = sorted(
     name
-    for name in entry_points.queries()
+    for name in QUERIES
     if not name.startswith(("delimited", "master_scan", "intake", "landing", "quarantine_two",
-                            "export", "stream", "flow", "marts_shared"))
+                            "export", "stream", "flow", "marts_shared", "handled", "control_table",
+                            "row_counts", "linked"))
 )
 
 
@@ -89,6 +91,23 @@ def test_duplicates_shuffle_keys_and_times_only(spark):
     assert "Exchange hashpartitioning" not in text
 
 
+def test_rows_of_single_keys_are_not_shuffled_by_time(spark):
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    keys = ["l_orderkey", "l_linenumber"]
+    for through in (None, settle):
+        text = plan(split_duplicates(lines, keys, "l_shipdate", through)[0])
+        assert "l_shipdate" not in "".join(
+            line for line in text.splitlines() if "Exchange hashpartitioning" in line
+        )
+        assert "Window" not in text
+
+
+def test_unique_events_are_counted_without_telling_them_apart(spark):
+    for name in ("kpi_event_performance", "kpi_event_type", "kpi_brand_performance"):
+        text = plan(entry_points.queries()[name](spark, FOLDER))
+        assert "distinct" not in text
+
+
 def test_the_newest_time_reaches_the_scan(spark):
     lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").withColumnRenamed("l_shipdate", "modified_date")
     text = plan(latest_batch(lines))
