@@ -118,8 +118,11 @@ def shortest_pack_first(histogram: dict[int, int], length: int = LENGTH) -> list
         left = histogram[size]
         while left:
             most = max(room, default=-1)
-            if most < size:
-                room.setdefault(length - size, []).append(((size,), left))
+            if most < size:  # new packs, each filled before the next is opened
+                fit = length // size
+                for pattern, count in (((size,) * fit, left // fit), ((size,) * (left % fit), 1)):
+                    if pattern and count:
+                        room.setdefault(length - sum(pattern), []).append((pattern, count))
                 break
             pattern, count = room[most].pop()
             used = min(count, left)
