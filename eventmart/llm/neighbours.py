@@ -266,6 +266,7 @@ def _best(found: DataFrame, most: int) -> DataFrame:
 def scan(entries: Entries, queries: DataFrame, most: int) -> DataFrame:
     """(query, entry, score, place): the exact answer, every block of vectors against all of the
     given queries (entry, embedding)."""
+    queries = settle(queries)
     cells = max(1, math.ceil(entries.count / CELL))
     cell = F.pmod(F.xxhash64("entry"), F.lit(cells)).cast("long")
     none = F.array(F.lit(0).cast("long")).alias("buckets")

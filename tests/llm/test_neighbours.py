@@ -1,0 +1,142 @@
+import math
+
+import numpy as np
+import pytest
+
+from eventmart.llm import neighbours as nn
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def by_hand(rows, is_query, most=10):
+    """Every query against every row."""
+    rows = {(i, tuple(v)) for i, v in rows}
+    out = {}
+    for i, v in rows:
+        if is_query(i):
+            every = {}
+            for j, w in rows:
+                if j != i:
+                    d = math.sqrt(sum((a - b) ** 2 for a, b in zip(v, w)))
+                    every[j] = min(d, every.get(j, math.inf))
+            out[i] = sorted((d, j) for j, d in every.items())[:most]
+    return out
+
+
+def found(spark, rows, is_query="id % 10 = 0", schema=SCHEMA):
+    table = spark.createDataFrame(rows, schema)
+    out = {}
+    for r in nn.search(table, is_query, "vec_id", "embedding").collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    return {q: [(d, i) for _, d, i in sorted(l)] for q, l in out.items()}
+
+
+def floats(x):
+    return [float(v) for v in np.float32(x)]
+
+
+def clusters(n, rng, dim=16):
+    centres = rng.normal(size=(20, dim)) * 3
+    return [(i, floats(centres[i % 20] + rng.normal(size=dim) * 0.3)) for i in range(n)]
+
+
+def test_recall_and_exact_scores(spark):
+    rows = clusters(3000, np.random.default_rng(1))
+    got, want = found(spark, rows), by_hand(rows, lambda i: i % 10 == 0)
+    assert got.keys() == want.keys() and all(len(got[q]) == 10 for q in got)
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits >= 0.9 * 10 * len(want)
+    vectors = {i: np.array(v) for i, v in rows}
+    for q, near in got.items():
+        assert near == sorted(near)
+        for d, i in near:
+            assert d == pytest.approx(np.linalg.norm(vectors[q] - vectors[i]), rel=1e-14)
+
+
+def test_few_rows_give_all_candidates(spark):
+    rows = [(i, floats(np.random.default_rng(i).normal(size=5))) for i in range(7)]
+    got = found(spark, rows)
+    assert got.keys() == {0} and [i for _, i in got[0]] == [i for _, i in by_hand(rows, lambda i: i == 0)[0]]
+    assert found(spark, rows[:1]) == {}
+
+
+def test_ties_and_a_common_vector(spark):
+    """A third of all rows are one vector: its queries get the smallest other ids at distance 0."""
+    rng = np.random.default_rng(2)
+    same = floats(rng.normal(size=8))
+    rows = [(i, same if i % 3 == 0 else floats(rng.normal(size=8))) for i in range(600)]
+    got = found(spark, rows)
+    for q in range(0, 600, 30):
+        ids = [i for i in range(0, 600, 3) if i != q][:10]
+        assert got[q] == [(0.0, i) for i in ids]
+    assert len(got) == 60 and all(len(v) == 10 for v in got.values())
+
+
+def test_rows_that_take_no_part(spark):
+    rng = np.random.default_rng(3)
+    good = [(i, floats(rng.normal(size=4))) for i in range(1, 40)]
+    odd = [
+        (0, None), (10, [0.0] * 4), (20, [1.0, None, 2.0, 3.0]), (30, [1.0, math.nan, 2.0, 3.0]),
+        (40, [math.inf, 1.0, 1.0, 1.0]), (50, [1.0, 2.0]), (None, [1.0, 2.0, 3.0, 4.0]), (60, []),
+    ]
+    rows = [r for r in good if r[0] not in (10, 20, 30)]
+    got = found(spark, rows + odd + rows[:5] + [(70, [1.0, 1.0, 1.0, 1.0])])
+    assert got.keys() == {70}
+    want = by_hand([*rows, (70, [1.0] * 4)], lambda i: i == 70)[70]
+    assert [i for _, i in got[70]] == [i for _, i in want]
+    assert found(spark, []) == {} == found(spark, odd)
+
+
+def test_extra_columns(spark):
+    rows = [(i, floats(np.random.default_rng(i).normal(size=4)), "own", 1) for i in range(30)]
+    got = found(spark, rows, schema=SCHEMA + ", entry string, id int")
+    assert len(got) == 3
+
+
+def test_blocks_meet_once(spark, monkeypatch):
+    """Full cells and many queries are split; every member still meets every query."""
+    rng = np.random.default_rng(4)
+    rows = [(i, floats(rng.normal(size=6))) for i in range(500)]
+    monkeypatch.setattr(nn, "BLOCK", 16)
+    monkeypatch.setattr(nn, "CELL", 100)
+    entries = nn.distinct_vectors(nn.usable(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding"), 11)
+    asked = entries.vectors.where("entry % 5 = 0")
+    got = {}
+    for r in nn.scan(entries, asked, 11).collect():
+        got.setdefault(r["query"], []).append((r["score"], r["entry"]))
+    want = by_hand(rows, lambda i: i % 5 == 0)
+    assert got.keys() == want.keys()
+    for q, near in got.items():
+        assert [i for _, i in sorted(near) if i != q] == [i for _, i in want[q]]
+
+
+def test_short_answers_are_scanned(spark, monkeypatch):
+    """With a hash that parts everything, queries fall back to the scan."""
+    rng = np.random.default_rng(5)
+    rows = [(i, floats(rng.normal(size=6))) for i in range(200)]
+    fit = nn.fit
+
+    def narrow(*a):
+        hashing, _ = fit(*a)
+        return nn.Hashing(hashing.projections, hashing.offsets, 1e-3), 1
+
+    monkeypatch.setattr(nn, "fit", narrow)
+    got, want = found(spark, rows), by_hand(rows, lambda i: i % 10 == 0)
+    assert {q: [i for _, i in v] for q, v in got.items()} == {q: [i for _, i in v] for q, v in want.items()}
+
+
+def test_visits_come_in_order():
+    rng = np.random.default_rng(6)
+    place = rng.uniform(0, 5, 6)
+    cells = nn.visits(place, 300)
+    below = place - np.floor(place)
+
+    def cost(step):
+        return sum((b if s < 0 else 1 - b) ** 2 for b, s in zip(below, step) if s)
+
+    steps = [tuple((c - np.floor(place)).astype(int)) for c in cells]
+    assert len(set(steps)) == 300 and steps[0] == (0,) * 6
+    costs = [cost(s) for s in steps]
+    assert costs == pytest.approx(sorted(costs))
+    every = sorted(cost(s) for s in np.array(np.meshgrid(*[(-1, 0, 1)] * 6)).reshape(6, -1).T)
+    assert costs == pytest.approx(every[:300])

@@ -1,0 +1,95 @@
+import math
+
+import pytest
+
+from eventmart.llm import site_quality as sq
+
+GOOD = "A plain sentence number {0} about the weather in town {0} that nobody minds. "
+BAD = "BUY{0} | NOW{0} | ### $$$ !!! | CLICK *** {0} | "
+
+
+def corpus():
+    rows = []
+    for i in range(300):
+        host = "clean" if i % 3 else "mixed"
+        bad = host == "mixed" and i % 2 == 0
+        text = "".join((BAD if bad else GOOD).format(i * 31 + k) for k in range(12))
+        rows.append((i, text, f"p{i % 2}", host))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def trained(docs, spark):
+    table = docs(corpus())
+    marks = [(i, int(not ("###" in t))) for i, t, _, _ in corpus()][:200]
+    return table, sq.fit(table, spark.createDataFrame(marks, "doc_id long, quality int"))
+
+
+def test_verdicts(trained):
+    table, model = trained
+    out = {r["doc_id"]: r for r in sq.classify(table, model).collect()}
+    for i, text, _, _ in corpus():
+        assert out[i]["kept"] == ("###" not in text)
+
+
+def test_posteriors_by_hand(trained):
+    """The grouped sums and shares equal plain ones, without the document itself."""
+    table, model = trained
+    rows = {r["doc_id"]: r for r in sq.classify(table, model).collect()}
+    share = {i: 1 / (1 + math.exp(-r["evidence"])) for i, r in rows.items()}
+    _, prior = sq.site_posteriors(
+        sq._scored(table, model, "source", "lang").select("host", "path", "score")
+    )
+    assert prior.mean == pytest.approx(sum(share.values()) / len(share))
+    for i, row in rows.items():
+        host = [share[j] for j, r in rows.items() if r["host"] == row["host"] and j != i]
+        path = [
+            share[j]
+            for j, r in rows.items()
+            if (r["host"], r["path"]) == (row["host"], row["path"]) and j != i
+        ]
+        of_host = (prior.host * prior.mean + sum(host)) / (prior.host + len(host))
+        of_path = (prior.path * of_host + sum(path)) / (prior.path + len(path))
+        assert row["host_share"] == pytest.approx(of_host)
+        assert row["path_share"] == pytest.approx(of_path)
+        odds = row["evidence"] + math.log(of_path / (1 - of_path))
+        assert row["posterior"] == pytest.approx(1 / (1 + math.exp(-odds)))
+
+
+def test_sparse_sites_are_shrunk(docs):
+    """One odd document moves its site less than many do."""
+    rows = [(i, GOOD.format(i) * 9, "p", "big") for i in range(60)]
+    rows += [(100 + i, BAD.format(i) * 9, "p", "bad") for i in range(40)]
+    rows += [(200, BAD.format(1) * 9, "p", "one"), (201, GOOD.format(1) * 9, "p", "one")]
+    texts = [r[1].encode() for r in rows]
+    model = sq.train(texts, [int(b"###" not in t) for t in texts])
+    out = {r["doc_id"]: r for r in sq.classify(docs(rows), model).collect()}
+    assert out[100]["host_share"] < out[201]["host_share"] < out[0]["host_share"]
+
+
+def test_kept_documents_are_those_of_the_verdicts(trained):
+    table, model = trained
+    kept = sq.keep_good(table, model)
+    want = {r["doc_id"] for r in sq.classify(table, model).collect() if r["kept"]}
+    assert {r["doc_id"] for r in kept.collect()} == want
+    assert kept.columns == table.columns
+
+
+def test_odd_rows(odd, no_docs, trained):
+    _, model = trained
+    for used in (model, None):
+        out = sq.classify(odd, used).collect()
+        assert len(out) == odd.count()
+        assert not any(r["kept"] for r in out if r["doc_id"] in (1, 2, 3))
+        kept = sq.keep_good(odd, used)
+        assert kept.columns == odd.columns
+        key = lambda x: (x is None, x)
+        ids = sorted((r["doc_id"] for r in kept.collect()), key=key)
+        assert ids == sorted((r["doc_id"] for r in out if r["kept"]), key=key)
+    assert sq.classify(no_docs, model).collect() == [] == sq.keep_good(no_docs, model).collect()
+
+
+def test_site_of_an_address(spark):
+    rows = spark.createDataFrame([("https://a.example/news/1?x=2",), ("http://b.example",), (None,)], "url string")
+    found = [(r["host"], r["path"]) for r in sq.with_site(rows).collect()]
+    assert found == [("a.example", "news"), ("b.example", ""), (None, None)]
