@@ -27,42 +27,25 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
 
-def _repeated_keys(
-    df: DataFrame, keys: Sequence[str], modified: str, settle: Settle | None
-) -> DataFrame:
+def _repeated_keys(df: DataFrame, keys: Sequence[str], modified: str) -> DataFrame:
     """Keys with more than one row: their newest ``modified``, and whether one row alone has it.
 
     One aggregation by key, which starts in the map tasks, so a key with a third of all rows
-    costs one line per task. Only rows of repeated keys with different times are looked at
-    again, to count those at the newest time.
+    costs one line per task. Rows are numbered for it: if the newest row of highest number is
+    also the one of lowest number, it is alone.
     """
-    marks = [f"_key{i}" for i in range(len(keys))]
-    per_key = df.groupBy(*keys).agg(
+    numbered = df.select(*keys, modified, F.monotonically_increasing_id().alias("_up"))
+    numbered = numbered.withColumn("_down", -F.col("_up"))
+    per_key = numbered.groupBy(*keys).agg(
         F.count("*").alias("_rows"),
-        F.max(modified).alias("_newest"),
-        F.min(modified).alias("_oldest"),
-        F.count(modified).alias("_timed"),
+        F.max(F.struct(F.col(modified).alias("at"), F.col("_up").alias("row"))).alias("_last"),
+        F.max(F.struct(F.col(modified).alias("at"), F.col("_down").alias("row"))).alias("_first"),
     )
-    differ = (F.col("_timed") < F.col("_rows")) | (F.col("_oldest") < F.col("_newest"))
-    repeated = per_key.where("_rows > 1").select(
-        *[F.col(k).alias(m) for k, m in zip(keys, marks)],
-        "_newest",
-        ((F.col("_timed") > 0) & differ).alias("_differ"),
-    )
-    if settle is not None:
-        repeated = settle(repeated)
-        if repeated.where("_differ").isEmpty():
-            return repeated.withColumn("_alone", F.lit(False))
-    at_newest = df.select(*keys, modified).join(
-        repeated.where("_differ"), _same(keys, marks) & (F.col(modified) == F.col("_newest"))
+    return per_key.where("_rows > 1").select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.col("_last.at").alias("_newest"),
+        (F.col("_last.row") == -F.col("_first.row")).alias("_alone"),
     )
-    alone = at_newest.groupBy(*marks).agg(F.count("*").alias("_n")).where("_n = 1")
-    if settle is not None:
-        alone = settle(alone)
-    own = [f"_own{i}" for i in range(len(keys))]
-    alone = alone.select(*[F.col(m).alias(o) for m, o in zip(marks, own)], F.lit(True).alias("_alone"))
-    found = repeated.join(alone, _same(marks, own), "left").drop(*own)
-    return found.withColumn("_alone", F.coalesce("_alone", F.lit(False)))
 
 
 def tag_duplicates(
@@ -80,7 +63,9 @@ def tag_duplicates(
     ``settle`` materializes the repeated keys. They are few in a healthy feed; once their
     size is known, the planner can send them to the rows instead of shuffling the rows.
     """
-    repeated = _repeated_keys(df, keys, modified, settle)
+    repeated = _repeated_keys(df, keys, modified)
+    if settle is not None:
+        repeated = settle(repeated)
     marks = [f"_key{i}" for i in range(len(keys))]
     newest = F.col("_alone") & F.col("_newest").eqNullSafe(F.col(modified))
     repeats = F.col("_alone").isNotNull()  # the key has a line among the repeated
