@@ -104,6 +104,14 @@ DIGIT_HINT = re.compile(
     rb"(?:zero|one|two|three|four|five|six|seven|eight|nine)[\s,.-]"
 )
 
+# Letters that are written for digits inside a number.
+LOOSE_DIGITS = str.maketrans("OolI|SB", "0011158")
+LOOSE_GROUP = r"[OolI|SB]*+[0-9][0-9OolI|SB]*+"
+LOOSE_NUMBER = re.compile(
+    rf"(?<![A-Za-z0-9])[0-9OolI|SB]*[0-9][0-9OolI|SB]*+(?:[\x20.()-]{{1,2}}{LOOSE_GROUP})*(?![A-Za-z])"
+)
+LOOSE_HINT = re.compile(rb"[0-9][OolI|SB]+[0-9. -]|[. -][OolI|SB]+[0-9]")
+
 Edit = tuple[int, int, str]
 
 
@@ -174,6 +182,17 @@ def _digit_edits(text: str) -> list[Edit]:
     return edits
 
 
+def _number_edits(text: str) -> list[Edit]:
+    """Letters for digits, in numbers in which every group has a digit too."""
+    edits = []
+    for m in LOOSE_NUMBER.finditer(text):
+        plain = m[0].translate(LOOSE_DIGITS)
+        if plain != m[0] and sum(map(str.isdigit, m[0])) * 2 > sum(map(str.isdigit, plain)):
+            changed = (i for i, (a, b) in enumerate(zip(m[0], plain), m.start()) if a != b)
+            edits += [(i, i + 1, text[i].translate(LOOSE_DIGITS)) for i in changed]
+    return edits
+
+
 class Rewritten:
     """A text after edits, with the way back from its places to those of the source."""
 
@@ -224,6 +243,8 @@ def hidden_spans(raw: bytes, text: str) -> list[Span]:
         edits += _address_edits(clear)
     if sum(map(low.count, DIGIT_HINTS)) >= 3 and DIGIT_HINT.search(low):
         edits += _digit_edits(clear)
+    if LOOSE_HINT.search(raw):
+        edits += _number_edits(clear)
     if not disguised and not edits:
         return []
     rewritten, found = Rewritten(clear, edits), []

@@ -59,6 +59,9 @@ DISGUISED = [
     ("ip one nine two dot one six eight dot one dot one x", "ip", "one nine two dot one six eight dot one dot one"),
     ("4​111 1111 1111 1111 z", "card", "4​111 1111 1111 1111"),
     ("😀 ٤١١١١١١١١١١١١١١١ z", "card", "٤١١١١١١١١١١١١١١١"),
+    ("card 4l11 1111 11I1 1111 z", "card", "4l11 1111 11I1 1111"),
+    ("call +49 3O 1234 56O7 now", "phone", "+49 3O 1234 56O7"),
+    ("host 1O.2.3.1l x", "ip", "1O.2.3.1l"),
     ("an john {at} example {dot} com", "email", "john {at} example {dot} com"),
 ]
 
@@ -77,6 +80,7 @@ def test_disguises_map_back_to_the_source(text, kind, part):
         "we met at noon. The dot com boom",
         "(at) the start [dot] then",
         "nine of ten, two or three at most",
+        "9777946427004851 lol, 5 B and 12S",
     ],
 )
 def test_plain_prose_is_left_alone(text):
