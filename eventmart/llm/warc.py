@@ -4,9 +4,9 @@ Pages are written as records, each a gzip member of its own; a page whose payloa
 has becomes a revisit of that one. Spark's text sink writes the bytes, with a zero byte after
 each member, which gzip readers skip as padding; so archives are committed like any other output.
 
-The reader checks each member, its version line, lengths and digests. After a failed check it
-looks for the next place where a valid member or version line starts, goes on there, and logs
-the bytes in between as a gap.
+The reader checks each member, its version line, lengths and digests of known algorithm and
+encoding. After a failed check it looks for the next place where a valid member or version line
+starts, also in the content of a member, goes on there, and logs the bytes in between as a gap.
 
 Defined cases: a null payload is empty, a null address is left out; a null id is read back as
 null, and is the response only if no page with an id has its payload; repeated rows are written
@@ -32,13 +32,16 @@ from eventmart.session import Workspace, settle
 ARCHIVE_BYTES = 16 * 1024 * 1024
 DATE = "1970-01-01T00:00:00Z"
 PADDING = "\u0000"
+STEP = 1 << 16
 
 # What the format writes.
 VERSION = b"WARC/1.1\r\n"
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+LINE = re.compile(rb"WARC/1\.[01]\r\n")
 HEAD = re.compile(rb"WARC/1\.[01]\r\n((?:[^\r\n]+\r\n)*)\r\n")
+ALGORITHMS = ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")
 PAGE = re.compile(r"<urn:page:(-?\d*)>")
 
 
@@ -89,6 +92,24 @@ class Gap:
     reason: str
 
 
+def _differs(digest: str | None, data: bytes) -> bool:
+    """Whether a digest that can be checked, by its algorithm and encoding, is not that of ``data``."""
+    algorithm, _, value = (digest or "").partition(":")
+    algorithm = algorithm.strip().lower().replace("-", "")
+    if algorithm not in ALGORITHMS:
+        return False
+    value = value.strip().rstrip("=")
+    right = hashlib.new(algorithm, data).digest()
+    if len(value) == 2 * len(right):
+        return value.lower() != right.hex()
+    if len(value) == -(-8 * len(right) // 5):
+        return value.upper() != base64.b32encode(right).decode().rstrip("=")
+    if len(value) == -(-8 * len(right) // 6):
+        plain = value.replace("-", "+").replace("_", "/")
+        return plain != base64.b64encode(right).decode().rstrip("=")
+    return False
+
+
 def parse(data: bytes, at: int = 0) -> tuple[Record, int] | str:
     """The record at ``at`` and where it ends, or why there is no valid one."""
     head = HEAD.match(data, at)
@@ -103,74 +124,105 @@ def parse(data: bytes, at: int = 0) -> tuple[Record, int] | str:
     if data[end : end + 4] != b"\r\n\r\n":
         return "cut short or of another length"
     block = data[head.end() : end]
-    digest = fields.get("warc-block-digest")
-    if digest and digest != f"sha1:{base32_sha1(block)}":
+    if _differs(fields.get("warc-block-digest"), block):
         return "block differs from its digest"
-    http, parted, payload = block.partition(b"\r\n\r\n")
-    if not parted:
-        payload = block
+    http, payload = b"", block
+    kind = fields.get("content-type")
+    # without a type the content may tell
+    if block.startswith(b"HTTP/") if kind is None else kind.lower().startswith("application/http"):
+        http, parted, rest = block.partition(b"\r\n\r\n")
+        payload = rest if parted else block
     size = len(payload)
     if fields.get("warc-type") == "revisit":
         known = re.search(rb"(?im)^content-length:\s*([0-9]{1,18})\s*$", http)
         size = int(known[1]) if known else 0
-    elif (digest := fields.get("warc-payload-digest")) and digest != f"sha1:{base32_sha1(payload)}":
+    elif _differs(fields.get("warc-payload-digest"), payload):
         return "payload differs from its digest"
     return Record(at, end + 4, fields, payload, size), end + 4
 
 
-def _unpacked(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int] | str:
-    """The content of the gzip member at ``at`` and where it ends, or why it is not valid."""
-    unpack, out, view, read = zlib.decompressobj(31), [], memoryview(data), at
-    try:
-        while not unpack.eof and read < len(data):
+def _unpacked(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """The content of the gzip member at ``at``, where it ends, and what is wrong with it.
+
+    A broken member gives what unpacks before the error, and ``at`` as its end.
+    """
+    unpack, out, view, read, step = zlib.decompressobj(31), [], memoryview(data), at, STEP
+    while not unpack.eof and read < len(data):
+        before = unpack.copy() if step > 1 else None
+        try:
             out.append(unpack.decompress(view[read : read + step]))
             read += step
-    except zlib.error as error:
-        return f"broken member: {error}"
+        except zlib.error as error:
+            if before is None:
+                return b"".join(out), at, f"broken member: {error}"
+            unpack, step = before, 1  # byte by byte, to lose nothing before the error
     if not unpack.eof:
-        return "member cut short"
-    return b"".join(out), min(read, len(data)) - len(unpack.unused_data)
-
-
-def _valid_at(data: bytes, at: int) -> tuple[list[Record], int] | str:
-    """Records of the member or the plain record at ``at``, and where it ends."""
-    if data.startswith(MAGIC, at):
-        unpacked = _unpacked(data, at)
-        if isinstance(unpacked, str):
-            return unpacked
-        content, end = unpacked
-        records, inside = [], 0
-        while inside < len(content):
-            parsed = parse(content, inside)
-            if isinstance(parsed, str):
-                return parsed
-            found, inside = parsed
-            records.append(Record(at, end, found.fields, found.payload, found.payload_bytes))
-        return (records, end) if records else "empty member"
-    parsed = parse(data, at)
-    return parsed if isinstance(parsed, str) else ([parsed[0]], parsed[1])
-
-
-def salvage(data: bytes) -> Iterator[Record | Gap]:
-    """Valid records of an archive in order, and the gaps between them."""
-    at = 0
+        return b"".join(out), at, "member cut short"
+    return b"".join(out), min(read, len(data)) - len(unpack.unused_data), None
+
+
+def _packed_end(data: bytes, at: int, size: int) -> int:
+    """Where in the archive the first ``size`` bytes of the content of the member at ``at`` end."""
+    unpack, view, read = zlib.decompressobj(31), memoryview(data), at
+    left = size - 1  # an error behind the last byte would be met together with it
+    while left > 0:
+        part = view[read : read + STEP]
+        left -= len(unpack.decompress(part, left))
+        read += len(part) - len(unpack.unconsumed_tail)
+    return read
+
+
+def _found_at(data: bytes, at: int, packed: bool) -> tuple[list[Record | Gap], int, str | None]:
+    """Records of the member or the plain record at ``at``, with the gaps between those of a
+    member; where to go on; and why that place or what follows is not valid."""
+    if not (packed and data.startswith(MAGIC, at)):
+        parsed = parse(data, at)
+        return ([], at, parsed) if isinstance(parsed, str) else ([parsed[0]], parsed[1], None)
+    content, end, broken = _unpacked(data, at)
+    inside = list(salvage(content, packed=False))
+    good = [f for f in inside if isinstance(f, Record)]
+    if not good:
+        return [], end, broken or (inside[0].reason if inside else "empty member")
+    if broken:  # the rest of the content belongs to the gap that begins there
+        end = _packed_end(data, at, good[-1].end)
+        inside = inside[: inside.index(good[-1]) + 1]
+    found: list[Record | Gap] = []
+    for f in inside:
+        if isinstance(f, Gap):
+            found.append(Gap(at, end, f"{f.reason}, bytes {f.start} to {f.end} of the content"))
+        else:
+            found.append(Record(at, end, f.fields, f.payload, f.payload_bytes))
+    if broken and end == len(data):
+        found.append(Gap(at, end, broken))
+    return found, end, broken
+
+
+def salvage(data: bytes, packed: bool = True) -> Iterator[Record | Gap]:
+    """Valid records of an archive in order, and the gaps between them.
+
+    Of a member with several records each valid one is given, also of a broken member those
+    before the error; they have the place of the member. ``packed`` is whether there are members.
+    """
+    starts = START if packed else LINE
+    at, lost, reason = 0, None, ""
     while at < len(data):
-        if data[at] == 0:  # padding between members
+        if lost is None and data[at] == 0:  # padding between members
             at += 1
             continue
-        valid = _valid_at(data, at)
-        if not isinstance(valid, str):
-            yield from valid[0]
-            at = valid[1]
-            continue
-        reason, start = valid, at
-        while isinstance(valid, str):
-            found = START.search(data, at + 1)
-            at = found.start() if found else len(data)
-            if not found:
-                break
-            valid = _valid_at(data, at)
-        yield Gap(start, at, reason)
+        found, end, wrong = _found_at(data, at, packed)
+        if found and lost is not None:
+            yield Gap(lost, at, reason)
+            lost = None
+        yield from found
+        if wrong is not None:
+            if lost is None:
+                lost, reason = (end if found else at), wrong
+            if end == at:
+                following = starts.search(data, at + 1)
+                end = following.start() if following else len(data)
+        at = end
+    if lost is not None and lost < len(data):
+        yield Gap(lost, len(data), reason)
 
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> None:

@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import random
+import zlib
 
 import pytest
 from hypothesis import given, settings
@@ -67,6 +68,81 @@ def test_a_revisit_keeps_the_size_of_what_it_refers_to():
     assert record.fields["warc-refers-to"] == "<urn:page:3>"
 
 
+def many(n=9):
+    """Records with digests, so that nothing comes to light inside a payload."""
+    rng = random.Random(8)
+    bodies = [bytes(rng.choices(range(256), k=300)) for _ in range(n)]
+    return bodies, [warc.record(i, f"http://x/{i}", b) for i, b in enumerate(bodies)]
+
+
+def test_a_bad_record_inside_a_member_costs_only_itself():
+    bodies, parts = many()
+    bad = parts[4][:-100] + b"??" + parts[4][-98:]
+    whole = warc.member(b"".join([*parts[:4], bad, *parts[5:]]))
+    records, gaps = split(whole + warc.member(parts[4]))
+    assert [r.payload for r in records] == bodies[:4] + bodies[5:] + [bodies[4]]
+    assert {(r.start, r.end) for r in records[:-1]} == {(0, len(whole))}
+    place = sum(map(len, parts[:4]))
+    assert [(g.start, g.end) for g in gaps] == [(0, len(whole))]
+    assert f"bytes {place} to {place + len(bad)} of" in gaps[0].reason
+
+
+@pytest.mark.parametrize("level", [0, 6])
+@settings(max_examples=60, deadline=None)
+@given(damage=st.data())
+def test_a_broken_member_gives_the_records_before_the_error(level, damage):
+    bodies, parts = many()
+    pack = zlib.compressobj(level, zlib.DEFLATED, 31)
+    packed, places = b"", []
+    for part in parts:  # a record is packed when its flush is
+        packed += pack.compress(part) + pack.flush(zlib.Z_SYNC_FLUSH)
+        places.append(len(packed))
+    packed += pack.flush()
+    cut = damage.draw(st.integers(3, len(packed) - 1))
+    junk = damage.draw(st.sampled_from([b"", b"\xff" * 20]))
+    data = packed[:cut] + junk + warc.member(parts[0])
+    records, gaps = split(data)
+    found = [r.payload for r in records]
+    before = sum(p <= cut for p in places)
+    assert found[:before] == bodies[:before] and found[-1] == bodies[0]
+    assert len(found) <= before + 2 and len(gaps) >= 1
+    spans = sorted({(r.start, r.end) for r in records} | {(g.start, g.end) for g in gaps})
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_a_cut_member_at_the_end():
+    bodies, parts = many()
+    packed = warc.member(b"".join(parts))
+    records, gaps = split(packed[:-9])
+    assert [r.payload for r in records][:8] == bodies[:8] and len(gaps) == 1
+
+
+def test_digests_of_other_algorithms_and_encodings():
+    def with_digest(digest, body=b"a body"):
+        head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Block-Digest: {digest}\r\n"
+        return head.encode() + b"Content-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body)
+
+    for algorithm in ("md5", "sha1", "sha256", "SHA-512"):
+        right = hashlib.new(algorithm.lower().replace("-", ""), b"a body").digest()
+        for write in (bytes.hex, base64.b32encode, base64.b64encode, base64.urlsafe_b64encode):
+            text = write(right) if write is bytes.hex else write(right).decode()
+            forms = {text, text.rstrip("=")}
+            forms |= {text.upper(), text.lower()} if "64" not in write.__name__ else set()
+            for form in forms:
+                assert len(split(with_digest(f"{algorithm}:{form}"))[0]) == 1, form
+                assert split(with_digest(f"{algorithm}:{form}", b"a Body"))[0] == []
+    assert len(split(with_digest("blake9:0000"))[0]) == 1
+
+
+def test_only_http_records_have_http_headers():
+    body = b"first\r\n\r\nsecond"
+    digest = "sha1:" + warc.base32_sha1(body)
+    head = f"WARC/1.1\r\nWARC-Type: resource\r\nContent-Type: text/plain\r\nWARC-Payload-Digest: {digest}\r\n"
+    data = head.encode() + b"Content-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body)
+    (record,), gaps = split(data)
+    assert record.payload == body and record.payload_bytes == len(body) and not gaps
+
+
 PAGES = "page_id long, url string, html string"
 
 
