@@ -283,11 +283,16 @@ def _open_buckets(finer: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _centres(live: DataFrame) -> DataFrame:
-    """Members outside the largest component: all, or one of each of ``CENTRES`` parts."""
-    part = F.when(F.col("outside") <= CENTRES, F.col("id")).otherwise(
-        F.pmod(F.xxhash64("id"), F.lit(CENTRES))
+    """Members outside the largest component: all, or one of each of ``CENTRES`` parts.
+
+    An id is a member with each of its sets.
+    """
+    few = F.col("outside") <= CENTRES
+    part = F.when(few, F.col("id")).otherwise(
+        F.pmod(F.xxhash64("id", "n", "place"), F.lit(CENTRES))
     )
-    outside = live.where("component <> main").groupBy("bucket", part.alias("part"))
+    own = F.when(few, F.col("n")).alias("part_n"), F.when(few, F.col("place")).alias("part_place")
+    outside = live.where("component <> main").groupBy("bucket", part.alias("part"), *own)
     chosen = outside.agg(F.max(F.struct("id", "n", "place", "component")).alias("top"))
     return settle(
         chosen.select(
@@ -306,10 +311,13 @@ def _places_allow(least: int) -> Column:
     return (100 + least) * most >= least * (F.col("n") + F.col("centre_n"))
 
 
-def link(shared: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
-    """(id, component) of the ids that have a link, from shared buckets and full sets."""
+def link(
+    shared: DataFrame, sets: DataFrame, least: int = LEAST, links: DataFrame | None = None
+) -> DataFrame:
+    """(id, component) of the ids that have a link, from shared buckets and full sets, and from
+    ``links`` (a, b) that are known before."""
     stars = settle(confirmed(_ordered(_first_pairs(shared, least), "id", "centre"), sets, least))
-    known = components(stars)
+    known = components(stars if links is None else stars.unionByName(links))
     finer = settle(rare_shingles(sets, _unsettled(shared, known), least))
     found = []
     while True:
@@ -324,14 +332,32 @@ def link(shared: DataFrame, sets: DataFrame, least: int = LEAST) -> DataFrame:
         found.append(settle(confirmed(pairs, sets, least)))
         if outside <= CENTRES:
             break  # all members outside the largest components were centres
-        over = centres.select("bucket", F.col("centre").alias("id"))
-        finer = settle(live.select(*finer.columns).join(over, ["bucket", "id"], "left_anti"))
+        over = centres.select(
+            "bucket",
+            F.col("centre").alias("id"),
+            F.col("centre_n").alias("n"),
+            F.col("centre_place").alias("place"),
+        )
+        finer = settle(live.select(*finer.columns).join(over, finer.columns, "left_anti"))
     if not found:
         return known
     tree = known.select(F.col("id").alias("a"), F.col("component").alias("b"))
     return components(reduce(DataFrame.unionAll, found, tree))
 
 
+def _links_of_ids(sketches: DataFrame, copies: DataFrame) -> DataFrame | None:
+    """Links (a, b) from each id with several texts to the first ids that have one of them."""
+    which = F.xxhash64("set_id")
+    ids = sketches.where("doc_id IS NOT NULL").groupBy("doc_id")
+    ids = ids.agg(F.min(which).alias("low"), F.max(which).alias("high"))
+    several = settle(ids.where("low <> high").select("doc_id"))
+    if several.isEmpty():
+        return None
+    rows = sketches.select("doc_id", "set_id").join(several, "doc_id", "left_semi")
+    found = rows.join(copies, "set_id").where("doc_id <> first")
+    return settle(found.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document.
 
@@ -347,7 +373,7 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     )
     shared = _shared_buckets(members)
     ids = settle(shared.select("id").distinct())
-    linked = link(shared, settle(full_sets(docs, ids)), least)
+    linked = link(shared, settle(full_sets(docs, ids)), least, _links_of_ids(sketches, copies))
     linked = linked.where("id <> component")
     # of each document: the first with its set, then that one's component
     first = sketches.select("doc_id", "n_shingles", "set_id").join(copies, "set_id", "left")
@@ -363,7 +389,7 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``docs`` with one document of each component, and one row of each id."""
+    """``docs`` with one document of each component, and one row of each id: of the longest text."""
     found = settle(near_duplicates(docs, least))
     gone = settle(found.where("NOT kept").select("doc_id").distinct())
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
@@ -371,7 +397,9 @@ def keep_first(docs: DataFrame, least: int = LEAST) -> DataFrame:
     again = settle(ids.where("n > 1").select("doc_id"))
     if again.isEmpty():
         return left
-    once = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    order = F.struct(F.char_length("text"), F.xxhash64(*docs.columns))
+    once = left.join(again, "doc_id", "left_semi").groupBy("doc_id")
+    once = once.agg(F.max_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
     return left.join(again, "doc_id", "left_anti").unionByName(once)
 
 

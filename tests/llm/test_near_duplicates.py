@@ -71,6 +71,42 @@ def test_stars_lose_no_link(docs, monkeypatch, centres):
     assert {r["doc_id"]: r["component_id"] for r in out} == by_hand(rows)
 
 
+def several_texts():
+    """Ids with several texts, that are copies of, like, or unlike those of other ids."""
+    rng = random.Random(6)
+    rows = corpus()
+    for _ in range(40):
+        (one, _), (_, text) = rng.choice(rows), rng.choice(rows)
+        rows.append((one, rng.choice([text, text, "", changed(rng, text.split() or ["w"], 1)])))
+    return rows
+
+
+@pytest.mark.parametrize("centres", [2, 1024])
+def test_rows_of_one_id_are_one_document(docs, monkeypatch, centres):
+    monkeypatch.setattr(nd, "CENTRES", centres)
+    rows = several_texts()
+    want = by_hand(rows)
+    out = nd.near_duplicates(docs(rows)).collect()
+    assert len(out) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in out} == set(want.items())
+    assert all(r["kept"] == (r["doc_id"] == want[r["doc_id"]]) for r in out)
+
+
+def test_no_group_vanishes(docs):
+    rng = random.Random(3)
+    x, y = ([f"{c}{rng.randrange(900)}" for _ in range(60)] for c in "xy")
+    near = " ".join([*x[:-1], "other"])
+    rows = [(7, " ".join(x)), (7, " ".join(y)), (3, " ".join(y)), (9, near)]
+    out = nd.near_duplicates(docs(rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in out} == {(7, 3), (3, 3), (9, 3)}
+    assert [r["doc_id"] for r in nd.keep_first(docs(rows)).collect()] == [3]
+    empty = [(3, " ".join(y)), (7, ""), (7, " ".join(y))]
+    assert {r["component_id"] for r in nd.near_duplicates(docs(empty)).collect()} == {3}
+    apart = [(7, "short one"), (7, " ".join(x)), (7, None), (9, near)]
+    (left,) = nd.keep_first(docs(apart)).collect()
+    assert (left["doc_id"], left["text"], left["n_chars"]) == (7, " ".join(x), len(" ".join(x)))
+
+
 def test_odd_rows(odd, no_docs):
     out = nd.near_duplicates(odd).collect()
     assert len(out) == odd.count()
