@@ -39,14 +39,24 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-# Words that announce a credential, how they are tied to it, and the credential.
+# Where a word begins, also inside of camelCase and after capitals: dbPassword, DBPassword.
+BEGIN = r"(?:(?<![a-z])|(?-i:(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])))"
+# How a word is tied to a credential, and the credential.
+TIE = r"[\"']?\s{0,8}(?:\bis\b|\bwas\b|:=|=>|->|[:=])\s{0,8}[\"'`]?"
+VALUE = r"([^\s\"'`<>]{6,})"
+# Schemes stand before the credential, after a blank. Without a word before it, a scheme may be
+# prose (basic understanding), so the value must have a digit, a sign or a capital inside.
+SCHEME = r"(?:bearer|basic)\s{1,8}[\"'`]?"
+SIGNS = r"(?=[^\s\"'`<>]*(?-i:[0-9@#$%^&*+=_~|\\]|[a-z][A-Z]))"
+# Words that announce a credential.
 CONTEXT = re.compile(
-    r"(?<![a-z])(?:password|passwd|passphrase|passcode|pwd|secret(?:[ _-]?key)?|token|"
+    rf"{BEGIN}(?:(?:password|passwd|passphrase|passcode|pwd|secret(?:[ _-]?key)?|token|"
     r"api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|bearer|auth(?:orization)?)"
-    r"[\"']?\s{0,8}(?:\bis\b|\bwas\b|:=|=>|->|[:=])\s{0,8}[\"'`]?([^\s\"'`<>]{6,})",
+    rf"{TIE}(?!{SCHEME}){VALUE}"
+    rf"|auth(?:orization)?{TIE}{SCHEME}{VALUE}|{SCHEME}{SIGNS}{VALUE})",
     re.IGNORECASE | re.ASCII,
 )
-HINTS = (b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"bearer", b"auth")
+HINTS = (b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"bearer", b"basic", b"auth")
 HEX_HINT = re.compile(rb"[0-9a-f]{32}")
 
 # log10 of guesses from which a value counts as a secret.
@@ -177,9 +187,10 @@ def costly_values(text: str, least: float = LEAST_COST) -> list[Span]:
     """Values in the context of a credential word that cost at least ``least`` to guess."""
     found = []
     for m in CONTEXT.finditer(text):
-        value = m[1].rstrip(".,;:!?)]}")
+        start = m.start(m.lastindex)
+        value = m[m.lastindex].rstrip(".,;:!?)]}")
         if len(value) >= 6 and guess_cost(value) >= least:
-            found.append(("password", m.start(1), m.start(1) + len(value)))
+            found.append(("password", start, start + len(value)))
     return found
 
 
