@@ -1,0 +1,96 @@
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from eventmart.llm import target_resampling as tr
+
+
+def runs(text, longest):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    out = [" ".join(words[i : i + n]) for n in range(1, longest + 1) for i in range(len(words) - n + 1)]
+    return len(words), [zlib.crc32(r.encode()) for r in out]
+
+
+def by_hand(rows, target, longest=1, buckets=10_000, least=20, percent=10):
+    parts = [[b % buckets for b in runs(t, longest)[1]] for _, t, *_ in rows]
+    s = Counter(b for p in parts for b in p)
+    t = Counter(b % buckets for x in target for b in runs(x, longest)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+
+    def gain(b):
+        return math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets))))
+
+    out = []
+    for (i, text, *_), part in zip(rows, parts):
+        weight = sum(map(gain, part)) // len(part) if part else 0
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))
+        out.append([i, len(part), weight, score, None, runs(text, 1)[0] >= least])
+    drawn = sorted((r for r in out if r[5]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for place, r in enumerate(drawn[: len(drawn) * percent // 100], 1):
+        r[4] = place
+    return sorted([tuple(r[:5]) for r in out], key=str)
+
+
+def found(df):
+    return sorted([tuple(r) for r in df.collect()], key=str)
+
+
+def prose(i, n):
+    return " ".join(f"Word{(i * 7 + k * k) % 97} ünd{k % 5}" for k in range(n))
+
+
+@pytest.mark.parametrize("longest", [1, 3])
+def test_equals_brute_force(spark, docs, odd, monkeypatch, longest):
+    monkeypatch.setattr(tr, "PIECE", 64)
+    monkeypatch.setattr(tr, "KNOWN_RUNS", 50)
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect() if len(r["text"] or "") < 10_000]
+    rows += [(100 + i, prose(i, 5 + i % 40)) for i in range(150)]
+    target = ["word3 word5 Word7, word11; ünd1", None, "", "the quick brown fox"]
+    texts = spark.createDataFrame([(t,) for t in target], "text string")
+    got = found(tr.resample(docs(rows), texts, longest, 500, 12, 20))
+    assert got == by_hand(rows, target, longest, 500, 12, 20)
+
+
+def test_clashing_columns_and_long_texts(spark, odd):
+    texts = spark.createDataFrame([("the quick fox",)], "text string")
+    out = tr.resample(odd, texts)
+    assert out.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    counts = {r["doc_id"]: r["n_features"] for r in out.collect()}
+    assert counts[5] == 4000 * 16 and counts[6] == 1 and counts[1] == 0
+
+
+def test_empty_tables(spark, no_docs, docs):
+    none = spark.createDataFrame([], "text string")
+    assert tr.resample(no_docs, none).collect() == []
+    rows = [(i, prose(i, 30)) for i in range(40)]
+    assert found(tr.resample(docs(rows), none)) == by_hand(rows, [])
+
+
+def test_equal_scores_go_by_id(spark, docs):
+    """Repeated rows are drawn each; rows of one id and text score alike."""
+    rows = [(i % 5, prose(1, 30)) for i in range(50)]
+    assert found(tr.resample(docs(rows), docs(rows).select("text"), percent=50)) == by_hand(
+        rows, [t for _, t in rows], percent=50
+    )
+
+
+def test_draws_towards_the_target(spark, docs):
+    rows = [(i, prose(i, 30) if i % 2 else " ".join(["aim", "true", f"x{i}"] * 10)) for i in range(400)]
+    out = tr.resample(docs(rows), spark.createDataFrame([("aim true " * 50,)], "text string"))
+    drawn = [r["doc_id"] for r in out.where("rank IS NOT NULL").collect()]
+    assert len(drawn) == 40 and sum(i % 2 == 0 for i in drawn) > 35
+
+
+def test_pieces_cut_between_words(monkeypatch):
+    text = ("Alpha beta-7 ÜBER " * 50).encode()
+    whole = [w for p in tr.word_pieces(text) for w in p]
+    for size in (1, 2, 7, 64):
+        monkeypatch.setattr(tr, "PIECE", size)
+        assert [w for p in tr.word_pieces(text) for w in p] == whole
+        three = [r for _, p in tr.run_pieces(text, 3) for r in p]
+        assert len(three) == 3 * len(whole) - 3
