@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from checks.files import NEXT, RUN
@@ -9,8 +11,9 @@ from checks.registry import query, table
 from eventmart import fixed_values as fv
 from eventmart.operators import clean_rows, rejected_rows
 from eventmart.plans import fresh_rows, gate_feeds, land, landed
+from eventmart.plans.landing import Place, indexed, rebuild_tables, set_aside
 from eventmart.session import settle, work_dir
-from eventmart.sources import read_optional
+from eventmart.sources import read_optional, stored
 from eventmart.specs import FeedRules, Link
 
 _RULES = {
@@ -156,3 +159,90 @@ def landing_group_rule(spark, d):
     fresh = fresh_rows(feed, None, _GROUP_RULES, RUN)
     tagged = gate_feeds({"f": fresh}, {}, {"f": _GROUP_RULES}, settle)["f"]
     return tagged.select("id", "line", "error_reason")
+
+
+_WAITING = f"""
+WITH stored AS (SELECT c_custkey AS id, c_nationkey AS nation FROM customer
+                WHERE c_custkey IN (SELECT o_custkey FROM orders) AND c_custkey % 5 <> 0),
+     children AS (SELECT o_orderkey AS line, o_custkey AS id, o_orderstatus AS status FROM orders),
+     kept AS (SELECT id FROM stored WHERE nation % 4 <> 0),
+     waiting AS (SELECT line, id FROM children WHERE id NOT IN (SELECT id FROM kept))
+"""
+_CHILD_RULES = FeedRules(("line",), ("line",), (Link("parent", ("id",), ("id",)),))
+_PARENT_RULES = FeedRules(
+    ("id",), ("id",), (Link("child", ("id",), ("id",)),), fv.REASON_MISSING_CHILD, parent=True
+)
+
+
+def _rebuilt(spark, d, runs: int) -> dict[str, Place]:
+    """Four in five customers and all orders land; then customers of every fourth nation are no
+    longer allowed, and all tables are gated anew, ``runs`` times over."""
+    folder = work_dir(spark)
+    nations = [str(n) for n in range(25) if n % 4]
+    strict = replace(_PARENT_RULES, domains={"nation": tuple(nations)})
+    rules = {"parent": _PARENT_RULES, "child": _CHILD_RULES}
+    places = {
+        n: Place(f"{folder}/{n}", f"{folder}/{n}_error", strict if n == "parent" else r)
+        for n, r in rules.items()
+    }
+    key = F.col("c_custkey")
+    feeds = {
+        "parent": table(spark, d, "customer")
+        .where(key % 5 != 0)
+        .select(key.cast("string").alias("id"), F.col("c_nationkey").cast("string").alias("nation")),
+        "child": table(spark, d, "orders").select(
+            F.col("o_orderkey").cast("string").alias("line"),
+            F.col("o_custkey").cast("string").alias("id"),
+        ),
+    }
+    fresh = {n: fresh_rows(f, None, rules[n], RUN, settle) for n, f in feeds.items()}
+    for n, tagged in gate_feeds(fresh, {}, rules, settle).items():
+        land(tagged, places[n].table, places[n].errors, "run_1", RUN, index=indexed(n, rules))
+    for _ in range(runs):
+        rebuild_tables(spark, places, "run_2", NEXT, settle)
+    return places
+
+
+@query(
+    "rebuild_twice",
+    f"""{_WAITING}
+        SELECT 'parent' AS feed, id::VARCHAR AS key FROM kept
+        UNION ALL SELECT 'child', line::VARCHAR FROM children WHERE id IN (SELECT id FROM kept)""",
+)
+def rebuild_twice(spark, d):
+    """What two rebuilds by one run, such as a scheduler's retry, leave of linked tables."""
+    places = _rebuilt(spark, d, 2)
+    parents = landed(spark, places["parent"].table).select(F.lit("parent").alias("feed"), F.col("id").alias("key"))
+    children = landed(spark, places["child"].table).select(F.lit("child").alias("feed"), F.col("line").alias("key"))
+    return parents.unionAll(children)
+
+
+@query("rebuild_pending", f"{_WAITING} SELECT line::VARCHAR AS line, id::VARCHAR AS id FROM waiting")
+def rebuild_pending(spark, d):
+    """Orders that wait for their customer after a rebuild: since before it, or because of it."""
+    places = _rebuilt(spark, d, 2)
+    return set_aside(spark, places["child"].errors, _CHILD_RULES, "run_3").select("line", "id")
+
+
+@query(
+    "landing_known_keys",
+    """SELECT o_orderkey AS event_id, o_orderstatus AS status,
+              CASE WHEN o_orderkey % 3 = 0 THEN 'run_1' WHEN o_orderkey % 3 = 1 THEN 'run_2'
+                   ELSE 'run_3' END AS run
+       FROM orders""",
+)
+def landing_known_keys(spark, d):
+    """Three runs, each with all orders of the runs before: stored keys are found in buckets."""
+    folder, rules = f"{work_dir(spark)}/known", FeedRules(("event_id",), ("event_id",))
+    key = F.col("o_orderkey")
+    orders = table(spark, d, "orders").select(
+        key.cast("string").alias("event_id"), F.col("o_orderstatus").alias("status"), (key % 3).alias("turn")
+    )
+    for turn, batch in enumerate(("run_1", "run_2", "run_3")):
+        snapshot = stored(spark, f"{folder}/landing", but=batch)
+        feed = orders.where(F.col("turn") <= turn).drop("turn").withColumn("run", F.lit(batch))
+        fresh = fresh_rows(feed, snapshot, rules, RUN, settle)
+        tagged = gate_feeds({"event": fresh}, {"event": snapshot}, {"event": rules}, settle)["event"]
+        index = indexed("event", {"event": rules})
+        land(tagged, f"{folder}/landing", f"{folder}/error", batch, RUN, index=index)
+    return landed(spark, f"{folder}/landing").select(F.col("event_id").cast("long").alias("event_id"), "status", "run")

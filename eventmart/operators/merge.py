@@ -23,14 +23,15 @@ def stamp_load(df: DataFrame, on: Column) -> DataFrame:
 def keys_in(
     stored: DataFrame, columns: Sequence[str], df: DataFrame, df_columns: Sequence[str]
 ) -> DataFrame:
-    """Distinct ``columns`` of ``stored``, holding all that occur as ``df_columns`` in ``df``.
+    """The ``columns`` of ``stored`` that occur as ``df_columns`` in ``df``.
 
     Stored keys, which may be all days before, are first filtered to those of ``df``, such as
-    one day's feed; so no later step handles all stored keys.
+    one day's feed; so no later step handles all stored keys. They may repeat: what they are
+    used for, semi- and anti-joins, does not count them.
     """
     keys = stored.select(*columns)
     wanted = df.select(*[F.col(d).alias(c) for d, c in zip(df_columns, columns)]).distinct()
-    return keys.join(wanted, list(columns), "left_semi").distinct()
+    return keys.join(wanted, list(columns), "left_semi")
 
 
 def new_only(

@@ -20,13 +20,17 @@ from eventmart.operators.enrich import assert_unique
 from eventmart.operators.quality import Settle
 from eventmart.plans.intake import staged_rows, take_in
 from eventmart.plans.landing import (
+    LINES,
+    Place,
     fresh_rows,
     gate_feeds,
+    indexed,
     land,
     landed,
     quarantine,
-    rebuild_table,
+    rebuild_tables,
     set_aside,
+    tidy,
 )
 from eventmart.plans.normalize import (
     normalize_events,
@@ -36,7 +40,13 @@ from eventmart.plans.normalize import (
 from eventmart.plans.outbound import export_latest
 from eventmart.plans.summarize import build_marts
 from eventmart.session import Workspace, fitted_shuffles, stored_bytes
-from eventmart.sources import read_master, read_optional, read_table, write_table
+from eventmart.sources import (
+    read_master,
+    read_optional,
+    read_table,
+    stored,
+    write_table,
+)
 from eventmart.specs import FeedSpec
 
 log = logging.getLogger(__name__)
@@ -122,7 +132,7 @@ def intake(
             log.warning("no accepted file for feed %s", name)
             continue
         counts[f"malformed {name}"] = quarantine(
-            taken.malformed, layout.errors(name), batch, run_ts, "lines"
+            taken.malformed, layout.errors(name), batch, run_ts, LINES
         )
     files = checked[0]
     for more in checked[1:]:
@@ -144,7 +154,7 @@ def landing(
     names = {r.feed_type for r in accepted.collect()}
     rules = {name: spec.rules for name, spec in specs.items()}
     snapshots = {
-        name: landed(spark, layout.landing(spec.table), but=batch, merge=False)
+        name: stored(spark, layout.landing(spec.table), but=batch)
         for name, spec in specs.items()
     }
     fresh = {}
@@ -162,15 +172,18 @@ def landing(
         fresh[name] = fresh_rows(rows, snapshots[name], rules[name], run_ts, settle, pending)
     for name, tagged in gate_feeds(fresh, snapshots, rules, settle).items():
         table = specs[name].table
-        stored, rejected = land(
+        kept, rejected = land(
             tagged,
             layout.landing(table),
             layout.errors(name),
             batch,
             run_ts,
             rules[name].types,
+            indexed(name, rules),
         )
-        counts[f"landing {table}"], counts[f"rejected {name}"] = stored, rejected
+        counts[f"landing {table}"], counts[f"rejected {name}"] = kept, rejected
+    for name in fresh:
+        tidy(spark, layout.landing(specs[name].table), indexed(name, rules))
     write_table(files.withColumn("run", F.lit(batch)), layout.ledger, ["run"])
     return counts
 
@@ -178,13 +191,15 @@ def landing(
 def rebuild(
     spark: SparkSession, specs: Specs, layout: Layout, run_ts: dt.datetime, settle: Settle
 ) -> Counts:
-    """Gate all landed rows anew, for rules that changed since they came in."""
-    batch, counts = run_name(run_ts), {}
-    for name, spec in specs.items():
-        stored, rejected = rebuild_table(
-            spark, layout.landing(spec.table), layout.errors(name), spec.rules, batch, run_ts, settle
-        )
-        counts[f"landing {spec.table}"], counts[f"rejected {name}"] = stored, rejected
+    """Gate all landed rows of all feeds anew, for rules that changed since they came in."""
+    places = {
+        name: Place(layout.landing(spec.table), layout.errors(name), spec.rules)
+        for name, spec in specs.items()
+    }
+    counts = {}
+    rebuilt = rebuild_tables(spark, places, run_name(run_ts), run_ts, settle)
+    for name, (kept, rejected) in rebuilt.items():
+        counts[f"landing {specs[name].table}"], counts[f"rejected {name}"] = kept, rejected
     return counts
 
 

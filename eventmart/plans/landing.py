@@ -1,16 +1,16 @@
 """Landing: merge a feed into its table behind the row checks.
 
-A landing table is a folder of batches, one per run. A run writes its own batch only, so it
-never overwrites what it reads, a repeated run replaces its own batch, and stored rows are
-not rewritten to add new ones: they passed the same checks when they came in, and new rows
-cannot repeat their keys.
+A landing table is a list of batches, one per run (``eventmart.sources.batches``). A run adds its
+own batch, so it never overwrites what it reads, a repeated run replaces its own batch, and stored
+rows are not rewritten to add new ones: they passed the same checks when they came in, and new rows
+cannot repeat their keys. What is stored is found by its keys, which lie in buckets of their own.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,10 +32,22 @@ from eventmart.operators.quality import (
     rejected_rows,
     tag_links,
 )
-from eventmart.sources import read_optional, write_table
+from eventmart.sources import (
+    BATCH,
+    Stored,
+    compact,
+    publish,
+    state,
+    stored,
+    sweep,
+    write_batch,
+    write_table,
+)
+from eventmart.sources.batches import commit, names_in
 from eventmart.specs import FeedRules, Link
 
-BATCH = "load_batch"
+# What is known of a feed's stored rows: the rows, or the table whose keys are in buckets.
+Snapshot = DataFrame | Stored | None
 
 
 def landed(
@@ -45,12 +57,26 @@ def landed(
 
     Without ``merge``, columns that only some batches have may be missing; keys never are.
     """
-    table = read_optional(spark, path, merge=merge)
-    if table is None:
+    if state(spark, path) is None:
         return None
-    if but is not None:
-        table = table.where(F.col(BATCH) != but)
-    return table.drop(BATCH)
+    table = stored(spark, path, but)
+    if table is not None:
+        return table.rows(merge)
+    whole = stored(spark, path)
+    return whole.rows(merge).where(F.lit(False)) if whole is not None else None
+
+
+def indexed(name: str, rules: Mapping[str, FeedRules]) -> list[tuple[str, ...]]:
+    """The sets of columns by which rows of a feed are looked up: its keys, and what the links
+    of other feeds name."""
+    sets = [tuple(rules[name].keys)] if rules[name].keys else []
+    sets += [
+        tuple(link.other_columns)
+        for other in rules.values()
+        for link in other.links
+        if link.feed_type == name
+    ]
+    return list(dict.fromkeys(sets))
 
 
 def compared(rules: FeedRules, column: str) -> str:
@@ -82,9 +108,26 @@ def _stored(snapshot: DataFrame, rules: FeedRules) -> DataFrame:
     )
 
 
+def _rows_of(snapshot: Snapshot) -> DataFrame | None:
+    return snapshot.rows() if isinstance(snapshot, Stored) else snapshot
+
+
+def _keys_of(
+    snapshot: DataFrame | Stored,
+    rules: FeedRules,
+    columns: Sequence[str],
+    df: DataFrame,
+    own: Sequence[str],
+) -> DataFrame:
+    """``columns`` of the stored rows that may occur as ``own`` in ``df``; typed ones as text."""
+    if isinstance(snapshot, Stored):
+        return snapshot.keys(columns, df, own)
+    return _stored(snapshot, rules).select(*columns)
+
+
 def fresh_rows(
     feed: DataFrame,
-    snapshot: DataFrame | None,
+    snapshot: Snapshot,
     rules: FeedRules,
     run_ts: dt.datetime,
     settle: Settle | None = None,
@@ -104,29 +147,48 @@ def fresh_rows(
         rows = rows.unionByName(again, allowMissingColumns=True)
     rows = stamp(rows, F.lit(run_ts))
     if snapshot is not None and rules.keys:
-        rows = new_only(rows, _stored(snapshot, rules), rules.keys, settle, keys)
+        known = _keys_of(snapshot, rules, rules.keys, rows, keys)
+        rows = new_only(rows, known, rules.keys, settle, keys)
     return _plain(rows, rules)
 
 
+# Parts of the quarantine: what a run rejected, what a rebuild rejected, and malformed lines.
+ROWS, REBUILT, LINES = "rows", "rebuilt", "lines"
+_KIND = "reject_kind="
+
+
 def set_aside(
     spark: SparkSession, error_path: str, rules: FeedRules, batch: str
 ) -> DataFrame | None:
-    """Rows that the last run before ``batch`` set aside for a missing link.
+    """Rows that wait for a missing link when the run ``batch`` begins.
 
-    Each run offers all of them again, so the last one has all that are still pending.
+    Each run offers all of them again, so the last run before has all that still waited then;
+    rebuilds since may have added rows whose link they rejected. Only these parts are read.
     """
-    errors = read_optional(spark, error_path, merge=True)
-    if errors is None or not rules.links:
+    if not rules.links:
         return None
-    errors = errors.where((F.col(BATCH) < batch) & (F.col("reject_kind") == "rows"))
-    last = errors.agg(F.max(BATCH)).first()[0]
-    if last is None:
+    runs = [n for n in names_in(spark, error_path) if n.startswith(f"{BATCH}=")]
+    runs = [n for n in runs if n.removeprefix(f"{BATCH}=") < batch]
+    parts = []
+    for name in reversed(runs):
+        found = names_in(spark, f"{error_path}/{name}")
+        parts += [f"{error_path}/{name}/{k}" for k in (_KIND + ROWS, _KIND + REBUILT) if k in found]
+        if _KIND + ROWS in found:
+            break
+    if not parts:
         return None
-    rows = errors.where((F.col(BATCH) == last) & (F.col(fv.ERROR_REASON) == rules.link_reason))
+    rows = spark.read.option("mergeSchema", True).option("basePath", error_path).parquet(*parts)
+    rows = rows.where(F.col(fv.ERROR_REASON) == rules.link_reason)
     own = (BATCH, "reject_kind", fv.ERROR_REASON, fv.ERROR_TIME, fv.DUPLICATE_FLAG)
     return rows.drop(*own, "malformed_line")
 
 
+def tidy(spark: SparkSession, table_path: str, index: Sequence[Sequence[str]] = ()) -> None:
+    """Merge small batches and delete what the table no longer names, when nothing reads it."""
+    compact(spark, table_path, index)
+    sweep(spark, table_path)
+
+
 REASON_TYPE = "Value is not of its type"
 REASON_DOMAIN = "Value is not listed"
 REASON_DATE = "Date is not valid"
@@ -179,15 +241,15 @@ def _checked(rows: DataFrame, rules: FeedRules, settle: Settle) -> DataFrame:
 
 
 def _group_checked(
-    tagged: DataFrame, stored: DataFrame | None, rules: FeedRules, settle: Settle
+    tagged: DataFrame, snapshot: Snapshot, rules: FeedRules, settle: Settle
 ) -> DataFrame:
     """Reject clean rows of groups in which no clean or stored row has a wanted value."""
     if rules.group is None:
         return tagged
     group, column, any_of = rules.group
     parts = [clean_rows(tagged).select(*group, column)]
-    if stored is not None:
-        parts.append(_stored(stored, rules).select(*group, column))
+    if snapshot is not None:
+        parts.append(_stored(_rows_of(snapshot), rules).select(*group, column))
     passing = reduce(DataFrame.unionByName, parts).where(F.col(column).isin(*any_of))
     found = tag_links(tagged, [(group, passing.select(*group), group)], "_lacking")
     reason = F.coalesce(fv.ERROR_REASON, F.when(F.col("_lacking"), REASON_GROUP))
@@ -196,7 +258,7 @@ def _group_checked(
 
 def gate_feeds(
     fresh: Mapping[str, DataFrame],
-    snapshots: Mapping[str, DataFrame | None],
+    snapshots: Mapping[str, Snapshot],
     rules: Mapping[str, FeedRules],
     settle: Settle,
 ) -> dict[str, DataFrame]:
@@ -224,8 +286,8 @@ def gate_feeds(
                 known.select(*[F.col(compared(rules[name], c)).alias(c) for c in columns])
             )
         if snapshots.get(name) is not None:
-            stored = _stored(snapshots[name], rules.get(name, FeedRules()))
-            parts.append(keys_in(stored, columns, rows, own))
+            known = _keys_of(snapshots[name], rules.get(name, FeedRules()), columns, rows, own)
+            parts.append(keys_in(known, columns, rows, own))
         if not parts:
             # Nothing of that feed was ever stored: no row can be linked to it.
             nothing = rows.where(F.lit(False))
@@ -260,19 +322,23 @@ def land(
     batch: str,
     run_ts: dt.datetime,
     types: Mapping[str, str] | None = None,
+    index: Sequence[Sequence[str]] = (),
 ) -> tuple[int, int]:
     """Write clean rows as a batch of the table and rejects as a batch of the quarantine.
 
-    Clean rows get their ``types``; rejects stay as they came.
+    Clean rows get their ``types``; rejects stay as they came. The batch becomes part of the
+    table, with the keys of the columns that ``index`` names, when all else is written.
     """
+    spark = tagged.sparkSession
     clean = stamp_load(typed(clean_rows(tagged), types or {}), F.lit(run_ts.date()))
-    stored = write_table(clean, f"{table_path}/{BATCH}={batch}")
+    written = write_batch(spark, table_path, batch, clean, index)
     rejected = quarantine(rejected_rows(tagged), error_path, batch, run_ts)
-    return stored, rejected
+    publish(spark, table_path, written)
+    return written.rows, rejected
 
 
 def quarantine(
-    rejects: DataFrame, path: str, batch: str, run_ts: dt.datetime, part: str = "rows"
+    rejects: DataFrame, path: str, batch: str, run_ts: dt.datetime, part: str = ROWS
 ) -> int:
     """Write rejects, which carry their reason, as one part of the quarantine."""
     rows = rejects.withColumn(fv.ERROR_TIME, F.lit(run_ts))
@@ -309,6 +375,65 @@ def rebuild(
     return _plain(tagged, rules)
 
 
+@dataclass(frozen=True)
+class Place:
+    """Where a feed lies, and the rules it has to meet."""
+
+    table: str
+    errors: str
+    rules: FeedRules
+
+
+def rebuild_tables(
+    spark: SparkSession,
+    places: Mapping[str, Place],
+    batch: str,
+    run_ts: dt.datetime,
+    settle: Settle,
+) -> dict[str, tuple[int, int]]:
+    """Gate all stored rows of several feeds anew, links included, and write each table as one
+    batch; returns the rows that each keeps and rejects.
+
+    New tables and rejects are written beside the old ones. Then each table is switched by one
+    manifest, which also notes the run, and old folders go last. So a run that ends anywhere can
+    be repeated: tables that it has switched already are left alone, and give the same links.
+    """
+    rules = {name: place.rules for name, place in places.items()}
+    now = {name: state(spark, place.table) for name, place in places.items()}
+    done = {
+        name: (found.rebuilt["rows"], found.rebuilt["rejected"])
+        for name, found in now.items()
+        if found is not None and found.rebuilt.get("batch") == batch
+    }
+    rows = {
+        name: stored(spark, place.table).rows(merge=True)
+        for name, place in places.items()
+        if now[name] is not None and now[name].batches
+    }
+    fresh = {name: _stored(df, rules[name]) for name, df in rows.items()}
+    if set(fresh) - set(done):
+        tagged = gate_feeds(fresh, {}, rules, settle)
+    counts = {name: (0, 0) for name in places} | done
+    written = {}
+    for name in fresh:
+        if name in done:
+            continue
+        place, result = places[name], settle(tagged[name])
+        clean = typed(clean_rows(result), rules[name].types)
+        written[name] = write_batch(spark, place.table, batch, clean, indexed(name, rules))
+        rejected = quarantine(rejected_rows(result), place.errors, batch, run_ts, REBUILT)
+        counts[name] = (written[name].rows, rejected)
+    for name, new in written.items():
+        kept, rejected = counts[name]
+        noted = {"batch": batch, "rows": kept, "rejected": rejected}
+        before = state(spark, places[name].table)
+        after = replace(before, batches=(new,), rebuilt=noted)
+        commit(spark, places[name].table, after)
+    for name in fresh:
+        sweep(spark, places[name].table)
+    return counts
+
+
 def rebuild_table(
     spark: SparkSession,
     table_path: str,
@@ -318,21 +443,6 @@ def rebuild_table(
     run_ts: dt.datetime,
     settle: Settle,
 ) -> tuple[int, int]:
-    """Gate all stored rows anew and write them as the only batch of the table.
-
-    The new table is written whole beside the old batches before those go.
-    """
-    stored = landed(spark, table_path, but=batch)
-    if stored is None:
-        return 0, 0
-    old = read_optional(spark, table_path).where(F.col(BATCH) != batch)
-    batches = [r[0] for r in old.select(BATCH).distinct().collect()]
-    nothing = _stored(stored, rules).where(F.lit(False))
-    tagged = settle(rebuild(nothing, stored, rules, run_ts, settle=settle))
-    clean = typed(clean_rows(tagged), rules.types)
-    count = write_table(clean, f"{table_path}/{BATCH}={batch}")
-    rejected = quarantine(rejected_rows(tagged), error_path, batch, run_ts)
-    for name in batches:
-        place = spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/{BATCH}={name}")
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    return count, rejected
+    """``rebuild_tables`` for one feed, without the links that need others."""
+    place = Place(table_path, error_path, replace(rules, links=()))
+    return rebuild_tables(spark, {"feed": place}, batch, run_ts, settle)["feed"]

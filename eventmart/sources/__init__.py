@@ -1,3 +1,13 @@
+from eventmart.sources.batches import (
+    BATCH,
+    Stored,
+    compact,
+    publish,
+    state,
+    stored,
+    sweep,
+    write_batch,
+)
 from eventmart.sources.files import (
     CORRUPT,
     FILE_NAME,
@@ -21,22 +31,30 @@ from eventmart.sources.sinks import (
 from eventmart.sources.tables import read_optional, read_table
 
 __all__ = [
+    "BATCH",
     "CORRUPT",
     "FILE_NAME",
     "FILE_PATH",
     "PLACE",
+    "Stored",
+    "compact",
     "export_name",
     "file_facts",
     "found_headers",
     "manifest",
     "placed",
+    "publish",
     "read_delimited",
     "read_lines",
     "read_master",
     "read_optional",
     "read_table",
+    "state",
+    "stored",
     "stream_lines",
+    "sweep",
     "text_schema",
+    "write_batch",
     "write_delimited",
     "write_table",
 ]

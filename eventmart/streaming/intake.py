@@ -23,9 +23,17 @@ from eventmart.plans.intake import (
     well_formed,
     wrong_header,
 )
-from eventmart.plans.landing import fresh_rows, gate_feeds, land, landed, quarantine
+from eventmart.plans.landing import (
+    LINES,
+    fresh_rows,
+    gate_feeds,
+    indexed,
+    land,
+    quarantine,
+    tidy,
+)
 from eventmart.session import Workspace, fitted_shuffles, stored_bytes
-from eventmart.sources import FILE_NAME, file_facts, placed, stream_lines
+from eventmart.sources import FILE_NAME, file_facts, placed, stored, stream_lines
 from eventmart.specs import FeedSpec
 
 
@@ -91,16 +99,17 @@ def stream_feed(
             rejects = malformed(good).unionByName(
                 refused.drop(KIND).withColumnRenamed("reason", fv.ERROR_REASON)
             )
-            quarantine(rejects, error_path, batch, now, "lines")
-            snapshot = landed(session, table_path, but=batch, merge=False)
+            quarantine(rejects, error_path, batch, now, LINES)
+            snapshot = stored(session, table_path, but=batch)
             fresh = fresh_rows(well_formed(good), snapshot, spec.rules, now, work.settle)
+            rules = {spec.feed_type: spec.rules}
             tagged = gate_feeds(
-                {spec.feed_type: fresh},
-                {spec.feed_type: snapshot},
-                {spec.feed_type: spec.rules},
-                work.settle,
+                {spec.feed_type: fresh}, {spec.feed_type: snapshot}, rules, work.settle
             )
-            land(tagged[spec.feed_type], table_path, error_path, batch, now, spec.rules.types)
+            index = indexed(spec.feed_type, rules)
+            rows = tagged[spec.feed_type]
+            land(rows, table_path, error_path, batch, now, spec.rules.types, index)
+            tidy(session, table_path, index)
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if every is None:
