@@ -10,11 +10,12 @@ from checks.files import NEXT, RUN
 from checks.registry import query, table
 from eventmart import fixed_values as fv
 from eventmart.operators import clean_rows, rejected_rows
-from eventmart.plans import fresh_rows, gate_feeds, land, landed
+from eventmart.plans import Layout, fresh_rows, gate_feeds, land, landed
 from eventmart.plans.landing import Place, indexed, rebuild_tables, set_aside
 from eventmart.session import settle, work_dir
 from eventmart.sources import read_optional, stored
-from eventmart.specs import FeedRules, Link
+from eventmart.specs import FeedRules, FeedSpec, Link
+from eventmart.streaming import end_waits, stream_family
 
 _RULES = {
     "customer": FeedRules(
@@ -246,3 +247,54 @@ def landing_known_keys(spark, d):
         index = indexed("event", {"event": rules})
         land(tagged, f"{folder}/landing", f"{folder}/error", batch, RUN, index=index)
     return landed(spark, f"{folder}/landing").select(F.col("event_id").cast("long").alias("event_id"), "status", "run")
+
+
+def _streamed_family(spark, d):
+    """The linked feeds as files: children before their parents, over three rounds; then all
+    waits end."""
+    base = work_dir(spark)
+    customers = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.when(F.col("c_custkey") % 7 != 0, F.col("c_name")).alias("name"),
+    )
+    orders = table(spark, d, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("line")
+    )
+    feeds = {"customer": customers, "orders": orders, "marked": orders.where("line % 3 = 0")}
+    specs = {
+        n: FeedSpec(
+            n, f"lm_{n}", f"{base}/in/{n}", f"{base}/staged/{n}", "part-", "|", tuple(f.columns),
+            replace(_RULES[n], file_pattern=r"part-.*\.csv$"),
+        )
+        for n, f in feeds.items()
+    }
+    layout, wait = Layout(base), NEXT - RUN
+    rounds = (
+        {"orders": orders.where("line % 2 = 0"), "customer": customers.where("id % 3 = 0")},
+        {"customer": customers.where("id % 3 > 0"), "marked": feeds["marked"]},
+        {"orders": orders.where("line % 2 = 1")},
+    )
+    for spec in specs.values():  # a stream needs its folders
+        spark.createDataFrame([], ",".join(f"{c} string" for c in spec.columns)).write.csv(spec.inbound)
+    for files in rounds:
+        for name, rows in files.items():
+            rows.write.mode("append").options(header=True, sep="|").csv(specs[name].inbound)
+        query = stream_family(spark, specs, layout, f"{base}/checkpoint", wait, clock=lambda: RUN)
+        query.awaitTermination()
+    end_waits(spark, specs, layout, NEXT, wait)
+    return specs, layout
+
+
+@query("stream_linked_clean", f"{_LINKED} SELECT feed, id, line FROM whole WHERE error_reason IS NULL")
+def stream_linked_clean(spark, d):
+    """What the stream of a family lands, whatever comes first."""
+    specs, layout = _streamed_family(spark, d)
+    return _as_one({n: landed(spark, layout.landing(s.table)) for n, s in specs.items()})
+
+
+@query("stream_linked_reject", f"{_LINKED} SELECT * FROM whole WHERE error_reason IS NOT NULL")
+def stream_linked_reject(spark, d):
+    """What it sets aside when the time of the waiting rows is up."""
+    specs, layout = _streamed_family(spark, d)
+    errors = {n: read_optional(spark, layout.errors(n), merge=True) for n in specs}
+    return _as_one({n: e.where("reject_kind = 'rows'") for n, e in errors.items()})

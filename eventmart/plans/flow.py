@@ -73,6 +73,9 @@ class Layout:
     def errors(self, feed_type: str) -> str:
         return self._in("error", f"{feed_type}_error")
 
+    def waiting(self, feed_type: str) -> str:
+        return self._in("waiting", feed_type)
+
     def normalized(self, table: str) -> str:
         return self._in("normalized", table)
 

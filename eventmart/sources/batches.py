@@ -6,9 +6,9 @@ adds and drops. What no manifest names is not part of the table: leftovers of a
 half-way are invisible, and go with the next sweep. A folder that readers may have open is never
 written to. A table without a manifest consists of all its batch folders.
 
-Each batch also has the keys of its rows, per set of columns, in buckets of their hash. To find
-which of a feed's keys are stored, only the buckets that the feed's own keys fall into are opened,
-and of these only the key columns exist.
+Each batch also has the keys of its rows, per set of columns, in buckets of their hash: as many,
+always a power of two, as hold about ``KEYS`` keys each. To find which of a feed's keys are stored,
+only the buckets that the feed's own keys fall into are opened, and they hold nothing but keys.
 
 One writer at a time. A table has as many folders as a logarithm of its batches, if it is compacted.
 """
@@ -30,20 +30,21 @@ from eventmart.sources.tables import read_table
 
 BATCH = "load_batch"
 MANIFESTS = "_manifests"
-KEYS = "_keys"
-# Buckets of the stored keys of a table, and how many batches of one size are merged into one.
-BUCKETS = 256
+KEY_FOLDER = "_keys"
+# Keys of a bucket, the most buckets of a batch, and how many batches of one size are merged.
+KEYS, BUCKETS = 1 << 16, 1 << 16
 FAN_IN = 8
 
 
 @dataclass(frozen=True)
 class Batch:
-    """What one run wrote: ``index`` names the columns whose keys are stored in buckets."""
+    """What one run wrote: ``index`` names the columns whose keys are in ``buckets`` buckets."""
 
     name: str
     folder: str
     rows: int | None = None
     index: tuple[str, ...] = ()
+    buckets: int = 1
 
 
 @dataclass(frozen=True)
@@ -124,10 +125,10 @@ def sweep(spark: SparkSession, path: str) -> None:
     for name in _folders(spark, path):
         if name not in live:
             _delete(spark, f"{path}/{name}")
-    for columns in names_in(spark, f"{path}/{KEYS}"):
-        for name in names_in(spark, f"{path}/{KEYS}/{columns}"):
+    for columns in names_in(spark, f"{path}/{KEY_FOLDER}"):
+        for name in names_in(spark, f"{path}/{KEY_FOLDER}/{columns}"):
             if name.removeprefix("of=") not in live:
-                _delete(spark, f"{path}/{KEYS}/{columns}/{name}")
+                _delete(spark, f"{path}/{KEY_FOLDER}/{columns}/{name}")
     for name in names_in(spark, f"{path}/{MANIFESTS}"):
         if name != f"{now.version:012d}":
             _delete(spark, f"{path}/{MANIFESTS}/{name}")
@@ -147,34 +148,39 @@ def _set_name(columns: Sequence[str]) -> str:
     return "+".join(columns)
 
 
-def bucket_of(columns: Sequence[str | Column]) -> Column:
-    """The bucket of a key, as text whatever its type."""
-    as_text = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+def hash_of(columns: Sequence[str]) -> Column:
+    """The hash of a key, as text whatever its type; its remainder is the bucket."""
+    as_text = [F.col(c).cast("string") for c in columns]
     return F.pmod(F.xxhash64(*as_text), F.lit(BUCKETS)).cast("int")
 
 
+def _buckets(rows: int) -> int:
+    return min(BUCKETS, 1 << max(0, -(-rows // KEYS) - 1).bit_length())
+
+
 def _key_schema(columns: Sequence[str]) -> T.StructType:
     texts = [T.StructField(f"k{i}", T.StringType()) for i in range(len(columns))]
     return T.StructType([*texts, T.StructField("of", T.StringType()), T.StructField("bucket", T.IntegerType())])
 
 
-def _write_index(
-    spark: SparkSession, path: str, folder: str, index: Sequence[Sequence[str]]
-) -> tuple[str, ...]:
-    """Store the keys of a written batch, each once, sorted into their buckets."""
-    rows = read_table(spark, f"{path}/{folder}")
+def _with_index(
+    spark: SparkSession, path: str, batch: Batch, index: Sequence[Sequence[str]]
+) -> Batch:
+    """Store the keys of a written batch, each once, in their buckets."""
+    rows, buckets = read_table(spark, f"{path}/{batch.folder}"), _buckets(batch.rows)
     names = []
     for columns in index:
         if not set(columns) <= set(rows.columns):
             continue
         texts = [F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(columns)]
         keys = rows.select(*texts).dropna().distinct()
-        keys = keys.withColumn("bucket", bucket_of([f"k{i}" for i in range(len(columns))]))
-        keys = keys.repartition("bucket").sortWithinPartitions("bucket", "k0")
-        place = f"{path}/{KEYS}/{_set_name(columns)}/of={folder}"
+        own = F.pmod(hash_of([f"k{i}" for i in range(len(columns))]), F.lit(buckets))
+        keys = keys.withColumn("bucket", own)
+        keys = keys.coalesce(1) if buckets == 1 else keys.repartition("bucket")
+        place = f"{path}/{KEY_FOLDER}/{_set_name(columns)}/of={batch.folder}"
         write_table(keys, place, ["bucket"], whole=True)
         names.append(_set_name(columns))
-    return tuple(names)
+    return replace(batch, index=tuple(names), buckets=buckets)
 
 
 def write_batch(
@@ -197,7 +203,7 @@ def write_batch(
     if folder in {b.folder for b in now.batches}:
         folder = f"{folder}~{now.version}"
     count = write_table(rows, f"{path}/{folder}")
-    return Batch(name, folder, count, _write_index(spark, path, folder, index))
+    return _with_index(spark, path, Batch(name, folder, count), index)
 
 
 def publish(spark: SparkSession, path: str, batch: Batch) -> State:
@@ -233,7 +239,7 @@ def compact(spark: SparkSession, path: str, index: Sequence[Sequence[str]] = ())
         folder = f"{BATCH}=merged_{now.version:012d}"
         count = write_table(rows, f"{path}/{folder}")
         batch = Batch(folder.removeprefix(f"{BATCH}="), folder, count)
-        batch = replace(batch, index=_write_index(spark, path, folder, index))
+        batch = _with_index(spark, path, batch, index)
         gone = {b.folder for b in parts}
         rest = tuple(b for b in [*known, now.batches[-1]] if b.folder not in gone)
         commit(spark, path, replace(now, batches=(batch, *rest)))
@@ -255,20 +261,25 @@ class Stored:
     def keys(self, columns: Sequence[str], df: DataFrame, own: Sequence[str]) -> DataFrame:
         """``columns``, as text, of the stored rows that may equal ``own`` columns of ``df``.
 
-        Opens the buckets that keys of ``df`` fall into, at most ``BUCKETS`` of each batch;
-        batches without an index of these columns are read themselves.
+        Opens the buckets that keys of ``df`` fall into; batches without an index of these
+        columns are read themselves.
         """
         name = _set_name(columns)
         indexed = [b for b in self.batches if name in b.index]
         plain = [b for b in self.batches if name not in b.index]
         parts = []
         if indexed:
-            base = f"{self.path}/{KEYS}/{name}"
-            wanted = df.select(bucket_of(own).alias("bucket")).distinct()
-            buckets = [r[0] for r in wanted.collect()]
+            base = f"{self.path}/{KEY_FOLDER}/{name}"
+            hashes = df.select(hash_of(own).alias("hash")).distinct()
+            wanted = {r[0] for r in hashes.collect()}  # at most BUCKETS numbers
             reader = self.spark.read.schema(_key_schema(columns)).option("basePath", base)
             found = reader.parquet(*[f"{base}/of={b.folder}" for b in indexed])
-            found = found.where(F.col("bucket").isin(buckets))
+            opened = F.lit(False)
+            for buckets in sorted({b.buckets for b in indexed}):
+                of = [b.folder for b in indexed if b.buckets == buckets]
+                asked = sorted({h % buckets for h in wanted})
+                opened = opened | (F.col("of").isin(of) & F.col("bucket").isin(asked))
+            found = found.where(opened)
             parts.append(found.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(columns)]))
         if plain:
             found = read_batches(self.spark, self.path, plain)

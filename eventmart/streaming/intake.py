@@ -32,6 +32,7 @@ from eventmart.plans.landing import (
     quarantine,
     tidy,
 )
+from eventmart.operators.quality import Settle
 from eventmart.session import Workspace, fitted_shuffles, stored_bytes
 from eventmart.sources import FILE_NAME, file_facts, placed, stored, stream_lines
 from eventmart.specs import FeedSpec
@@ -47,6 +48,25 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(text)["id"].replace("-", "")
 
 
+def checked_lines(
+    lines: DataFrame, spec: FeedSpec, settle: Settle
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files that are accepted, and lines to set aside with their reason: malformed
+    ones, and those of files with a wrong name or header."""
+    facts = settle(file_facts(lines, spec.columns, LINE))
+    name = F.element_at(F.split("path", "/"), -1)
+    reason = F.when(~own_name("file_name", spec), bad_name("file_name", spec)).when(
+        ~F.col("header_ok"), F.lit(wrong_header(spec))
+    )
+    facts = facts.withColumn("file_name", name).withColumn("reason", reason)
+    good = data_lines(lines, facts.where("reason IS NULL"))
+    refused = data_lines(lines, facts.where("reason IS NOT NULL"), "reason")
+    rejects = malformed(good).unionByName(
+        refused.drop(KIND).withColumnRenamed("reason", fv.ERROR_REASON)
+    )
+    return well_formed(good), rejects
+
+
 def stream_feed(
     spark: SparkSession,
     spec: FeedSpec,
@@ -69,7 +89,7 @@ def stream_feed(
     of the ``others`` claims are left to it.
     """
     if spec.rules.links:
-        raise ValueError("linked feeds need the others of their family: use the batch run")
+        raise ValueError("linked feeds need the others of their family: use stream_family")
     if not spec.rules.file_pattern:
         raise ValueError(f"Unknown file type: {spec.feed_type} has no file pattern")
     others = tuple(others)
@@ -88,20 +108,10 @@ def stream_feed(
         own = rows.where(own_name(FILE_NAME, spec) | ~foreign_name(FILE_NAME, spec, others))
         lines = stage(own.withColumn(fv.INTAKE_TIME, F.lit(now)), folder)
         with fitted_shuffles(session, stored_bytes(session, folder)):
-            facts = work.settle(file_facts(lines, spec.columns, LINE))
-            name = F.element_at(F.split("path", "/"), -1)
-            reason = F.when(~own_name("file_name", spec), bad_name("file_name", spec)).when(
-                ~F.col("header_ok"), F.lit(wrong_header(spec))
-            )
-            facts = facts.withColumn("file_name", name).withColumn("reason", reason)
-            good = data_lines(lines, facts.where("reason IS NULL"))
-            refused = data_lines(lines, facts.where("reason IS NOT NULL"), "reason")
-            rejects = malformed(good).unionByName(
-                refused.drop(KIND).withColumnRenamed("reason", fv.ERROR_REASON)
-            )
+            good, rejects = checked_lines(lines, spec, work.settle)
             quarantine(rejects, error_path, batch, now, LINES)
             snapshot = stored(session, table_path, but=batch)
-            fresh = fresh_rows(well_formed(good), snapshot, spec.rules, now, work.settle)
+            fresh = fresh_rows(good, snapshot, spec.rules, now, work.settle)
             rules = {spec.feed_type: spec.rules}
             tagged = gate_feeds(
                 {spec.feed_type: fresh}, {spec.feed_type: snapshot}, rules, work.settle
@@ -111,6 +121,15 @@ def stream_feed(
             land(rows, table_path, error_path, batch, now, spec.rules.types, index)
             tidy(session, table_path, index)
 
+    return _started(stream, handle, checkpoint, every)
+
+
+def _started(
+    stream: DataFrame,
+    handle: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    every: str | None,
+) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if every is None:
         return writer.trigger(availableNow=True).start()
