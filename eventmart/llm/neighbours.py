@@ -13,9 +13,10 @@ How many projections and visits are needed depends on the data. Both are set fro
 sample of queries whose true neighbours are found by a scan: as many projections as still reach
 the wanted recall within the allowed visits. A query that finds too few neighbours is scanned.
 
-Defined cases: a null id, and vectors that are null, zero, hold nulls or non-finite numbers, or
-are not of the commonest length, take no part; repeated rows count once; equal distances go by
-id; an empty table gives an empty result.
+Defined cases: a null id, and vectors that are null, zero, or hold nulls or non-finite numbers, take
+no part; vectors of each length are searched on their own; repeated rows count once; rows of one id
+are one neighbour, at the distance of the nearest of their vectors; a distance beyond doubles is
+infinite; equal distances go by id; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ BUCKET, CELL, BLOCK = 64, 2048, 4096
 # Bounds of the sample, the wanted recall on it, and the most visits over all tables.
 SAMPLE, SAMPLE_VECTORS, RECALL, VISITS = 60, 2000, 0.96, 512
 SEED = 11
+# Places along a projection are cut off here; components above are scaled before they are squared.
+PLACES, LARGE = 2.0**60, 1e150
 
 
 @dataclass
@@ -54,8 +58,8 @@ class Hashing:
 
     def places(self, vectors: np.ndarray) -> np.ndarray:
         """Where vectors fall along each projection, in cells: (tables, vectors, length)."""
-        along = np.einsum("nd,tkd->tnk", vectors, self.projections)
-        return along / self.width + self.offsets[:, None, :]
+        along = np.einsum("nd,tkd->tnk", vectors / self.width, self.projections)
+        return np.clip(np.nan_to_num(along), -PLACES, PLACES) + self.offsets[:, None, :]
 
     def shortened(self, length: int) -> Hashing:
         return Hashing(self.projections[:, :length], self.offsets[:, :length], self.width)
@@ -106,6 +110,17 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def distances(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances; differences whose squares a double does not hold are scaled first."""
+    with np.errstate(over="ignore"):
+        apart = vectors - query
+        out = np.sqrt((apart**2).sum(1))
+        most = np.abs(apart).max(1, initial=0.0)
+        odd = (most > LARGE) & np.isfinite(most)
+        out[odd] = most[odd] * np.sqrt(((apart[odd] / most[odd, None]) ** 2).sum(1))
+    return out
+
+
 def nearest(
     queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, allowed: np.ndarray | None, most: int
 ) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -114,15 +129,18 @@ def nearest(
     A matrix product finds who can be among them; their distances are then taken exactly.
     """
     out = []
-    squares = (vectors**2).sum(1)
-    rough = squares - 2 * (queries @ vectors.T) + (queries**2).sum(1)[:, None]
-    slack = 1e-9 * (squares.max(initial=0.0) + (queries**2).sum(1))
+    largest = max(np.abs(vectors).max(initial=0.0), np.abs(queries).max(initial=0.0))
+    scale = LARGE / largest if largest > LARGE else 1.0
+    small, asked = vectors * scale, queries * scale
+    squares, own = (small**2).sum(1), (asked**2).sum(1)
+    rough = squares - 2 * (asked @ small.T) + own[:, None]
+    slack = 1e-9 * (squares.max(initial=0.0) + own)
     for row, query in enumerate(queries):
         near = np.arange(len(vectors)) if allowed is None else np.flatnonzero(allowed[row])
         if len(near) > most:
             limit = np.partition(rough[row, near], most - 1)[most - 1] + slack[row]
             near = near[rough[row, near] <= limit]
-        exact = np.sqrt(((vectors[near] - query) ** 2).sum(1))
+        exact = distances(vectors[near], query)
         order = np.lexsort((ids[near], exact))[:most]
         out.append((ids[near][order], exact[order]))
     return out
@@ -130,7 +148,8 @@ def nearest(
 
 @dataclass
 class Entries:
-    """Distinct vectors: (entry, embedding) and (entry, ids), an entry being its smallest id."""
+    """Distinct vectors: (entry, embedding) and (entry, ids); entries are numbered in the order
+    of their smallest ids, so ties that go by entry go by id."""
 
     vectors: DataFrame
     ids: DataFrame
@@ -142,10 +161,7 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
     v = F.col(vector)
     broken = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col(key).isNotNull() & v.isNotNull() & ~broken & F.exists(v, lambda x: x != 0))
-    rows = rows.select(F.col(key).alias("id"), v.alias("embedding")).distinct()
-    lengths = rows.groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("rows"))
-    common = lengths.orderBy(F.desc("rows"), "n").first()
-    return rows.where(F.size("embedding") == (common["n"] if common else 0))
+    return rows.select(F.col(key).alias("id"), v.alias("embedding")).distinct()
 
 
 def distinct_vectors(rows: DataFrame, most: int) -> Entries:
@@ -157,7 +173,11 @@ def distinct_vectors(rows: DataFrame, most: int) -> Entries:
     by_vector = Window.partitionBy("embedding").orderBy("id")
     few = rows.withColumn("place", F.row_number().over(by_vector)).where(F.col("place") <= most)
     grouped = few.groupBy("embedding").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    grouped = settle(grouped.withColumn("entry", F.col("ids")[0]))
+    # Ranges of the smallest id follow each other, so numbers that grow along them keep its order.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = settle(grouped.withColumn("least", F.col("ids")[0]))
+    dealt = grouped.repartitionByRange(parts, "least").sortWithinPartitions("least")
+    grouped = settle(dealt.withColumn("entry", F.monotonically_increasing_id()))
     return Entries(grouped.select("entry", "embedding"), grouped.select("entry", "ids"), grouped.count())
 
 
@@ -288,7 +308,9 @@ def fit(entries: Entries, queries: DataFrame, neighbours: int) -> tuple[Hashing,
     rng = np.random.default_rng(SEED)
     longest = 32
     projections = rng.normal(size=(TABLES, longest, vectors.shape[1]))
-    width = WIDTH * float((vectors @ projections.reshape(TABLES * longest, -1).T).std())
+    largest = float(np.abs(vectors).max(initial=0.0)) or 1.0
+    spread = ((vectors / largest) @ projections.reshape(TABLES * longest, -1).T).std()
+    width = min(WIDTH * float(spread) * largest, np.finfo(float).max)
     hashing = Hashing(projections, rng.uniform(size=(TABLES, longest)), width or 1.0)
     true = scan(entries, asked, neighbours + 1).join(entries.vectors, "entry")
     pairs = true.join(asked.select(F.col("entry").alias("query"), F.col("embedding").alias("point")), "query")
@@ -334,6 +356,19 @@ def search(
     """(query_id, rank, vec_id, score): the nearest found of each row for which ``is_query``,
     an expression over ``id``, holds; nearest first, ties to the smaller id."""
     found = usable(rows, key, vector)
+    lengths = [r[0] for r in found.select(F.size("embedding")).distinct().collect()]
+    if len(lengths) < 2:
+        return _search_length(found, is_query, neighbours)
+    found = settle(found)
+    parts = [
+        _search_length(found.where(F.size("embedding") == n), is_query, neighbours)
+        for n in sorted(lengths)
+    ]
+    return _nearest_rows(reduce(DataFrame.unionAll, parts), neighbours)
+
+
+def _search_length(found: DataFrame, is_query: str, neighbours: int) -> DataFrame:
+    """``search`` among usable rows whose vectors are equally long."""
     most = neighbours + 1  # one may be the query itself
     entries = distinct_vectors(found, most)
     asking = found.where(is_query).join(entries.vectors, "embedding")
@@ -344,7 +379,7 @@ def search(
     points = settle(points)
     if points.isEmpty():
         empty = "query_id long, rank int, vec_id long, score double"
-        return rows.sparkSession.createDataFrame([], empty)
+        return found.sparkSession.createDataFrame([], empty)
     hashing, visited = fit(entries, points, neighbours)
     cells = max(1, math.ceil(entries.count / CELL))
     members = _spread(entries.vectors, hashing, cells, visited, query=False)
@@ -362,13 +397,20 @@ def search(
 def _ranked(asking: DataFrame, near: DataFrame, ids: DataFrame, neighbours: int) -> DataFrame:
     """Entries found become ids; each query row gets the best that are not itself."""
     each = near.join(ids, "entry").select("query", "score", F.explode("ids").alias("vec_id"))
+    each = each.groupBy("query", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query").orderBy("score", "vec_id")
     each = each.withColumn("place", F.row_number().over(best))
     each = settle(each.where(F.col("place") <= neighbours + 1).drop("place"))
-    own = Window.partitionBy("query_id").orderBy("score", "vec_id")
     rows = asking.distinct().join(each, "query").where("vec_id <> query_id")
-    rows = rows.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= neighbours)
-    return rows.select("query_id", "rank", "vec_id", "score")
+    return _nearest_rows(rows, neighbours)
+
+
+def _nearest_rows(rows: DataFrame, neighbours: int) -> DataFrame:
+    """(query_id, rank, vec_id, score): the nearest ids of each query, each id once."""
+    own = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    once = rows.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    once = once.withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= neighbours)
+    return once.select("query_id", "rank", "vec_id", "score")
 
 
 def op8_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,6 +16,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,8 +32,11 @@ from eventmart.session import settle
 LENGTH = 1024
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
-# What the vocabulary reserves; texts with it go through the slower library.
+# What the vocabulary reserves; texts with it go through the slower library. So do texts with a
+# longer run of blanks than this, for which the faster one runs out of stack.
 RESERVED = "<|endoftext|>"
+LONG_BLANKS = 10_000
+_BLANKS = re.compile(r"\s+")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -68,10 +72,18 @@ def _encoders(path: str):
     return slow, fast
 
 
+def _needs_slow(text: str) -> bool:
+    if RESERVED in text:
+        return True
+    if len(text) <= LONG_BLANKS:
+        return False
+    return any(m.end() - m.start() > LONG_BLANKS for m in _BLANKS.finditer(text))
+
+
 def token_ids(text: str, path: str) -> np.ndarray:
     """Ids of a text, and the end token."""
     slow, fast = _encoders(path)
-    if RESERVED in text:
+    if _needs_slow(text):
         ids = slow.encode(text, add_special_tokens=False).ids
     else:
         ids = fast.encode_ordinary(text)
@@ -188,8 +200,17 @@ def sequences(packed: DataFrame) -> DataFrame:
 def pack(
     docs: DataFrame, length: int = LENGTH, path: str | None = None, with_ids: bool = True
 ) -> DataFrame:
-    """Every piece of every document of ``docs`` (doc_id, text) with its place in a sequence."""
-    return placed(settle(pieces(docs, length, path, with_ids)), length)
+    """Every piece of every document of ``docs`` (doc_id, text) with its place in a sequence.
+
+    Places are found without the ids, which join their piece by its number at the end.
+    """
+    made = pieces(docs, length, path, with_ids)
+    if not with_ids:
+        return placed(settle(made), length)
+    made = settle(made.withColumn("piece", F.monotonically_increasing_id()))
+    ids = made.select(F.col("piece").alias("of_piece"), "ids")
+    found = placed(made.drop("ids"), length)
+    return found.join(ids, F.col("piece") == F.col("of_piece")).drop("piece", "of_piece")
 
 
 def op10_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:

@@ -155,9 +155,12 @@ def _walk_spans(value: str):
         i = max(j - 1, i + 1)
 
 
-@lru_cache(maxsize=4096)
 def guess_cost(value: str) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` needs."""
+    return _known_cost(value) if len(value) <= KNOWN_CHARS else _cost(value)
+
+
+def _cost(value: str) -> float:
     n = len(value)
     ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
     for find in (_word_spans, _date_spans, _walk_spans):
@@ -175,6 +178,11 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
+# Costs of short values are kept; a long one is not likely to come again.
+KNOWN_CHARS = 64
+_known_cost = lru_cache(maxsize=4096)(_cost)
+
+
 def base_spans(text: str) -> list[Span]:
     """Matches of the fixed patterns, leftmost and without overlap per kind."""
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 8]

@@ -114,12 +114,21 @@ def written(spans: Iterable[Span]) -> str:
 
 
 def without_overlap(found: Iterable[Span], base: Iterable[Span]) -> list[Span]:
-    """Those of ``found`` that share no character with a span of ``base`` or an earlier one."""
-    taken, out = sorted((s, e) for _, s, e in base), []
+    """Those of ``found`` that share no character with a span of ``base`` or an earlier one.
+
+    One pass over both in order: ``end`` is as far as the spans before reach, so a span that
+    starts behind it can only meet the next one of ``base``.
+    """
+    taken, at, end, out = sorted((s, e) for _, s, e in base), 0, 0, []
     for span in sorted(found, key=lambda s: (s[1], -s[2])):
-        if all(e <= span[1] or span[2] <= s for s, e in taken):
-            taken.append(span[1:])
-            out.append(span)
+        _, start, stop = span
+        while at < len(taken) and taken[at][0] < start:
+            end = max(end, taken[at][1])
+            at += 1
+        if start < end or (at < len(taken) and taken[at][0] < stop):
+            continue
+        out.append(span)
+        end = max(end, stop)
     return out
 
 

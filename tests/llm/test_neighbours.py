@@ -140,3 +140,50 @@ def test_visits_come_in_order():
     assert costs == pytest.approx(sorted(costs))
     every = sorted(cost(s) for s in np.array(np.meshgrid(*[(-1, 0, 1)] * 6)).reshape(6, -1).T)
     assert costs == pytest.approx(every[:300])
+
+
+DOUBLES = "vec_id long, embedding array<double>"
+
+
+def test_an_id_with_two_vectors(spark):
+    """Scores belong to the right vectors, and an id is listed once, at its nearest vector."""
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(1, 60)]
+    rows += [(0, [0.0, 9.0, 0.0]), (0, [1.0, 0.1, 0.0]), (7, [0.0, 9.0, 1.0]), (7, [5.0, 0.0, 0.0]), (1, [0.0, 9.0, 0.5])]
+    got = found(spark, rows, schema=DOUBLES)
+    want = {}
+    for q in range(0, 60, 10):
+        near = {}
+        for i, v in rows:
+            for j, w in rows:
+                if i == q and j != q:
+                    near[j] = min(near.get(j, math.inf), math.dist(v, w))
+        want[q] = sorted((d, j) for j, d in near.items())[:10]
+    assert got.keys() == want.keys()
+    for q in want:
+        assert [i for _, i in got[q]] == [i for _, i in want[q]]
+        assert [d for d, _ in got[q]] == pytest.approx([d for d, _ in want[q]], rel=1e-13)
+
+
+def test_each_length_is_searched(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=(3, 5, 2)[i % 3]).tolist()) for i in range(90)]
+    got = found(spark, rows, schema=DOUBLES)
+    assert got.keys() == set(range(0, 90, 10))
+    for q, near in got.items():
+        alike = [(i, v) for i, v in rows if i % 3 == q % 3]
+        want = by_hand(alike, lambda i: i == q)[q]  # noqa: B023
+        assert [i for _, i in near] == [i for _, i in want]
+
+
+def test_large_components(spark):
+    """Squares that no double holds, among vectors of all sizes."""
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.normal(size=3) * 10.0 ** (0, 160, 300)[i % 3]).tolist()) for i in range(60)]
+    rows += [(100, [1.7e308, -1.7e308, 0.0])]
+    got = found(spark, rows, schema=DOUBLES)
+    assert got.keys() == {0, 10, 20, 30, 40, 50, 100}
+    vectors = dict(rows)
+    for q, near in got.items():
+        want = sorted((math.dist(vectors[q], v), i) for i, v in rows if i != q)[:10]
+        assert [d for d, _ in near] == pytest.approx([d for d, _ in want], rel=1e-13)

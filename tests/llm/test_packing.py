@@ -117,3 +117,28 @@ def test_odd_rows(odd, no_docs):
         total[r["sequence_id"]] += r["length"]
     assert max(total.values()) <= 1024
     assert packing.pack(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\r\n", " "])
+def test_long_runs_of_blanks(spark, docs, blank):
+    """Runs for which the faster library has no stack; ids are those of the other."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.vocabulary_path())
+    texts = {1: blank * 2_000_000, 2: "word " + blank * 12_000 + "end", 3: blank * 9_000}
+    out = packing.pack(docs(list(texts.items()))).collect()
+    for i, text in texts.items():
+        ids = [n for r in sorted(out, key=lambda r: r["start"]) if r["doc_id"] == i for n in r["ids"]]
+        assert ids == [*plain.encode(text, add_special_tokens=False).ids, packing.END]
+
+
+def test_ids_stay_with_their_pieces(spark, docs):
+    """Repeated rows and rows of one id: each piece has the ids that its checksum is of."""
+    import zlib
+
+    import numpy as np
+
+    rows = [(i % 7, f"text {i % 20} " * (i * 13 % 700)) for i in range(150)]
+    for r in packing.pack(docs(rows), 256).collect():
+        assert r["length"] == len(r["ids"])
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
