@@ -38,9 +38,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The pieces of every row, with their places in sequences."""
+    """The pieces of every row: their token ids, and their places in sequences."""
     ready(spark)
-    return packing.pack(docs, with_ids=False)
+    return packing.pack(docs)
 
 
 STAGES = [
