@@ -89,7 +89,7 @@ def stream_feed(
     of the ``others`` claims are left to it.
     """
     if spec.rules.links:
-        raise ValueError("linked feeds need the others of their family: use stream_family")
+        raise ValueError("linked feeds need the others of their family: use stream_family or the batch run")
     if not spec.rules.file_pattern:
         raise ValueError(f"Unknown file type: {spec.feed_type} has no file pattern")
     others = tuple(others)
