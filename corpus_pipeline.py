@@ -13,6 +13,10 @@ from eventmart.llm.shared import ready, table
 from eventmart.session import scratch, work_dir
 
 
+# Words of a shingle; the query of near duplicates is bound to four, the pipeline is not.
+SHINGLE = 5
+
+
 def keep_good_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the quality classifier keeps; it learns from those that have a label."""
     labels = table(spark, folder, "labels", "doc_id", "quality")
@@ -22,7 +26,7 @@ def keep_good_documents(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near duplicates."""
     ready(spark)
-    return near_duplicates.keep_first(docs)
+    return near_duplicates.keep_first(docs, size=SHINGLE)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

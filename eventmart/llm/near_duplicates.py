@@ -10,10 +10,11 @@ bucket whose members are in one component is done.
 
 For the others an exact rule finds what the stars missed. Of the documents in open buckets only
 the rarest shingles are compared: two similar sets share one among their first few by rarity,
-and not after too many that the other lacks. Documents that share one form a finer bucket; its
-members outside its largest component become centres, a bounded number in each round, and meet
-the members of other components. So large groups cost a few links per member, and no link
-between members of a bucket is lost for the components.
+and not after too many that the other lacks. Documents that share one form a finer bucket. In
+each round one member of it outside its largest component, then 4, 16 and so on, are centres
+and meet the members of other components; components are taken anew before the next round, and
+a bucket whose members are in one is closed. So pairs follow the components that are left, not
+the members, and no link between members of a bucket is lost for the components.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing;
 shorter texts than a shingle are one shingle; a null id is linked with nothing and kept; rows of
@@ -24,7 +25,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +42,9 @@ LEAST = 80  # percent
 # 128 bins in bands of 4: a pair of similarity 0.8 shares no bucket once in twenty million.
 BIN_BITS = 7
 ROWS = 4
-# Centres that a finer bucket tries in a round.
-CENTRES = 1024
+# Centres that a finer bucket tries in the first round, and by how much each round has more.
+CENTRES = 1
+GROWTH = 4
 # Ids that are sent to every task, so that texts need not move; beyond, both sides are shuffled.
 SENT_IDS = 4_000_000
 # Bins that a set's hashes are counted in, to bound how much two sets can share.
@@ -109,11 +110,11 @@ def band_keys(rows: np.ndarray, width: int = ROWS) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, set_id, bands); ``set_id`` is null and ``bands`` empty without words."""
 
     def make(column):
-        sets = [shingles(raw) for raw in binary_texts(column)]
+        sets = [shingles(raw, size) for raw in binary_texts(column)]
         some = [i for i, s in enumerate(sets) if len(s)]
         keys = band_keys(signatures([sets[i] for i in some]))
         ids: list = [None] * len(sets)
@@ -133,14 +134,14 @@ def counted(hashes: np.ndarray) -> bytes | None:
     return bins.astype(np.uint8).tobytes() if bins.max() < 256 else None
 
 
-def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, ids: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(id, n, counts, hashes) of the documents in ``ids``, a stored table."""
     if ids.count() <= SENT_IDS:
         ids = F.broadcast(ids)
     rows = docs.join(ids, docs["doc_id"] == ids["id"], "left_semi")
 
     def make(column):
-        sets = [shingles(raw) for raw in binary_texts(column)]
+        sets = [shingles(raw, size) for raw in binary_texts(column)]
         return {
             "n": [len(s) for s in sets],
             "counts": [counted(s) for s in sets],
@@ -282,15 +283,13 @@ def _open_buckets(finer: DataFrame, known: DataFrame) -> DataFrame:
     return settle(live.join(settle(split.where("outside > 0")), "bucket"))
 
 
-def _centres(live: DataFrame) -> DataFrame:
-    """Members outside the largest component: all, or one of each of ``CENTRES`` parts.
+def _centres(live: DataFrame, most: int) -> DataFrame:
+    """Members outside the largest component: all, or one of each of ``most`` parts.
 
     An id is a member with each of its sets.
     """
-    few = F.col("outside") <= CENTRES
-    part = F.when(few, F.col("id")).otherwise(
-        F.pmod(F.xxhash64("id", "n", "place"), F.lit(CENTRES))
-    )
+    few = F.col("outside") <= most
+    part = F.when(few, F.col("id")).otherwise(F.pmod(F.xxhash64("id", "n", "place"), F.lit(most)))
     own = F.when(few, F.col("n")).alias("part_n"), F.when(few, F.col("place")).alias("part_place")
     outside = live.where("component <> main").groupBy("bucket", part.alias("part"), *own)
     chosen = outside.agg(F.max(F.struct("id", "n", "place", "component")).alias("top"))
@@ -311,27 +310,50 @@ def _places_allow(least: int) -> Column:
     return (100 + least) * most >= least * (F.col("n") + F.col("centre_n"))
 
 
+def _met(live: DataFrame, centres: DataFrame, least: int) -> DataFrame:
+    """Pairs (a, b) of a centre and a member of another component that may be similar enough."""
+    apart = F.col("component") != F.col("centre_component")
+    met = live.join(centres, "bucket").where(apart & _places_allow(least))
+    return _ordered(met, "id", "centre")
+
+
+def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known`` (id, component) after more links (a, b).
+
+    Only the components that the links touch are worked on, as nodes of a graph of their own.
+    """
+    if links.isEmpty():
+        return known
+    for end in ("a", "b"):
+        of_end = known.select(F.col("id").alias(end), "component")
+        links = links.join(of_end, end, "left")
+        links = links.withColumn(end, F.coalesce("component", end)).drop("component")
+    roots = components(links.select("a", "b").distinct())
+    to = roots.select(F.col("id").alias("component"), F.col("component").alias("new"))
+    moved = known.join(to, "component", "left")
+    moved = moved.select("id", F.coalesce("new", "component").alias("component"))
+    return settle(moved.unionByName(roots.join(known, "id", "left_anti")))
+
+
 def link(
     shared: DataFrame, sets: DataFrame, least: int = LEAST, links: DataFrame | None = None
 ) -> DataFrame:
     """(id, component) of the ids that have a link, from shared buckets and full sets, and from
     ``links`` (a, b) that are known before."""
-    stars = settle(confirmed(_ordered(_first_pairs(shared, least), "id", "centre"), sets, least))
+    tried = settle(_ordered(_first_pairs(shared, least), "id", "centre"))
+    stars = settle(confirmed(tried, sets, least))
     known = components(stars if links is None else stars.unionByName(links))
     finer = settle(rare_shingles(sets, _unsettled(shared, known), least))
-    found = []
+    most = CENTRES
     while True:
         live = _open_buckets(finer, known)
-        outside = live.agg(F.max("outside")).first()[0]
-        if outside is None:
-            break
-        centres = _centres(live)
-        apart = F.col("component") != F.col("centre_component")
-        met = live.join(centres, "bucket").where(apart & _places_allow(least))
-        pairs = settle(_ordered(met, "id", "centre"))
-        found.append(settle(confirmed(pairs, sets, least)))
-        if outside <= CENTRES:
-            break  # all members outside the largest components were centres
+        if live.isEmpty():
+            return known
+        centres = _centres(live, most)
+        pairs = settle(_met(live, centres, least).join(tried, ["a", "b"], "left_anti"))
+        known = _joined(known, settle(confirmed(pairs, sets, least)))
+        tried = tried.unionAll(pairs)
+        # a centre has met all that it may be linked with, so each round leaves fewer to meet
         over = centres.select(
             "bucket",
             F.col("centre").alias("id"),
@@ -339,10 +361,7 @@ def link(
             F.col("centre_place").alias("place"),
         )
         finer = settle(live.select(*finer.columns).join(over, finer.columns, "left_anti"))
-    if not found:
-        return known
-    tree = known.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    return components(reduce(DataFrame.unionAll, found, tree))
+        most *= GROWTH
 
 
 def _links_of_ids(sketches: DataFrame, copies: DataFrame) -> DataFrame | None:
@@ -358,12 +377,12 @@ def _links_of_ids(sketches: DataFrame, copies: DataFrame) -> DataFrame | None:
     return settle(found.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: int = LEAST, size: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document.
 
-    ``docs`` needs doc_id and text. A component's id is its smallest doc_id, which is kept.
+    ``docs`` needs doc_id and text; a shingle has ``size`` words. A component's id is its smallest doc_id, which is kept.
     """
-    sketches = settle(sketch(docs))
+    sketches = settle(sketch(docs, size))
     known = sketches.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
     classes = known.groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     copies = settle(classes.where("n > 1").select("set_id", "first"))
@@ -373,7 +392,7 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     )
     shared = _shared_buckets(members)
     ids = settle(shared.select("id").distinct())
-    linked = link(shared, settle(full_sets(docs, ids)), least, _links_of_ids(sketches, copies))
+    linked = link(shared, settle(full_sets(docs, ids, size)), least, _links_of_ids(sketches, copies))
     linked = linked.where("id <> component")
     # of each document: the first with its set, then that one's component
     first = sketches.select("doc_id", "n_shingles", "set_id").join(copies, "set_id", "left")
@@ -388,9 +407,9 @@ def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def keep_first(docs: DataFrame, least: int = LEAST, size: int = SHINGLE) -> DataFrame:
     """``docs`` with one document of each component, and one row of each id: of the longest text."""
-    found = settle(near_duplicates(docs, least))
+    found = settle(near_duplicates(docs, least, size))
     gone = settle(found.where("NOT kept").select("doc_id").distinct())
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
     ids = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))

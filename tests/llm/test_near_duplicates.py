@@ -8,16 +8,16 @@ from plain import group
 from eventmart.llm import near_duplicates as nd
 
 
-def shingle_set(text):
+def shingle_set(text, size=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3)))
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1)))
 
 
-def by_hand(rows):
+def by_hand(rows, size=4):
     """Components from all pairs."""
-    sets = [(i, shingle_set(t)) for i, t in rows if i is not None]
+    sets = [(i, shingle_set(t, size)) for i, t in rows if i is not None]
     links = [(i, i) for i, _ in sets]
     for n, (i, a) in enumerate(sets):
         for j, b in sets[:n]:
@@ -144,3 +144,44 @@ def test_signature_agrees_with_similarity():
 def test_tiny_sets_fill_all_bins():
     one = nd.signatures([np.array([17], np.uint64)])
     assert (one == 17).all()
+
+
+def template_family(n):
+    """Documents of one template, many pairs of which are just below the least similarity."""
+    rng = random.Random(9)
+    template = [f"t{i}" for i in range(300)]
+    rows = []
+    for i in range(n):
+        words = list(template)
+        for at in rng.sample(range(0, 300, 10), rng.randrange(2, 4)):
+            words[at : at + 4] = [f"v{rng.randrange(40)}" for _ in range(4)]
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_pairs_of_a_family_follow_its_components(docs, monkeypatch):
+    """Compared pairs grow with the documents, not with their square."""
+    compared = []
+    check = nd.confirmed
+
+    def counting(pairs, sets, least=nd.LEAST):
+        compared.append(pairs.count())
+        return check(pairs, sets, least)
+
+    monkeypatch.setattr(nd, "confirmed", counting)
+    each = []
+    for n in (100, 300):
+        compared.clear()
+        rows = template_family(n)
+        out = nd.near_duplicates(docs(rows)).collect()
+        if n == 100:
+            assert {r["doc_id"]: r["component_id"] for r in out} == by_hand(rows)
+        each.append(sum(compared) / n)
+        assert len({r["component_id"] for r in out}) < n / 2
+    assert each[1] < 1.5 * each[0]
+
+
+def test_size_of_shingles(docs):
+    rows = corpus()
+    out = nd.near_duplicates(docs(rows), size=5).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == by_hand(rows, 5)

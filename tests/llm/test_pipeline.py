@@ -64,7 +64,7 @@ def test_quality_keeps_what_the_query_keeps(spark, stages):
 
 def test_one_of_each_group_stays(stages):
     rows = [(r["doc_id"], r["text"]) for r in stages["quality"]]
-    assert {r["doc_id"] for r in stages["near_duplicates"]} == set(components_by_hand(rows).values())
+    assert {r["doc_id"] for r in stages["near_duplicates"]} == set(components_by_hand(rows, 5).values())
 
 
 def test_secrets_are_masked(stages):
