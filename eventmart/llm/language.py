@@ -227,21 +227,28 @@ def held_out():
 def sample(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     """(text, lang) of up to ``most`` texts of each language, those of least key.
 
-    Few more than needed are put in order: a first pass counts, a second takes the share of keys
-    that holds about four times as many. Only the ids of those are sorted, and the picked ones,
-    bounded by the number of languages, meet the texts.
+    Few more than needed are put in order: a first pass counts ids, a second takes the share of
+    keys that holds about four times as many. Only the ids of those are sorted, and the picked
+    ones, bounded by the number of languages, meet the texts. Of a text ``SAMPLE_CHARS``
+    characters in a row are taken, from a place given by its hash; of an id with several texts,
+    the one of least hash.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     rows = known.select("lang", "doc_id", random_key("doc_id").alias("key"))
-    counts = settle(known.groupBy("lang").agg(F.count("*").alias("n")))
+    ids = F.approx_count_distinct("doc_id")
+    counts = settle(known.groupBy("lang").agg(F.greatest(ids, F.lit(1)).alias("n")))
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32)
     near = rows.join(counts, "lang").where(place * F.col("n") < 4 * most)
     by_lang = Window.partitionBy("lang").orderBy("key", "doc_id")
     near = near.dropDuplicates(["lang", "doc_id"])
     picked = near.withColumn("place", F.row_number().over(by_lang)).where(F.col("place") <= most)
     picked = settle(picked.select("lang", "doc_id", "key"))
-    texts = known.select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    return texts.join(picked, ["lang", "doc_id"]).select("lang", "key", "text")
+    spare = F.greatest(F.char_length("text") - SAMPLE_CHARS + 1, F.lit(1))
+    which = F.xxhash64("text")
+    window = F.substring("text", (F.pmod(which, spare) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    texts = known.select("lang", "doc_id", F.struct(which.alias("which"), window.alias("text")).alias("row"))
+    once = texts.join(picked, ["lang", "doc_id"]).groupBy("lang", "key", "doc_id")
+    return once.agg(F.min("row").alias("row")).select("lang", "key", "row.text")
 
 
 def fit(docs: DataFrame, most: int = SAMPLE) -> Network | None:

@@ -14,6 +14,7 @@ rows give equal rows; texts are read whole; an empty table gives an empty result
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 from operator import eq
@@ -160,12 +161,23 @@ def train_chain(
     )
 
 
+def window_of_lines(raw: bytes, most: int = SAMPLE_LINES) -> list[tuple[int, ...]]:
+    """The features of up to ``most`` lines in a row; where they start is taken by hash."""
+    lines = [f for _, f in lines_of(raw.decode("utf-8", "replace"))]
+    start = zlib.crc32(raw) % max(1, len(lines) - most + 1)
+    return lines[start : start + most]
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Chain | None:
     """A field trained on up to ``most`` labelled documents of each class, None without both."""
-    rows = labelled_sample(docs, labels, "quality", most).orderBy("key", "doc_id").collect()
+
+    def make(column):
+        return {"lines": [window_of_lines(raw) for raw in binary_texts(column)]}
+
+    rows = labelled_sample(docs, labels, "quality", most, make, "lines array<array<int>>")
     by_class: dict[int, list] = {0: [], 1: []}
-    for row in rows:
-        if lines := [f for _, f in lines_of(row["text"])[:SAMPLE_LINES]]:
+    for row in rows.orderBy("key", "doc_id").collect():
+        if lines := [tuple(line) for line in row["lines"]]:
             by_class[row["label"]].append(lines)
     if not all(by_class.values()):
         return None

@@ -12,6 +12,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 # A word is a run of anything but these six.
@@ -83,18 +84,20 @@ def with_columns(
 ) -> DataFrame:
     """Put the columns that ``make`` derives from a batch of texts in the place of ``text``.
 
-    ``added`` is their schema as DDL; a column of the same name is replaced. ``keep`` keeps the
+    ``added`` is their schema as DDL; a column of the same name, in either case, is replaced. ``keep`` keeps the
     text as well. Rows stay in their task: no shuffle.
     """
     extra = StructType.fromDDL(added)
-    rest = [c for c in df.columns if (keep or c != text) and c not in extra.names]
+    new_names = {c.lower() for c in extra.names}
+    rest = [c for c in df.columns if (keep or c != text) and c.lower() not in new_names]
     schema = StructType([*(df.schema[c] for c in rest), *extra])
+    kinds = [to_arrow_type(field.dataType) for field in extra]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = make(batch.column(batch.schema.get_field_index(text)))
             kept = [batch.column(batch.schema.get_field_index(c)) for c in rest]
-            new = [pa.array(made[c]) for c in extra.names]
+            new = [pa.array(made[c], kind) for c, kind in zip(extra.names, kinds)]
             yield pa.RecordBatch.from_arrays([*kept, *new], names=[*rest, *extra.names])
 
     return df.select(text, *(c for c in rest if c != text)).mapInArrow(run, schema)
@@ -174,11 +177,19 @@ def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, most: int
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    most: int,
+    make: Callable[[pa.Array], dict],
+    made: str,
 ) -> DataFrame:
-    """(text, label) of up to ``most`` documents of each class 0 and 1: those of least key.
+    """(key, doc_id, label, what ``make`` derives) of up to ``most`` documents of each class 0
+    and 1: those of least key, a row each, in order when sorted by key and id.
 
-    Null labels, ids and texts are left out. At most 2 * ``most`` ids are sent to the tasks.
+    ``made`` is the schema of what is derived as DDL; it is derived in the tasks, so no text
+    leaves them. Of an id with several rows, the text of least hash counts. Null labels, ids and
+    texts are left out. At most 2 * ``most`` ids are sent to the tasks.
     """
     known = labels.where(f"doc_id IS NOT NULL AND {label} IN (0, 1)").groupBy("doc_id")
     known = known.agg(F.min(label).alias("label")).withColumn("key", random_key("doc_id"))
@@ -187,4 +198,10 @@ def labelled_sample(
         part = known.where(F.col("label") == value).orderBy("key", "doc_id").limit(most)
         picked = part if picked is None else picked.unionAll(part)
     rows = docs.where("text IS NOT NULL").select("doc_id", "text")
-    return rows.join(F.broadcast(picked), "doc_id").select("key", "doc_id", "text", "label")
+    rows = rows.join(F.broadcast(picked), "doc_id")
+    rows = rows.select("key", "doc_id", "label", F.xxhash64("text").alias("which"), "text")
+    made_rows = with_columns(rows, "text", make, made)
+    derived = StructType.fromDDL(made).names
+    once = made_rows.groupBy("key", "doc_id", "label")  # begun in the map tasks
+    once = once.agg(F.min_by(F.struct(*derived), "which").alias("made"))
+    return once.select("key", "doc_id", "label", "made.*")

@@ -85,11 +85,16 @@ class Looks:
 
 
 def train(texts: list[bytes], labels: list[int], rounds: int = 25) -> Looks | None:
+    """A classifier of texts."""
+    return train_looks([looks(t) for t in texts], labels, rounds)
+
+
+def train_looks(seen: list[list[float]], labels: list[int], rounds: int = 25) -> Looks | None:
     """Ridge logistic regression by Newton steps; both classes weigh the same."""
     y = np.array(labels, float)
     if len(set(labels)) < 2:
         return None
-    x = np.array([looks(t) for t in texts])
+    x = np.array(seen)
     mean, scale = x.mean(0), x.std(0)
     mean[0], scale[0] = 0.0, 1.0  # the constant
     scale[scale < 1e-6] = 1.0
@@ -106,8 +111,13 @@ def train(texts: list[bytes], labels: list[int], rounds: int = 25) -> Looks | No
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Looks | None:
     """A classifier trained on up to ``most`` labelled documents of each class."""
-    rows = labelled_sample(docs, labels, "quality", most).orderBy("key", "doc_id").collect()
-    return train([r["text"].encode() for r in rows], [r["label"] for r in rows])
+
+    def make(column):
+        return {"looks": [looks(raw) for raw in binary_texts(column)]}
+
+    rows = labelled_sample(docs, labels, "quality", most, make, "looks array<double>")
+    rows = rows.orderBy("key", "doc_id").collect()
+    return train_looks([r["looks"] for r in rows], [r["label"] for r in rows])
 
 
 def add_evidence(
