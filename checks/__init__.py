@@ -5,6 +5,7 @@ from checks import (  # noqa: F401
     enrich,
     files,
     intake,
+    kept,
     landing,
     marts,
     merge,

@@ -35,11 +35,16 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--strict-masters", action="store_true", help="fail if a key of the master data repeats"
     )
+    parser.add_argument(
+        "--kept-marts", action="store_true", help="marts from their state and the run's own rows"
+    )
     args = parser.parse_args(argv)
     if args.step in ("run", "intake", "landing", "normalize", "rebuild") and not args.control:
         parser.error(f"{args.step} needs --control")
     if args.step in ("run", "normalize") and not args.masters:
         parser.error(f"{args.step} needs --masters")
+    if args.step == "marts" and args.kept_marts and not (args.control and args.masters):
+        parser.error("--kept-marts needs --control and --masters")
     if args.run_ts is None:
         if args.step not in ("run", "normalize"):
             parser.error(f"{args.step} needs the --run-ts of its run")
@@ -58,7 +63,7 @@ def main(argv: list[str] | None = None) -> flow.Counts:
     masters = flow.read_masters(spark, args.masters) if args.masters else None
     options = (args.without_deleted, args.keep_unbranded, args.strict_masters)
     if args.step == "run":
-        counts = flow.run(spark, specs, masters, layout, args.run_ts, *options)
+        counts = flow.run(spark, specs, masters, layout, args.run_ts, *options, args.kept_marts)
     else:
         size = flow.input_bytes(spark, specs, layout)
         with fitted_shuffles(spark, size), Workspace(spark) as work:
@@ -70,6 +75,10 @@ def main(argv: list[str] | None = None) -> flow.Counts:
                 counts = flow.normalize(spark, specs, masters, layout, work.settle, *options)
             elif args.step == "rebuild":
                 counts = flow.rebuild(spark, specs, layout, args.run_ts, work.settle)
+            elif args.step == "marts" and args.kept_marts:
+                counts = flow.keep_marts(
+                    spark, specs, masters, layout, args.run_ts, work.settle, *options
+                )
             elif args.step == "marts":
                 counts = flow.summarize(spark, layout, args.run_ts, work.settle)
             else:

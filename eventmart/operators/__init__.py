@@ -9,9 +9,20 @@ from eventmart.operators.enrich import (
     survivor_xref,
 )
 from eventmart.operators.latest import latest_batch
+from eventmart.operators.mart_states import (
+    delete_lines,
+    event_lines,
+    fold,
+    mart_lines,
+    marts_of,
+    participant_lines,
+    touched,
+)
 from eventmart.operators.marts import (
     attendance_by_event,
     brand_performance,
+    engagement_counts,
+    engagement_of,
     event_attendance,
     event_performance,
     event_type_participants,
@@ -37,10 +48,15 @@ __all__ = [
     "attendance_by_event",
     "brand_performance",
     "clean_rows",
+    "delete_lines",
+    "engagement_counts",
+    "engagement_of",
     "event_attendance",
+    "event_lines",
     "event_performance",
     "event_type_participants",
     "explode_tokens",
+    "fold",
     "gate",
     "keep_known",
     "keys_in",
@@ -48,9 +64,12 @@ __all__ = [
     "list_by_key",
     "lookup",
     "map_multivalue",
+    "mart_lines",
+    "marts_of",
     "merge_snapshot",
     "new_only",
     "participant_engagement",
+    "participant_lines",
     "product_performance",
     "quarantined",
     "rejected_rows",
@@ -64,4 +83,5 @@ __all__ = [
     "survivor_xref",
     "tag_duplicates",
     "tag_links",
+    "touched",
 ]

@@ -55,9 +55,12 @@ def event_attendance(
     )
 
 
-def _events(unique: bool) -> Column:
+def _events(unique: bool, counted: str | None = None) -> Column:
     """Events of a group; a base of ``unique`` events has a row for each, so rows are counted
-    where they are, and no event is shuffled to be told from its repeats."""
+    where they are, and no event is shuffled to be told from its repeats. A base of groups has
+    its events already counted, in the column ``counted``."""
+    if counted is not None:
+        return F.sum(counted)
     return F.count("event_id") if unique else F.count_distinct("event_id")
 
 
@@ -70,14 +73,14 @@ def _attendees() -> Column:
 
 
 def event_performance(
-    base: DataFrame, run_date: str | None = None, unique: bool = False
+    base: DataFrame, run_date: str | None = None, unique: bool = False, counted: str | None = None
 ) -> DataFrame:
     """Per day. ``avg_attendance_per_event`` is the share of attended rows, where an event
     without participants counts as one row; ``attendance_rate`` divides by participants."""
     require_columns(base, ["event_date"], "event attendance")
     # Grouped as a date, which is narrower than its text, and written as text at the end.
     mart = base.groupBy(day(base, "event_date").alias("event_date")).agg(
-        _events(unique).alias("total_events"),
+        _events(unique, counted).alias("total_events"),
         _registrations().alias("total_registrations"),
         _attendees().alias("total_attendees"),
         ratio(_attendees(), F.sum("joined_rows")).alias("avg_attendance_per_event"),
@@ -87,58 +90,72 @@ def event_performance(
 
 
 def brand_performance(
-    base: DataFrame, run_date: str | None = None, unique: bool = False
+    base: DataFrame, run_date: str | None = None, unique: bool = False, counted: str | None = None
 ) -> DataFrame:
     """Per brand combination, with the attendance rate."""
     mart = base.groupBy("brand_id", "brand_name").agg(
-        _events(unique).alias("event_count"),
+        _events(unique, counted).alias("event_count"),
         _registrations().alias("total_registrations"),
         _attendees().alias("total_attendees"),
         ratio(_attendees(), _registrations()).alias("attendance_rate"),
-        ratio(_attendees(), _events(unique)).alias("avg_attendance_per_event"),
+        ratio(_attendees(), _events(unique, counted)).alias("avg_attendance_per_event"),
     )
     return _processed(mart, run_date)
 
 
 def product_performance(
-    base: DataFrame, run_date: str | None = None, unique: bool = False
+    base: DataFrame, run_date: str | None = None, unique: bool = False, counted: str | None = None
 ) -> DataFrame:
     """Per brand combination: the brand mart without the attendance rate."""
-    return brand_performance(base, run_date, unique).drop("attendance_rate")
+    return brand_performance(base, run_date, unique, counted).drop("attendance_rate")
 
 
 def event_type_participants(
-    base: DataFrame, run_date: str | None = None, unique: bool = False
+    base: DataFrame, run_date: str | None = None, unique: bool = False, counted: str | None = None
 ) -> DataFrame:
     """Per event type."""
     require_columns(base, ["event_type"], "event attendance")
     mart = base.groupBy("event_type").agg(
-        _events(unique).alias("event_count"),
+        _events(unique, counted).alias("event_count"),
         _registrations().alias("total_registrations"),
         _attendees().alias("total_attendees"),
         ratio(_attendees(), _registrations()).alias("attendance_rate"),
-        ratio(_registrations(), _events(unique)).alias("avg_registrations_per_event"),
+        ratio(_registrations(), _events(unique, counted)).alias("avg_registrations_per_event"),
     )
     return _processed(mart, run_date)
 
 
-def participant_engagement(
-    participants: DataFrame, run_date: str | None = None
-) -> DataFrame:
-    """Per participant type; needs no join."""
+def engagement_counts(participants: DataFrame) -> DataFrame:
+    """Per participant type: what the engagement mart divides, as counts that can be added up."""
     require_columns(
         participants,
         ["participant_type", "participant_id", "attended", "registered"],
         "participants",
     )
-    attended = flag_count(F.col("attended") == "Y")
     registered = F.col("registered") == "Y"
-    mart = participants.groupBy("participant_type").agg(
-        F.count("participant_id").alias("total_participants"),
-        attended.alias("attended_count"),
-        ratio(attended, F.count("participant_id")).alias("attendance_rate"),
-        ratio(
-            flag_count(registered & (F.col("attended") == "N")), flag_count(registered)
-        ).alias("no_show_rate"),
+    return participants.groupBy("participant_type").agg(
+        F.count("participant_id").alias("registrations"),
+        flag_count(F.col("attended") == "Y").alias("attendees"),
+        flag_count(registered).alias("registered"),
+        flag_count(registered & (F.col("attended") == "N")).alias("no_shows"),
+        F.count("*").alias("participant_rows"),
+    )
+
+
+def engagement_of(counts: DataFrame, run_date: str | None = None) -> DataFrame:
+    """The engagement mart from its counts, one row per participant type."""
+    mart = counts.select(
+        "participant_type",
+        F.col("registrations").alias("total_participants"),
+        F.col("attendees").alias("attended_count"),
+        ratio(F.col("attendees"), F.col("registrations")).alias("attendance_rate"),
+        ratio(F.col("no_shows"), F.col("registered")).alias("no_show_rate"),
     )
     return _processed(mart, run_date)
+
+
+def participant_engagement(
+    participants: DataFrame, run_date: str | None = None
+) -> DataFrame:
+    """Per participant type; needs no join."""
+    return engagement_of(engagement_counts(participants), run_date)

@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
+from eventmart.operators import mart_states as ms
 from eventmart.operators.contracts import apply_deletes
 from eventmart.operators.enrich import assert_unique
 from eventmart.operators.quality import Settle
+from eventmart.plans import kept
 from eventmart.plans.intake import staged_rows, take_in
 from eventmart.plans.landing import (
     LINES,
@@ -85,6 +87,10 @@ class Layout:
     def checked(self, batch: str) -> str:
         return self._in("intake/checked", batch)
 
+    @property
+    def mart_states(self) -> str:
+        return self._in("summarized", "states")
+
     @property
     def ledger(self) -> str:
         return self._in("intake", "handled")
@@ -286,6 +292,71 @@ def summarize(
     }
 
 
+def _made_of(products: DataFrame, *options: object) -> str:
+    """Options and a sum over all product rows, on which the brands of stored events depend."""
+    row = F.xxhash64(*[F.col(c).cast("string") for c in products.columns]).cast("decimal(38,0)")
+    total = products.agg(F.sum(row).alias("total"), F.count("*").alias("n")).collect()[0]
+    return "|".join(str(part) for part in (total["n"], total["total"], *options))
+
+
+def keep_marts(
+    spark: SparkSession,
+    specs: Specs,
+    masters: Masters,
+    layout: Layout,
+    run_ts: dt.datetime,
+    settle: Settle,
+    without_deleted: bool = False,
+    keep_unbranded: bool = False,
+    strict_masters: bool = False,
+) -> Counts:
+    """The five marts, from their state and what landed in this run.
+
+    The same marts as ``normalize`` and ``summarize`` make of all rows. Earlier rows are read
+    only if the state does not have them all: at first, after a run without this step, after a
+    rebuild, when the product master or an option changed, or if events do not have unique ids.
+    """
+    batch, names = run_name(run_ts), ["event", "participant"]
+    if without_deleted and "event_del" in specs:
+        names.append("event_del")
+    if strict_masters:
+        assert_unique(masters.products, ["source_product_name"])
+    own = _made_of(masters.products, without_deleted, keep_unbranded)
+    paths = {name: layout.landing(specs[name].table) for name in names}
+    expected = {}
+    for name, path in paths.items():
+        rows, rebuilt = kept.rows_but(spark, path, batch)
+        expected[name] = (rows, f"{own}|{rebuilt}")
+    unique = specs["event"].rules.keys == ("event_id",)
+    before = stored(spark, layout.mart_states, but=batch)
+    anew = not unique or kept.taken(before) != expected
+    parts, rows = {}, {}
+    for name, path in paths.items():
+        parts[name], count = kept.rows_of(spark, path, batch)
+        rows[name] = (count, expected[name][1])
+        if anew:
+            parts[name] = landed(spark, path)
+            rows[name] = (count + expected[name][0], expected[name][1])
+    found = []
+    if parts["event"] is not None:
+        events = normalize_events(
+            parts["event"], masters.products, masters.indications, keep_unbranded, settle, unique
+        )
+        found.append(ms.event_lines(events))
+    if parts["participant"] is not None:
+        found.append(ms.participant_lines(parts["participant"]))
+    if parts.get("event_del") is not None:
+        found.append(ms.delete_lines(parts["event_del"]))
+    new = None
+    for part in found:
+        new = part if new is None else new.unionByName(part)
+    lines = kept.update(spark, layout.mart_states, batch, new, rows, settle, anew)
+    return {
+        f"summarized {name}": write_table(mart, layout.summarized(name))
+        for name, mart in ms.marts_of(lines, run_ts.date().isoformat()).items()
+    }
+
+
 def export(spark: SparkSession, layout: Layout, run_ts: dt.datetime) -> Counts:
     """The latest batch of events and participants as delimited files."""
     counts = {}
@@ -305,8 +376,10 @@ def run(
     without_deleted: bool = False,
     keep_unbranded: bool = False,
     strict_masters: bool = False,
+    kept_marts: bool = False,
 ) -> Counts:
-    """All steps; returns the rows each wrote."""
+    """All steps; returns the rows each wrote. ``kept_marts`` makes the marts from their state
+    and the run's own rows instead of from all normalized rows."""
     with fitted_shuffles(spark, input_bytes(spark, specs, layout)), Workspace(spark) as work:
         counts = intake(spark, specs, layout, run_ts, work.settle)
         counts |= landing(spark, specs, layout, run_ts, work.settle)
@@ -316,7 +389,10 @@ def run(
             # landed events have unique ids if that is their key, and a lookup adds no rows
             # unless a master key repeats
             unique = strict_masters and specs["event"].rules.keys == ("event_id",)
-            counts |= summarize(spark, layout, run_ts, work.settle, unique)
+            if kept_marts:
+                counts |= keep_marts(spark, specs, masters, layout, run_ts, work.settle, *options)
+            else:
+                counts |= summarize(spark, layout, run_ts, work.settle, unique)
             counts |= export(spark, layout, run_ts)
         else:
             log.warning("marts and export are left out: they need events and participants")

@@ -1,8 +1,12 @@
 from eventmart.sources.batches import (
     BATCH,
+    Spread,
+    State,
     Stored,
+    commit,
     compact,
     publish,
+    read_batches,
     state,
     stored,
     sweep,
@@ -36,7 +40,10 @@ __all__ = [
     "FILE_NAME",
     "FILE_PATH",
     "PLACE",
+    "Spread",
+    "State",
     "Stored",
+    "commit",
     "compact",
     "export_name",
     "file_facts",
@@ -44,6 +51,7 @@ __all__ = [
     "manifest",
     "placed",
     "publish",
+    "read_batches",
     "read_delimited",
     "read_lines",
     "read_master",

@@ -10,6 +10,9 @@ Each batch also has the keys of its rows, per set of columns, in buckets of thei
 always a power of two, as hold about ``KEYS`` keys each. To find which of a feed's keys are stored,
 only the buckets that the feed's own keys fall into are opened, and they hold nothing but keys.
 
+A table whose rows are themselves looked up by key is written ``Spread``: the rows lie in the
+buckets, and compaction may fold rows of one key into one.
+
 One writer at a time. A table has as many folders as a logarithm of its batches, if it is compacted.
 """
 
@@ -18,7 +21,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,17 +37,30 @@ KEY_FOLDER = "_keys"
 # Keys of a bucket, the most buckets of a batch, and how many batches of one size are merged.
 KEYS, BUCKETS = 1 << 16, 1 << 16
 FAN_IN = 8
+BUCKET = "hash_bucket"
 
 
 @dataclass(frozen=True)
 class Batch:
-    """What one run wrote: ``index`` names the columns whose keys are in ``buckets`` buckets."""
+    """What one run wrote: ``index`` names the columns whose keys are in ``buckets`` buckets, and
+    ``spread`` those by whose hash the rows themselves are."""
 
     name: str
     folder: str
     rows: int | None = None
     index: tuple[str, ...] = ()
     buckets: int = 1
+    spread: str = ""
+
+
+@dataclass(frozen=True)
+class Spread:
+    """Rows in folders by ``folders``, then in buckets by the hash of ``columns``, which hold
+    about ``KEYS`` rows each. ``combine`` folds the rows of batches that are merged."""
+
+    columns: tuple[str, ...]
+    folders: tuple[str, ...] = ()
+    combine: Callable[[DataFrame], DataFrame] | None = None
 
 
 @dataclass(frozen=True)
@@ -141,7 +157,8 @@ def read_batches(
     if not batches:
         return None
     reader = spark.read.option("mergeSchema", merge).option("basePath", path)
-    return reader.parquet(*[f"{path}/{b.folder}" for b in batches]).drop(BATCH)
+    rows = reader.parquet(*[f"{path}/{b.folder}" for b in batches]).drop(BATCH)
+    return rows.drop(BUCKET) if all(b.spread for b in batches) else rows
 
 
 def _set_name(columns: Sequence[str]) -> str:
@@ -183,16 +200,32 @@ def _with_index(
     return replace(batch, index=tuple(names), buckets=buckets)
 
 
+def _write_spread(
+    path: str, name: str, folder: str, rows: DataFrame, spread: Spread, about: int
+) -> Batch:
+    buckets = _buckets(about)
+    rows = rows.withColumn(BUCKET, F.pmod(hash_of(spread.columns), F.lit(buckets)))
+    count = write_table(
+        rows.repartition(*spread.folders, BUCKET),
+        f"{path}/{folder}",
+        [*spread.folders, BUCKET],
+        whole=True,
+    )
+    return Batch(name, folder, count, (), buckets, _set_name(spread.columns))
+
+
 def write_batch(
     spark: SparkSession,
     path: str,
     name: str,
     rows: DataFrame,
     index: Sequence[Sequence[str]] = (),
+    spread: Spread | None = None,
 ) -> Batch:
     """Write rows and their keys as a batch that no manifest names yet.
 
-    A live folder is left alone: a repeated run writes beside it.
+    A live folder is left alone: a repeated run writes beside it. With ``spread`` the rows, which
+    are counted before they are written and so should be settled, go into buckets instead.
     """
     now = state(spark, path)
     if now is None:  # from now on, what a run leaves half-way is not part of the table
@@ -202,6 +235,8 @@ def write_batch(
     folder = f"{BATCH}={name}"
     if folder in {b.folder for b in now.batches}:
         folder = f"{folder}~{now.version}"
+    if spread is not None:
+        return _write_spread(path, name, folder, rows, spread, rows.count())
     count = write_table(rows, f"{path}/{folder}")
     return _with_index(spark, path, Batch(name, folder, count), index)
 
@@ -216,7 +251,12 @@ def _tier(batch: Batch) -> int:
     return int(math.log(max(batch.rows or 1, 1), FAN_IN))
 
 
-def compact(spark: SparkSession, path: str, index: Sequence[Sequence[str]] = ()) -> int:
+def compact(
+    spark: SparkSession,
+    path: str,
+    index: Sequence[Sequence[str]] = (),
+    spread: Spread | None = None,
+) -> int:
     """Merge batches of like size, ``FAN_IN`` or more at once, and return how many were merged.
 
     A row is rewritten once per size class, so as often as a logarithm of the table. The newest
@@ -237,9 +277,14 @@ def compact(spark: SparkSession, path: str, index: Sequence[Sequence[str]] = ())
         parts = tiers[full[0]]
         rows = read_batches(spark, path, parts, merge=True)
         folder = f"{BATCH}=merged_{now.version:012d}"
-        count = write_table(rows, f"{path}/{folder}")
-        batch = Batch(folder.removeprefix(f"{BATCH}="), folder, count)
-        batch = _with_index(spark, path, batch, index)
+        name = folder.removeprefix(f"{BATCH}=")
+        if spread is not None:
+            rows = spread.combine(rows) if spread.combine is not None else rows
+            about = sum(b.rows for b in parts)
+            batch = _write_spread(path, name, folder, rows, spread, about)
+        else:
+            batch = Batch(name, folder, write_table(rows, f"{path}/{folder}"))
+            batch = _with_index(spark, path, batch, index)
         gone = {b.folder for b in parts}
         rest = tuple(b for b in [*known, now.batches[-1]] if b.folder not in gone)
         commit(spark, path, replace(now, batches=(batch, *rest)))
@@ -247,6 +292,20 @@ def compact(spark: SparkSession, path: str, index: Sequence[Sequence[str]] = ())
     return merged
 
 
+def _opened(
+    batches: Mapping[str, Batch], df: DataFrame, own: Sequence[str], of: str, bucket: str
+) -> Column:
+    """Which buckets hold keys that ``own`` columns of ``df`` may equal, as a filter on folders."""
+    hashes = df.select(hash_of(own).alias("hash")).distinct()
+    wanted = {r[0] for r in hashes.collect()}  # at most BUCKETS numbers
+    opened = F.lit(False)
+    for buckets in sorted({b.buckets for b in batches.values()}):
+        names = [n for n, b in batches.items() if b.buckets == buckets]
+        asked = sorted({h % buckets for h in wanted})
+        opened = opened | (F.col(of).isin(names) & F.col(bucket).isin(asked))
+    return opened
+
+
 @dataclass(frozen=True)
 class Stored:
     """A table at one state, without the batch that is being written."""
@@ -258,6 +317,16 @@ class Stored:
     def rows(self, merge: bool = False) -> DataFrame:
         return read_batches(self.spark, self.path, self.batches, merge)
 
+    def near(self, columns: Sequence[str], df: DataFrame, own: Sequence[str]) -> DataFrame:
+        """Rows of the buckets that ``own`` columns of ``df`` fall into: those whose ``columns``
+        equal them, as text, and others. The batches must be spread by ``columns``."""
+        if {b.spread for b in self.batches} != {_set_name(columns)}:
+            raise ValueError(f"{self.path} is not spread by {_set_name(columns)}")
+        reader = self.spark.read.option("basePath", self.path)
+        rows = reader.parquet(*[f"{self.path}/{b.folder}" for b in self.batches])
+        names = {b.folder.removeprefix(f"{BATCH}="): b for b in self.batches}
+        return rows.where(_opened(names, df, own, BATCH, BUCKET)).drop(BATCH, BUCKET)
+
     def keys(self, columns: Sequence[str], df: DataFrame, own: Sequence[str]) -> DataFrame:
         """``columns``, as text, of the stored rows that may equal ``own`` columns of ``df``.
 
@@ -270,16 +339,10 @@ class Stored:
         parts = []
         if indexed:
             base = f"{self.path}/{KEY_FOLDER}/{name}"
-            hashes = df.select(hash_of(own).alias("hash")).distinct()
-            wanted = {r[0] for r in hashes.collect()}  # at most BUCKETS numbers
             reader = self.spark.read.schema(_key_schema(columns)).option("basePath", base)
             found = reader.parquet(*[f"{base}/of={b.folder}" for b in indexed])
-            opened = F.lit(False)
-            for buckets in sorted({b.buckets for b in indexed}):
-                of = [b.folder for b in indexed if b.buckets == buckets]
-                asked = sorted({h % buckets for h in wanted})
-                opened = opened | (F.col("of").isin(of) & F.col("bucket").isin(asked))
-            found = found.where(opened)
+            names = {b.folder: b for b in indexed}
+            found = found.where(_opened(names, df, own, "of", "bucket"))
             parts.append(found.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(columns)]))
         if plain:
             found = read_batches(self.spark, self.path, plain)

@@ -7,11 +7,12 @@ from dataclasses import replace
 import pytest
 
 from eventmart import fixed_values as fv
-from eventmart.plans import Layout, Masters, rebuild, run
+from eventmart.plans import Layout, Masters, build_marts, flow, rebuild, run
 from eventmart.plans.flow import normalize, run_name
 from eventmart.plans.landing import fresh_rows, gate_feeds, land, landed, rebuild_table
 from eventmart.operators import clean_rows, rejected_rows
 from eventmart.session import settle
+from eventmart.sources import state
 from eventmart.specs import DEFAULT_RULES, FeedRules, Link, load_specs
 
 DAY1 = dt.datetime(2025, 7, 6, 1)
@@ -353,3 +354,38 @@ def test_a_failure_ends_the_run(spark, base, world, tmp_path):
         run(spark, specs, masters, Layout(str(tmp_path)), DAY1)
     # The files of the failed run are not marked as handled.
     assert not (tmp_path / "intake" / "handled").exists()
+
+
+def test_kept_marts_follow_the_runs(spark, day_one, world, base, rows):
+    """Marts kept up by runs equal those of all rows; the state is made anew only when it must be."""
+    specs, masters, layout = world
+    day = dt.datetime(2025, 7, 10, 1)
+
+    def check(at):
+        flow.normalize(spark, specs, masters, layout, settle, True)
+        tables = [read(spark, layout.normalized(n)) for n in ("lm_events", "lm_participants")]
+        wanted = build_marts(*tables, at.date().isoformat())
+        for name, mart in wanted.items():
+            assert rows(read(spark, layout.summarized(name)), *mart.columns) == rows(mart), name
+        return [b.name for b in state(spark, layout.mart_states).batches]
+
+    flow.keep_marts(spark, specs, masters, layout, day, settle, True)
+    assert check(day) == [run_name(day)]
+    # A new event, late and early participants, and deletes of a stored and of an unknown event.
+    put(base, "event", "LMHC_EVENT_20250711010000.csv", "E8,New,2025-08-20,Program,Beta,Flu")
+    put(base, "participant", "LMHC_PARTICIPANT_20250711010000.csv",
+        "E1,P7,Attendee,1007,Y,Y", "E9,P7,Attendee,1007,Y,Y", "E8,P1,Speaker,1001,N,Y")
+    put(base, "event_del", "LMHC_EVENT_DEL_20250711010000.csv", "E3,Gone,2025-07-10", "E10,Gone,2025-07-10")
+    later = day + dt.timedelta(days=1)
+    for _ in range(2):  # the second time is a scheduler's retry
+        run(spark, specs, masters, layout, later, without_deleted=True, kept_marts=True)
+        assert check(later) == [run_name(day), run_name(later)]
+    # Another brand for a stored event's text: the state is made anew.
+    products = spark.createDataFrame(
+        [("Alpha", "Alpha", "B9"), ("Beta", "Beta", "B2")],
+        "source_product_name string, Brand_name string, Brand_id string",
+    )
+    masters = replace(masters, products=products)
+    last = later + dt.timedelta(days=1)
+    flow.keep_marts(spark, specs, masters, layout, last, settle, True)
+    assert check(last) == [run_name(last)]

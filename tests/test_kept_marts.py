@@ -1,0 +1,156 @@
+"""Marts kept up by batches against marts made of all rows."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventmart.operators import (
+    delete_lines,
+    event_lines,
+    fold,
+    mart_lines,
+    marts_of,
+    participant_lines,
+)
+from eventmart.plans import build_marts, kept
+from eventmart.session import settle
+from eventmart.sources import batches, state, stored
+
+EVENT = "event_id int, event_date timestamp, event_type string, brand_id string, brand_name string"
+PERSON = (
+    "event_id int, participant_id int, participant_type string, attended string, registered string"
+)
+
+
+def events_of(spark, *rows):
+    found = [(i, None if d is None else dt.datetime(2025, 8, d, 18), t, b, b) for i, d, t, b in rows]
+    return spark.createDataFrame(found, EVENT)
+
+
+def people_of(spark, *rows):
+    return spark.createDataFrame(list(rows), PERSON)
+
+
+def together(*parts):
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def same(rows, found, events, people):
+    wanted = build_marts(events, people)
+    for name, mart in wanted.items():
+        assert rows(found[name], *mart.columns) == rows(mart), name
+
+
+def test_any_order_of_batches_with_repeats_nulls_and_deletes(spark, rows, tmp_path):
+    """Random events and participants in seven batches; enough of them that some are merged."""
+    draw = random.Random(5)
+    events = [
+        (draw.choice([None, *range(30)]), draw.choice([None, 1, 2, 3]), draw.choice([None, "x", "y"]),
+         draw.choice([None, "a", "b"]))
+        for _ in range(60)
+    ]
+    people = [
+        (draw.choice([None, 99, *([7] * 20), *range(35)]), draw.choice([None, 1, 2]),
+         draw.choice([None, "s", "t"]), draw.choice([None, "Y", "N"]), draw.choice([None, "Y", "N"]))
+        for _ in range(200)
+    ]
+    gone = [(3,), (3,), (12,), (55,), (None,)]
+    deletes = spark.createDataFrame(gone, "event_id int")
+    path = str(tmp_path / "states")
+    for i in range(7):
+        new = [event_lines(events_of(spark, *events[i::7])),
+               participant_lines(people_of(spark, *people[i::7]))]
+        if i == 4:
+            new.append(delete_lines(deletes))
+        lines = kept.update(spark, path, f"b{i}", together(*new), {}, settle)
+    left = [e for e in events if e[0] not in (3, 12, 55)]
+    same(rows, marts_of(lines), events_of(spark, *left), people_of(spark, *people))
+
+
+def test_batches_are_merged_and_a_repeated_one_replaces_itself(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches, "FAN_IN", 2)
+    path, days = str(tmp_path / "states"), [(i, 1 + i % 3, "x", "a") for i in range(8)]
+    for i in (0, 1, 2, 2, 3, 3):
+        new = event_lines(events_of(spark, *days[2 * i : 2 * i + 2]))
+        more = participant_lines(people_of(spark, (i, i, "s", "Y", "N"), (7 - i, i, "s", "N", "Y")))
+        lines = kept.update(spark, path, f"b{i}", new.unionByName(more), {}, settle)
+    assert len(state(spark, path).batches) < 4
+    people = [p for i in range(4) for p in ((i, i, "s", "Y", "N"), (7 - i, i, "s", "N", "Y"))]
+    same(rows, marts_of(lines), events_of(spark, *days), people_of(spark, *people))
+
+
+def test_rows_are_taken_back(spark, rows, tmp_path):
+    """An event moves to another day and brand, a participant goes, a delete is undone."""
+    path = str(tmp_path / "states")
+    events = [(1, 1, "x", "a"), (2, 1, "x", "a"), (3, 2, "y", "b")]
+    people = [(1, 10, "s", "Y", "Y"), (2, 11, "t", "Y", "Y"), (2, 12, "t", "N", "Y")]
+    deletes = spark.createDataFrame([(3,)], "event_id int")
+    kept.update(spark, path, "a", together(
+        event_lines(events_of(spark, *events)), participant_lines(people_of(spark, *people)),
+        delete_lines(deletes)), {}, settle)
+    lines = kept.update(spark, path, "b", together(
+        event_lines(events_of(spark, events[0]), -1), event_lines(events_of(spark, (1, 3, "y", "c"))),
+        participant_lines(people_of(spark, people[1]), -1), delete_lines(deletes, -1)), {}, settle)
+    same(rows, marts_of(lines), events_of(spark, (1, 3, "y", "c"), *events[1:]),
+         people_of(spark, people[0], people[2]))
+    # Everything taken back leaves nothing.
+    lines = kept.update(spark, path, "c", together(
+        event_lines(events_of(spark, (1, 3, "y", "c"), *events[1:]), -1),
+        participant_lines(people_of(spark, people[0], people[2]), -1)), {}, settle)
+    assert all(mart.isEmpty() for mart in marts_of(lines).values())
+
+
+def test_an_empty_batch_changes_nothing(spark, rows, tmp_path):
+    path, events = str(tmp_path / "states"), events_of(spark, (1, 1, "x", "a"))
+    kept.update(spark, path, "a", event_lines(events), {"event": (1, "")}, settle)
+    lines = kept.update(spark, path, "b", None, {"event": (0, "")}, settle)
+    same(rows, marts_of(lines), events, people_of(spark))
+    assert kept.taken(stored(spark, path)) == {"event": (1, "")}
+
+
+def test_few_buckets_are_opened(spark, tmp_path, monkeypatch):
+    """Late participants of few events open the buckets of these, of however many there are."""
+    monkeypatch.setattr(batches, "KEYS", 64)
+    path = str(tmp_path / "states")
+    many = spark.range(5000).select(
+        F.col("id").cast("int").alias("event_id"), F.lit(dt.datetime(2025, 8, 1)).alias("event_date"),
+        F.lit("x").alias("event_type"), F.lit("a").alias("brand_id"), F.lit("A").alias("brand_name"),
+    )
+    kept.update(spark, path, "a", event_lines(many), {}, settle)
+    held = state(spark, path).batches[0]
+    assert held.buckets >= 64
+    late = settle(fold(participant_lines(people_of(spark, (17, 1, "s", "Y", "Y")))))
+    ids = late.where("kind = 'event'")
+    near = stored(spark, path).near(("spot",), ids, ("spot",)).where("kind = 'event'")
+    assert 1 <= near.count() < 5000 / 8
+    files = {r[0] for r in near.select(F.input_file_name()).distinct().collect()}
+    assert len(files) == 1
+    # The marts' lines lie in folders of their own.
+    day = stored(spark, path).rows().where("kind = 'day'")
+    assert len({r[0] for r in day.select(F.input_file_name()).distinct().collect()}) == 1
+
+
+def test_a_hot_event_is_counted_before_it_is_shuffled(spark):
+    people = people_of(spark, *[(1, i, "s", "Y", "Y") for i in range(50)])
+    assert participant_lines(people).where("kind = 'event'").count() == 1
+
+
+def test_states_must_be_spread_by_what_is_looked_up(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("1",)], "spot string")
+    batches.publish(spark, path, batches.write_batch(spark, path, "a", df))
+    with pytest.raises(ValueError, match="not spread"):
+        stored(spark, path).near(("spot",), df, ("spot",))
+
+
+def test_unchanged_groups_get_no_lines(spark):
+    old = fold(event_lines(events_of(spark, (1, 1, "x", "a"))))
+    none = old.limit(0)
+    assert mart_lines(old, none).isEmpty()
+    deleted = delete_lines(spark.createDataFrame([(2,)], "event_id int"))
+    assert mart_lines(none, deleted).isEmpty()
