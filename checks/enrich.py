@@ -12,10 +12,12 @@ from eventmart.operators import (
     list_by_key,
     lookup,
     map_multivalue,
+    merge_ends,
     resolve_survivor,
     survivor_xref,
 )
 from eventmart.plans import normalize_events, normalize_expenses, normalize_participants
+from eventmart.session import settle
 
 _SQL_PRODUCTS = """
 SELECT DISTINCT lower(p_type) AS source_product_name, 'BRD-' || p_type AS brand_id,
@@ -245,6 +247,36 @@ def final_xref(spark, d):
     return survivor_xref(_xref(spark, d), _merges(spark, d))
 
 
+_CHAINS = """
+SELECT c_custkey AS loser,
+       CASE WHEN c_custkey % 50 <> 0 THEN c_custkey - 1
+            WHEN c_custkey % 1000 = 950 THEN c_custkey + 49 END AS winner
+FROM customer
+"""
+
+
+@query(
+    "mdm_chains",
+    f"""WITH RECURSIVE merged AS (SELECT * FROM ({_CHAINS}) WHERE winner IS NOT NULL),
+             walk AS (SELECT loser, winner AS top, 1::BIGINT AS hops FROM merged
+                      UNION ALL
+                      SELECT walk.loser, merged.winner, hops + 1
+                      FROM walk JOIN merged ON merged.loser = walk.top WHERE hops < 60),
+             ends AS (SELECT * FROM walk WHERE top NOT IN (SELECT loser FROM merged))
+        SELECT merged.loser AS loser_mdm_id, top AS winner_mdm_id, hops,
+               top IS NULL AS in_cycle
+        FROM merged LEFT JOIN ends ON merged.loser = ends.loser""",
+)
+def mdm_chains(spark, d):
+    """Customers that lose to their neighbour, over and over, some of them in a circle."""
+    key = F.col("c_custkey")
+    winner = F.when(key % 50 != 0, key - 1).when(key % 1000 == 950, key + 49)
+    merges = table(spark, d, "customer").select(
+        key.alias("loser_mdm_id"), winner.alias("winner_mdm_id")
+    )
+    return merge_ends(merges, settle)
+
+
 _SQL_RESOLVED = f"""
 SELECT o.o_custkey AS participant_id, o.o_orderkey AS event_id,
        o.o_orderstatus AS participant_type, x.mdm_id,

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from checks.files import NEXT, ORDER_COLUMNS, ORDER_RULES, ORDERS, RUN, orders_feed, spec_of
+from checks.files import NEXT, ORDER_COLUMNS, ORDERS, RUN, orders_feed, spec_of
 from checks.registry import query, table
 from eventmart import fixed_values as fv
 from eventmart.plans import landed, take_in
@@ -16,16 +15,24 @@ from eventmart.specs import FeedRules, load_specs, read_control
 from eventmart.streaming import stream_feed
 
 
-def _write_as(spark, df, path: str) -> None:
-    """One delimited file with a header under a name of our own."""
-    folder = f"{work_dir(spark)}/one"
-    df.coalesce(1).write.options(header=True, sep="|").csv(folder)
+def _write_as(spark, df, path: str, **options) -> None:
+    """Delimited files with headers, written in parallel, under numbered names of our own."""
+    folder = f"{work_dir(spark)}/parts"
+    options = {"header": True, "sep": "|"} | options
+    # by a column, so that adaptive execution fits the files to the rows and leaves none empty
+    df.repartition(df.columns[0]).write.options(**options).csv(folder)
     place = spark._jvm.org.apache.hadoop.fs.Path
     files = place(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    listed = [f.getPath() for f in files.listStatus(place(folder))]
-    part = next(p for p in listed if p.getName().startswith("part-"))
+    names = sorted(f.getPath().getName() for f in files.listStatus(place(folder)))
     files.mkdirs(place(path).getParent())
-    files.rename(part, place(path))
+    stem, ending = path.rsplit(".", 1)
+    for number, name in enumerate(n for n in names if n.startswith("part-")):
+        files.rename(place(f"{folder}/{name}"), place(f"{stem} {number}.{ending}"))
+
+
+def _set_of(name: str | Column) -> Column:
+    """The name that numbered files of one set share."""
+    return F.regexp_replace(name, r" [0-9]+(\.[a-z]+)", "$1")
 
 
 def _mixed_files(spark, d) -> str:
@@ -56,10 +63,15 @@ def _mixed_files(spark, d) -> str:
        UNION ALL SELECT 'part-none.csv', 'File is empty', 0""",
 )
 def intake_file_checks(spark, d):
-    """Data lines and verdict of each file below one folder."""
+    """Data lines and verdict of each set of files below one folder."""
     taken = take_in(spark, spec_of(_mixed_files(spark, d)), RUN, settle)
-    reason = F.translate("reason", "'", '"').alias("reason")
-    return taken.files.select("file_name", reason, "data_lines")
+    found = taken.files.withColumns({
+        "reason": _set_of(F.translate("reason", "'", '"')),
+        "file_name": _set_of("file_name"),
+        "folder": F.regexp_replace("path", "/[^/]*$", ""),
+    })
+    sets = found.groupBy("folder", "file_name", "reason")
+    return sets.agg(F.sum("data_lines").alias("data_lines")).drop("folder")
 
 
 @query("intake_subfolders", ORDERS)
@@ -98,12 +110,12 @@ def intake_ragged_lines(spark, d):
         .when(status == "P", F.concat(key, F.lit("|a|b|"), status, F.lit("|more")))
         .otherwise(F.concat(key, F.lit("|a|b|"), status))
     )
-    header = spark.createDataFrame([("|".join(ORDER_COLUMNS),)], "value string")
+    lines = orders.select(line.alias("|".join(ORDER_COLUMNS)), status.alias("_status"))
     for part in "FPO":
-        lines = orders.where(status == part).select(line.alias("value"))
-        header.coalesce(1).unionAll(lines).coalesce(1).write.text(f"{folder}/{part}")
-    rules = replace(ORDER_RULES, file_pattern=r"part-.*\.txt$")
-    taken = take_in(spark, spec_of(folder, rules=rules), RUN, settle)
+        of = lines.where(F.col("_status") == part).drop("_status")
+        # one column, whose name is the header, and a separator that no line holds
+        _write_as(spark, of, f"{folder}/part-{part}.csv", sep="\x01")
+    taken = take_in(spark, spec_of(folder), RUN, settle)
     return taken.malformed.select("error_reason", "malformed_line")
 
 
@@ -113,7 +125,7 @@ def intake_ragged_lines(spark, d):
        UNION ALL SELECT 'again', 0 UNION ALL SELECT 'one more', 1""",
 )
 def handled_files(spark, d):
-    """Files that each run looks at: those of the ledger are left alone."""
+    """Sets of files that each run looks at: those of the ledger are left alone."""
     folder, orders = f"{work_dir(spark)}/inbound", orders_feed(spark, d)
     for status in [r[0] for r in orders.select("status").distinct().collect()]:
         _write_as(spark, orders.where(F.col("status") == status), f"{folder}/part-{status}.csv")
@@ -122,20 +134,22 @@ def handled_files(spark, d):
     _write_as(spark, orders, f"{folder}/part-all.csv")
     more = take_in(spark, spec_of(folder), NEXT, settle, ledger=first).files
     runs = (("first", first), ("again", again), ("one more", more))
-    counts = [f.agg(F.lit(n).alias("run"), F.count("*").alias("files")) for n, f in runs]
+    counts = [f.agg(F.lit(n).alias("run"), F.count_distinct(_set_of("file_name")).alias("files")) for n, f in runs]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 @query(
     "control_table",
-    """SELECT 'in/' || lower(r_name) AS inbound, '|' AS sep, 'k,' || lower(r_name) AS columns,
-              'lm_' || lower(r_name) AS feed_table
-       FROM region""",
+    """SELECT DISTINCT 'in/' || brand AS inbound, '|' AS sep, 'k,' || brand AS columns,
+              'lm_' || brand AS feed_table
+       FROM (SELECT replace(lower(p_brand), '#', '_') AS brand FROM part)""",
 )
 def control_table(spark, d):
-    """A control table written and read as one; a feed per row."""
-    name = F.lower("r_name")
-    control = table(spark, d, "region").select(
+    """A control table of the brands of all parts, written and read as one; a feed per row."""
+    name = F.col("brand")
+    brand = F.replace(F.lower("p_brand"), F.lit("#"), F.lit("_"))
+    brands = table(spark, d, "part").select(brand.alias("brand")).distinct()
+    control = brands.select(
         F.concat(F.lit("in/"), name).alias("inbound_location"),
         F.lit("pre").alias("preprocess_location"),
         F.lit("part-").alias("file_prefix"),
@@ -146,7 +160,7 @@ def control_table(spark, d):
     folder = f"{work_dir(spark)}/control"
     control.write.options(header=True, quoteAll=True).csv(folder)
     stored = read_control(spark, folder)
-    names = [r[0] for r in table(spark, d, "region").select(name).collect()]
+    names = [r[0] for r in brands.collect()]  # as many as the control table has rows
     specs = load_specs(stored, {n: FeedRules() for n in names})
     rows = [(s.inbound, s.sep, ",".join(s.columns), s.table) for s in specs.values()]
     schema = "inbound string, sep string, columns string, feed_table string"
@@ -211,4 +225,5 @@ def stream_intake(spark, d):
 def stream_quarantine(spark, d):
     """What both queries set aside, by reason: the second sees closed orders twice at once."""
     errors = read_optional(spark, f"{_streamed(spark, d)}/error", merge=True)
-    return errors.groupBy("error_reason").agg(F.count("*").alias("n"))
+    reason = _set_of(F.col("error_reason")).alias("error_reason")
+    return errors.groupBy(reason).agg(F.count("*").alias("n"))

@@ -38,6 +38,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--kept-marts", action="store_true", help="marts from their state and the run's own rows"
     )
+    parser.add_argument(
+        "--follow-merges", action="store_true", help="survivors at the end of chains of merges"
+    )
     args = parser.parse_args(argv)
     if args.step in ("run", "intake", "landing", "normalize", "rebuild") and not args.control:
         parser.error(f"{args.step} needs --control")
@@ -63,7 +66,7 @@ def main(argv: list[str] | None = None) -> flow.Counts:
     masters = flow.read_masters(spark, args.masters) if args.masters else None
     options = (args.without_deleted, args.keep_unbranded, args.strict_masters)
     if args.step == "run":
-        counts = flow.run(spark, specs, masters, layout, args.run_ts, *options, args.kept_marts)
+        counts = flow.run(spark, specs, masters, layout, args.run_ts, *options, args.kept_marts, args.follow_merges)
     else:
         size = flow.input_bytes(spark, specs, layout)
         with fitted_shuffles(spark, size), Workspace(spark) as work:
@@ -72,7 +75,9 @@ def main(argv: list[str] | None = None) -> flow.Counts:
             elif args.step == "landing":
                 counts = flow.landing(spark, specs, layout, args.run_ts, work.settle)
             elif args.step == "normalize":
-                counts = flow.normalize(spark, specs, masters, layout, work.settle, *options)
+                counts = flow.normalize(
+                    spark, specs, masters, layout, work.settle, *options, args.follow_merges
+                )
             elif args.step == "rebuild":
                 counts = flow.rebuild(spark, specs, layout, args.run_ts, work.settle)
             elif args.step == "marts" and args.kept_marts:

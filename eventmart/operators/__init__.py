@@ -5,6 +5,7 @@ from eventmart.operators.enrich import (
     list_by_key,
     lookup,
     map_multivalue,
+    merge_ends,
     resolve_survivor,
     survivor_xref,
 )
@@ -66,6 +67,7 @@ __all__ = [
     "map_multivalue",
     "mart_lines",
     "marts_of",
+    "merge_ends",
     "merge_snapshot",
     "new_only",
     "participant_engagement",

@@ -131,10 +131,47 @@ def map_multivalue(
     return df.join(lists, F.col(column) == F.col("_text"), how).select(*kept, *new.values())
 
 
+def merge_ends(merges: DataFrame, settle: Settle) -> DataFrame:
+    """Each loser once, with the winner at the end of its chain of merges.
+
+    ``loser_mdm_id, winner_mdm_id, hops, in_cycle``. Every round joins a loser's winner with that
+    one's own winner, so chains are followed twice as far each time, and the rounds are the
+    logarithm of the longest. As many hops as there are losers, and still at a loser, is a cycle:
+    what is in one or leads into one has no winner, and ``in_cycle``. Of several winners of one
+    loser the least counts; NULL ids are no merges. ``settle`` ends the lineage of a round.
+    """
+    first = merges.select("loser_mdm_id", "winner_mdm_id").dropna()
+    first = first.groupBy("loser_mdm_id").agg(F.min("winner_mdm_id").alias("at"))
+    steps = settle(first.select("loser_mdm_id", "at", F.lit(1).cast("long").alias("hops")))
+    losers, far = steps.count(), 1
+    while True:
+        onward = steps.select(
+            F.col("loser_mdm_id").alias("_id"), F.col("at").alias("_at"), F.col("hops").alias("_hops")
+        )
+        steps = settle(
+            steps.join(onward, F.col("at") == F.col("_id"), "left").select(
+                "loser_mdm_id",
+                F.coalesce("_at", "at").alias("at"),
+                (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"),
+                F.col("_id").isNotNull().alias("moving"),
+            )
+        )
+        if far >= losers or steps.where("moving").isEmpty():
+            break
+        far *= 2
+    ended = ~F.col("moving")
+    return steps.select(
+        "loser_mdm_id",
+        F.when(ended, F.col("at")).alias("winner_mdm_id"),
+        F.when(ended, F.col("hops")).alias("hops"),
+        F.col("moving").alias("in_cycle"),
+    )
+
+
 def survivor_xref(xref: DataFrame, merges: DataFrame) -> DataFrame:
     """``source_id, mdm_id, final_mdm_id``: own master id, and the one that survived a merge.
 
-    One hop only: a winner that later lost again is not followed.
+    One hop only: a winner that later lost again is followed if ``merges`` are ``merge_ends``.
     """
     merged = lookup(
         xref.select("source_id", "mdm_id"),

@@ -221,10 +221,12 @@ def normalize(
     without_deleted: bool = False,
     keep_unbranded: bool = False,
     strict_masters: bool = False,
+    follow_merges: bool = False,
 ) -> Counts:
     """Normalized tables of all landed feeds.
 
     ``strict_masters`` ends the run if a master key repeats, which would repeat joined rows.
+    ``follow_merges`` takes the survivor at the end of a chain of merges, not the first.
     """
     counts = {}
     if strict_masters:
@@ -257,7 +259,9 @@ def normalize(
         )
     if participants is not None:
         write(
-            normalize_participants(participants, masters.xref, masters.merges),
+            normalize_participants(
+                participants, masters.xref, masters.merges, settle if follow_merges else None
+            ),
             "lm_participants",
         )
     if expenses is not None and events is not None:
@@ -312,7 +316,8 @@ def keep_marts(
 ) -> Counts:
     """The five marts, from their state and what landed in this run.
 
-    The same marts as ``normalize`` and ``summarize`` make of all rows. Earlier rows are read
+    The same marts as ``normalize`` and ``summarize`` make of all rows, as long as no master key
+    repeats, which would repeat normalized rows. Earlier rows are read
     only if the state does not have them all: at first, after a run without this step, after a
     rebuild, when the product master or an option changed, or if events do not have unique ids.
     """
@@ -377,6 +382,7 @@ def run(
     keep_unbranded: bool = False,
     strict_masters: bool = False,
     kept_marts: bool = False,
+    follow_merges: bool = False,
 ) -> Counts:
     """All steps; returns the rows each wrote. ``kept_marts`` makes the marts from their state
     and the run's own rows instead of from all normalized rows."""
@@ -384,7 +390,9 @@ def run(
         counts = intake(spark, specs, layout, run_ts, work.settle)
         counts |= landing(spark, specs, layout, run_ts, work.settle)
         options = (without_deleted, keep_unbranded, strict_masters)
-        counts |= normalize(spark, specs, masters, layout, work.settle, *options)
+        counts |= normalize(
+            spark, specs, masters, layout, work.settle, *options, follow_merges
+        )
         if {"normalized lm_events", "normalized lm_participants"} <= counts.keys():
             # landed events have unique ids if that is their key, and a lookup adds no rows
             # unless a master key repeats

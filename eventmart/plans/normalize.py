@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame
 
 from eventmart import fixed_values as fv
 from eventmart.functions import project_existing
-from eventmart.operators.enrich import keep_known, lookup, map_multivalue, resolve_survivor
+from eventmart.operators.enrich import (
+    keep_known,
+    lookup,
+    map_multivalue,
+    merge_ends,
+    resolve_survivor,
+)
 from eventmart.operators.quality import Settle
 
 
@@ -46,9 +52,18 @@ def normalize_events(
 
 
 def normalize_participants(
-    participants: DataFrame, xref: DataFrame, merges: DataFrame
+    participants: DataFrame,
+    xref: DataFrame,
+    merges: DataFrame,
+    follow: Settle | None = None,
 ) -> DataFrame:
-    """Own and surviving master id per participant row."""
+    """Own and surviving master id per participant row.
+
+    With ``follow``, which settles the rounds, chains of merges are followed to their end; an id
+    that leads into a cycle keeps itself.
+    """
+    if follow is not None:
+        merges = merge_ends(merges, follow)
     return project_existing(
         resolve_survivor(participants, xref, merges), fv.PARTICIPANT_COLUMNS
     )

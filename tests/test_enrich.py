@@ -6,6 +6,7 @@ from eventmart.operators import (
     keep_known,
     lookup,
     map_multivalue,
+    merge_ends,
     resolve_survivor,
 )
 from eventmart.plans import normalize_events, normalize_expenses, normalize_participants
@@ -151,3 +152,31 @@ def test_unique_events_need_no_comparison_of_rows(spark, rows):
     compared = normalize_events(events, products, indications)
     assert compared.count() == 3
     assert rows(normalize_events(events, products, indications, unique=True)) == rows(compared)
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 7, 8, 9, 50])
+def test_chains_of_merges_are_followed_to_their_end(spark, rows, length):
+    chain = [(f"a{i}", f"a{i + 1}") for i in range(length)]
+    merges = spark.createDataFrame(chain, "loser_mdm_id string, winner_mdm_id string")
+    wanted = [(f"a{i}", f"a{length}", length - i, False) for i in range(length)]
+    assert rows(merge_ends(merges, settle)) == sorted(wanted)
+
+
+def test_cycles_and_odd_merges_are_told(spark, rows):
+    merges = spark.createDataFrame(
+        [("a", "b"), ("b", "c"), ("c", "a"), ("into", "a"), ("self", "self"), ("x", "y"),
+         ("x", "w"), ("w", None), (None, "x"), ("before", "x")],
+        "loser_mdm_id string, winner_mdm_id string",
+    )
+    ends = merge_ends(merges, settle)
+    assert rows(ends.where("in_cycle"), "loser_mdm_id", "winner_mdm_id", "hops") == [
+        (i, None, None) for i in ("a", "b", "c", "into", "self")
+    ]
+    assert rows(ends.where("not in_cycle")) == [("before", "w", 2, False), ("x", "w", 1, False)]
+    xref = spark.createDataFrame(
+        [("P1", "before"), ("P2", "into"), ("P3", "w")], "source_id string, mdm_id string"
+    )
+    people = spark.createDataFrame([("P1",), ("P2",), ("P3",)], "participant_id string")
+    found = normalize_participants(people, xref, merges, settle)
+    assert rows(found, "participant_id", "final_mdm_id") == [("P1", "w"), ("P2", "into"), ("P3", "w")]
+    assert merge_ends(merges.limit(0), settle).isEmpty()
