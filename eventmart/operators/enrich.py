@@ -136,29 +136,35 @@ def merge_ends(merges: DataFrame, settle: Settle) -> DataFrame:
 
     ``loser_mdm_id, winner_mdm_id, hops, in_cycle``. Every round joins a loser's winner with that
     one's own winner, so chains are followed twice as far each time, and the rounds are the
-    logarithm of the longest. As many hops as there are losers, and still at a loser, is a cycle:
-    what is in one or leads into one has no winner, and ``in_cycle``. Of several winners of one
-    loser the least counts; NULL ids are no merges. ``settle`` ends the lineage of a round.
+    logarithm of the longest. A chain holds the shorter ones that begin further on, so once a
+    round ends none, those still at a loser are in a cycle or lead into one: they have no winner,
+    and are ``in_cycle``. Of several winners of one loser the least counts; NULL ids are no
+    merges. ``settle`` ends the lineage of a round.
+
+    Both sides of a round's join are as long as ``merges``, and their files, being ids in order,
+    are much smaller than their rows; so the join is by sorting, and no round sends them all to
+    the driver.
     """
     first = merges.select("loser_mdm_id", "winner_mdm_id").dropna()
     first = first.groupBy("loser_mdm_id").agg(F.min("winner_mdm_id").alias("at"))
     steps = settle(first.select("loser_mdm_id", "at", F.lit(1).cast("long").alias("hops")))
-    losers, far = steps.count(), 1
+    before = steps.count()
     while True:
         onward = steps.select(
             F.col("loser_mdm_id").alias("_id"), F.col("at").alias("_at"), F.col("hops").alias("_hops")
         )
         steps = settle(
-            steps.join(onward, F.col("at") == F.col("_id"), "left").select(
+            steps.join(onward.hint("merge"), F.col("at") == F.col("_id"), "left").select(
                 "loser_mdm_id",
                 F.coalesce("_at", "at").alias("at"),
                 (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"),
                 F.col("_id").isNotNull().alias("moving"),
             )
         )
-        if far >= losers or steps.where("moving").isEmpty():
+        moving = steps.where("moving").count()
+        if moving in (0, before):
             break
-        far *= 2
+        before = moving
     ended = ~F.col("moving")
     return steps.select(
         "loser_mdm_id",

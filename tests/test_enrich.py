@@ -180,3 +180,20 @@ def test_cycles_and_odd_merges_are_told(spark, rows):
     found = normalize_participants(people, xref, merges, settle)
     assert rows(found, "participant_id", "final_mdm_id") == [("P1", "w"), ("P2", "into"), ("P3", "w")]
     assert merge_ends(merges.limit(0), settle).isEmpty()
+
+
+def test_rounds_end_with_the_chains_and_send_no_table_to_the_driver(spark, rows):
+    """Two in a circle among many losers: as many rounds as the chains need, all joined by sorting."""
+    pairs = [("a", "b"), ("b", "a"), *[(f"s{i}", "end") for i in range(200)], ("t", "s0")]
+    merges = spark.createDataFrame(pairs, "loser_mdm_id string, winner_mdm_id string")
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return settle(df)
+
+    ends = merge_ends(merges, noted)
+    assert rows(ends.where("in_cycle"), "loser_mdm_id") == [("a",), ("b",)]
+    assert rows(ends.where("hops > 1"), "loser_mdm_id", "winner_mdm_id") == [("t", "end")]
+    assert len(plans) <= 4
+    assert not any("Broadcast" in plan for plan in plans)
