@@ -16,11 +16,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.functions import day, require_columns
 from eventmart.operators import marts
+from eventmart.operators.quality import Settle
 
 EVENT, ENGAGEMENT = "event", "engagement"
 # The dimensions of each kind of mart that counts events.
@@ -108,33 +109,64 @@ def _gives(when: str) -> dict[str, Column]:
     }
 
 
-def mart_lines(old: DataFrame, new: DataFrame) -> DataFrame:
+def _changes(base: DataFrame, group: list[str]) -> DataFrame:
+    """What events change in their groups, added up; several lines of an event and group are one."""
+    known = [F.first(f"{m}_{w}").alias(f"{m}_{w}") for m in _COUNTS for w in ("before", "after")]
+    copies = [F.sum(f"copies_{w}").alias(f"copies_{w}") for w in ("before", "after")]
+    per_event = base.groupBy("spot", *group).agg(*copies, *known)
+    before, after = _gives("before"), _gives("after")
+    return per_event.groupBy(*group).agg(
+        *[F.sum(after[m] - before[m]).alias(m) for m in before]
+    )
+
+
+def mart_lines(old: DataFrame, new: DataFrame, settle: Settle | None = None) -> DataFrame:
     """What ``new`` event lines change in the marts; ``old`` are all earlier lines of the events.
 
-    One join of an event's dimensions with its counts, both by event; each kind of mart then
-    regroups by event, without another shuffle, and by group.
+    One shuffle by event puts an event's counts beside its dimensions. Nearly all events have one
+    line of dimensions, which is regrouped for all marts at once, without another look at the
+    event; only events with more are first added up per event and group. ``settle`` keeps what
+    both read, so that it is made once.
     """
     both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    event = Window.partitionBy("spot")
 
-    def sums(name: str) -> list[Column]:
-        before = F.sum(F.when(F.col("_new"), 0).otherwise(F.col(name)))
-        return [before.alias(f"{name}_before"), F.sum(name).alias(f"{name}_after")]
+    def before(name: str) -> Column:
+        return F.when(F.col("_new"), 0).otherwise(F.col(name))
+
+    def count(value: Column) -> Column:  # NULL ids match nothing
+        return F.when(F.col("spot").isNotNull(), F.sum(value).over(event))
 
-    counts = both.groupBy("spot").agg(*[c for name in _COUNTS for c in sums(name)])
     dimensions = [d for group in GROUPS.values() for d in group]
-    held = both.where("copies <> 0").groupBy("spot", *dimensions).agg(*sums("copies"))
-    base = held.join(counts, "spot", "left")
+    base = both.select(
+        "spot",
+        *dimensions,
+        before("copies").alias("copies_before"),
+        F.col("copies").alias("copies_after"),
+        *[count(before(m)).alias(f"{m}_before") for m in _COUNTS],
+        *[count(F.col(m)).alias(f"{m}_after") for m in _COUNTS],
+        F.sum((F.col("copies") != 0).cast("int")).over(event).alias("_held"),
+    ).where("copies_after <> 0")
+    if settle is not None:
+        base = settle(base)
+    gives, gave = _gives("after"), _gives("before")
+    single = base.where("_held = 1").select(
+        *dimensions, *[(gives[m] - gave[m]).alias(m) for m in gives]
+    )
+    several = base.where("_held > 1")
+    sums = single.groupingSets([list(group) for group in GROUPS.values()], *dimensions).agg(
+        F.grouping_id().alias("_set"), *[F.sum(m).alias(m) for m in gives]
+    )
     out = None
     for kind, group in GROUPS.items():
-        known = [F.first(f"{m}_{w}").alias(f"{m}_{w}") for m in _COUNTS for w in ("before", "after")]
-        copies = [F.sum(f"copies_{w}").alias(f"copies_{w}") for w in ("before", "after")]
-        per_event = base.groupBy("spot", *group).agg(*copies, *known)
-        before, after = _gives("before"), _gives("after")
-        changes = per_event.groupBy(*group).agg(
-            *[F.sum(after[m] - before[m]).alias(m) for m in before]
+        # a set's number has a bit for each dimension that it leaves out, the first one highest
+        number = sum(
+            1 << at for at, d in enumerate(reversed(dimensions)) if d not in group
         )
-        values = {c: F.col(c) for c in (*group, *before)}
-        part = lines(changes, kind, **values)
+        own = sums.where(F.col("_set") == number).select(*group, *gives)
+        own = own.unionByName(_changes(several, list(group)))
+        own = own.groupBy(*group).agg(*[F.sum(m).alias(m) for m in gives])
+        part = lines(own, kind, **{c: F.col(c) for c in (*group, *gives)})
         out = part if out is None else out.unionByName(part)
     return out.where(reduce(or_, [F.col(m) != 0 for m in MEASURES]))
 

@@ -77,8 +77,9 @@ def update(
         old = events.limit(0)
         if before is not None:
             old = ms.touched(before.near(SPREAD.columns, events, SPREAD.columns), events)
-        out = out.unionByName(new).unionByName(ms.mart_lines(old, events))
-    written = write_batch(spark, path, batch, settle(out), spread=SPREAD)
+        changes = settle(ms.mart_lines(old, events, settle))
+        out = out.unionByName(new).unionByName(changes)
+    written = write_batch(spark, path, batch, out, spread=SPREAD)
     if anew:
         commit(spark, path, replace(state(spark, path) or State(), batches=(written,)))
     else:

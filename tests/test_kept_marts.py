@@ -154,3 +154,29 @@ def test_unchanged_groups_get_no_lines(spark):
     assert mart_lines(old, none).isEmpty()
     deleted = delete_lines(spark.createDataFrame([(2,)], "event_id int"))
     assert mart_lines(none, deleted).isEmpty()
+
+
+def test_all_marts_come_from_one_look_at_the_events(spark, rows):
+    """Nothing after the settled base reads the lines again, also with repeated and NULL events."""
+    old = settle(fold(event_lines(events_of(spark, (1, 1, "x", "a"), (2, 1, "x", "a")))))
+    people = people_of(spark, (1, 5, "s", "Y", "Y"), (2, 6, "s", "Y", "N"), (None, 7, "s", "Y", "Y"))
+    more = event_lines(events_of(spark, (1, 2, "x", "b"), (None, 1, "y", "a"), (None, 3, "y", "a")))
+    new = settle(fold(more.unionByName(participant_lines(people)).where("kind = 'event'")))
+    kept_tables = []
+
+    def noted(df):
+        kept_tables.append(settle(df))
+        return kept_tables[-1]
+
+    made = mart_lines(old, new, noted)
+    assert len(kept_tables) == 1
+    assert set(made.inputFiles()) <= set(kept_tables[0].inputFiles())
+    found = rows(made, "kind", "event_type", "brand_id", "events", "registrations", "joined_rows")
+    assert found == rows(mart_lines(old, new), "kind", "event_type", "brand_id", "events",
+                         "registrations", "joined_rows")
+    assert [r for r in found if r[0] == "brand"] == [
+        ("brand", None, "a", 0, 2, 2), ("brand", None, "b", 1, 1, 1),
+    ]
+    assert [r for r in found if r[0] == "type"] == [
+        ("type", "x", None, 0, 3, 1), ("type", "y", None, 0, 0, 2),
+    ]
