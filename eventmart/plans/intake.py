@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from eventmart import fixed_values as fv
 from eventmart.operators.quality import Settle
+from eventmart.session import open_files
 from eventmart.sources import (
     CORRUPT,
     FILE_NAME,
@@ -91,7 +92,8 @@ def stage(lines: DataFrame, path: str) -> DataFrame:
     partitions, so each reader opens its own files only."""
     kind = F.when(F.col(CORRUPT).isNull(), "rows").otherwise("malformed")
     lines = lines.withColumn(KIND, kind).withColumnRenamed(CORRUPT, LINE)
-    write_table(lines, path, [KIND], whole=True)
+    with open_files(lines.sparkSession, 2):  # rows and malformed ones
+        write_table(lines, path, [KIND], whole=True)
     return read_table(lines.sparkSession, path, lines.schema)
 
 

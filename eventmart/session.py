@@ -70,6 +70,19 @@ def fitted_shuffles(spark: SparkSession, size: int) -> Iterator[int]:
         spark.conf.set(PARTITIONS, before)
 
 
+@contextmanager
+def open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Writes by partition keep up to ``most`` files open in a task, so rows of so few partitions
+    need not be sorted by them; set back afterwards."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder below the shared folder that the cluster names in ``spark.checkpoint.dir``."""
     context = spark.sparkContext

@@ -28,18 +28,22 @@ def _glob(prefix: str) -> str:
 
 
 def _one_form(path: Column) -> Column:
-    """Paths as listings write them: local ones begin with one slash."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
+    """Paths as listings write them: local ones begin with one slash. Every line of a file has its
+    path, so this and what follows go without regular expressions."""
+    rest = F.ltrim(F.substring(path, len("file:") + 1, 1 << 30), F.lit("/"))
+    local = F.startswith(path, F.lit("file:/"))
+    return F.when(local, F.concat(F.lit("file:/"), rest)).otherwise(path)
 
 
 def _decoded_path() -> Column:
-    """The path of a row's file; the metadata column has it percent-encoded."""
-    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return _one_form(F.url_decode(encoded))
+    """The path of a row's file; the metadata column has it percent-encoded, if need be."""
+    found = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))
+    return _one_form(F.when(F.contains(found, F.lit("%")), decoded).otherwise(found))
 
 
 def _base_name(path: str) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def manifest(spark: SparkSession, location: str, prefix: str = "") -> DataFrame:

@@ -5,12 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventmart import fixed_values as fv
-from eventmart.plans import export_latest, take_in
+from eventmart.plans import export_latest, intake, take_in
 from eventmart.session import (
     PARTITIONS,
     Workspace,
     fit_shuffles,
     fitted_shuffles,
+    open_files,
     scratch,
     settle,
     stored_bytes,
@@ -394,3 +395,37 @@ def test_scratch_ends_with_its_scope(spark):
         table = settle(spark.range(3))
         assert table.count() == 3
     assert read_optional(spark, f"{work.folder}/table_0") is None
+
+
+def test_paths_of_lines_need_no_regular_expressions(spark, tmp_path):
+    """Every line has its path; plain, encoded and odd ones are told as the listing has them."""
+    names = ["a.csv", "a b.csv", "c+d%.csv", "e%20f.csv"]
+    for name in names:
+        (tmp_path / name).write_text("k|v\n1|x\n")
+    lines = read_lines(spark, [str(tmp_path / n) for n in names], ["k", "v"], "|")
+    found = {tuple(r) for r in lines.select("source_file_path", "source_file_name").collect()}
+    listed = manifest(spark, str(tmp_path)).select("path", "file_name")
+    assert found == {tuple(r) for r in listed.collect()}
+    assert {name for _, name in found} == set(names)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan and "split(" not in plan
+
+
+def test_staged_lines_are_not_sorted_by_kind(spark, tmp_path, monkeypatch):
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(key)
+
+    def write(*args, **options):
+        seen.append(spark.conf.get(key))
+        return write_table(*args, **options)
+
+    (tmp_path / "a.csv").write_text("k|v\n1|x\n2\n3|y|z\n4|w\n")
+    monkeypatch.setattr(intake, "write_table", write)
+    lines = read_lines(spark, [str(tmp_path / "a.csv")], ["k", "v"], "|")
+    staged = intake.stage(lines, str(tmp_path / "staged"))
+    kinds = {r.k: r.line_kind for r in staged.collect()}
+    assert kinds == {"k": "rows", "1": "rows", "2": "malformed", "3": "malformed", "4": "rows"}
+    assert (seen, spark.conf.get(key)) == (["2"], before)
+    with pytest.raises(ValueError), open_files(spark, 5):
+        raise ValueError
+    assert spark.conf.get(key) == before

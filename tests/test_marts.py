@@ -105,3 +105,18 @@ def test_equals_the_row_by_row_join(spark, rows):
     marts = build_marts(events, people, settle=settle)
     for name, sql in expected.items():
         assert rows(marts[name]) == rows(spark.sql(sql)), name
+
+
+def test_settled_marts_tell_repeats_only_if_there_are_any(spark, events, participants, rows):
+    """Without word that ids are unique: no mart compares unique ids, and repeats count once."""
+    marts = build_marts(events, participants, settle=settle)
+    plans = {n: m._jdf.queryExecution().analyzed().toString() for n, m in marts.items()}
+    assert "distinct" not in plans["event_performance_kpi"]
+    assert "distinct" not in plans["event_type_participants_kpi"]
+    assert rows(marts["brand_performance_kpi"], "event_count") == [(2,)]
+    again = build_marts(events.union(events), participants, settle=settle)
+    assert rows(again["brand_performance_kpi"], "event_count") == [(2,)]
+    assert rows(again["event_performance_kpi"], "total_events") == [(2,)]
+    nameless = events.withColumn("event_id", F.lit(None).cast("int"))
+    none = build_marts(nameless.union(events), participants, settle=settle)
+    assert rows(none["brand_performance_kpi"], "event_count") == [(2,)]
